@@ -57,24 +57,36 @@ def amount_cube(rows: DataFrame) -> DataFrame:
     )
 
 
-def cube_wide(long: DataFrame) -> DataFrame:
-    """One row per applicant with credit; 594 readable columns, empty cells are 0."""
+def cube_pivot(long: DataFrame) -> DataFrame:
+    """One row per applicant with credit and one column per cell and aggregate; empty ones NULL."""
     cell = F.concat_ws("/", "cube_product", "cube_window", "cube_status")
-    names = ["/".join(c) for c in cube_cells()]
-    pivoted = (
+    return (
         long.select(*KEY, cell.alias("cell"), *AGGS)
         .groupBy(*KEY)
-        .pivot("cell", names)
+        .pivot("cell", ["/".join(c) for c in cube_cells()])
         .agg(*[F.first(a).alias(a) for a in AGGS])
     )
-    out = []
-    for p, w, s in cube_cells():
-        for a in AGGS:
-            name = cube_name(p, w, s, a)
-            if name not in SKIPPED:
-                zero = F.lit(0) if a == "cnt" else F.lit(0.0)
-                out.append(F.coalesce(F.col(f"`{p}/{w}/{s}_{a}`"), zero).alias(name))
-    return pivoted.select(*KEY, *out)
+
+
+def cube_cell_names() -> list[tuple[str, str]]:
+    """(pivot column, readable name) of every kept cell."""
+    pairs = [
+        (f"`{p}/{w}/{s}_{a}`", cube_name(p, w, s, a)) for p, w, s in cube_cells() for a in AGGS
+    ]
+    return [(cell, name) for cell, name in pairs if name not in SKIPPED]
+
+
+def cube_wide(apps: DataFrame, long: DataFrame, kind: str | None = None) -> DataFrame:
+    """One row per applicant; readable columns of the cube (or its amounts / counts), empty = 0."""
+    keep = set(cube_columns(kind))
+    return (
+        apps.select(*KEY)
+        .join(cube_pivot(long), KEY, "left")
+        .selectExpr(
+            *KEY,
+            *[f"coalesce({cell}, 0) as {name}" for cell, name in cube_cell_names() if name in keep],
+        )
+    )
 
 
 def cube_columns(kind: str | None = None) -> list[str]:

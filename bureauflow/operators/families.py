@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bureauflow.functions.expressions import add_all, entropy, flag, ratio, ratio0
+from bureauflow.operators.enrich import MAX_ROWS_PER_KEY, credit_only, with_optional_columns
+from bureauflow.operators.profile import applicant_profile
 from bureauflow.schema import DAYS_PER_MONTH, KEY, PRODUCT_NAMES, PRODUCTS
 
 Columns = dict[str, Column]
@@ -306,18 +308,38 @@ def co_applicant_features() -> Columns:
     }
 
 
-def with_application_totals(frame: DataFrame) -> DataFrame:
-    """Totals over all applicants of an application, joined back to each of them."""
-    totals = frame.groupBy("application_id").agg(
-        F.count("*").alias("app_people"),
-        F.sum("n").alias("app_n"),
-        F.sum("nd").alias("app_nd"),
-        F.sum("sum").alias("app_sum"),
-        F.sum("sumd").alias("app_sumd"),
-        F.sum(F.when(c("applicant_type") == "PRIMARY", c("sum"))).alias("app_primary_sum"),
-        F.count_if(c("nd") > 0).alias("app_with_default"),
+def with_application_totals(apps: DataFrame, bureau: DataFrame) -> DataFrame:
+    """Applicants with the totals over all applicants of their application.
+
+    Computed from narrow tradeline columns and attached before the wide profile is joined, so no
+    wide row is shuffled by application.
+    """
+    default = c("default_date").isNotNull()
+    per_person = (
+        credit_only(with_optional_columns(bureau))
+        .groupBy(*KEY)
+        .agg(
+            F.count("*").alias("n"),
+            F.count_if(default).alias("nd"),
+            F.sum("total_amount").alias("amount"),
+            F.sum(F.when(default, c("total_amount"))).alias("amount_d"),
+        )
+    )
+    totals = (
+        apps.select(*KEY, "applicant_type")
+        .join(per_person, KEY, "left")
+        .groupBy("application_id")
+        .agg(
+            F.count("*").alias("app_people"),
+            F.sum("n").alias("app_n"),
+            F.sum("nd").alias("app_nd"),
+            F.sum("amount").alias("app_sum"),
+            F.sum("amount_d").alias("app_sumd"),
+            F.sum(F.when(c("applicant_type") == "PRIMARY", c("amount"))).alias("app_primary_sum"),
+            F.count_if(c("nd") > 0).alias("app_with_default"),
+        )
     )
-    return frame.join(totals, "application_id")
+    return apps.join(totals, "application_id")
 
 
 def relative_features() -> Columns:
@@ -760,11 +782,17 @@ def family_columns(names: list[str], undefined: str = "null") -> Columns:
 
 
 def family_frame(
-    apps: DataFrame, profile: DataFrame, names: list[str], undefined: str = "null"
+    apps: DataFrame,
+    bureau: DataFrame,
+    names: list[str],
+    undefined: str = "null",
+    max_rows_per_key: int = MAX_ROWS_PER_KEY,
 ) -> DataFrame:
-    """One row per applicant with the features of the named families."""
-    frame = apps.join(profile, KEY, "left")
-    if "co_applicant" in names:
-        frame = with_application_totals(frame)
+    """One row per applicant with the features of the named families.
+
+    Aggregates and window columns no named family reads are pruned from the plan.
+    """
+    people = with_application_totals(apps, bureau) if "co_applicant" in names else apps
+    frame = people.join(applicant_profile(apps, bureau, max_rows_per_key), KEY, "left")
     cols = family_columns(names, undefined)
     return frame.select(*KEY, *[e.alias(k) for k, e in cols.items()])

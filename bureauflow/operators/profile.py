@@ -462,8 +462,13 @@ def _finish(profile: DataFrame) -> DataFrame:
 
 
 def dated_rows(apps: DataFrame, bureau: DataFrame) -> DataFrame:
-    """Enriched tradelines of known applicants, co-located by applicant in one exchange."""
-    bureau = en.with_optional_columns(bureau).repartition(*KEY)
+    """Enriched tradelines of known applicants, co-located by applicant in one exchange.
+
+    The partition count is explicit: each input row feeds hundreds of aggregates, so merging
+    partitions that look small in bytes would only take away parallelism.
+    """
+    parts = int(bureau.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    bureau = en.with_optional_columns(bureau).repartition(parts, *KEY)
     return en.enrich(en.attach_application_date(bureau, apps))
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bureauflow.operators import enrich as en
-from bureauflow.operators.cube import amount_cube, cube_columns, cube_wide
+from bureauflow.operators.cube import amount_cube, cube_cell_names, cube_columns, cube_pivot
 from bureauflow.operators.families import FAMILIES, family_columns, with_application_totals
 from bureauflow.operators.profile import applicant_profile, dated_rows
 from bureauflow.schema import CORE, KEY
@@ -57,15 +57,14 @@ def wide_frame(
     """
     people = first_per_uid(apps)
     profile = applicant_profile(people, bureau, max_rows_per_key)
-    cube = cube_wide(cube_long(people, bureau, max_rows_per_key))
-    frame = with_application_totals(people.join(profile, KEY, "left"))
+    cube = cube_pivot(cube_long(people, bureau, max_rows_per_key))
+    frame = with_application_totals(people, bureau).join(profile, KEY, "left")
     cols = family_columns(list(FAMILIES), undefined)
-    other = frame.select(*CORE, *[e.cast("double").alias(k) for k, e in cols.items()])
-    joined = other.join(cube, KEY, "left")
-    return joined.select(
+    other = frame.select(*CORE, *[e.alias(k) for k, e in cols.items()])
+    return other.join(cube, KEY, "left").selectExpr(
         *CORE,
-        *[F.coalesce(F.col(k).cast("double"), F.lit(0.0)).alias(k) for k in cube_columns()],
-        *cols,
+        *[f"coalesce(cast({cell} as double), 0D) as {name}" for cell, name in cube_cell_names()],
+        *[f"cast({name} as double) as {name}" for name in cols],
     )
 
 
