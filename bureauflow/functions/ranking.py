@@ -98,22 +98,25 @@ def quantiles(
     df: DataFrame,
     by: list[str],
     value: str,
-    probs: list[float],
+    probs: list,
     max_group: int = MAX_GROUP,
 ) -> DataFrame:
-    """Exact linearly interpolated quantiles: by, q (array in the order of probs), n."""
-    cum = cumulative(df, by, value, {"n": F.lit(1)}, max_group)
-    pos = [(F.col("n_total") - 1) * F.lit(float(p)) for p in probs]
-    covers = lambda k: (F.col("n_before") <= k) & (k < F.col("n_before") + F.col("n"))
+    """Exact linearly interpolated quantiles: by, q (array in the order of probs), n.
+
+    A prob is a number or a Column over `n`, the number of values of the group.
+    """
+    cum = cumulative(df, by, value, {"k": F.lit(1)}, max_group).withColumn("n", F.col("k_total"))
+    cols = [p if isinstance(p, Column) else F.lit(float(p)) for p in probs]
+    pos = [(F.col("n") - 1) * p for p in cols]
+    covers = lambda x: (F.col("k_before") <= x) & (x < F.col("k_before") + F.col("k"))
     v = F.col(value).cast("double")
     agg = cum.groupBy(*by).agg(
-        F.max("n_total").alias("n"),
+        F.max("n").alias("n"),
         *[F.max(F.when(covers(F.floor(p)), v)).alias(f"lo{i}") for i, p in enumerate(pos)],
         *[F.max(F.when(covers(F.ceil(p)), v)).alias(f"hi{i}") for i, p in enumerate(pos)],
     )
     out = []
-    for i, p in enumerate(probs):
-        at = (F.col("n") - 1) * F.lit(float(p))
+    for i, at in enumerate(pos):
         lo, hi = F.col(f"lo{i}"), F.col(f"hi{i}")
         out.append(lo + (hi - lo) * (at - F.floor(at)))
     return agg.select(*by, F.array(*out).alias("q"), "n")
