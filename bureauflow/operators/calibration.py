@@ -7,6 +7,7 @@ import math
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from bureauflow.functions import ranking
 from bureauflow.operators.binning import bin_of
@@ -120,7 +121,7 @@ def chi2_tail(x: float, df: int) -> float:
     return total
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def _tail(x: pd.Series, df: pd.Series) -> pd.Series:
     return pd.Series([chi2_tail(float(a), int(b)) for a, b in zip(x, df)])
 

@@ -220,7 +220,7 @@ def _aggregates() -> dict[str, Column]:
         "n_mature": F.count_if(age > 24),
         "n_new": F.count_if(age < 6),
         # order of openings
-        "transitions": F.count_if(c("change") & (c("rn") > 1)),
+        "transitions": F.count_if(credit & c("change") & (c("rn") > 1)),
         "streak": F.max(F.when(credit, c("rn") - c("run_start") + 1)),
         "mg_position": F.min(F.when(c("p") == "mg", c("rn"))),
         # amounts
