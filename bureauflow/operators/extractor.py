@@ -110,7 +110,14 @@ GROUPS = {
                 for s in ("credits_opened", "amount_opened", "defaults", "overdraft_events")],
     "non_credit": ["non_auth_overdraft_count", "non_auth_overdraft_amount", "overlimit_count",
                    "overlimit_amount"],
-    "derived": list(_derived()),
+    "derived": ["has_current_default", "has_ever_defaulted", "has_non_auth_overdraft",
+                "has_overlimit", "financial_stress_flag", "default_ratio", "recovery_ratio",
+                "default_amount_ratio", "secured_ratio", "revolving_ratio",
+                "high_risk_product_ratio", "credit_velocity", "amount_velocity",
+                "credit_count_trend_6m_vs_12m", "credit_amount_trend_6m_vs_12m",
+                "default_trend_6m_vs_12m", "product_diversity_ratio",
+                "credit_history_length_months",
+                *[f"{p}{s}" for p in CREDIT_PRODUCTS for s in ("_ratio", "_amount_ratio")]],
     "recovery_time": ["avg_recovery_time_days"],
 }
 
