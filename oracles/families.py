@@ -32,6 +32,13 @@ def family(aggs: dict, cols: dict, source: str = "t", extra: tuple = (), joins:
     return out(body, list(cols), K.split(", "), [APP, BUR, T, S, *extra])
 
 
+def temporal_body() -> str:
+    """Three of the temporal features, unrounded."""
+    return f"""SELECT app.application_id, app.customer_id, o AS oldest_credit_age_months, w AS avg_credit_age_months,
+        CASE WHEN sd < 0 THEN 0 ELSE sd END AS days_since_last_default
+      FROM app LEFT JOIN (SELECT {K}, max(age_m) AS o, avg(age_m) AS w, min(ref - dflt) AS sd FROM t GROUP BY ALL) g USING ({K})"""
+
+
 def W(m):
     return f"opening >= CAST(ref - INTERVAL {m} MONTH AS DATE)"
 
@@ -59,7 +66,45 @@ TREND = "CASE WHEN n >= 4 THEN glate - gearly ELSE 0 END"
 CV = f"COALESCE({div('gstd', 'gavg')}, 0)"
 
 
+def _cube_columns() -> tuple[dict, dict]:
+    """Aggregates and readable columns of the whole wide cube."""
+    stems = {"cnt": "count", "sum": "total_amount", "avg": "average_amount", "max": "max_amount", "min": "min_amount", "std": "amount_std"}
+    calls = {"cnt": "count(*)", "sum": "sum(amt)", "avg": "avg(amt)", "max": "max(amt)", "min": "min(amt)", "std": "stddev_pop(amt)"}
+    gone = {"total_credit_max_amount", "total_credit_min_amount", "defaulted_average_amount", "defaulted_max_amount", "defaulted_count", "recovered_count"}
+    aggs, cols = {}, {}
+    for p, pn in {"all": "", **P}.items():
+        for w in ("all", "3m", "6m", "12m", "24m"):
+            for st, cond in (("all", "TRUE"), ("active", "dflt IS NULL"),
+                             ("defaulted", "dflt IS NOT NULL"), ("recovered", "rec IS NOT NULL")):
+                parts = [cond] + ([f"p = '{p}'"] if p != "all" else []) + ([W(int(w[:-1]))] if w != "all" else [])
+                for a, stem in stems.items():
+                    if p == w == st == "all":
+                        name = "total_credit_" + stem.replace("total_", "")
+                    else:
+                        name = "_".join(x for x in (pn, "" if st == "all" else st, stem) if x)
+                        name += "" if w == "all" else f"_last_{w}"
+                    if name not in gone:
+                        aggs[f"c{len(aggs)}"] = f"{calls[a]} FILTER ({' AND '.join(parts)})"
+                        cols[name] = z(f"c{len(aggs) - 1}")
+    return aggs, cols
+
+
+def wide(q: dict[str, str]) -> str:
+    """Core columns, the whole cube and every family, joined by applicant."""
+    parts = [family(*_cube_columns())]
+    parts += [q[k] for k in q if k not in ("f1_amount_cube", "f2_count_cube", "f22_amount_tier")]
+    parts.append(q["f22_amount_tier"].replace("amt / 25", "amt"))
+    joins = " ".join(f"JOIN ({s}) USING ({K})" for s in parts)
+    return (f"WITH {APP} SELECT * FROM (SELECT application_id || '||' || customer_id AS uid, * FROM app) {joins}")
+
+
 def oracles() -> dict[str, str]:
+    q = _families()
+    q["f35_wide_frame"] = wide(q)
+    return q
+
+
+def _families() -> dict[str, str]:
     q: dict[str, str] = {}
     cells = f"""
       SELECT {K}, pd.p AS cube_product, wd.w AS cube_window, st.s AS cube_status, count(*) AS cnt, sum(amt) AS sum,

@@ -124,6 +124,15 @@ def oracles() -> dict[str, str]:
     dbl, oth = ["lower", "upper", "woe", "iv"], ["feature", "bin_id", "n", "good", "bad"]
     q["a8_woe_bins"] = out("SELECT * FROM bins", dbl, oth, B)
     q["s10_saved_bins"] = q["a8_woe_bins"]
+    # a bin below the minimum share joins the run started by the last bin that stays
+    MW, MIV = woe("good", "bad", "goods", "bads")
+    merged = f"""SELECT feature, CAST(bin_id AS INTEGER) AS bin_id, lower, upper, n, good, bad, {MW} AS woe, {MIV} AS iv FROM (
+        SELECT feature, min(bin_id) AS bin_id, min(lower) AS lower, max(upper) AS upper, CAST(sum(n) AS BIGINT) AS n, CAST(sum(good) AS BIGINT) AS good, CAST(sum(bad) AS BIGINT) AS bad FROM (
+          SELECT *, CASE WHEN bin_id < 0 THEN -1 ELSE sum(CASE WHEN bin_id >= 0 AND (k <= 2 OR first OR n >= floor(tot * 0.05)) THEN 1 ELSE 0 END) OVER (PARTITION BY feature ORDER BY bin_id) END AS grp FROM (
+            SELECT *, count(*) OVER (PARTITION BY feature) AS k, sum(n) FILTER (bin_id >= 0) OVER (PARTITION BY feature) AS tot,
+              bin_id = min(bin_id) FILTER (bin_id >= 0) OVER (PARTITION BY feature) AS first FROM bins))
+        GROUP BY feature, grp), (SELECT count(*) FILTER (target = 0) AS goods, count(*) FILTER (target = 1) AS bads FROM m)"""
+    q["a9_merged_bins"] = out(merged, dbl, oth, B)
     lookup = """lk AS (SELECT l.uid, l.feature, bins.bin_id, bins.woe FROM l LEFT JOIN bins ON l.feature = bins.feature AND
         (l.value BETWEEN bins.lower AND bins.upper OR (l.value IS NULL AND bins.bin_id = -1)))"""
     q["j7_bin_lookup"] = out("SELECT * FROM lk WHERE feature IN ('sum_price', 'c_acctbal')", ["woe"], ["uid", "feature", "bin_id"], [*B, lookup])

@@ -85,7 +85,7 @@ def _extractor() -> dict[str, str]:
 
 def _check(name, kind, severity, observed, threshold):
     return (f"SELECT '{name}' AS check_name, '{kind}' AS check_type, '{severity}' AS severity, ({observed}) <= {threshold} AS passed, "
-            f"CAST({observed} AS DOUBLE) AS observed, CAST({threshold} AS DOUBLE) AS threshold")
+            f"CAST(({observed}) AS DOUBLE) AS observed, CAST({threshold} AS DOUBLE) AS threshold")
 
 
 def _checks(parts, ctes):
@@ -166,6 +166,17 @@ def oracles() -> dict[str, str]:
           count(*) FILTER (abs({c} - mean) > 2 * sd) AS z_outliers, count({c}) AS n FROM bur,
           (SELECT quantile_cont({c}, 0.25) AS q1, quantile_cont({c}, 0.75) AS q3, avg({c}) AS mean, stddev_samp({c}) AS sd FROM bur)"""
     q["q12_outliers"] = f"WITH {BUR} {o('total_amount')} UNION ALL {o('monthly_payment')}"
+    from oracles.families import temporal_body
+
+    meta = {"oldest_credit_age_months": "months", "days_since_last_default": "numeric", "avg_credit_age_months": "months"}
+    parts = [
+        f"""SELECT '{f}' AS feature, count({f}) AS n, count(*) - count({f}) AS nulls, (count(*) - count({f})) / CAST(count(*) AS DOUBLE) AS null_ratio,
+          count(DISTINCT {f}) AS distinct_n, min({f}) AS min, max({f}) AS max, avg({f}) AS mean, stddev_samp({f}) AS std, var_samp({f}) AS variance,
+          {', '.join(f'quantile_cont(CAST({f} AS DOUBLE), {x}) AS p{k}' for x, k in ((0.25, 25), (0.5, 50), (0.75, 75), (0.95, 95), (0.99, 99)))},
+          'temporal_feature' AS category, '{u}' AS unit, 'compute({f})' AS formula FROM tmp""" for f, u in meta.items()]
+    q["q15_data_dictionary"] = out(" UNION ALL ".join(parts),
+        ["null_ratio", "min", "max", "mean", "std", "variance", "p25", "p50", "p75", "p95", "p99"],
+        ["feature", "n", "nulls", "distinct_n", "category", "unit", "formula"], [APP, BUR, T, f"tmp AS ({temporal_body()})"])
     lf = f"l AS ({long()})"
     u = "SELECT feature, max(greatest(a, 1 - a)) AS a, max(n) AS n FROM au GROUP BY 1"
     au = """au AS (SELECT feature, (sum(r) FILTER (target = 1) - count(*) FILTER (target = 1) * (count(*) FILTER (target = 1) + 1) / 2.0::DOUBLE)
