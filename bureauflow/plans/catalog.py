@@ -44,12 +44,12 @@ def canon(df: DataFrame) -> DataFrame:
     """Six decimals for small doubles, two for large ones (off the decimal ties); no negative zero."""
     cols = []
     for name, kind in df.dtypes:
-        x = F.col(f"`{name}`")
+        x = f"`{name}`"
         if kind == "double":
-            large = F.round(x + F.lit(0.00137), 2)
-            x = F.when(F.abs(x) < 1000, F.round(x, 6)).otherwise(large) + F.lit(0.0)
-        cols.append(x.alias(name))
-    return df.select(*cols)
+            large = f"round({x} + 0.00137D, 2)"
+            x = f"CASE WHEN abs({x}) < 1000 THEN round({x}, 6) ELSE {large} END + 0D AS `{name}`"
+        cols.append(x)
+    return df.selectExpr(*cols)
 
 
 def _doubles(df: DataFrame, keys: list[str] = KEY) -> DataFrame:
