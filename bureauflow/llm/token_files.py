@@ -23,9 +23,11 @@ from bureauflow.llm import ragged
 from bureauflow.llm.token_counts import spans
 
 #: Distinct pre-tokens whose ids a Python worker remembers; it starts anew when there are more. Results don't depend on it.
-CACHE_WORDS = 800_000
+CACHE_WORDS = 250_000
 ROW_GROUP_BYTES = 8 << 20
 PAGE_BYTES = 256 << 10
+#: Text bytes encoded at a time.
+SLICE_BYTES = 1 << 20
 #: About so many documents share a file, more where there would be over MAX_FILES.
 FILE_ROWS = 16_384
 MAX_FILES = 50_000
@@ -72,7 +74,7 @@ def encode_documents(docs: DataFrame, path: str, key: str = "doc_id", text: str
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             buf, bounds = ragged.text_bytes(batch.column(1))
-            for row, stop, part, offs in ragged.slices(buf, bounds):
+            for row, stop, part, offs in ragged.slices(buf, bounds, SLICE_BYTES):
                 ids, at = encode_slice(part, offs, path)
                 if end_id is not None:
                     ids = np.insert(ids, at[1:], end_id)
