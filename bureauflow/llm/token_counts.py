@@ -39,9 +39,8 @@ class Pairs:
 
     BITS = 19
 
-    def __init__(self, left: np.ndarray, right: np.ndarray):
-        keys = left.astype(np.uint64) << np.uint64(32) | right.astype(np.uint64)
-        rank = np.arange(len(keys), dtype=np.int32)
+    def __init__(self, left: np.ndarray, right: np.ndarray, rank: np.ndarray):
+        keys, rank = left.astype(np.uint64) << np.uint64(32) | right.astype(np.uint64), rank.astype(np.int32)
         self.levels: list[tuple[np.uint64, np.ndarray, np.ndarray]] = []
         rng = np.random.default_rng(7)
         while len(keys):
@@ -67,10 +66,10 @@ class Pairs:
 class Merges:
     """Pairs of symbols with their ranks; symbols are vocabulary ids."""
 
-    def __init__(self, first: np.ndarray, left: np.ndarray, right: np.ndarray, made: np.ndarray, special: dict[bytes, int]):
-        """first: the symbol of each byte; left, right, made: the pairs in order of rank and what they become."""
+    def __init__(self, first: np.ndarray, left: np.ndarray, right: np.ndarray, rank: np.ndarray, made: np.ndarray, special: dict[bytes, int]):
+        """first: the symbol of each byte; left, right, rank: the pairs; made: by rank, what a pair becomes."""
         self.first, self.made, self.special = first.astype(np.int32), made.astype(np.int32), special
-        self.ranks = Pairs(left, right)
+        self.ranks = Pairs(left, right, rank)
 
     def merge(self, symbols: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The symbols that survive in each sequence, and their offsets. Sequences aren't empty."""
@@ -143,7 +142,7 @@ def load_json(path: str) -> Merges:
     pairs = [p.split(" ") if isinstance(p, str) else p for p in pairs]
     left, right = (np.array([vocab[p[k]] for p in pairs], np.int64) for k in (0, 1))
     made = np.array([vocab[p[0] + p[1]] for p in pairs], np.int64)
-    return Merges(first, left, right, made, {t["content"].encode(): t["id"] for t in file.get("added_tokens", [])})
+    return Merges(first, left, right, np.arange(len(made)), made, {t["content"].encode(): t["id"] for t in file.get("added_tokens", [])})
 
 
 def special_spans(buf: np.ndarray, bounds: np.ndarray, special: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
