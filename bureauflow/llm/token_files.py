@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 from zlib import crc32
 
 import numpy as np
@@ -23,7 +24,9 @@ from bureauflow.llm import ragged
 from bureauflow.llm.token_counts import spans
 
 #: Distinct pre-tokens whose ids a Python worker remembers; it starts anew when there are more. Results don't depend on it.
-CACHE_WORDS = 250_000
+CACHE_WORDS = 1_200_000
+#: Words given to the library at a time.
+CALL_WORDS = 8_192
 ROW_GROUP_BYTES = 8 << 20
 PAGE_BYTES = 256 << 10
 #: Text bytes encoded at a time.
@@ -40,32 +43,52 @@ def tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
-_ids: dict[int, bytes] = {}
+class Known:
+    """Ids of the words that a worker has met: sorted hashes, the number of each, and the ids by number."""
+
+    def __init__(self) -> None:
+        self.keys, self.numbers = np.empty(0, np.uint64), np.empty(0, np.int32)
+        self.ids, self.bounds = np.empty(1 << 16, np.int32), np.zeros(1, np.int64)
+
+    def add(self, at: np.ndarray, keys: np.ndarray, ids: np.ndarray, size: np.ndarray) -> None:
+        """New keys, ascending, with their places among the old ones."""
+        used = int(self.bounds[-1])
+        if used + len(ids) > len(self.ids):
+            self.ids = np.concatenate([self.ids[:used], np.empty(max(used, len(ids)) + len(ids), np.int32)])
+        self.ids[used : used + len(ids)] = ids
+        self.numbers = np.insert(self.numbers, at, len(self.keys) + np.arange(len(keys), dtype=np.int32))
+        self.keys = np.insert(self.keys, at, keys)
+        self.bounds = np.concatenate([self.bounds, used + np.cumsum(size)])
+
+
+_known: dict[str, Known] = {}
 
 
 def encode_slice(buf: np.ndarray, bounds: np.ndarray, path: str) -> tuple[np.ndarray, np.ndarray]:
     """Ids of the documents of a slice by the tokenizers library, each distinct pre-token once, and their offsets."""
     own = tokenizer(path)
     special = {t.content.encode(): i for i, t in own.get_added_tokens_decoder().items()}
-    starts, ends, kinds = spans(buf, bounds, special)
+    starts, ends, _ = spans(buf, bounds, special)
     if not len(starts):
-        return np.empty(0, np.uint32), np.zeros(len(bounds), np.int64)
-    keys = ragged.span_hashes(buf, starts, ends) ^ np.uint64(crc32(path.encode()))
+        return np.empty(0, np.int32), np.zeros(len(bounds), np.int64)
+    keys = ragged.span_hashes(buf, starts, ends)
     first, which = ragged.unique(keys)
-    begin, stop, names = starts[first].tolist(), ends[first].tolist(), keys[first].tolist()
-    if len(_ids) > CACHE_WORDS:
-        _ids.clear()
-    got = [_ids.get(k) for k in names]
-    new = [i for i, x in enumerate(got) if x is None]
-    if new:
-        raw = buf.tobytes()
-        for i, e in zip(new, own.encode_batch_fast([raw[begin[i] : stop[i]].decode("utf-8", "replace") for i in new], add_special_tokens=False), strict=True):
-            got[i] = np.array(e.ids, np.uint32).tobytes()
-            _ids[names[i]] = got[i]
-    table = np.frombuffer(b"".join(got), np.uint32)
-    offs = np.concatenate([[0], np.cumsum(np.fromiter(map(len, got), np.int64, len(got)) // 4)])
-    ids, at = ragged.ragged_take(table, offs, which)
-    return ids, at[np.searchsorted(starts, bounds)]
+    keys = keys[first]
+    known = _known.setdefault(path, Known())
+    if len(known.keys) > CACHE_WORDS:
+        known = _known[path] = Known()
+    at = np.searchsorted(known.keys, keys)
+    new = np.ones(len(keys), bool)
+    inside = at < len(known.keys)
+    new[inside] = known.keys[at[inside]] != keys[inside]
+    if new.any():
+        raw, made = buf.tobytes(), []
+        cuts = list(zip(starts[first[new]].tolist(), ends[first[new]].tolist(), strict=True))
+        for k in range(0, len(cuts), CALL_WORDS):
+            made += [e.ids for e in own.encode_batch_fast([raw[a:b].decode("utf-8", "replace") for a, b in cuts[k : k + CALL_WORDS]], add_special_tokens=False)]
+        known.add(at[new], keys[new], np.fromiter(chain.from_iterable(made), np.int32), np.fromiter(map(len, made), np.int64, len(made)))
+    ids, cut = ragged.ragged_take(known.ids, known.bounds, known.numbers[np.searchsorted(known.keys, keys)][which])
+    return ids, cut[np.searchsorted(starts, bounds)]
 
 
 def encode_documents(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text", end_id: int | None = 0) -> DataFrame:
@@ -79,7 +102,7 @@ def encode_documents(docs: DataFrame, path: str, key: str = "doc_id", text: str
                 if end_id is not None:
                     ids = np.insert(ids, at[1:], end_id)
                     at = at + np.arange(len(at))
-                lists = pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(ids.astype(np.int32)))
+                lists = pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(ids))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(row, stop - row), pa.array(np.diff(at)), lists], [key, "n_tokens", "ids"])
 
     return docs.select(key, text).mapInArrow(encoded, f"{key} {docs.schema[key].dataType.simpleString()}, n_tokens bigint, ids array<int>")
