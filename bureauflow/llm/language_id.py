@@ -22,9 +22,9 @@ from pyspark.sql import functions as F
 from bureauflow.llm import ragged
 
 TRAIN_ROWS = 2_000
-HIDDEN = 12
-STEPS = 700
-BATCH = 512
+HIDDEN = 8
+STEPS = 400
+BATCH = 384
 RATE = 0.01
 #: Longer words are read in pieces of so many bytes.
 PIECE = 24

@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from bureauflow.llm import bpe_fold, storage, token_counts, token_files
+from bureauflow.llm import bpe_fold, language_id, storage, token_counts, token_files
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,6 +19,12 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_fold.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
 
+def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", language_id.held_out().alias("held_out"))
+    model = language_id.fit(docs.where(~F.col("held_out")))
+    return language_id.predict(docs, model, ["doc_id", "held_out"])
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -32,6 +39,7 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
+    "op8_language": op8_language,
     "op9_token_counts": op9_token_counts,
     "op10_token_files": op10_token_files,
 }
