@@ -8,10 +8,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bureauflow.llm import bpe_fold, language_id, storage, token_counts, token_files
+from bureauflow.llm import bpe_fold, language_id, storage, token_counts, token_files, toxicity
+
+
+#: Bytes of an Arrow batch: documents can be long, so that a number of rows alone doesn't bound it.
+ARROW_BYTES = 8 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", ARROW_BYTES)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -19,6 +24,12 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_fold.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", language_id.held_out().alias("held_out"))
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels").where(~language_id.held_out()))
+    return toxicity.score(docs, model, ["doc_id", "held_out"])
+
+
 def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", language_id.held_out().alias("held_out"))
     model = language_id.fit(docs.where(~F.col("held_out")))
@@ -39,6 +50,7 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
+    "op4_toxicity": op4_toxicity,
     "op8_language": op8_language,
     "op9_token_counts": op9_token_counts,
     "op10_token_files": op10_token_files,
