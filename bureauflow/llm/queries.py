@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bureauflow.llm import bpe_fold, language_id, storage, token_counts, token_files, toxicity
+from bureauflow.llm import bpe_fold, language_id, storage, token_counts, token_files, toxicity, url_filter
 
 
 #: Bytes of an Arrow batch: documents can be long, so that a number of rows alone doesn't bound it.
@@ -24,6 +24,22 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_fold.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
 
+#: The rules of the registered query.
+URL_RULES = [
+    ("com", "/", "allow"),
+    ("example.com", "/en/", "block"),
+    ("www.example.com", "/en/", "allow"),
+    ("net", "/es/", "block"),
+    ("net", "/fr/", "block"),
+]
+
+
+def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.sql("select * from values " + ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in URL_RULES) + " as t(host, path, verdict)")
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return url_filter.judge(pages, rules).select("page_id", "host", "path", "rule", "verdict")
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", language_id.held_out().alias("held_out"))
     model = toxicity.fit(docs, table(spark, sf_dir, "labels").where(~language_id.held_out()))
@@ -50,10 +66,27 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
+    "op3_url_filter": op3_url_filter,
     "op4_toxicity": op4_toxicity,
     "op8_language": op8_language,
     "op9_token_counts": op9_token_counts,
     "op10_token_files": op10_token_files,
 }
 
-ORACLES: dict[str, str] = {}
+_URL_RULES_SQL = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in URL_RULES)
+
+ORACLES: dict[str, str] = {
+    "op3_url_filter": f"""
+        with rules(host, path, verdict) as (values {_URL_RULES_SQL}),
+        cut as (select page_id, case when position('://' in url) > 0 then substr(url, position('://' in url) + 3) else '' end as rest from pages),
+        parts as (select page_id, regexp_extract(rest, '^([^/?#]*)', 1) as host, regexp_extract(rest, '^[^/?#]*(/[^?#]*)', 1) as path from cut),
+        low as (select page_id, translate(host, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host, path from parts),
+        fits as (
+            select l.page_id, r.host || r.path as rule, r.verdict,
+                row_number() over (partition by l.page_id order by length(r.host || r.path) desc, length(r.host) desc) as k
+            from low l join rules r on (l.host = r.host or ends_with(l.host, '.' || r.host)) and starts_with(l.path, r.path)
+        )
+        select l.page_id, coalesce(l.host, '') as host, coalesce(l.path, '') as path, f.rule, coalesce(f.verdict, 'allow') as verdict
+        from low l left join fits f on f.page_id = l.page_id and f.k = 1
+    """,
+}
