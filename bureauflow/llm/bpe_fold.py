@@ -18,7 +18,7 @@ from __future__ import annotations
 
 import base64
 import json
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from functools import lru_cache
 from hashlib import sha256
 
@@ -28,6 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bureauflow.llm import ragged
+from bureauflow.llm.hof import let
 from bureauflow.llm.token_counts import Merges
 
 #: Text bytes of a block; a longer document is a block of its own.
@@ -85,11 +86,6 @@ def rank_map(path: str) -> tuple[list[int], list[int], list[int]]:
     return begins.tolist(), owner.tolist(), held.tolist()
 
 
-def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """body of a value that is computed once."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
 def literal(value: object, kind: str) -> Column:
     """A foldable constant of any size: Spark evaluates it once, when it plans."""
     return F.from_json(F.lit(json.dumps(value, separators=(",", ":"))), kind)

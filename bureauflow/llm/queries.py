@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bureauflow.llm import bpe_fold, language_id, storage, token_counts, token_files, toxicity, url_filter
+from bureauflow.llm import bpe_fold, language_id, storage, token_counts, token_files, toxicity, url_filter, winnowing
 
 
 #: Bytes of an Arrow batch: documents can be long, so that a number of rows alone doesn't bound it.
@@ -46,6 +46,10 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model, ["doc_id", "held_out"])
 
 
+def op6_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return winnowing.compare_edited(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", language_id.held_out().alias("held_out"))
     model = language_id.fit(docs.where(~F.col("held_out")))
@@ -68,6 +72,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op3_url_filter": op3_url_filter,
     "op4_toxicity": op4_toxicity,
+    "op6_winnowing": op6_winnowing,
     "op8_language": op8_language,
     "op9_token_counts": op9_token_counts,
     "op10_token_files": op10_token_files,
