@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bureauflow.llm import bpe_fold, language_id, storage, token_counts, token_files, toxicity, url_filter, winnowing
+from bureauflow.llm import bpe_fold, decontaminate, language_id, storage, token_counts, token_files, toxicity, url_filter, winnowing
 
 
 #: Bytes of an Arrow batch: documents can be long, so that a number of rows alone doesn't bound it.
@@ -24,6 +24,10 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_fold.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.overlaps(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+
+
 #: The rules of the registered query.
 URL_RULES = [
     ("com", "/", "allow"),
@@ -70,6 +74,7 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
+    "op2_decontamination": op2_decontamination,
     "op3_url_filter": op3_url_filter,
     "op4_toxicity": op4_toxicity,
     "op6_winnowing": op6_winnowing,
