@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bureauflow.llm import ragged, storage
+from bureauflow.llm.bits import bit_set, has_bit
 
 MIN_TILE = 5
 COVERAGE = 0.5
@@ -70,7 +71,6 @@ def tokens(rows: DataFrame, key: str, text: str, bits: np.ndarray | None, size:
     kind = rows.schema[key].dataType.simpleString()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shift = np.uint64(64 - (len(bits) * 8).bit_length() + 1) if bits is not None else None
         for batch in batches:
             buf, bounds = ragged.text_bytes(lower(batch.column(1)))
             for row, stop, part, offs in ragged.slices(buf, bounds):
@@ -80,8 +80,7 @@ def tokens(rows: DataFrame, key: str, text: str, bits: np.ndarray | None, size:
                 doc = np.repeat(np.arange(stop - row), np.diff(at))
                 inside = doc[: len(found)] == doc[size - 1 :] if len(found) else np.empty(0, bool)
                 if bits is not None:
-                    place = found >> shift
-                    inside &= (bits[(place >> np.uint64(3)).astype(np.int64)] >> (place & np.uint64(7)).astype(np.uint8)) & 1 == 1
+                    inside &= has_bit(bits, found)
                 where = np.flatnonzero(inside)
                 own = np.searchsorted(where, at)
                 some = np.flatnonzero(own[1:] > own[:-1]) if bits is not None else np.arange(stop - row)
@@ -145,31 +144,14 @@ def tiles(pattern: np.ndarray, text: np.ndarray, least: int = MIN_TILE) -> list[
     return found
 
 
-def seed_bits(items: DataFrame) -> np.ndarray:
-    """The bit set of all seeds of items, of a power of two of bits. It is gathered by word of 64 bits, so it never exceeds its size."""
-    count = items.select(F.coalesce(F.sum(F.size("seeds")), F.lit(0))).first()[0]
-    power = max(10, min(FILTER_BITS, (16 * max(1, count)).bit_length()))
-    place = F.shiftrightunsigned(F.col("seed"), 64 - power)
-    rows = (
-        items.select(F.explode("seeds").alias("seed"))
-        .groupBy(F.shiftright(place, 6).alias("word"))
-        .agg(F.bit_or(F.expr(f"shiftleft(1L, cast(shiftrightunsigned(seed, {64 - power}) & 63 as int))")).alias("bits"))
-        .collect()
-    )
-    out = np.zeros(1 << power >> 6, np.int64)
-    for r in rows:
-        out[r["word"]] = r["bits"]
-    return out.view(np.uint8)
-
-
 def overlaps(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text", share: float = COVERAGE) -> DataFrame:
     """Pairs whose tiles cover `share` of the item: key, item, n_words (of the item), n_covered, n_tiles, coverage."""
     kinds = f"{key} {docs.schema[key].dataType.simpleString()}, {item} {items.schema[item].dataType.simpleString()}"
     pool = storage.written(tokens(items, item, item_text, None).withColumnRenamed("print", "item_print").dropDuplicates([item, "item_print"]))
-    found = storage.written(tokens(docs, key, text, seed_bits(pool)))
     # a seed that many items have is one row for each of them, of few numbers
-    ours = found.select(key, "print", F.explode(F.array_distinct("seeds")).alias("seed"))
     theirs = pool.select(item, "item_print", F.explode(F.array_distinct("seeds")).alias("seed"))
+    found = storage.written(tokens(docs, key, text, bit_set(theirs, "seed", FILTER_BITS)))
+    ours = found.select(key, "print", F.explode(F.array_distinct("seeds")).alias("seed"))
     pairs = ours.join(theirs, "seed").select(key, "print", item, "item_print").distinct()
     texts = found.select(F.col(key).alias("__key"), F.col("print").alias("__print"), "words").dropDuplicates(["__key", "__print"])
     asked = pool.select(F.col(item).alias("__item"), F.col("item_print").alias("__item_print"), F.col("words").alias("item_words"))

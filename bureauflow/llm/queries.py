@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bureauflow.llm import bpe_fold, decontaminate, language_id, storage, token_counts, token_files, toxicity, url_filter, winnowing
+from bureauflow.llm import bpe_fold, decontaminate, language_id, storage, suffix_dedup, token_counts, token_files, toxicity, url_filter, winnowing
 
 
 #: Bytes of an Arrow batch: documents can be long, so that a number of rows alone doesn't bound it.
@@ -50,6 +50,10 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model, ["doc_id", "held_out"])
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.digests(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op6_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return winnowing.compare_edited(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -77,6 +81,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_decontamination": op2_decontamination,
     "op3_url_filter": op3_url_filter,
     "op4_toxicity": op4_toxicity,
+    "op5_suffix_dedup": op5_suffix_dedup,
     "op6_winnowing": op6_winnowing,
     "op8_language": op8_language,
     "op9_token_counts": op9_token_counts,

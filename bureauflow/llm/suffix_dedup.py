@@ -147,6 +147,8 @@ def repeated_starts(buf: np.ndarray, bounds: np.ndarray, number: np.ndarray, anc
 
     buf, bounds: the rows' bytes, number + length - 1 each; anchor: place of the row's least hash.
     """
+    if length < 128 + PERIOD:
+        raise ValueError(f"strings of {128 + PERIOD} bytes at least")
     size = np.diff(bounds)
     # each row begins so that its anchor is at a multiple of PERIOD, and nothing read beyond a row reaches the next one's strings
     room = -(-(size + 2 * PERIOD) // PERIOD) * PERIOD
@@ -176,7 +178,7 @@ def repeated_starts(buf: np.ndarray, bounds: np.ndarray, number: np.ndarray, anc
     live, group = np.arange(len(starts)), np.zeros(len(starts), np.uint64)
     prefix = [lambda k=k: words_at(layout, starts[live] + k) for k in range(0, PERIOD, 8)]
     residue = [lambda: (starts[live] % PERIOD).astype(np.uint64)]
-    deep = [lambda o=o: sampled(128, o) for o in range(PERIOD, length - 127, 96)] + [lambda: sampled(64, length - 64)]
+    deep = [lambda o=o: sampled(128, o) for o in [*range(PERIOD, length - 128, 96), length - 128]]
     tail = [lambda k=k: words_at(layout, starts[live] + k) for k in range(length - PERIOD, length, 8)]
     for column in [*prefix, *residue, *deep, *tail]:
         value = column()
