@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bureauflow.llm import bpe_fold, decontaminate, language_id, storage, suffix_dedup, token_counts, token_files, toxicity, url_filter, winnowing
+from bureauflow.llm import bpe_fold, decontaminate, jaccard_join, language_id, storage, suffix_dedup, token_counts, token_files, toxicity, url_filter, winnowing
 
 
 #: Bytes of an Arrow batch: documents can be long, so that a number of rows alone doesn't bound it.
@@ -58,6 +58,10 @@ def op6_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return winnowing.compare_edited(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op7_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.similar_components(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", language_id.held_out().alias("held_out"))
     model = language_id.fit(docs.where(~F.col("held_out")))
@@ -83,6 +87,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_toxicity": op4_toxicity,
     "op5_suffix_dedup": op5_suffix_dedup,
     "op6_winnowing": op6_winnowing,
+    "op7_jaccard": op7_jaccard,
     "op8_language": op8_language,
     "op9_token_counts": op9_token_counts,
     "op10_token_files": op10_token_files,
