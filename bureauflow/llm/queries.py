@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from pathlib import Path
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
@@ -11,12 +12,17 @@ from pyspark.sql import functions as F
 from bureauflow.llm import bpe_fold, decontaminate, jaccard_join, language_id, storage, suffix_dedup, token_counts, token_files, toxicity, url_filter, winnowing
 
 
+ROOT = str(Path(__file__).resolve().parents[2])
 #: Bytes of an Arrow batch: documents can be long, so that a number of rows alone doesn't bound it.
 ARROW_BYTES = 8 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", ARROW_BYTES)
+    # Python workers of a local session find this package as the driver does; on a cluster it is installed
+    paths = spark.sparkContext.environment.get("PYTHONPATH", "").split(":")
+    if ROOT not in paths:
+        spark.sparkContext.environment["PYTHONPATH"] = ":".join([ROOT, *filter(None, paths)])
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -28,6 +28,8 @@ LEXICON = 2_000
 LEAST_ROWS = 6
 LEAST_SHARE = 0.015
 LEAST_WEIGHT = 3.0
+#: Log odds from which a pattern is tried, before exceptions are taken out.
+TRIED_WEIGHT = 1.0
 PREFIXES = range(4, 8)
 THRESHOLD = 0.7
 
@@ -147,7 +149,7 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
             return Model()
         odds = F.log((F.col("toxic") + 0.5) / (size[1] + 1)) - F.log((F.col("clean") + 0.5) / (size[0] + 1))
         found = (
-            _counted(rows, _patterns_of, LEAST_ROWS).withColumn("weight", odds).where((F.col("weight") >= LEAST_WEIGHT) & (F.col("toxic") >= max(LEAST_ROWS, LEAST_SHARE * size[1])))
+            _counted(rows, _patterns_of, LEAST_ROWS).withColumn("weight", odds).where((F.col("weight") >= TRIED_WEIGHT) & (F.col("toxic") >= max(LEAST_ROWS, LEAST_SHARE * size[1])))
             .orderBy(F.desc("weight"), "name").limit(LEXICON).collect()
         )
         weights: dict[str, float] = {}
@@ -162,8 +164,17 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
             folded = fold(text)
             return {p for _, start, _ in hits(folded, names) for p in phrases(folded, start)}
 
-        clean_only = [r["name"] for r in _counted(rows, near, 3).where("toxic = 0").orderBy(F.desc("clean"), "name").limit(LEXICON).collect()]
-        model = Model(weights, frozenset(clean_only))
+        clean_only = frozenset(r["name"] for r in _counted(rows, near, 3).where("toxic = 0").orderBy(F.desc("clean"), "name").limit(LEXICON).collect())
+
+        def left(text: str) -> set[str]:
+            folded = fold(text)
+            return {name for name, start, _ in hits(folded, names) if not clean_only.intersection(phrases(folded, start))}
+
+        # weights of the hits that no exception cancels
+        again = _counted(rows, left, LEAST_ROWS).withColumn("weight", odds).where((F.col("weight") >= LEAST_WEIGHT) & (F.col("toxic") >= LEAST_ROWS)).collect()
+        weights = {r["name"]: r["weight"] for r in again}
+        names = tuple(sorted(weights))
+        model = Model(weights, clean_only)
 
         def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:

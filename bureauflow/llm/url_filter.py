@@ -119,7 +119,7 @@ def judge(pages: DataFrame, rules: DataFrame, url: str = "url") -> DataFrame:
 
     def best(levels: list[list[int]]) -> Column:
         fits = F.filter(keys_of(F.col("host"), F.col("path"), lengths), lambda k: listed(k, levels))
-        return F.array_max(F.transform(fits, lambda k: F.struct(F.length(k).alias("n"), F.length(F.substring_index(k, "/", 1)).alias("m"), k.alias("key"))))
+        return F.array_max(F.transform(fits, lambda k: F.struct(F.length(F.replace(k, F.lit("/\u0000"), F.lit(""))).alias("n"), F.length(F.substring_index(k, "/", 1)).alias("m"), k.alias("key"))))
 
     rows = rows.select("*", best(allow).alias("__allow"), best(block).alias("__block"))
     blocked = F.col("__block").isNotNull() & (F.col("__allow").isNull() | (F.col("__block") > F.col("__allow")))
