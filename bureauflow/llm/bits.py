@@ -7,14 +7,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def bit_set(rows: DataFrame, column: str, most: int) -> np.ndarray:
-    """Bits of all values of a bigint column by their leading bits: 16 a value or more, 2 ** most at most; gathered by words of 64."""
-    power = max(10, min(most, (16 * rows.count()).bit_length()))
-    place = F.shiftrightunsigned(F.col(column), 64 - power)
+def bit_set(rows: DataFrame, column: str, most: int, each: int = 16) -> np.ndarray:
+    """Two bits of every value of a bigint column, by its first bits and by those after them; `each` bits a value or more, 2 ** most at most
+    (27 at most). It is gathered by words of 64, so it never exceeds its size."""
+    power = max(10, min(most, (each * rows.count()).bit_length()))
+    value = F.col(column)
+    places = F.array(F.shiftrightunsigned(value, 64 - power), F.shiftrightunsigned(F.shiftleft(value, power), 64 - power))
     found = (
-        rows.where(F.col(column).isNotNull())
-        .groupBy(F.shiftright(place, 6).alias("word"))
-        .agg(F.bit_or(F.expr(f"shiftleft(1L, cast(shiftrightunsigned(`{column}`, {64 - power}) & 63 as int))")).alias("bits"))
+        rows.where(value.isNotNull())
+        .select(F.explode(places).alias("place"))
+        .groupBy(F.shiftright("place", 6).alias("word"))
+        .agg(F.bit_or(F.expr("shiftleft(1L, cast(place & 63 as int))")).alias("bits"))
         .toArrow()
     )
     out = np.zeros(1 << power >> 6, np.int64)
@@ -23,6 +26,10 @@ def bit_set(rows: DataFrame, column: str, most: int) -> np.ndarray:
 
 
 def has_bit(bits: np.ndarray, values: np.ndarray) -> np.ndarray:
-    """Whether the bit of each unsigned value is set."""
-    place = values >> np.uint64(64 - (len(bits) * 8).bit_length() + 1)
-    return (bits[(place >> np.uint64(3)).astype(np.int64)] >> (place & np.uint64(7)).astype(np.uint8)) & 1 == 1
+    """Whether both bits of each unsigned value are set."""
+    power = (len(bits) * 8).bit_length() - 1
+    out = np.ones(len(values), bool)
+    for shifted in (values, values << np.uint64(power)):
+        place = shifted >> np.uint64(64 - power)
+        out &= (bits[(place >> np.uint64(3)).astype(np.int64)] >> (place & np.uint64(7)).astype(np.uint8)) & 1 == 1
+    return out

@@ -25,7 +25,7 @@ from bureauflow.llm.bits import bit_set, has_bit
 
 MIN_TILE = 5
 COVERAGE = 0.5
-#: Bits of the set of seeds: 16 a seed, at most 2 ** 27 (16 MB). A full set only sends more seeds to the join.
+#: Bits of the set of seeds: 4,096 a seed, 2 ** 27 (16 MB) at most. A full set only sends more seeds to the join.
 FILTER_BITS = 27
 _BASE = np.uint64(0xD6E8FEB86659FD93)
 
@@ -150,7 +150,7 @@ def overlaps(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str =
     pool = storage.written(tokens(items, item, item_text, None).withColumnRenamed("print", "item_print").dropDuplicates([item, "item_print"]))
     # a seed that many items have is one row for each of them, of few numbers
     theirs = pool.select(item, "item_print", F.explode(F.array_distinct("seeds")).alias("seed"))
-    found = storage.written(tokens(docs, key, text, bit_set(theirs, "seed", FILTER_BITS)))
+    found = storage.written(tokens(docs, key, text, bit_set(theirs, "seed", FILTER_BITS, 4096)))
     ours = found.select(key, "print", F.explode(F.array_distinct("seeds")).alias("seed"))
     pairs = ours.join(theirs, "seed").select(key, "print", item, "item_print").distinct()
     texts = found.select(F.col(key).alias("__key"), F.col("print").alias("__print"), "words").dropDuplicates(["__key", "__print"])
