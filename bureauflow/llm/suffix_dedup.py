@@ -5,7 +5,7 @@ Every byte covered by a LENGTH-byte string that also starts anywhere else is rem
 1. Buckets. A string of LENGTH bytes belongs to its least GRAM-byte hash (the rightmost of equal ones), which is the same wherever the
    string stands; neighbouring starts share it, so a run of starts is one row. A bucket is what shares a hash. Rows alone in their bucket
    repeat nothing; rows of a bucket whose bytes are all the same repeat wholly. Both are told by counts, summed before they are sent.
-2. Sorting. What is left are buckets of different rows, mostly the edges of shared passages. Their bytes go to a task by bucket, and one
+2. Sorting. What is left are buckets of different rows, mostly the edges of shared passages; of equal rows one stands for all. Bytes go to a task by bucket, and one
    block of buckets after another is sorted: suffixes by their first PERIOD bytes, and ties beyond by ranks of a difference-cover sample
    that are computed for the block in advance (names of 32, 64 and 128 bytes by doubling). Rows are laid out so that their least hash
    stands at a multiple of PERIOD, so tied suffixes have the same residue and meet the same sample places. A block holds BLOCK_BYTES; this
@@ -24,7 +24,7 @@ from hashlib import sha256
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from bureauflow.llm import ragged, storage
@@ -101,7 +101,8 @@ def doc_runs(buf: np.ndarray, bounds: np.ndarray, length: int) -> Iterator[tuple
 
 
 def bucket_rows(docs: DataFrame, length: int, bits: np.ndarray | None) -> DataFrame:
-    """Runs of all documents (key, print, text): h, whole; with a bit set of hashes only those in it, with key, print, first, number, anchor."""
+    """h and whole of all runs of documents (key, print, text); with a bit set of hashes only of those in it, with key, print, first, number,
+    anchor."""
     kind = docs.schema["key"].dataType.simpleString()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -114,11 +115,11 @@ def bucket_rows(docs: DataFrame, length: int, bits: np.ndarray | None) -> DataFr
                 some = np.flatnonzero(has_bit(bits, h))
                 rows = pa.array(doc[some])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(h[some].view(np.int64)), batch.column(0).take(rows), batch.column(1).take(rows), *(pa.array(x[some].astype(np.int32)) for x in (first, number, anchor))],
-                    ["h", "key", "print", "first", "number", "anchor"],
+                    [pa.array(h[some].view(np.int64)), pa.array(whole[some].view(np.int64)), batch.column(0).take(rows), batch.column(1).take(rows), *(pa.array(x[some].astype(np.int32)) for x in (first, number, anchor))],
+                    ["h", "whole", "key", "print", "first", "number", "anchor"],
                 )
 
-    schema = "h bigint, whole bigint" if bits is None else f"h bigint, key {kind}, print bigint, first int, number int, anchor int"
+    schema = "h bigint, whole bigint" if bits is None else f"h bigint, whole bigint, key {kind}, print bigint, first int, number int, anchor int"
     return docs.select("key", "print", "text").mapInArrow(cut, schema)
 
 
@@ -211,8 +212,13 @@ def removed_spans(docs: DataFrame, length: int = LENGTH, hot_rows: int = HOT_ROW
     counts = bucket_rows(docs, length, None).groupBy("h").agg(F.count("*").alias("n"), F.min("whole").alias("a"), F.max("whole").alias("b"))
     buckets = storage.written(counts.where("n > 1").select("h", (F.col("a") == F.col("b")).alias("same"), (F.col("n") > hot_rows).alias("hot")))
     rows = bucket_rows(docs, length, bit_set(buckets, "h", FILTER_BITS)).join(buckets, "h")
-    found = storage.written(rows.groupBy("key", "print").agg(F.collect_list(F.struct("h", "first", "number", "anchor", "same", "hot")).alias("rows")))
-    mixed = found.select("key", "print", F.filter("rows", lambda r: ~r["same"]).alias("rows")).where("size(rows) > 0")
+    # rows of the same bytes repeat wholly, and the first of them stands for all in the sorting
+    alike = Window.partitionBy("h", "whole").orderBy("key", "print", "first")
+    rows = rows.withColumns({"rank": F.row_number().over(alike), "more": F.lead("first").over(alike).isNotNull()})
+    rows = rows.withColumns({"sorted": ~F.col("same") & (F.col("rank") == 1), "same": F.col("same") | F.col("more") | (F.col("rank") > 1)})
+    found = rows.where("sorted or same").groupBy("key", "print").agg(F.collect_list(F.struct("h", "first", "number", "anchor", "same", "sorted", "hot")).alias("rows"))
+    found = storage.written(found)
+    mixed = found.select("key", "print", F.filter("rows", lambda r: r["sorted"]).alias("rows")).where("size(rows) > 0")
 
     def pull(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
