@@ -5,6 +5,7 @@ from __future__ import annotations
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -136,39 +137,71 @@ def temporal_filter(
 
 
 def correlation_pairs(df: DataFrame, features: list[str], method: str = "pearson") -> DataFrame:
-    """feature_a, feature_b, correlation of all pairs (pairwise complete), one aggregate.
+    """feature_a, feature_b, correlation of all pairs (pairwise complete).
 
     Spearman first replaces values by their average rank.
     """
-    if method == "spearman":
-        return _spearman_pairs(df, features)
-    pairs = list(combinations(features, 2))
-    agg = df.agg(*[F.corr(a, b).alias(f"r{i}") for i, (a, b) in enumerate(pairs)])
-    rows = F.array(
-        *[
-            F.struct(
-                F.lit(a).alias("feature_a"),
-                F.lit(b).alias("feature_b"),
-                F.when(~F.isnan(f"r{i}"), c(f"r{i}")).alias("correlation"),
+    return _pearson_pairs(_ranked(df, features) if method == "spearman" else df, features)
+
+
+def _pearson_pairs(df: DataFrame, features: list[str]) -> DataFrame:
+    """Moments of all pairs from one pass: each task adds up matrix products of its batches.
+
+    The plan grows with the number of features, not of pairs. Values are taken relative to their
+    mean, so that no digits are lost when the moments are combined.
+    """
+    k = len(features)
+    number = {f: c(f).cast("double") for f in features}
+    center = df.agg(*[F.avg(number[f]).alias(f) for f in features]).first()
+    shift = np.array([center[f] or 0.0 for f in features])
+    first, second = np.triu_indices(k, 1)
+
+    def moments(batches):
+        total = None
+        for batch in batches:
+            x = np.column_stack([v.to_numpy(zero_copy_only=False) for v in batch.columns]) - shift
+            known = ~np.isnan(x)
+            x, m = np.where(known, x, 0.0), known.astype(float)
+            sums = [m.T @ m, x.T @ m, m.T @ x, (x * x).T @ m, m.T @ (x * x), x.T @ x]
+            part = np.stack([s[first, second] for s in sums])
+            total = part if total is None else total + part
+        if total is not None:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.arange(len(first))), *map(pa.array, total)],
+                ["pair", "n", "sa", "sb", "saa", "sbb", "sab"],
             )
-            for i, (a, b) in enumerate(pairs)
-        ]
+
+    kinds = "pair bigint, n double, sa double, sb double, saa double, sbb double, sab double"
+    rows = df.select(*[number[f].alias(f) for f in features]).mapInArrow(moments, kinds)
+    sums = rows.groupBy("pair").agg(*[F.sum(x).alias(x) for x in ("n", "sa", "sb", "saa", "sbb", "sab")])
+    va = c("saa") - c("sa") * c("sa") / c("n")
+    vb = c("sbb") - c("sb") * c("sb") / c("n")
+    r = (c("sab") - c("sa") * c("sb") / c("n")) / F.sqrt(va * vb)
+    # what rounding leaves of the variance of a constant isn't one
+    steady = (va > 1e-12 * c("saa")) & (vb > 1e-12 * c("sbb"))
+    schema = "pair bigint, feature_a string, feature_b string"
+    names = [(p, a, b) for p, (a, b) in enumerate(combinations(features, 2))]
+    pairs = df.sparkSession.createDataFrame(names, schema)
+    return pairs.join(sums, "pair", "left").select(
+        "feature_a", "feature_b", F.when((c("n") > 1) & steady, r).alias("correlation")
     )
-    return agg.select(F.inline(rows))
 
 
-def _spearman_pairs(df: DataFrame, features: list[str]) -> DataFrame:
-    """Rank correlation with missing values as 0; ranks come from the cumulative frequencies."""
+def _ranked(df: DataFrame, features: list[str]) -> DataFrame:
+    """Average ranks, missing values as 0; ranks come from the cumulative frequencies.
+
+    Each feature's ranks are counted on the frame itself, so the plan has one branch per feature.
+    """
     from bureauflow.functions import ranking
 
-    out = df.select(*[F.coalesce(c(f).cast("double"), F.lit(0.0)).alias(f) for f in features])
+    clean = df.select(*[F.coalesce(c(f).cast("double"), F.lit(0.0)).alias(f) for f in features])
+    out = clean
     for f in features:
-        ranks = ranking.cumulative(out, [], f, {"k": F.lit(1)}).select(
+        ranks = ranking.cumulative(clean.select(f), [], f, {"k": F.lit(1)}).select(
             f, (c("k_before") + (c("k") + 1) / 2).alias(f"{f}__rank")
         )
         out = out.join(ranks, f)
-    ranked = out.select(*[c(f"{f}__rank").alias(f) for f in features])
-    return correlation_pairs(ranked, features)
+    return out.select(*[c(f"{f}__rank").alias(f) for f in features])
 
 
 def correlation_matrix(df: DataFrame, features: list[str], method: str = "pearson") -> DataFrame:
@@ -208,20 +241,29 @@ def _matrix(pairs: DataFrame, features: list[str]) -> np.ndarray:
 def correlation_filter(
     pairs: DataFrame, features: list[str], iv: dict[str, float], threshold: float = 0.90
 ) -> DataFrame:
-    """Greedy by IV: a kept feature drops everything correlated above the threshold with it."""
-    ordered = sorted(features, key=lambda f: -(iv.get(f) or 0))
-    m = np.abs(_matrix(pairs, ordered))
-    dropped_by: dict[str, tuple[str, float]] = {}
-    for i, a in enumerate(ordered):
-        if a in dropped_by:
-            continue
-        for j, b in enumerate(ordered):
-            if i != j and b not in dropped_by and m[i, j] > threshold:
-                dropped_by[b] = (a, float(m[i, j]))
+    """Greedy by IV: a kept feature drops everything correlated above the threshold with it.
+
+    One masked pass over the matrix: `free` are the features that nobody has dropped yet.
+    """
+    strength = np.array([iv.get(f) or 0.0 for f in features])
+    order = np.argsort(-strength, kind="stable")
+    names = [features[k] for k in order]
+    close = np.abs(_matrix(pairs, names))
+    np.fill_diagonal(close, 0.0)
+    free, by = np.ones(len(names), bool), np.full(len(names), -1)
+    for k in range(len(names)):
+        if by[k] < 0:
+            taken = free & (close[k] > threshold)
+            by[taken], free = k, free & ~taken
     rows = [
-        (f, float(iv.get(f) or 0), *dropped_by.get(f, (None, None)),
-         "Eliminated" if f in dropped_by else "Kept")
-        for f in ordered
+        (
+            f,
+            float(strength[order[k]]),
+            names[by[k]] if by[k] >= 0 else None,
+            float(close[by[k], k]) if by[k] >= 0 else None,
+            "Kept" if by[k] < 0 else "Eliminated",
+        )
+        for k, f in enumerate(names)
     ]
     return pairs.sparkSession.createDataFrame(
         rows,
@@ -251,49 +293,53 @@ def correlation_filter_pairwise(
     return iv.join(losers, "feature", "left").select("feature", "iv", _status(c("lost")))
 
 
-def _vif(m: np.ndarray) -> np.ndarray:
-    try:
-        return np.diag(np.linalg.inv(m))
-    except np.linalg.LinAlgError:
-        return np.diag(np.linalg.pinv(m))
+def _without(inverse: np.ndarray, k: int) -> np.ndarray:
+    """Inverse of the matrix without row and column k, from the whole one's inverse."""
+    rest = np.delete(np.arange(len(inverse)), k)
+    column = inverse[rest, k]
+    return inverse[np.ix_(rest, rest)] - np.outer(column, column) / inverse[k, k]
 
 
 def vif_filter(
     pairs: DataFrame, features: list[str], iv: dict[str, float] | None = None,
     threshold: float = 5.0,
 ) -> DataFrame:
-    """Variance inflation from the inverse correlation matrix; drops one feature per round.
+    """Variance inflation, the diagonal of the inverse correlation matrix; one feature a round goes.
 
-    With IVs the weakest feature above the threshold goes, otherwise the one with the largest VIF.
+    With IVs it is the weakest feature above the threshold, otherwise the one with the largest
+    inflation. The matrix is inverted once; each round sweeps its feature out of the inverse.
     """
-    iv = iv or {}
-    full = _matrix(pairs, features)
-    index = {f: i for i, f in enumerate(features)}
-    current, log = list(features), {}
-    first: dict[str, float] = {}
-    last: dict[str, float] = {}
+    matrix = _matrix(pairs, features)
+    singular = np.linalg.matrix_rank(matrix) < len(features)
+    weight = np.array([(iv or {}).get(f) or 0.0 for f in features])
+    left, rounds = np.arange(len(features)), np.zeros(len(features), int)
+    initial, final = np.full(len(features), np.nan), np.full(len(features), np.nan)
     if len(features) > 2:
-        while len(current) > 1:
-            ids = [index[f] for f in current]
-            values = dict(zip(current, _vif(full[np.ix_(ids, ids)])))
-            first = first or dict(values)
-            if max(values.values()) <= threshold:
+        inverse = np.linalg.pinv(matrix)
+        initial[:] = np.diag(inverse)
+        for step in range(1, len(features)):
+            inflation = np.diag(inverse)
+            over = np.flatnonzero(inflation > threshold)
+            if not len(over):
                 break
-            high = [f for f in current if values[f] > threshold]
-            drop = (
-                min(high, key=lambda f: iv.get(f) or 0) if iv
-                else max(current, key=lambda f: values[f])
-            )
-            log[drop] = len(log) + 1
-            current.remove(drop)
-        if len(current) > 2:
-            ids = [index[f] for f in current]
-            last = dict(zip(current, _vif(full[np.ix_(ids, ids)])))
-    number = lambda x: None if x is None else float(x)
+            k = over[np.argmin(weight[left[over]])] if iv else int(np.argmax(inflation))
+            rounds[left[k]] = step
+            left = np.delete(left, k)
+            # a pseudo-inverse can't be swept
+            inverse = np.linalg.pinv(matrix[np.ix_(left, left)]) if singular else _without(inverse, k)
+        if len(left) > 2:
+            final[left] = np.diag(inverse)
+    number = lambda x: None if np.isnan(x) else float(x)
     rows = [
-        (f, number(first.get(f)), number(last.get(f)), float(iv.get(f) or 0), log.get(f),
-         "Eliminated" if f in log else "Kept")
-        for f in features
+        (
+            f,
+            number(initial[k]),
+            number(final[k]),
+            float(weight[k]),
+            int(rounds[k]) or None,
+            "Eliminated" if rounds[k] else "Kept",
+        )
+        for k, f in enumerate(features)
     ]
     return pairs.sparkSession.createDataFrame(
         rows,

@@ -15,7 +15,6 @@ from bureauflow.schema import (
 )
 
 MAX_ROWS_PER_KEY = 1_000_000
-MAX_HOT_KEYS = 100_000
 
 
 def with_optional_columns(bureau: DataFrame) -> DataFrame:
@@ -99,19 +98,10 @@ def hot_keys(
 ) -> DataFrame | None:
     """Keys with more rows than one task should hold, or None when there are none.
 
-    One pre-aggregated counting job. At most MAX_HOT_KEYS of the largest keys are returned, so the
-    list may be broadcast; smaller ones that do not fit the list stay on the sorted path, which
-    spills but is equally exact.
+    One pre-aggregated counting job; the keys stay a distributed table, however many there are.
     """
-    counts = bureau.groupBy(*keys).agg(F.count("*").alias("rows"))
-    found = (
-        counts.where(F.col("rows") > limit)
-        .orderBy(F.desc("rows"), *keys)
-        .limit(MAX_HOT_KEYS)
-        .select(*keys)
-    )
-    rows = found.collect()
-    return bureau.sparkSession.createDataFrame(rows, found.schema) if rows else None
+    found = bureau.groupBy(*keys).agg(F.count("*").alias("rows")).where(F.col("rows") > limit)
+    return None if found.isEmpty() else found.select(*keys)
 
 
 def split_hot(
@@ -120,5 +110,4 @@ def split_hot(
     """(rows of ordinary keys, rows of hot keys)."""
     if hot is None:
         return df, None
-    hot = F.broadcast(hot)
     return df.join(hot, keys, "left_anti"), df.join(hot, keys, "left_semi")

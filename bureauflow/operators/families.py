@@ -339,7 +339,8 @@ def with_application_totals(apps: DataFrame, bureau: DataFrame) -> DataFrame:
             F.count_if(c("nd") > 0).alias("app_with_default"),
         )
     )
-    return apps.join(totals, "application_id")
+    # an applicant without an application id is kept, and belongs to no application
+    return apps.join(totals, "application_id", "left")
 
 
 def relative_features() -> Columns:

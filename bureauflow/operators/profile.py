@@ -82,18 +82,19 @@ def _cold_rows(rows: DataFrame) -> DataFrame:
             "latest": F.max(F.when(F.col("rn") == F.col("n"), F.col("amt"))).over(w),
         }
     ).withColumn("in_month", F.col("rn") - F.col("month_start") + 1)
-    by_amount = w.orderBy(F.col("amt"), F.col("tid"))
+    by_amount = w.orderBy(F.asc_nulls_last("amt"), F.col("tid"))
     rows = rows.withColumn("amt_before", F.row_number().over(by_amount) - 1)
+    rows = rows.withColumn("n_amt", F.count("amt").over(w))
     rows = rows.withColumns(
         {
-            "q1": _quantile_over("amt_before", "n", "amt", 0.25, w),
-            "q3": _quantile_over("amt_before", "n", "amt", 0.75, w),
+            "q1": _quantile_over("amt_before", "n_amt", "amt", 0.25, w),
+            "q3": _quantile_over("amt_before", "n_amt", "amt", 0.75, w),
         }
     )
     rows = rows.withColumn(
         "pay_before", F.row_number().over(w.orderBy(F.asc_nulls_last("payment"))) - 1
     )
-    rows = rows.withColumn("n_gap", F.col("n") - 1).withColumn(
+    rows = rows.withColumn("n_gap", F.count("gap").over(w)).withColumn(
         "gap_before", F.row_number().over(w.orderBy(F.asc_nulls_last("gap"))) - 1
     )
     return rows.withColumn(
@@ -101,6 +102,13 @@ def _cold_rows(rows: DataFrame) -> DataFrame:
     )
 
 
+def _join_null_safe(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Inner join in which NULL keys meet; the right side's keys are dropped."""
+    other = right.withColumnsRenamed({k: f"_key_{k}" for k in keys})
+    same = [left[k].eqNullSafe(other[f"_key_{k}"]) for k in keys]
+    return left.join(other, same).drop(*[f"_key_{k}" for k in keys])
+
+
 def _lag_across_chunks(
     df: DataFrame, part: list[str], chunk: str, order: list[str], col: str, out: str
 ) -> DataFrame:
@@ -146,9 +154,12 @@ def _hot_rows(rows: DataFrame) -> DataFrame:
         F.sum("n_d").over(ahead(90)).alias("c90"),
         F.sum("amt_d").over(ahead(30)).alias("a30"),
         F.sum("amt_d").over(ahead(60)).alias("a60"),
-        F.sum("n_d").over(Window.partitionBy(*PART, "month")).alias("in_month"),
+        # a row without a month stands alone
+        F.when(F.col("month").isNull(), 1)
+        .otherwise(F.sum("n_d").over(Window.partitionBy(*PART, "month")))
+        .alias("in_month"),
     )
-    rows = rows.join(days, by_day)
+    rows = _join_null_safe(rows, days, by_day)
     local = Window.partitionBy(*by_day).orderBy("amt", "product", "tid")
     upto = local.rowsBetween(UNB, 0)
     rows = rows.withColumns({"rn_d": F.row_number().over(local), "lag_p": F.lag("p").over(local)})
@@ -165,11 +176,14 @@ def _hot_rows(rows: DataFrame) -> DataFrame:
         F.max(F.when(F.col("change"), F.col("rn"))).alias("last_start")
     )
     starts = starts.select(*by_day, F.max("last_start").over(earlier).alias("start_before"))
-    rows = rows.withColumn(
-        "start_here", F.max(F.when(F.col("change"), F.col("rn"))).over(upto)
-    ).join(starts, by_day)
+    rows = rows.withColumn("start_here", F.max(F.when(F.col("change"), F.col("rn"))).over(upto))
+    rows = _join_null_safe(rows, starts, by_day)
     rows = rows.withColumn("run_start", F.coalesce("start_here", "start_before"))
-    rows = _lag_across_chunks(rows, [*PART, "d"], "dflt", DEFAULT_SEQ[1:], "p", "prev_dp")
+    # only defaulted rows use it; the others, most rows of a key, are dealt out by day
+    rows = rows.withColumn(
+        "_chunk", F.when(F.col("d"), F.col("dflt").cast("string")).otherwise(F.col("day").cast("string"))
+    )
+    rows = _lag_across_chunks(rows, [*PART, "d"], "_chunk", DEFAULT_SEQ[1:], "p", "prev_dp").drop("_chunk")
     fixed = rows.groupBy(*KEY).agg(
         F.min("rec").alias("r1"),
         F.min("amt").alias("amt_min"),
@@ -395,13 +409,13 @@ def _cold_distribution() -> dict[str, Column]:
 
     fence = 1.5 * (c("q3") - c("q1"))
     return {
-        "amt_med": quantile("amt_before", "n", "amt", 0.5),
+        "amt_med": quantile("amt_before", "n_amt", "amt", 0.5),
         "pay_med": quantile("pay_before", "np", "payment", 0.5),
         "gap_med": quantile("gap_before", "n_gap", "gap", 0.5),
         "n_iqr_out": F.count_if((c("amt") < c("q1") - fence) | (c("amt") > c("q3") + fence)),
         "n_below_last": F.count_if(c("amt") < c("latest")),
-        "top2": F.sum(F.when(c("amt_before") >= c("n") - 2, c("amt"))),
-        "top3": F.sum(F.when(c("amt_before") >= c("n") - 3, c("amt"))),
+        "top2": F.sum(F.when(c("amt_before") >= c("n_amt") - 2, c("amt"))),
+        "top3": F.sum(F.when(c("amt_before") >= c("n_amt") - 3, c("amt"))),
     }
 
 

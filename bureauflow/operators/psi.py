@@ -211,11 +211,12 @@ def monitor(baseline: DataFrame, current: DataFrame, floor: float = 1e-6,
     grid = baseline.select("feature", F.posexplode("shares").alias("bin", "e"))
     rows = (
         grid.join(counts, ["feature", "bin"], "left")
-        .join(total, "feature")
+        # a feature without any current value has empty bins, and stays
+        .join(total, "feature", "left")
         .select(
             "feature",
             F.greatest(c("e"), F.lit(floor)).alias("e"),
-            F.greatest(F.coalesce("k", F.lit(0)) / c("total"), F.lit(floor)).alias("a"),
+            F.greatest(F.coalesce(c("k") / c("total"), F.lit(0.0)), F.lit(floor)).alias("a"),
         )
     )
     sums = rows.groupBy("feature").agg(F.sum("e").alias("es"), F.sum("a").alias("as_"))

@@ -33,7 +33,7 @@ def _as_rows(wide: DataFrame, rules: list[tuple[str, str, str, float]]) -> DataF
             F.struct(
                 F.lit(name).alias("check_name"),
                 F.lit(kind).alias("check_type"),
-                F.lit(severity).alias("severity"),
+                (F.lit(severity) if isinstance(severity, str) else severity).alias("severity"),
                 (F.col(f"r{i}") <= limit).alias("passed"),
                 F.col(f"r{i}").cast("double").alias("observed"),
                 F.lit(float(limit)).alias("threshold"),
@@ -192,7 +192,7 @@ def summary(results: DataFrame) -> DataFrame:
 def require(results: DataFrame) -> None:
     """Raise when a check of severity error failed."""
     bad = results.where(~F.col("passed") & (F.col("severity") == "error"))
-    names = [r.check_name for r in bad.select("check_name").limit(100).collect()]
+    names = [r.check_name for r in bad.select("check_name").collect()]
     if names:
         raise QualityError(f"failed checks: {', '.join(names)}")
 
@@ -253,13 +253,13 @@ def outlier_shares(df: DataFrame, columns: list[str], iqr: float = 3.0, z: float
     )
 
 
-def _check_rows(wide: DataFrame, checks: list[tuple[str, Column, str]]) -> DataFrame:
+def _check_rows(wide: DataFrame, checks: list[tuple[str, Column, str | Column]]) -> DataFrame:
     rows = F.array(
         *[
             F.struct(
                 F.lit(name).alias("check_name"),
                 status.alias("status"),
-                F.lit(severity).alias("severity"),
+                (F.lit(severity) if isinstance(severity, str) else severity).alias("severity"),
             )
             for name, status, severity in checks
         ]
@@ -282,74 +282,75 @@ def pre_model_checks(
     target: str = "target",
     date: str = "date",
     id_column: str = "uid",
-    leakage_top: int = 50,
 ) -> DataFrame:
     """Checks before model development: check_name, status, severity.
 
-    Scalars come from one aggregate; the leakage check folds the univariate AUC of the features
-    with the largest variance.
+    A missing column fails its check and leaves out those that need it. Scalars come from one
+    aggregate; the leakage check folds the univariate AUC of every feature.
     """
     from bureauflow.operators.binning import long_form
     from bureauflow.operators.metrics import auc_table
 
-    t = F.col(target)
-    quarters = F.year(F.max(date)) * 4 + F.quarter(F.max(date)) - (
-        F.year(F.min(date)) * 4 + F.quarter(F.min(date))
+    has = {name: name in df.columns for name in (target, date, id_column)}
+    t = F.col(target) if has[target] else F.lit(None).cast("int")
+    d = F.col(date) if has[date] else F.lit(None).cast("date")
+    quarters = F.year(F.max(d)) * 4 + F.quarter(F.max(d)) - (
+        F.year(F.min(d)) * 4 + F.quarter(F.min(d))
     )
-    ids = df.groupBy(id_column).agg(F.count("*").alias("k"))
-    repeated = ids.agg(F.coalesce(F.sum(F.col("k") - 1), F.lit(0)).alias("repeated_ids"))
-    scalars = df.agg(
+    wide = df.agg(
         F.count("*").alias("n"),
         F.count_if(t.isNotNull() & ~t.isin(0, 1)).alias("odd_targets"),
         F.count_if(t.isNull()).alias("null_targets"),
         F.avg(t).alias("bad_rate"),
-        F.count(date).alias("dates"),
+        F.min(t).alias("lowest"),
+        F.max(t).alias("highest"),
+        F.count(d).alias("dates"),
         (quarters + 1).alias("quarters"),
     )
-    long = long_form(df, features, [target])
-    top = (
-        long.groupBy("feature")
-        .agg(F.var_samp("value").alias("variance"))
-        .orderBy(F.desc_nulls_last("variance"), "feature")
-        .limit(leakage_top)
-    )
-    auc = auc_table(
-        long.join(F.broadcast(top), "feature", "left_semi"), "value", target, ["feature"]
-    )
-    leaking = auc.agg(
-        F.count_if(
-            (F.col("n") >= 50) & (F.greatest(F.col("auc"), 1 - F.col("auc")) > 0.95)
-        ).alias("leaking")
-    )
+    if has[id_column]:
+        ids = df.groupBy(id_column).agg(F.count("*").alias("k"))
+        wide = wide.join(ids.agg(F.coalesce(F.sum(F.col("k") - 1), F.lit(0)).alias("repeated_ids")))
+    else:
+        wide = wide.withColumn("repeated_ids", F.lit(0))
+    present = [f for f in features if f in df.columns]
+    if has[target] and present:
+        auc = auc_table(long_form(df, present, [target]), "value", target, ["feature"])
+        leaks = (F.col("n") >= 50) & (F.greatest(F.col("auc"), 1 - F.col("auc")) > 0.95)
+        wide = wide.join(auc.agg(F.count_if(leaks).alias("leaking")))
     numeric = {
         f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)
     }
-    wide = scalars.join(repeated).join(leaking)
     r = F.col("bad_rate")
-    return _check_rows(
-        wide,
-        [
-            ("non_empty", _grade(F.col("n") == 0), "critical"),
-            ("target_exists", _grade(F.lit(target not in df.columns)), "critical"),
+    no_rate = r.isNull() | (r < 0.01) | (r > 0.50)
+    checks = [
+        ("non_empty", _grade(F.col("n") == 0), "critical"),
+        ("target_exists", _grade(F.lit(not has[target])), "critical"),
+    ]
+    if has[target]:
+        checks += [
             ("target_binary", _grade(F.col("odd_targets") > 0), "critical"),
             ("target_no_nulls", _grade(F.col("null_targets") > 0), "critical"),
             (
                 "bad_rate_range",
-                _grade((r < 0.01) | (r > 0.50), (r < 0.03) | (r > 0.40)),
-                "warning",
+                _grade(no_rate, (r < 0.03) | (r > 0.40)),
+                F.when(no_rate, "critical").otherwise("warning"),
             ),
-            ("date_exists", _grade(F.col("dates") == 0), "critical"),
-            ("date_coverage", _grade(F.col("quarters") < 2), "critical"),
-            (
-                "features_numeric",
-                _grade(warn=F.lit(any(f not in numeric for f in features))),
-                "warning",
-            ),
-            ("duplicate_ids", _grade(warn=F.col("repeated_ids") > 0), "warning"),
-            ("sample_size", _grade(warn=F.col("n") < 500), "warning"),
-            ("leakage", _grade(warn=F.col("leaking") > 0), "warning"),
-        ],
-    )
+        ]
+    checks.append(("date_exists", _grade(F.lit(not has[date]) | (F.col("dates") == 0)), "critical"))
+    if has[date]:
+        short = F.col("quarters").isNull() | (F.col("quarters") < 2)
+        checks.append(("date_coverage", _grade(short), "critical"))
+    mixed = any(f not in numeric for f in features)
+    checks += [
+        ("features_numeric", _grade(warn=F.lit(mixed)), "warning"),
+        ("duplicate_ids", _grade(warn=F.col("repeated_ids") > 0), "warning"),
+        ("sample_size", _grade(warn=F.col("n") < 500), "warning"),
+    ]
+    if has[target] and present:
+        # one class alone can't be told apart, which is worth a warning of its own
+        single = F.col("lowest").eqNullSafe(F.col("highest"))
+        checks.append(("leakage", _grade(warn=single | (F.col("leaking") > 0)), "warning"))
+    return _check_rows(wide, checks)
 
 
 def post_model_checks(

@@ -51,16 +51,17 @@ def temporal_split(
 
 
 def random_split(
-    df: DataFrame, test_size: float = 0.2, validation_size: float = 0.0, seed: int = 42
+    df: DataFrame, test_size: float = 0.2, validation_size: float = 0.0, seed: int = 42,
+    by: str = "uid",
 ) -> DataFrame:
-    """Random train / test / validation labels by row-wise thresholds."""
-    r = c("_r")
+    """train / test / validation labels by a hash of the id: the same in every run and partitioning."""
+    r = stable_hash(c(by), seed=seed) / F.lit(float(1 << 60))
     split = (
         F.when(r < test_size, "test")
         .when(r < test_size + validation_size, "validation")
         .otherwise("train")
     )
-    return df.withColumn("_r", F.rand(seed)).withColumn("split", split).drop("_r")
+    return df.withColumn("split", split)
 
 
 def validate_target(df: DataFrame, target: str = "target", min_rows: int = 100) -> None:

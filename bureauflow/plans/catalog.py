@@ -207,7 +207,7 @@ def s8_partitioned_write(spark, sf_dir):
 
 @query
 def s9_bounded_sample(spark, sf_dir):
-    return src.bounded(frame(spark, sf_dir), 5000).select("uid", "target")
+    return src.bounded(frame(spark, sf_dir), 5000, ["uid"]).select("uid", "target")
 
 
 @query
@@ -291,8 +291,8 @@ def j5_orphans(spark, sf_dir):
 @query
 def j7_bin_lookup(spark, sf_dir):
     m = frame(spark, sf_dir)
-    bins = binning.fit_bins(m, ["sum_price", "c_acctbal"])
-    long = binning.long_form(m, ["sum_price", "c_acctbal"], ["uid"])
+    bins = binning.fit_bins(m, FEATURES)
+    long = binning.long_form(m, FEATURES, ["uid"])
     return canon(binning.bin_lookup(long, bins).drop("value"))
 
 
@@ -424,9 +424,8 @@ def a10_monotonic_bins(spark, sf_dir):
 @query
 def a11_woe_encode(spark, sf_dir):
     m = frame(spark, sf_dir)
-    names = ["sum_price", "c_acctbal", "signal"]
-    out = binning.woe_encode(m, binning.fit_bins(m, names))
-    return canon(out.select("uid", *[f"{f}_woe" for f in names]))
+    out = binning.woe_encode(m, binning.fit_bins(m, PAIRED))
+    return canon(out.select("uid", *[f"{f}_woe" for f in PAIRED]))
 
 
 def _psi(base, cmp, keep_base=("base_id",), features=FEATURES):
@@ -583,8 +582,7 @@ def q9_correlation_matrix(spark, sf_dir):
 
 @query
 def q9_spearman(spark, sf_dir):
-    names = ["c_acctbal", "n_lines", "sum_qty", "signal"]
-    return canon(elimination.correlation_pairs(frame(spark, sf_dir), names, "spearman"))
+    return canon(elimination.correlation_pairs(frame(spark, sf_dir), PAIRED, "spearman"))
 
 
 @query
@@ -831,7 +829,7 @@ def m12_segment_performance(spark, sf_dir):
 @query
 def m12_segment_confusion(spark, sf_dir):
     m = split_frame(spark, sf_dir)
-    return canon(metrics.segment_confusion(m, "score", "target", "segment", "split", [0.3]))
+    return canon(metrics.segment_confusion(m, "score", "target", "segment", "split"))
 
 
 @query

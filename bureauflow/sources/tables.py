@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from bureauflow.functions.expressions import stable_hash
 from bureauflow.operators.enrich import with_optional_columns
 from bureauflow.schema import KEY
 
@@ -127,16 +128,22 @@ def write(
     out.save(path)
 
 
-def bounded(df: DataFrame, max_rows: int, seed: int = 42) -> DataFrame:
-    """Random sample of about max_rows rows, or everything when the frame is smaller."""
-    n = df.count()
-    return df if n <= max_rows else df.sample(fraction=max_rows / n, seed=seed)
+def bounded(df: DataFrame, max_rows: int, by: list[str], seed: int = 42) -> DataFrame:
+    """At most max_rows rows: the first by a hash of the columns `by`, the same in every run."""
+    order = stable_hash(*[F.col(x) for x in by], seed=seed)
+    return df.withColumn("_order", order).orderBy("_order", *by).limit(max_rows).drop("_order")
 
 
 def artefact_folder(spark: SparkSession, name: str) -> str:
-    """Shared folder for bins, baselines and other result tables: the checkpoint folder."""
+    """Folder for bins, baselines and other result tables under spark.checkpoint.dir.
+
+    A local session without that setting gets a temporary one; a cluster must have it.
+    """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         import tempfile
 
         base = tempfile.mkdtemp(prefix="spark-")

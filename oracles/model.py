@@ -135,8 +135,8 @@ def oracles() -> dict[str, str]:
     q["a9_merged_bins"] = out(merged, dbl, oth, B)
     lookup = """lk AS (SELECT l.uid, l.feature, bins.bin_id, bins.woe FROM l LEFT JOIN bins ON l.feature = bins.feature AND
         (l.value BETWEEN bins.lower AND bins.upper OR (l.value IS NULL AND bins.bin_id = -1)))"""
-    q["j7_bin_lookup"] = out("SELECT * FROM lk WHERE feature IN ('sum_price', 'c_acctbal')", ["woe"], ["uid", "feature", "bin_id"], [*B, lookup])
-    enc = ["sum_price", "c_acctbal", "signal"]
+    q["j7_bin_lookup"] = out("SELECT * FROM lk", ["woe"], ["uid", "feature", "bin_id"], [*B, lookup])
+    enc = PAIRED
     q["a11_woe_encode"] = out("SELECT uid, " + ", ".join(f"COALESCE(max(woe) FILTER (feature = '{f}'), 0) AS {f}_woe" for f in enc) + " FROM lk GROUP BY 1",
                               [f"{f}_woe" for f in enc], ["uid"], [*B, lookup])
     lt = f"lt AS ({long('mt', 'uid, date, quarter, target')})"
@@ -202,7 +202,7 @@ def oracles() -> dict[str, str]:
     zero = "mz AS (SELECT " + ", ".join(f"COALESCE({f}, 0) AS {f}" for f in PAIRED) + " FROM m)"
     q["q9_correlation_matrix"] = out(" UNION ALL ".join(f"SELECT '{a}' AS feature_a, '{b}' AS feature_b, {'1.0' if a == b else f'corr({a}, {b})'} AS correlation FROM mz {'LIMIT 1' if a == b else ''}".replace("FROM mz LIMIT 1", "")
                                      for a in PAIRED for b in PAIRED), ["correlation"], ["feature_a", "feature_b"], [MODEL, zero])
-    sn = ["c_acctbal", "n_lines", "sum_qty", "signal"]
+    sn = PAIRED
     rk = "rk AS (SELECT " + ", ".join(f"rank() OVER (ORDER BY {f}) + (count(*) OVER (PARTITION BY {f}) - 1) / 2.0::DOUBLE AS {f}" for f in sn) + " FROM mz)"
     q["q9_spearman"] = out(" UNION ALL ".join(f"SELECT '{a}' AS feature_a, '{b}' AS feature_b, corr({a}, {b}) AS correlation FROM rk"
                            for i, a in enumerate(sn) for b in sn[i + 1:]), ["correlation"], ["feature_a", "feature_b"], [MODEL, zero, rk])
@@ -234,6 +234,9 @@ def oracles() -> dict[str, str]:
     q["e11_stratified_split"] = f"WITH {MODEL} SELECT uid, split FROM sp"
     q["e12_temporal_split"] = f"""WITH {MODEL} SELECT uid, CASE WHEN row_number() OVER (ORDER BY date, uid) <= floor(count(*) OVER () * 0.8) THEN 'train' ELSE 'test' END AS split
         FROM m WHERE date <= DATE '2000-06-30' UNION ALL SELECT uid, 'oot_' || quarter FROM m WHERE date > DATE '2000-06-30'"""
+    own = "CAST('0x' || substr(md5(uid || '|42'), 1, 15) AS BIGINT)"
+    q["e13_random_split"] = f"""WITH {MODEL} SELECT uid, CASE WHEN {own} / 1152921504606846976.0::DOUBLE < 0.2 THEN 'test' WHEN {own} / 1152921504606846976.0::DOUBLE < 0.3 THEN 'validation' ELSE 'train' END AS split FROM m"""
+    q["s9_bounded_sample"] = f"WITH {MODEL} SELECT uid, target FROM m ORDER BY {own}, uid LIMIT 5000"
     q["e14_split_metadata"] = out("SELECT split, count(*) AS n, CAST(sum(target) AS BIGINT) AS n_bads, avg(target) AS bad_rate, min(date) AS first_date, max(date) AS last_date FROM sp GROUP BY 1",
                                   ["bad_rate"], ["split", "n", "n_bads", "first_date", "last_date"], [MODEL])
     q["t3_top_share"] = f"WITH {MODEL} SELECT uid FROM (SELECT uid, row_number() OVER (ORDER BY score DESC, uid) AS r, count(*) OVER () AS n FROM m) WHERE r <= greatest(1, floor(n * 0.05))"
@@ -275,7 +278,7 @@ def oracles() -> dict[str, str]:
                                                     "SELECT 's' AS feature, 'train' AS base_id, split AS label, o_totalprice AS value FROM sp WHERE split <> 'train'")])
     q["m12_segment_performance"] = out("SELECT segment, split, n, n_bads, bad_rate, auc, 2 * auc - 1 AS gini, ks FROM ga WHERE n >= 10", ["bad_rate", "auc", "gini", "ks"],
                                        ["segment", "split", "n", "n_bads"], [MODEL, auc("ga", "sp", "segment, split")])
-    q["m12_segment_confusion"] = out(confusion("segment, split") + " FROM " + counts("segment, split", "sp", "[0.3::DOUBLE]") + " WHERE tp + fn > 0 AND fp + tn > 0 AND tp + fp + tn + fn >= 10",
+    q["m12_segment_confusion"] = out(confusion("segment, split") + " FROM " + counts("segment, split", "sp", "[0.1, 0.2, 0.3, 0.4, 0.5]::DOUBLE[]") + " WHERE tp + fn > 0 AND fp + tn > 0 AND tp + fp + tn + fn >= 10",
                                      CONF, ["segment", "split", *CNT], [MODEL])
     two = "mm AS (SELECT 'score' AS model, score, target FROM m UNION ALL SELECT 'flat', (uid % 97) / 100.0::DOUBLE, target FROM m)"
     q["m13_model_comparison"] = out(f"SELECT model, auc, 2 * auc - 1 AS gini, ks, accuracy, precision, recall, f1, row_number() OVER (ORDER BY auc DESC, model) AS rank FROM ma JOIN ({confusion('model')} FROM {counts('model', 'mm', '[0.5::DOUBLE]')}) USING (model)",

@@ -91,3 +91,29 @@ def test_chunked_auc(spark, frame):
 
     want = auc_table(frame, "o_totalprice", "target").first()["auc"]
     assert catalog.m1b_auc_chunked(spark, SMALL).first()["auc"] == round(want, 6)
+
+
+def test_overfull_applicants_with_missing_values(small):
+    """NULL dates, amounts and payments, an applicant of one day and one without defaults."""
+    apps, bureau = small
+    gap = lambda name, k: F.when(F.col("tradeline_id") % k != 0, F.col(name)).alias(name)
+    gaps = {"opening_date": 4, "total_amount": 7}
+    holes = bureau.select(*[gap(x, gaps[x]) if x in gaps else F.col(x) for x in bureau.columns])
+    one_day = F.col("application_id") == "APP_3"
+    clean = F.col("application_id") == "APP_5"
+    holes = holes.withColumns(
+        {
+            "opening_date": F.when(one_day, F.lit("1996-05-05").cast("date")).otherwise(F.col("opening_date")),
+            "default_date": F.when(~clean, F.col("default_date")),
+        }
+    )
+    names = list(FAMILIES)
+    plain = _by_key(family_frame(apps, holes, names))
+    split = _by_key(family_frame(apps, holes, names, max_rows_per_key=5))
+    assert plain.keys() == split.keys()
+    wrong = {
+        (f, k, plain[k][f], split[k][f])
+        for k in plain for f in plain[k]
+        if f not in KEY and not _same(plain[k][f], split[k][f])
+    }
+    assert not wrong, (len(wrong), sorted({w[0] for w in wrong}), sorted(wrong, key=str)[:5])
