@@ -26,7 +26,10 @@ def _measures() -> dict[str, Column]:
         "std_credit_amount": F.stddev_samp(on_credit(amt)),
         "total_exposure": F.sum(amt),
         "total_credit_count": F.count_if(credit),
-        "distinct_product_count": F.size(F.collect_set(on_credit(c("product_type")))),
+        "distinct_product_count": sum(
+            (F.max(F.coalesce(c("product_type") == p, F.lit(False)).cast("int")) for p in CREDIT_PRODUCTS),
+            F.lit(0),
+        ),
         "active_credit_count": F.count_if(credit & dflt.isNull()),
         "defaulted_credit_count": F.count_if(credit & dflt.isNotNull() & rec.isNull()),
         "recovered_credit_count": F.count_if(credit & rec.isNotNull()),

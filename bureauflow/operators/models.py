@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
+from zlib import crc32
 
 import numpy as np
 import pandas as pd
@@ -268,60 +269,64 @@ def grid_search(
     return grid[best], table
 
 
-LEVELS = 2000
+# Ranges of scores that one task adds up, and scores whose draws are held at a time.
+RANGES = 256
+BLOCK = 2_000
 
 
 def bootstrap_auc(
     df: DataFrame, score: str, target: str, by: str, iterations: int = 1000,
     confidence: float = 0.95, seed: int = 42,
 ) -> DataFrame:
-    """by, auc, ci_lower, ci_upper, iterations: Poisson bootstrap of the AUC.
+    """by, auc, n, ci_lower, ci_upper, iterations: Poisson bootstrap of the exact AUC.
 
-    The point estimate is exact. For the interval, scores are compared at no more than LEVELS
-    quantile levels per period, so one period is a table of at most LEVELS rows whatever its size.
+    The draws of a score follow from seed, period and score alone, so the interval is the same in
+    every partitioning. Each task adds up one range of scores for all iterations, and the ranges of
+    a period are put together from RANGES rows at most; approximate cuts only deal out the work.
     """
-    probs = [i / LEVELS for i in range(1, LEVELS)]
-    freq = curve(df, score, target, [by])
-    sizes = freq.groupBy(by).agg(F.count("*").alias("levels"))
-    big = [r[by] for r in sizes.where(c("levels") > LEVELS).collect()]
-    level = c(score).cast("double")
-    cells = freq.select(by, level.alias("level"), "n", "bad")
-    if big:
-        cuts = freq.where(c(by).isin(big)).groupBy(by).agg(
-            F.percentile_approx(score, F.array(*[F.lit(p) for p in probs]), LEVELS * 4).alias("k")
-        )
-        cells = freq.join(F.broadcast(cuts), by, "left").select(
-            by,
-            F.when(
-                c("k").isNotNull(),
-                F.size(F.filter("k", lambda x: x < c(score))).cast("double"),
-            ).otherwise(level).alias("level"),
-            "n",
-            "bad",
-        )
-    cells = cells.groupBy(by, "level").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
-    tail = (1 - confidence) / 2
+    freq = curve(df, score, target, [by]).select(
+        by, c(score).cast("double").alias("level"), c("n").cast("long"), c("bad").cast("long")
+    )
+    cuts = freq.groupBy(by).agg(
+        F.percentile_approx("level", [i / RANGES for i in range(1, RANGES)], 4 * RANGES).alias("cuts")
+    )
+    cells = freq.join(cuts, freq[by].eqNullSafe(cuts[by])).drop(cuts[by])
+    cells = cells.withColumn("range", F.size(F.filter("cuts", lambda x: x < c("level")))).drop("cuts")
+    kind = df.schema[by].dataType.simpleString()
+    sums = "part array<double>, bad array<double>, good array<double>"
 
-    def resample(pdf: pd.DataFrame) -> pd.DataFrame:
+    def one_range(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("level")
-        rng = np.random.default_rng(seed)
-        bad = pdf["bad"].to_numpy()
-        good = (pdf["n"] - pdf["bad"]).to_numpy()
-        values = []
-        for _ in range(iterations):
-            b, g = rng.poisson(bad), rng.poisson(good)
-            if b.sum() and g.sum():
-                below = np.cumsum(g) - g
-                values.append(float((b * (below + g / 2)).sum() / (b.sum() * g.sum())))
-        low, high = np.quantile(values, [tail, 1 - tail]) if values else (None, None)
+        part, bad, good = (np.zeros(iterations) for _ in range(3))
+        for at in range(0, len(pdf), BLOCK):
+            rows = pdf.iloc[at : at + BLOCK]
+            draws = []
+            for period, level, n, k in zip(rows[by], rows["level"], rows["n"], rows["bad"], strict=True):
+                rng = np.random.default_rng([seed, crc32(f"{period}|{level!r}".encode())])
+                draws.append((rng.poisson(k, iterations), rng.poisson(n - k, iterations)))
+            b = np.array([d[0] for d in draws], float)
+            g = np.array([d[1] for d in draws], float)
+            part += (b * (good + np.cumsum(g, 0) - g / 2)).sum(0)
+            bad += b.sum(0)
+            good += g.sum(0)
+        key = pdf[by].iloc[0]
+        return pd.DataFrame({by: [key], "range": [pdf["range"].iloc[0]], "part": [part], "bad": [bad], "good": [good]})
+
+    def one_period(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("range")
+        part, bad, good = (np.stack(pdf[x].to_list()) for x in ("part", "bad", "good"))
+        before = np.cumsum(good, 0) - good
+        pairs = bad.sum(0) * good.sum(0)
+        values = (part + bad * before).sum(0)[pairs > 0] / pairs[pairs > 0]
+        tail = (1 - confidence) / 2
+        low, high = np.quantile(values, [tail, 1 - tail]) if len(values) else (None, None)
         return pd.DataFrame(
-            {by: [pdf[by].iloc[0]], "ci_lower": [low], "ci_upper": [high],
-             "iterations": [len(values)]}
+            {by: [pdf[by].iloc[0]], "ci_lower": [low], "ci_upper": [high], "iterations": [len(values)]}
         )
 
-    kind = df.schema[by].dataType.simpleString()
-    ci = cells.groupBy(by).applyInPandas(
-        resample, f"{by} {kind}, ci_lower double, ci_upper double, iterations bigint"
+    ranges = cells.groupBy(by, "range").applyInPandas(one_range, f"{by} {kind}, range int, {sums}")
+    ci = ranges.groupBy(by).applyInPandas(
+        one_period, f"{by} {kind}, ci_lower double, ci_upper double, iterations bigint"
     )
     point = auc_table(df, score, target, [by]).where(c("auc").isNotNull())
     return point.select(by, "auc", "n").join(ci, by, "left")

@@ -300,7 +300,7 @@ def j7_bin_lookup(spark, sf_dir):
 def j9_performance_with_intervals(spark, sf_dir):
     m = split_frame(spark, sf_dir).withColumnRenamed("split", "period")
     perf = metrics.performance_by_period(m, "score", "target", "uid")
-    return models.with_intervals(perf, models.bootstrap_auc(m, "score", "target", "period", 200))
+    return models.with_intervals(perf, models.bootstrap_auc(m, "score", "target", "period"))
 
 
 @query
@@ -456,6 +456,11 @@ def a13_psi_monitor(spark, sf_dir):
     return canon(_monitored(spark, sf_dir))
 
 
+@query
+def a14_alerts(spark, sf_dir):
+    return psi.alerts(_monitored(spark, sf_dir))
+
+
 @query
 def a14_monitoring_record(spark, sf_dir):
     return psi.run_record(_monitored(spark, sf_dir), "2001-01-01")
@@ -811,7 +816,7 @@ def m9_quarterly_trend(spark, sf_dir):
 @query
 def m10_bootstrap(spark, sf_dir):
     m = split_frame(spark, sf_dir)
-    return models.bootstrap_auc(m, "score", "target", "split", 200)
+    return models.bootstrap_auc(m, "score", "target", "split")
 
 
 @query

@@ -171,6 +171,8 @@ def oracles() -> dict[str, str]:
            "mn AS (SELECT feature, e / sum(e) OVER g AS e, a / sum(a) OVER g AS a FROM mr WINDOW g AS (PARTITION BY feature))",
            "mo AS (SELECT feature, psi, CASE WHEN psi >= 0.25 THEN 'critical' WHEN psi >= 0.10 THEN 'warning' ELSE 'stable' END AS status FROM (SELECT feature, sum((a - e) * ln(a / e)) AS psi FROM mn GROUP BY 1))"]
     q["a13_psi_monitor"] = out("SELECT * FROM mo", ["psi"], ["feature", "status"], mon)
+    q["a14_alerts"] = f"""WITH {', '.join(mon)} SELECT feature, status, upper(status) || ': ' || feature || ' PSI = ' || format('{{:.4f}}', psi) AS message
+        FROM mo WHERE status <> 'stable'"""
     q["a14_monitoring_record"] = f"""WITH {', '.join(mon)} SELECT DATE '2001-01-01' AS run_date, count(*) AS features, count(*) FILTER (status = 'stable') AS stable,
         count(*) FILTER (status = 'warning') AS warning, count(*) FILTER (status = 'critical') AS critical FROM mo"""
     stats = f"""st AS (SELECT feature, count(value) AS n, count(*) - count(value) AS nulls, (count(*) - count(value)) / CAST(count(*) AS DOUBLE) AS null_ratio,

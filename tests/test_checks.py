@@ -2,7 +2,7 @@
 
 import numpy as np
 import pandas as pd
-from bureauflow.operators import binning, elimination, psi, quality, splitting
+from bureauflow.operators import binning, elimination, models, psi, quality, splitting
 from bureauflow.sources import tables
 from pyspark.sql import functions as F
 
@@ -94,3 +94,15 @@ def test_greedy_filter_and_inflation(spark):
     after = np.diag(np.linalg.inv(m[np.ix_(left, left)]))
     for k, v in zip(left, after, strict=True):
         assert abs(rows[names[k]]["vif_final"] - v) < 1e-9 and abs(rows[names[k]]["vif_initial"] - inflation[k]) < 1e-9
+
+
+def test_bootstrap_is_the_same_in_every_partitioning(frame):
+    fine = frame.withColumn("fine", F.col("score") + (F.col("uid") % 997) / 1e5)
+    a, b = (
+        {r["segment"]: r for r in models.bootstrap_auc(fine.repartition(n), "fine", "target", "segment", 60).collect()}
+        for n in (2, 5)
+    )
+    assert a.keys() == b.keys()
+    for k, r in a.items():
+        assert abs(r["ci_lower"] - b[k]["ci_lower"]) < 1e-12 and r["iterations"] == 60
+        assert r["ci_lower"] < r["auc"] < r["ci_upper"]
