@@ -33,8 +33,8 @@ from bureauflow.llm.components import components
 
 SHINGLE = 4
 SHARE = (85, 100)
-#: Longs of the parity bits of a set.
-PARITY = 16
+#: Longs of the parity bits of a small set.
+LEAST_LONGS = 4
 FILTER_BITS = 27
 _BASE = np.uint64(0xC2B2AE3D27D4EB4F)
 
@@ -91,13 +91,19 @@ def set_ids(values: np.ndarray, offs: np.ndarray) -> np.ndarray:
     return ragged.mix(per_row(np.add, ragged.mix(values ^ np.uint64(0x5851F42D4C957F2D)), offs) + np.diff(offs).astype(np.uint64))
 
 
-def parities(values: np.ndarray, offs: np.ndarray) -> np.ndarray:
-    """PARITY longs a row: each element flips one bit."""
-    place = values >> np.uint64(64 - (64 * PARITY - 1).bit_length())
-    row = np.repeat(np.arange(len(offs) - 1), np.diff(offs))
-    out = np.zeros((len(offs) - 1, 64 * PARITY), np.uint8)
-    np.bitwise_xor.at(out, (row, place.astype(np.int64)), 1)
-    return np.packbits(out, axis=1, bitorder="little").view(np.int64)
+def parities(values: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Parity bits of each row as longs, and their offsets: each element flips the bit that its last bits name.
+
+    A set of n elements has a power of two of longs, 2 n bits about. Half as many are the exclusive or of both halves.
+    """
+    size = np.diff(offs)
+    longs = np.maximum(LEAST_LONGS, 1 << np.ceil(np.log2(np.maximum(size, 1) / 32)).clip(0).astype(np.int64))
+    at = np.concatenate([[0], np.cumsum(longs)])
+    row = np.repeat(np.arange(len(size)), size)
+    place = (values & (64 * longs[row] - 1).astype(np.uint64)).astype(np.int64) + 64 * at[row]
+    out = np.zeros(64 * int(at[-1]), np.uint8)
+    np.bitwise_xor.at(out, place, 1)
+    return np.packbits(out, bitorder="little").view(np.int64), at
 
 
 @lru_cache(4)
@@ -194,8 +200,8 @@ def described(docs: DataFrame, shingle: int) -> DataFrame:
             buf, bounds = ragged.text_bytes(batch.column(1))
             for row, stop, part, offs in ragged.slices(buf, bounds):
                 values, at = word_sets(part, offs, shingle)
-                bits = parities(values, at)
-                lists = pa.ListArray.from_arrays(pa.array(np.arange(stop - row + 1, dtype=np.int32) * PARITY), pa.array(bits.ravel()))
+                bits, bits_at = parities(values, at)
+                lists = pa.ListArray.from_arrays(pa.array(bits_at.astype(np.int32)), pa.array(bits))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(row, stop - row), pa.array(np.diff(at)), signed(set_ids(values, at)), lists], ["key", "n", "id", "bits"])
 
     return docs.select("key", "text").mapInArrow(made, f"key {kind}, n bigint, id bigint, bits array<bigint>")
@@ -249,7 +255,22 @@ def sets_of(docs: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
 def may_link(a: str, b: str, share: tuple[int, int]) -> Column:
     """Whether sizes and parity bits leave a link possible; exact bounds."""
     few, many = F.least(f"{a}.n", f"{b}.n"), F.greatest(f"{a}.n", f"{b}.n")
-    flips = F.aggregate(F.zip_with(f"{a}.bits", f"{b}.bits", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
+    x, y = F.col(f"{a}.bits"), F.col(f"{b}.bits")
+
+    def flips_of(p: Column, q: Column) -> Column:
+        return F.aggregate(F.zip_with(p, q, lambda i, j: F.bit_count(i.bitwiseXOR(j))), F.lit(0), lambda s, i: s + i)
+
+    def halved(p: Column) -> Column:
+        half = F.floor(F.size(p) / 2).cast("int")
+        return F.zip_with(F.slice(p, F.lit(1), half), F.slice(p, half + 1, half), lambda i, j: i.bitwiseXOR(j))
+
+    # sizes that may link give as many bits, or twice as many
+    flips = (
+        F.when(F.size(x) == F.size(y), flips_of(x, y))
+        .when(F.size(x) == 2 * F.size(y), flips_of(halved(x), y))
+        .when(2 * F.size(x) == F.size(y), flips_of(x, halved(y)))
+        .otherwise(F.lit(0))
+    )
     # of n + m elements, d differ: (n + m - d) / (n + m + d) is the similarity
     total = few + many
     return (few * share[1] >= many * share[0]) & (share[1] * (total - flips) >= share[0] * (total + flips))
