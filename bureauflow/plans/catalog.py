@@ -205,6 +205,14 @@ def s8_partitioned_write(spark, sf_dir):
     ))
 
 
+@query
+def s1_csv_scan(spark, sf_dir):
+    rows = spark.read.parquet(f"{sf_dir}/customer.parquet")
+    path = src.artefact_folder(spark, f"customer-{uuid.uuid4().hex}")
+    rows.write.option("header", True).csv(path)
+    return src.read_files(spark, path, "csv", rows.schema)
+
+
 @query
 def s9_bounded_sample(spark, sf_dir):
     return src.bounded(frame(spark, sf_dir), 5000, ["uid"]).select("uid", "target")
@@ -714,6 +722,14 @@ def e10_sequential_selection(spark, sf_dir):
     return steps
 
 
+@query
+def p6_feature_columns(spark, sf_dir):
+    m = frame(spark, sf_dir)
+    meta = ["uid", "date", "target", "segment", "quarter", "score"]
+    long = binning.long_form(m, splitting.feature_columns(m, meta))
+    return long.groupBy("feature").agg(F.count("*").alias("n"), F.count("value").alias("known"))
+
+
 @query
 def e11_stratified_split(spark, sf_dir):
     return splitting.split_index(split_frame(spark, sf_dir))

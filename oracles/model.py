@@ -239,6 +239,8 @@ def oracles() -> dict[str, str]:
     own = "CAST('0x' || substr(md5(uid || '|42'), 1, 15) AS BIGINT)"
     q["e13_random_split"] = f"""WITH {MODEL} SELECT uid, CASE WHEN {own} / 1152921504606846976.0::DOUBLE < 0.2 THEN 'test' WHEN {own} / 1152921504606846976.0::DOUBLE < 0.3 THEN 'validation' ELSE 'train' END AS split FROM m"""
     q["s9_bounded_sample"] = f"WITH {MODEL} SELECT uid, target FROM m ORDER BY {own}, uid LIMIT 5000"
+    q["s1_csv_scan"] = "SELECT * FROM customer"
+    q["p6_feature_columns"] = f"WITH {MODEL}, pl AS ({long()}) SELECT feature, count(*) AS n, count(value) AS known FROM pl GROUP BY 1"
     q["e14_split_metadata"] = out("SELECT split, count(*) AS n, CAST(sum(target) AS BIGINT) AS n_bads, avg(target) AS bad_rate, min(date) AS first_date, max(date) AS last_date FROM sp GROUP BY 1",
                                   ["bad_rate"], ["split", "n", "n_bads", "first_date", "last_date"], [MODEL])
     q["t3_top_share"] = f"WITH {MODEL} SELECT uid FROM (SELECT uid, row_number() OVER (ORDER BY score DESC, uid) AS r, count(*) OVER () AS n FROM m) WHERE r <= greatest(1, floor(n * 0.05))"
