@@ -163,6 +163,24 @@ def information_value_by_value(
     return iv.select("feature", "iv", iv_category(c("iv")).alias("iv_category"))
 
 
+def smoothed_information_value(
+    long: DataFrame, target: str = "target", n_bins: int = 10
+) -> DataFrame:
+    """Smoothed IV of numeric features: feature, iv, iv_category.
+
+    Quantile bins where a feature has more than n_bins distinct values, else one bin per value.
+    NULL for a feature of one class.
+    """
+    clean = long.where(c("value").isNotNull() & c(target).isNotNull())
+    values = clean.groupBy("feature", "value").agg(F.count("*").alias("k"))
+    distinct = values.groupBy("feature").agg(F.count("*").alias("values"))
+    binned = with_bins(clean, qcut_edges(clean, n_bins=n_bins)).join(distinct, "feature")
+    group = F.when(c("values") > n_bins, c("bin").cast("double")).otherwise(c("value"))
+    bins = woe_table(binned.withColumn("group", group), target, smoothing=0.5, by="group")
+    iv = bins.groupBy("feature").agg(F.sum("iv").alias("iv"))
+    return iv.select("feature", "iv", iv_category(c("iv")).alias("iv_category"))
+
+
 def approximate_bins(df: DataFrame, column: str, n_bins: int = 10) -> DataFrame:
     """Quantile buckets from a mergeable sketch: one pass, left-closed, missing values kept."""
     from pyspark.ml.feature import QuantileDiscretizer

@@ -374,9 +374,9 @@ def univariate_report(
 
 
 def feature_quality(df: DataFrame, features: list[str], target: str = "target") -> DataFrame:
-    """feature, null_ratio, distinct_n, variance, iv, iv_category."""
+    """feature, null_ratio, distinct_n, variance, iv (smoothed), iv_category."""
     stats = binning.numeric_stats(df, features).select(
         "feature", "null_ratio", "distinct_n", "variance"
     )
-    iv = binning.information_value(binning.long_form(df, features, [target]), target)
-    return stats.join(iv.drop("n"), "feature", "left")
+    iv = binning.smoothed_information_value(binning.long_form(df, features, [target]), target)
+    return stats.join(iv, "feature", "left")

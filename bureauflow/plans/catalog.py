@@ -406,6 +406,12 @@ def a5_information_value(spark, sf_dir):
     return canon(binning.information_value(long))
 
 
+@query
+def a6_smoothed_iv(spark, sf_dir):
+    long = binning.long_form(frame(spark, sf_dir), FEATURES, ["target"])
+    return canon(binning.smoothed_information_value(long))
+
+
 @query
 def a6_categorical_iv(spark, sf_dir):
     m = frame(spark, sf_dir)

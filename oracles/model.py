@@ -115,6 +115,12 @@ def oracles() -> dict[str, str]:
         return f"""SELECT '{c}' AS feature, sum(({g} - {b}) * ln(({g}) / ({b}))) AS iv FROM (SELECT *, sum(good) OVER () AS goods, sum(bad) OVER () AS bads FROM
             (SELECT {c}, count(*) FILTER (target = 0) AS good, count(*) FILTER (target = 1) AS bad FROM m GROUP BY 1))"""
     q["a6_categorical_iv"] = out(f"SELECT *, {CAT} AS iv_category FROM ({cat('segment')} UNION ALL {cat('quarter')})", ["iv"], ["feature", "iv_category"], [MODEL])
+    sg, sb = "(good + 0.5::DOUBLE) / (goods + 0.5::DOUBLE)", "(bad + 0.5::DOUBLE) / (bads + 0.5::DOUBLE)"
+    smooth = f"""sm AS (SELECT feature, sum(CASE WHEN goods > 0 AND bads > 0 THEN ({sg} - {sb}) * ln(({sg}) / ({sb})) END) AS iv FROM (
+        SELECT *, sum(good) OVER (PARTITION BY feature) AS goods, sum(bad) OVER (PARTITION BY feature) AS bads FROM (
+          SELECT feature, CASE WHEN dn > 10 THEN CAST(bin AS DOUBLE) ELSE value END AS grp, count(*) FILTER (target = 0) AS good, count(*) FILTER (target = 1) AS bad
+          FROM b JOIN (SELECT feature, count(DISTINCT value) AS dn FROM b GROUP BY 1) USING (feature) WHERE value IS NOT NULL GROUP BY 1, 2)) GROUP BY 1)"""
+    q["a6_smoothed_iv"] = out(f"SELECT feature, iv, {CAT} AS iv_category FROM sm", ["iv"], ["feature", "iv_category"], [*M[:4], smooth])
     BW, BIV = woe("good", "bad", "goods", "bads")
     bins = f"""bins AS (SELECT feature, bin_id, lower, upper, n, good, bad, {BW} AS woe, {BIV} AS iv FROM (
         SELECT feature, CASE WHEN value IS NULL THEN -1 ELSE bin END AS bin_id, min(value) AS lower, max(value) AS upper, count(*) AS n,
@@ -195,8 +201,8 @@ def oracles() -> dict[str, str]:
         + ", ".join(f"quantile_cont(score, {x}) AS p{n}" for x, n in ((0.1, 10), (0.25, 25), (0.5, 50), (0.75, 75), (0.9, 90))) + " FROM sp GROUP BY 1",
         ["mean", "std", "min", "max", "p10", "p25", "p50", "p75", "p90"], ["split", "n"], [MODEL])
     # quality and elimination
-    q["q8_feature_quality"] = out(f"SELECT feature, null_ratio, distinct_n, variance, iv, {CAT} AS iv_category FROM st JOIN info USING (feature)",
-                                  ["null_ratio", "variance", "iv"], ["feature", "distinct_n", "iv_category"], [*M, stats])
+    q["q8_feature_quality"] = out(f"SELECT feature, null_ratio, distinct_n, variance, iv, {CAT} AS iv_category FROM st LEFT JOIN sm USING (feature)",
+                                  ["null_ratio", "variance", "iv"], ["feature", "distinct_n", "iv_category"], [*M, stats, smooth])
     cp = "cp AS (" + " UNION ALL ".join(f"SELECT '{a}' AS feature_a, '{b}' AS feature_b, corr({a}, {b}) AS correlation FROM m"
                                        for i, a in enumerate(PAIRED) for b in PAIRED[i + 1:]) + ")"
     q["e6_correlation_pairs"] = out("SELECT * FROM cp", ["correlation"], ["feature_a", "feature_b"], [MODEL, cp])
