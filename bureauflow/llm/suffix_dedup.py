@@ -102,7 +102,8 @@ def doc_runs(buf: np.ndarray, bounds: np.ndarray, length: int) -> Iterator[tuple
 
 def bucket_rows(docs: DataFrame, length: int, bits: np.ndarray | None) -> DataFrame:
     """h and whole of all runs of documents (key, print, text); with a bit set of hashes only of those in it, with key, print, first, number,
-    anchor."""
+    anchor, twin and lead. Rows with the same h and whole in a slice are twins, and repeat wholly whatever other slices hold; only the first
+    of them keeps its h, so that copies don't meet in one task."""
     kind = docs.schema["key"].dataType.simpleString()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -114,12 +115,16 @@ def bucket_rows(docs: DataFrame, length: int, bits: np.ndarray | None) -> DataFr
                     continue
                 some = np.flatnonzero(has_bit(bits, h))
                 rows = pa.array(doc[some])
+                once, which = ragged.unique(ragged.mix(h[some] ^ ragged.mix(whole[some])))
+                twin, lead = np.bincount(which)[which] > 1 if len(some) else np.empty(0, bool), np.zeros(len(some), bool)
+                lead[once] = True
+                dealt = np.where(lead, h[some], ragged.mix(h[some] ^ ragged.mix(np.arange(len(some), dtype=np.uint64))))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(h[some].view(np.int64)), pa.array(whole[some].view(np.int64)), batch.column(0).take(rows), batch.column(1).take(rows), *(pa.array(x[some].astype(np.int32)) for x in (first, number, anchor))],
-                    ["h", "whole", "key", "print", "first", "number", "anchor"],
+                    [pa.array(dealt.view(np.int64)), pa.array(whole[some].view(np.int64)), batch.column(0).take(rows), batch.column(1).take(rows), *(pa.array(x[some].astype(np.int32)) for x in (first, number, anchor)), pa.array(twin), pa.array(lead)],
+                    ["h", "whole", "key", "print", "first", "number", "anchor", "twin", "lead"],
                 )
 
-    schema = "h bigint, whole bigint" if bits is None else f"h bigint, whole bigint, key {kind}, print bigint, first int, number int, anchor int"
+    schema = "h bigint, whole bigint" if bits is None else f"h bigint, whole bigint, key {kind}, print bigint, first int, number int, anchor int, twin boolean, lead boolean"
     return docs.select("key", "print", "text").mapInArrow(cut, schema)
 
 
@@ -211,11 +216,14 @@ def removed_spans(docs: DataFrame, length: int = LENGTH, hot_rows: int = HOT_ROW
     kind = docs.schema["key"].dataType.simpleString()
     counts = bucket_rows(docs, length, None).groupBy("h").agg(F.count("*").alias("n"), F.min("whole").alias("a"), F.max("whole").alias("b"))
     buckets = storage.written(counts.where("n > 1").select("h", (F.col("a") == F.col("b")).alias("same"), (F.col("n") > hot_rows).alias("hot")))
-    rows = bucket_rows(docs, length, bit_set(buckets, "h", FILTER_BITS)).join(buckets, "h")
+    rows = bucket_rows(docs, length, bit_set(buckets, "h", FILTER_BITS)).join(buckets, "h", "left").where("twin or same is not null")
+    rows = rows.withColumns({"same": F.coalesce("same", F.lit(False)), "hot": F.coalesce("hot", F.lit(False))})
     # rows of the same bytes repeat wholly, and the first of them stands for all in the sorting
     alike = Window.partitionBy("h", "whole").orderBy("key", "print", "first")
     rows = rows.withColumns({"rank": F.row_number().over(alike), "more": F.lead("first").over(alike).isNotNull()})
-    rows = rows.withColumns({"sorted": ~F.col("same") & (F.col("rank") == 1), "same": F.col("same") | F.col("more") | (F.col("rank") > 1)})
+    rows = rows.withColumns(
+        {"sorted": F.col("lead") & ~F.col("same") & (F.col("rank") == 1), "same": F.col("same") | F.col("twin") | F.col("more") | (F.col("rank") > 1)}
+    )
     found = rows.where("sorted or same").groupBy("key", "print").agg(F.collect_list(F.struct("h", "first", "number", "anchor", "same", "sorted", "hot")).alias("rows"))
     found = storage.written(found)
     mixed = found.select("key", "print", F.filter("rows", lambda r: r["sorted"]).alias("rows")).where("size(rows) > 0")
