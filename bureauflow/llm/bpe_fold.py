@@ -32,7 +32,7 @@ from bureauflow.llm.hof import let
 from bureauflow.llm.token_counts import Merges
 
 #: Text bytes of a block; a longer document is a block of its own.
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 20
 #: Distinct words that a task remembers; it starts anew when there are more. Results don't depend on it.
 TASK_WORDS = 1_500_000
 #: So many input partitions at most are read by one task, so that more texts share their words.

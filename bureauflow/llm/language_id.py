@@ -29,7 +29,7 @@ RATE = 0.01
 #: Longer words are read in pieces of so many bytes.
 PIECE = 24
 #: Distinct words that a Python worker remembers; it starts anew when there are more. Results don't depend on it.
-CACHE_WORDS = 1_000_000
+CACHE_WORDS = 500_000
 
 
 @dataclass
