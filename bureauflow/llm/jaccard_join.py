@@ -36,6 +36,8 @@ SHARE = (85, 100)
 #: Longs of the parity bits of a small set.
 LEAST_LONGS = 4
 FILTER_BITS = 27
+#: Times that the sets of an entry are tried against one of them, another one each time. Results don't depend on it.
+STARS = 2
 _BASE = np.uint64(0xC2B2AE3D27D4EB4F)
 
 
@@ -315,16 +317,34 @@ def similar_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     tried = rows.join(least.select("entry", "a"), "entry").where("a < id").groupBy("a", F.col("id").alias("b")).count()
     best = checked(tried).groupBy("b").agg(F.max_by("a", F.struct("count", "a")).alias("a"))
     first = storage.written(best.select("a", "b"))
-    links = storage.written(links_of(first))
+    links, done = storage.written(links_of(first)), first
     labels = components(links)
+
+    def placed_by(labels: DataFrame) -> DataFrame:
+        """rows with the component of their set."""
+        found = rows.join(labels.withColumnRenamed("node", "id"), "id", "left")
+        return storage.written(found.select("entry", "id", "n", F.coalesce("component", "id").alias("component")))
+
+    # then each set with one set of each of its entries that is in another component; a pair for a row at most
+    for turn in range(STARS):
+        placed = placed_by(labels)
+        center = F.min_by(F.struct("id", "component"), F.xxhash64("id", F.lit(turn)))
+        centers = placed.groupBy("entry").agg(center.alias("c"), F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
+        pairs = placed.join(centers.select("entry", "c"), "entry").where("component <> c.component")
+        pairs = pairs.select(F.least("id", "c.id").alias("a"), F.greatest("id", "c.id").alias("b")).distinct()
+        more = storage.written(checked(pairs).join(done, ["a", "b"], "left_anti").select("a", "b"))
+        if not more.isEmpty():
+            done = storage.written(done.unionByName(more))
+            links = storage.written(links.unionByName(links_of(more)))
+            labels = components(links)
     # what an entry still brings together
-    placed = storage.written(rows.join(labels.withColumnRenamed("node", "id"), "id", "left").select("entry", "id", "n", F.coalesce("component", "id").alias("component")))
+    placed = placed_by(labels)
     open_ = placed.groupBy("entry").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("entry")
     open_rows = placed.join(open_, "entry").join(heads.select("id", "bits"), "id")
     open_rows = storage.written(open_rows.select("entry", "id", "component", F.struct("n", "bits").alias("s")))
     x, y = open_rows.alias("x"), open_rows.alias("y")
     meet = (F.col("x.entry") == F.col("y.entry")) & (F.col("x.id") < F.col("y.id")) & (F.col("x.component") != F.col("y.component")) & may_link("x.s", "y.s", share)
-    rest = x.join(y, meet).select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct().join(first, ["a", "b"], "left_anti")
+    rest = x.join(y, meet).select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct().join(done, ["a", "b"], "left_anti")
     rest = storage.written(rest)
     if not rest.isEmpty():
         labels = components(links.unionByName(links_of(rest)))
