@@ -57,3 +57,29 @@ def test_empty_tables_pass(spark):
     for _, stage in corpus_pipeline.STAGES:
         now = storage.written(stage(spark, now, SMALL))
     assert now.count() == 0
+
+
+def shingles(text, size=5):
+    own = text.lower().split()
+    return {tuple(own[k : k + size]) for k in range(len(own) - size + 1)}
+
+
+def likeness(a, b, size=5):
+    a, b = shingles(a, size), shingles(b, size)
+    return len(a & b) / len(a | b)
+
+
+def test_near_duplicates_of_five_words_and_four_fifths(spark):
+    import corpus_pipeline
+
+    def pair(n, tag):
+        base = [f"{tag}{k}" for k in range(n)]
+        other = [f"new{w}" if k in (20, 60, 100, 140) else w for k, w in enumerate(base)]
+        return " ".join(base), " ".join(other)
+
+    (a, b), (c, d) = pair(194, "a"), pair(174, "c")
+    assert 0.80 < likeness(a, b) < 0.82 and likeness(a, b, 4) < 0.85 and likeness(c, d) < 0.80
+    docs = queries.table(spark, SMALL, "documents")
+    rows = [(k, t, "en", "s", len(t)) for k, t in enumerate((a, b, c, d), 900001)]
+    now = corpus_pipeline.near_duplicates(spark, spark.createDataFrame(rows, docs.schema), SMALL)
+    assert {r.doc_id for r in now.collect()} == {900001, 900003, 900004}
