@@ -83,3 +83,34 @@ def test_near_duplicates_of_five_words_and_four_fifths(spark):
     rows = [(k, t, "en", "s", len(t)) for k, t in enumerate((a, b, c, d), 900001)]
     now = corpus_pipeline.near_duplicates(spark, spark.createDataFrame(rows, docs.schema), SMALL)
     assert {r.doc_id for r in now.collect()} == {900001, 900003, 900004}
+
+
+def test_stages_decide_by_id_and_text(spark):
+    import corpus_pipeline
+
+    docs = queries.table(spark, SMALL, "documents")
+    item = max((r.text for r in queries.table(spark, SMALL, "benchmark").collect()), key=lambda t: len(t.split()))
+    rng = random.Random(5)
+    fresh = lambda: " ".join(f"w{rng.randrange(10**9)}" for _ in range(120))
+    clean, shared, copied, far = fresh(), fresh(), fresh(), fresh()
+    leak, other_leak = fresh() + " " + item, fresh() + " " + item
+    rows = [
+        # without an id: one clean, one contaminated, copies of one text, and a copy of a row with an id
+        (None, clean), (None, leak), (None, copied), (None, copied), (None, far),
+        # under one id: unlike texts, one of them contaminated, and a row alike in id and text
+        (900001, shared), (900001, other_leak), (900001, shared),
+        (900002, far), (900002, far + " end"),
+        # the text that one row of a shared id has, under an id of its own
+        (900003, shared),
+    ]
+    planted = spark.createDataFrame([(k, t, "en", "s", len(t)) for k, t in rows], docs.schema)
+    one = lambda d: sorted((str(r.doc_id), r.text) for r in d.collect())
+    after = lambda *own: sorted((str(k), t) for k, t in own)
+
+    now = corpus_pipeline.near_duplicates(spark, planted, SMALL)
+    found = one(now)
+    ends = [t for k, t in found if k == "900002"]
+    assert len(ends) == 1 and ends[0] in (far, far + " end")
+    assert found == after((None, clean), (None, leak), (None, copied), (900001, shared), (900001, other_leak), (900002, ends[0]))
+    now = corpus_pipeline.decontamination(spark, planted, SMALL)
+    assert one(now) == after(*(r for r in rows if item not in r[1]))
