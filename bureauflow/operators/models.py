@@ -17,9 +17,14 @@ c = F.col
 
 
 def _weights(df: DataFrame, target: str) -> DataFrame:
-    """Class weights n / (2 n_class), so that both classes weigh the same."""
+    """Class weights n / (2 n_class), so that both classes weigh the same; kept if df has them."""
+    if "_w" in df.columns:
+        return df
     row = df.agg(F.count("*").alias("n"), F.sum(c(target).cast("double")).alias("bad")).first()
-    n, bad = row["n"], row["bad"]
+    return _weighted(df, target, row["n"], row["bad"])
+
+
+def _weighted(df: DataFrame, target: str, n: int, bad: float) -> DataFrame:
     return df.withColumn(
         "_w", F.when(c(target) == 1, n / (2 * bad)).otherwise(n / (2 * (n - bad)))
     )
@@ -135,14 +140,20 @@ def forward_by_gain(
     """Candidates in the given (IV) order; one is added when the test AUC grows enough."""
     chosen: list[str] = []
     best, rows = 0.5, []
-    for step, f in enumerate(candidates, 1):
-        model = fit(train, [*chosen, f], target)
-        auc = _auc(predict(model, test), "probability_bad", target)
-        added = auc - best >= min_gain
-        rows.append((step, f, auc, auc - best, "Added" if added else "Skipped"))
-        if added:
-            chosen.append(f)
-            best = auc
+    train, test = train.persist(), test.persist()
+    try:
+        data = _weights(train, target)  # classes are counted once
+        for step, f in enumerate(candidates, 1):
+            model = fit(data, [*chosen, f], target)
+            auc = _auc(predict(model, test), "probability_bad", target)
+            added = auc - best >= min_gain
+            rows.append((step, f, auc, auc - best, "Added" if added else "Skipped"))
+            if added:
+                chosen.append(f)
+                best = auc
+    finally:
+        train.unpersist()
+        test.unpersist()
     return train.sparkSession.createDataFrame(
         rows, "step int, feature string, auc double, gain double, status string"
     )
@@ -152,14 +163,23 @@ def fold_column(df: DataFrame, uid: str = "uid", folds: int = 5) -> DataFrame:
     return df.withColumn("fold", F.pmod(stable_hash(c(uid)), F.lit(folds)).cast("int"))
 
 
+def fold_frames(df: DataFrame, target: str, folds: int) -> list[tuple[DataFrame, DataFrame]]:
+    """(rows to fit on with their class weights, held-out rows) of each `fold`; one count for all."""
+    sums = df.groupBy("fold").agg(F.count("*").alias("n"), F.sum(c(target).cast("double")).alias("bad"))
+    of = {r["fold"]: (r["n"], r["bad"] or 0.0) for r in sums.where("fold is not null").collect()}
+    frames = []
+    for k in range(folds):
+        n, bad = (sum(x[i] for f, x in of.items() if f != k) for i in (0, 1))
+        frames.append((_weighted(df.where(c("fold") != k), target, n, bad), df.where(c("fold") == k)))
+    return frames
+
+
 def cross_validated_auc(
-    df: DataFrame, features: list[str], target: str, folds: int, fit=fit_logistic
+    df: DataFrame, features: list[str], target: str, folds: int, fit=fit_logistic, frames=None
 ) -> tuple[float, float]:
-    """(mean, standard deviation) of the held-out AUC; needs `fold`."""
-    scored = [
-        predict(fit(df.where(c("fold") != k), features, target), df.where(c("fold") == k))
-        for k in range(folds)
-    ]
+    """(mean, standard deviation) of the held-out AUC; needs `fold`, or the frames of fold_frames."""
+    frames = frames or fold_frames(df, target, folds)
+    scored = [predict(fit(rows, features, target), held) for rows, held in frames]
     aucs = [_auc(s, "probability_bad", target) for s in scored]
     return float(np.mean(aucs)), float(np.std(aucs))
 
@@ -191,7 +211,8 @@ def sequential_selection(
     if direction not in ("forward", "backward"):
         raise ValueError("direction must be 'forward' or 'backward'")
     data = (df if "fold" in df.columns else fold_column(df, folds=folds)).persist()
-    evaluate = lambda fs: cross_validated_auc(data, fs, target, folds, fit)
+    frames = fold_frames(data, target, folds)
+    evaluate = lambda fs: cross_validated_auc(data, fs, target, folds, fit, frames)
     current = [] if direction == "forward" else list(features)
     states, rows, idle = [], [], 0
     reference = -np.inf if direction == "forward" else evaluate(current)[0]
@@ -253,7 +274,7 @@ def grid_search(
     fit=fit_boosted,
 ) -> tuple[dict, DataFrame]:
     """Fit every parameter set on train, evaluate on all periods, rank by the stability objective."""
-    train = df.where(c(split) == "train")
+    train = _weights(df.where(c(split) == "train"), target)
     frames = [
         predict(fit(train, features, target, **p), df).select(
             F.lit(i).alias("trial"), split, target, "probability_bad"

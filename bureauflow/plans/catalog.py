@@ -716,16 +716,14 @@ def e8_vif(spark, sf_dir):
 def e9_forward_by_gain(spark, sf_dir):
     m = split_frame(spark, sf_dir).fillna(0, subset=FEATURES)
     train, test = m.where("split = 'train'"), m.where("split = 'test'")
-    return models.forward_by_gain(train, test, ["signal", "c_acctbal", "n_lines"])
+    iv = _iv_map(train)
+    return models.forward_by_gain(train, test, sorted(PAIRED, key=lambda f: (-iv[f], f)))
 
 
 @query
 def e10_sequential_selection(spark, sf_dir):
     m = train_frame(spark, sf_dir).fillna(0, subset=FEATURES)
-    _, steps = models.sequential_selection(
-        m, ["signal", "c_acctbal", "n_lines"], folds=2, max_features=2
-    )
-    return steps
+    return models.sequential_selection(m, PAIRED)[1]
 
 
 @query
@@ -922,7 +920,7 @@ def m17_cutoff_table(spark, sf_dir):
 @query
 def m18_importance(spark, sf_dir):
     m = train_frame(spark, sf_dir).fillna(0, subset=FEATURES)
-    model = models.fit_boosted(m, PAIRED, maxIter=3)
+    model = models.fit_boosted(m, PAIRED)
     return models.tree_importance(model, spark, PAIRED)
 
 
@@ -932,24 +930,23 @@ def m18_importance(spark, sf_dir):
 @query
 def l1_logistic(spark, sf_dir):
     m = train_frame(spark, sf_dir)
-    names = ["signal", "c_acctbal", "sum_price"]
-    encoded = binning.woe_encode(m, binning.fit_woe(m, names))
-    woe = [f"{f}_woe" for f in names]
+    encoded = binning.woe_encode(m, binning.fit_woe(m, PAIRED))
+    woe = [f"{f}_woe" for f in PAIRED]
     return models.coefficient_table(models.fit_logistic(encoded, woe), spark, woe)
 
 
 @query
 def l2_boosted(spark, sf_dir):
     m = split_frame(spark, sf_dir).fillna(0, subset=FEATURES)
-    model = models.fit_boosted(m.where("split = 'train'"), PAIRED, maxIter=5)
+    model = models.fit_boosted(m.where("split = 'train'"), PAIRED)
     return metrics.auc_table(models.predict(model, m), "probability_bad", "target", ["split"])
 
 
 @query
 def l3_grid_search(spark, sf_dir):
     m = split_frame(spark, sf_dir).fillna(0, subset=FEATURES)
-    grid = [{"maxIter": 2, "maxDepth": 2}, {"maxIter": 3, "maxDepth": 3}]
-    return models.grid_search(m, ["signal", "c_acctbal"], grid)[1]
+    grid = [{"maxDepth": 2}, {"maxDepth": 3}]  # the other values are fit_boosted's own
+    return models.grid_search(m, PAIRED, grid)[1]
 
 
 @query
