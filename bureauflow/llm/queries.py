@@ -148,12 +148,12 @@ ORACLES: dict[str, str] = {
         with hashed as (select page_id, coalesce(html, '') as body from pages),
         digits as (select page_id, octet_length(encode(body)) as size, sha1(body) as hex from hashed),
         bits as (
-            select page_id, size, hex, list_aggregate(list_transform(range(1, 41), k -> lpad(bin(strpos('0123456789abcdef', substr(hex, k, 1)) - 1), 4, '0')), 'string_agg', '') as bits
+            select page_id, size, hex, list_aggregate(list_transform(range(1, 41), lambda k: lpad(bin(strpos('0123456789abcdef', substr(hex, k, 1)) - 1), 4, '0')), 'string_agg', '') as bits
             from digits
         ),
         digests as (
             select page_id, size, hex, list_aggregate(
-                list_transform(range(0, 32), k -> substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', cast(('0b' || substr(bits, 5 * k + 1, 5)) as int) + 1, 1)), 'string_agg', '') as digest
+                list_transform(range(0, 32), lambda k: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', cast(('0b' || substr(bits, 5 * k + 1, 5)) as int) + 1, 1)), 'string_agg', '') as digest
             from bits
         ),
         kept as (select *, max(page_id) over (partition by hex, size) as keep from digests)
