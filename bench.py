@@ -40,11 +40,7 @@ def iv_all_features(spark, sf):
 
 
 def psi_by_quarter(spark, sf):
-    base, cmp = psi.period_vs_all(catalog.train_frame(spark, sf))
-    return psi.psi(
-        binning.long_form(base, catalog.FEATURES, ["base_id"]),
-        binning.long_form(cmp, catalog.FEATURES, ["base_id", "label"]),
-    )
+    return psi.plan_psi(psi.by_period(catalog.train_frame(spark, sf)), catalog.FEATURES)
 
 
 def auc_by_feature(spark, sf):

@@ -1,11 +1,11 @@
 """Exact ranks, cumulative counts and quantiles within groups of any size.
 
 A group may be a whole column (one score, one feature), so it is never sorted in one task. Values
-are first collapsed to (group, value) counts. Groups larger than `max_group` are then cut into
-value ranges by approximate quantiles, every range is accumulated on its own, and a table of range
-totals (at most CHUNKS rows per group) supplies the offsets. The cut points only steer the
-distribution of work; results are exact. They are fetched once, so a recomputed task sees the same
-ranges.
+are first collapsed to (group, value) counts. Groups of more than `max_group` distinct values are
+cut into value ranges, every range is accumulated on its own, and a table of range totals (at most
+CHUNKS rows per group) supplies the offsets. The cuts are part of the plan: no job runs before the
+result is asked for. They are the values of least hash in each of SLOTS classes, evened out, so they
+depend on the data alone and a recomputed task sees the same ranges; results are exact in any case.
 """
 
 from __future__ import annotations
@@ -14,25 +14,43 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 CHUNKS = 256
+SLOTS = 4 * CHUNKS
 MAX_GROUP = 2_000_000
 
 
-def _cut_points(df: DataFrame, by: list[str], value: str, max_group: int) -> DataFrame | None:
-    """Per over-full group an array of CHUNKS - 1 cut points; None when every group fits."""
-    probs = F.array(*[F.lit(i / CHUNKS) for i in range(1, CHUNKS)])
-    # the sketch is evaluated only for groups that turn out to be over-full
-    sizes = df.groupBy(*by).agg(F.count(value).alias("_size"))
-    big = sizes.where(F.col("_size") > max_group).select(*by)
-    keys = big.collect()
-    if not keys:
-        return None
-    spark = df.sparkSession
+def _cut_points(freq: DataFrame, by: list[str], value: str, max_group: int) -> DataFrame:
+    """by, _cuts: CHUNKS - 1 ascending values of an over-full group, NULL where a group fits.
+
+    freq has one row per distinct (group, value).
+    """
+    hashed = F.xxhash64(value)
+    drawn = freq.groupBy(*by, F.pmod(hashed, F.lit(SLOTS)).alias("_slot")).agg(
+        F.min(F.struct(hashed.alias("h"), F.col(value).alias("v")))["v"].alias("_v"),
+        F.count("*").alias("_k"),
+    )
+    found = drawn.groupBy(*by).agg(
+        F.sum("_k").alias("_size"), F.sort_array(F.collect_list("_v")).alias("_drawn")
+    )
+    every = SLOTS // CHUNKS
+    cuts = F.filter("_drawn", lambda _, i: i % every == every - 1)
+    return found.select(*by, F.when(F.col("_size") > max_group, cuts).alias("_cuts"))
+
+
+def _same(by: list[str], a: str, b: str) -> list[Column]:
+    return [F.col(f"{a}.{x}").eqNullSafe(F.col(f"{b}.{x}")) for x in by]
+
+
+def in_ranges(freq: DataFrame, by: list[str], value: str, max_group: int = MAX_GROUP) -> DataFrame:
+    """freq (one row per distinct (group, value)) with `_chunk`, the number of its value range."""
+    cuts = _cut_points(freq, by, value, max_group)
     if by:
-        listed = spark.createDataFrame(keys, big.schema)
-        cond = [F.col(f"a.{b}").eqNullSafe(F.col(f"b.{b}")) for b in by]
-        df = df.alias("a").join(F.broadcast(listed).alias("b"), cond, "left_semi")
-    cuts = df.groupBy(*by).agg(F.percentile_approx(value, probs, 10 * CHUNKS).alias("_cuts"))
-    return spark.createDataFrame(cuts.collect(), cuts.schema)
+        joined = freq.alias("f").join(cuts.alias("c"), _same(by, "f", "c"), "left")
+        freq = joined.select("f.*", "_cuts")
+    else:
+        freq = freq.withColumn("_cuts", cuts.scalar())
+    below = F.size(F.filter("_cuts", lambda x: x < F.col(value)))
+    chunk = F.when(F.col("_cuts").isNull(), 0).otherwise(below)
+    return freq.withColumn("_chunk", chunk).drop("_cuts")
 
 
 def cumulative(
@@ -49,42 +67,26 @@ def cumulative(
     """
     df = df.where(F.col(value).isNotNull())
     freq = df.groupBy(*by, value).agg(*[F.sum(e).alias(k) for k, e in sums.items()])
-    cuts = _cut_points(df, by, value, max_group)
-    part = [F.col(b) for b in by] or [F.lit(0)]
     before = lambda w: w.rowsBetween(Window.unboundedPreceding, -1)
     zero = lambda c: F.coalesce(c, F.lit(0))
-    if cuts is None:
-        w = Window.partitionBy(*part)
-        ordered = before(w.orderBy(value))
-        return freq.select(
-            *by,
-            value,
-            *sums,
-            *[zero(F.sum(k).over(ordered)).alias(f"{k}_before") for k in sums],
-            *[F.sum(k).over(w).alias(f"{k}_total") for k in sums],
-        )
-    cuts = F.broadcast(cuts)
-    if by:
-        cond = [F.col(f"f.{b}").eqNullSafe(F.col(f"c.{b}")) for b in by]
-        freq = freq.alias("f").join(cuts.alias("c"), cond, "left").select("f.*", "_cuts")
-    else:
-        freq = freq.withColumn("_cuts", F.lit(cuts.first()["_cuts"]))
-    chunk = F.coalesce(F.size(F.filter("_cuts", lambda c: c < F.col(value))), F.lit(0))
-    freq = freq.withColumn("_chunk", F.when(F.col("_cuts").isNull(), 0).otherwise(chunk)).drop(
-        "_cuts"
+    part = [*by, "_chunk"]
+    dealt = in_ranges(freq, by, value, max_group).repartition(*part)
+    # the bounds of the ranges keep the value in both uses of `dealt`, which then share its exchange
+    totals = dealt.groupBy(*part).agg(
+        F.max(value).alias("_last"), *[F.sum(k).alias(k) for k in sums]
     )
-    totals = freq.groupBy(*by, "_chunk").agg(*[F.sum(k).alias(k) for k in sums])
-    w = Window.partitionBy(*part)
+    group = [F.col(b) for b in by] or [F.lit(0)]
+    w = Window.partitionBy(*group)  # a row per range
     offsets = totals.select(
-        *by,
-        "_chunk",
+        *part,
+        "_last",
         *[zero(F.sum(k).over(before(w.orderBy("_chunk")))).alias(f"_{k}_off") for k in sums],
         *[F.sum(k).over(w).alias(f"{k}_total") for k in sums],
     )
-    local = before(Window.partitionBy(*part, F.col("_chunk")).orderBy(value))
-    freq = freq.select("*", *[zero(F.sum(k).over(local)).alias(f"_{k}_loc") for k in sums])
-    cond = [F.col(f"f.{b}").eqNullSafe(F.col(f"o.{b}")) for b in [*by, "_chunk"]]
-    joined = freq.alias("f").join(offsets.alias("o"), cond)
+    local = before(Window.partitionBy(*part).orderBy(value))
+    rows = dealt.select("*", *[zero(F.sum(k).over(local)).alias(f"_{k}_loc") for k in sums])
+    inside = F.col(f"f.{value}") <= F.col("_last")
+    joined = rows.alias("f").join(offsets.alias("o"), [*_same(part, "f", "o"), inside])
     return joined.select(
         *[F.col(f"f.{b}").alias(b) for b in by],
         F.col(f"f.{value}").alias(value),
@@ -139,10 +141,10 @@ def first_k(
     cum = cumulative(df, by, order, {"n": F.lit(1)}, max_group).withColumn("_k", k)
     cut = cum.where((F.col("n_before") < F.col("_k")) & (F.col("_k") <= F.col("n_before") + F.col("n")))
     cut = cut.select(*by, F.col(order).alias("_v"), (F.col("_k") - F.col("n_before")).alias("_left"))
-    same = [F.col(f"d.{b}").eqNullSafe(F.col(f"c.{b}")) for b in by]
+    same = _same(by, "d", "c")
     at_cut = (
         df.alias("d")
-        .join(F.broadcast(cut).alias("c"), [*same, F.col(f"d.{order}") == F.col("_v")])
+        .join(cut.alias("c"), [*same, F.col(f"d.{order}") == F.col("_v")])
         .select("d.*", "_left")
     )
     ranked = cumulative(at_cut, [*by, "_left"], tie, {"n": F.lit(1)}, max_group)
@@ -150,12 +152,11 @@ def first_k(
         *by, F.col(tie).alias("_u")
     )
     if by:
-        on = [F.col(f"x.{b}").eqNullSafe(F.col(f"y.{b}")) for b in by]
-        bound = cut.alias("x").join(last.alias("y"), on).select("x.*", "_u")
-        out = df.alias("d").join(F.broadcast(bound).alias("c"), same, "left")
+        bound = cut.alias("x").join(last.alias("y"), _same(by, "x", "y")).select("x.*", "_u")
+        out = df.alias("d").join(bound.alias("c"), same, "left")
     else:
-        bound = cut.join(F.broadcast(last))
-        out = df.alias("d").join(F.broadcast(bound).alias("c"), how="left")
+        # one row, or none
+        out = df.alias("d").join(F.broadcast(cut.join(F.broadcast(last))).alias("c"), how="left")
     chosen = (F.col(f"d.{order}") < F.col("_v")) | (
         (F.col(f"d.{order}") == F.col("_v")) & (F.col(f"d.{tie}") <= F.col("_u"))
     )

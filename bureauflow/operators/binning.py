@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import math
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -57,14 +54,17 @@ def qcut_edges(
 
 
 def with_bins(
-    long: DataFrame, edges: DataFrame, by: list[str] | None = None, closed: str = "right"
+    long: DataFrame,
+    edges: DataFrame,
+    by: list[str] | None = None,
+    closed: str = "right",
+    keep: Column | None = None,
 ) -> DataFrame:
-    """long plus `bin`; edges are one row per feature (and base), a broadcastable size."""
+    """long plus `bin`; edges are one row per feature (and base). keep: an expression over edges."""
     by = by or ["feature"]
     on = [F.col(f"l.{b}").eqNullSafe(F.col(f"e.{b}")) for b in by]
-    joined = long.alias("l").join(
-        F.broadcast(edges.select(*by, "edges")).alias("e"), on
-    ).select("l.*", "edges")
+    joined = long.alias("l").join(F.broadcast(edges.select(*by, "edges")).alias("e"), on)
+    joined = joined.select("l.*", "edges", *([] if keep is None else [keep]))
     return joined.withColumn("bin", bin_of(c("value"), c("edges"), closed)).drop("edges")
 
 
@@ -211,13 +211,14 @@ BINS_SCHEMA = (
     "feature string, bin_id int, lower double, upper double, n bigint, good bigint, bad bigint, "
     "woe double, iv double"
 )
+BIN_COLUMNS = [x.split()[0] for x in BINS_SCHEMA.split(", ")]
 
 
 def fit_bins(
     df: DataFrame, features: list[str], target: str = "target", n_bins: int = 10,
     missing_bin: bool = True,
 ) -> DataFrame:
-    """Initial bins with observed bounds; missing values form bin -1. Columns as BINS_SCHEMA."""
+    """Initial bins with observed bounds; missing values form bin -1. Columns as BIN_COLUMNS."""
     long = long_form(df, features, [target])
     binned = with_bins(long, qcut_edges(long, n_bins=n_bins))
     if missing_bin:
@@ -244,33 +245,6 @@ def fit_bins(
     )
 
 
-def _join_bins(a: dict, b: dict, goods: int, bads: int) -> dict:
-    out = dict(
-        a,
-        upper=max(a["upper"], b["upper"]),
-        lower=min(a["lower"], b["lower"]),
-        **{k: a[k] + b[k] for k in ("n", "good", "bad")},
-    )
-    pg, pb = max(out["good"] / goods, EPSILON), max(out["bad"] / bads, EPSILON)
-    out["woe"] = math.log(pg / pb)
-    out["iv"] = (pg - pb) * out["woe"]
-    return out
-
-
-def _per_feature(bins: DataFrame, totals: tuple[int, int], merge) -> DataFrame:
-    """Apply a merge rule to the few bins of every feature."""
-    goods, bads = totals
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        rows = pdf.sort_values("bin_id").to_dict("records")
-        regular = [r for r in rows if r["bin_id"] >= 0]
-        missing = [r for r in rows if r["bin_id"] < 0]
-        merged = merge(regular, len(rows), goods, bads)
-        return pd.DataFrame(merged + missing, columns=pdf.columns)
-
-    return bins.groupBy("feature").applyInPandas(run, BINS_SCHEMA)
-
-
 def class_totals(df: DataFrame, target: str = "target") -> tuple[int, int]:
     """(number of goods, number of bads)."""
     row = df.agg(
@@ -279,43 +253,76 @@ def class_totals(df: DataFrame, target: str = "target") -> tuple[int, int]:
     return row["g"], row["b"]
 
 
+def _with_woe(counts: DataFrame, totals: tuple[int, int]) -> DataFrame:
+    """Bin counts with weight of evidence and information value, columns as BIN_COLUMNS."""
+    woe, iv = woe_columns(c("good"), c("bad"), *(F.lit(x) for x in totals))
+    return counts.withColumns({"woe": woe, "iv": iv}).select(*BIN_COLUMNS)
+
+
 def merge_small_bins(
     bins: DataFrame, totals: tuple[int, int], min_bin_size: float = 0.05
 ) -> DataFrame:
-    """Fold bins below the minimum share into the previous one; two bins or fewer stay."""
+    """Put bins below the minimum share to the bin before them; two bins or fewer stay.
+
+    A bin heads a new one if it is large enough, the first regular one or the missing bin, so the
+    number of heads so far tells which bins belong together.
+    """
+    feature = Window.partitionBy("feature")  # a handful of bins
+    regular = c("bin_id") >= 0
+    least = F.floor(F.sum(F.when(regular, c("n"))).over(feature) * min_bin_size)
+    first = F.min(F.when(regular, c("bin_id"))).over(feature)
+    few = F.count("*").over(feature) <= 2
+    heads = ~regular | (c("bin_id") == first) | (c("n") >= least) | few
+    marked = bins.withColumn("heads", heads.cast("int"))
+    marked = marked.withColumn("head", F.sum("heads").over(feature.orderBy("bin_id")))
+    counts = marked.groupBy("feature", "head").agg(
+        F.min("bin_id").alias("bin_id"),
+        F.min("lower").alias("lower"),
+        F.max("upper").alias("upper"),
+        *[F.sum(k).alias(k) for k in ("n", "good", "bad")],
+    )
+    return _with_woe(counts, totals)
 
-    def merge(regular, n_rows, goods, bads):
-        if n_rows <= 2:
-            return regular
-        least = int(sum(r["n"] for r in regular) * min_bin_size)
-        kept: list[dict] = []
-        for r in regular:
-            if kept and r["n"] < least:
-                kept[-1] = _join_bins(kept[-1], r, goods, bads)
-            else:
-                kept.append(r)
-        return kept
 
-    return _per_feature(bins, totals, merge)
+RUN = "array<struct<bin_id:int,lower:double,upper:double,n:bigint,good:bigint,bad:bigint,woe:double>>"
 
 
 def make_monotonic(bins: DataFrame, totals: tuple[int, int], rounds: int = 100) -> DataFrame:
-    """Join the first neighbouring pair against the overall direction until none is left."""
-
-    def merge(regular, n_rows, goods, bads):
-        for _ in range(rounds):
-            if len(regular) <= 2:
-                break
-            sign = 1 if regular[-1]["woe"] - regular[0]["woe"] >= 0 else -1
-            steps = [sign * (b["woe"] - a["woe"]) for a, b in zip(regular, regular[1:])]
-            i = next((k for k, s in enumerate(steps) if s < 0), None)
-            if i is None:
-                break
-            joined = _join_bins(regular[i], regular[i + 1], goods, bads)
-            regular = regular[:i] + [joined] + regular[i + 2 :]
-        return regular
-
-    return _per_feature(bins, totals, merge)
+    """Join neighbours until the weight of evidence goes one way, from first to last bin.
+
+    A fold over a feature's array of bins: each step joins the first pair that goes against the
+    direction of the ends as they are then, and leaves an array of two bins, or without such a
+    pair, as it is. Each join takes a bin away, so there are no more steps than bins.
+    """
+
+    def joined(a: Column, b: Column) -> Column:
+        good, bad = a["good"] + b["good"], a["bad"] + b["bad"]
+        woe, _ = woe_columns(good, bad, *(F.lit(x) for x in totals))
+        return F.struct(
+            a["bin_id"], F.least(a["lower"], b["lower"]), F.greatest(a["upper"], b["upper"]),
+            a["n"] + b["n"], good, bad, woe,
+        )
+
+    def step(run: Column, _: Column) -> Column:
+        ends = F.get(run, F.size(run) - 1)["woe"] - F.get(run, F.lit(0))["woe"]
+        way = F.when(ends >= 0, 1).otherwise(-1)
+        against = F.transform(
+            F.sequence(F.lit(0), F.size(run) - 2),
+            lambda i: way * (F.get(run, i + 1)["woe"] - F.get(run, i)["woe"]) < 0,
+        )
+        at = F.array_position(against, True).cast("int")  # from 1; 0 if there is none
+        both = F.array(joined(F.get(run, at - 1), F.get(run, at)))
+        shorter = F.concat(F.slice(run, 1, at - 1), both.cast(RUN), F.slice(run, at + 2, F.size(run)))
+        return F.when((F.size(run) > 2) & (at > 0), shorter).otherwise(run).cast(RUN)
+
+    fields = ["bin_id", "lower", "upper", "n", "good", "bad", "woe"]
+    regular = bins.where(c("bin_id") >= 0).groupBy("feature").agg(
+        F.sort_array(F.collect_list(F.struct(*fields))).cast(RUN).alias("run")
+    )
+    steps = F.sequence(F.lit(1), F.least(F.size("run"), F.lit(rounds)))
+    merged = regular.select("feature", F.inline(F.aggregate(steps, c("run"), step)))
+    missing = bins.where(c("bin_id") < 0).select("feature", *fields)
+    return _with_woe(merged.unionByName(missing), totals)
 
 
 def fit_woe(

@@ -5,11 +5,13 @@ from __future__ import annotations
 import math
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from bureauflow.functions import ranking
+from bureauflow.operators import metrics
 from bureauflow.operators.binning import bin_of
 
 c = F.col
@@ -36,16 +38,62 @@ def platt(df: DataFrame, score: str, target: str) -> DataFrame:
     return out.select(*df.columns, "calibrated")
 
 
-def isotonic(df: DataFrame, score: str, target: str) -> DataFrame:
-    """df with `calibrated`: monotone step fit, clipped to [0, 1]."""
-    from pyspark.ml.regression import IsotonicRegression
+# Rows of a score range that is pooled alone, ranges put together at a time, and how often.
+RANGE_ROWS = 4_096
+FAN_IN = 256
+ROUNDS = 3
+BLOCKS = "part bigint, start bigint, n bigint, bad bigint"
+
+
+def _pool(group: pa.Table) -> pa.Table:
+    """Neighbouring blocks of one group, pooled until their bad rates rise from each to the next."""
+    part = group.column("part")[0].as_py()
+    rows = sorted(zip(*(group.column(k).to_pylist() for k in ("start", "n", "bad"))))
+    kept: list[tuple[int, int, int]] = []
+    for start, n, bad in rows:
+        # a rate that is no higher than the one before: whole numbers, so the comparison is exact
+        while kept and kept[-1][2] * n >= bad * kept[-1][1]:
+            start, before, b = kept.pop()
+            n, bad = n + before, bad + b
+        kept.append((start, n, bad))
+    columns = zip(*kept)
+    return pa.table([pa.array([part] * len(kept), pa.int64()), *(pa.array(x, pa.int64()) for x in columns)],
+                    ["part", "start", "n", "bad"])
+
+
+def isotonic_steps(df: DataFrame, score: str, target: str) -> DataFrame:
+    """score, n, bad, calibrated: the monotone step fit at every distinct score (pool adjacent violators).
+
+    Ranges of about RANGE_ROWS rows by the rank of the score pool their own scores into blocks of
+    rising bad rate; FAN_IN neighbouring ranges then pool each other's blocks, ROUNDS times. Pooling
+    is associative, so the result is that of one pass over all scores. Blocks of n rows in all have
+    distinct bad rates, hence there are at most about n ** (2 / 3) of them in the last group.
+    """
+    rows = metrics.curve(df, score, target).select(
+        c(score).alias("score"), c("n_before").cast("bigint").alias("start"), "n", "bad"
+    )
+    rows = rows.withColumn("part", F.floor(c("start") / RANGE_ROWS))
+    blocks = rows.select("part", "start", "n", "bad")
+    for _ in range(1 + ROUNDS):
+        blocks = blocks.groupBy("part").applyInArrow(_pool, BLOCKS)
+        blocks = blocks.withColumn("part", F.floor(c("part") / FAN_IN))
+    # a block stands at its start and at the start of every further range it reaches into
+    first, last = F.floor(c("start") / RANGE_ROWS), F.floor((c("start") + c("n") - 1) / RANGE_ROWS)
+    marks = blocks.select(
+        "start", (c("bad") / c("n")).alias("rate"), F.explode(F.sequence(first, last)).alias("part")
+    ).select("part", F.greatest("start", c("part") * RANGE_ROWS).alias("start"), "rate")
+    both = rows.select("*", F.lit(None).cast("double").alias("rate"), F.lit(1).alias("kind")).unionByName(
+        marks.withColumn("kind", F.lit(0)), allowMissingColumns=True
+    )
+    so_far = Window.partitionBy("part").orderBy("start", "kind")  # a range's rows
+    value = F.last("rate", ignorenulls=True).over(so_far)
+    return both.withColumn("calibrated", value).where(c("kind") == 1).select("score", "n", "bad", "calibrated")
 
-    data = _vector(df, score)
-    model = IsotonicRegression(
-        featuresCol="_x", labelCol=target, predictionCol="calibrated"
-    ).fit(data)
-    clip = F.least(F.greatest(c("calibrated"), F.lit(0.0)), F.lit(1.0))
-    return model.transform(data).withColumn("calibrated", clip).select(*df.columns, "calibrated")
+
+def isotonic(df: DataFrame, score: str, target: str) -> DataFrame:
+    """df with `calibrated`: the monotone step fit at the row's score; NULL for a missing score."""
+    steps = isotonic_steps(df, score, target).select(c("score").alias("_score"), "calibrated")
+    return df.join(steps, c(score) == c("_score"), "left").drop("_score")
 
 
 def _logit(score: str) -> Column:

@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from bureauflow.functions import ranking
 from bureauflow.operators import binning, metrics
 
 c = F.col
@@ -139,9 +140,9 @@ def temporal_filter(
 def correlation_pairs(df: DataFrame, features: list[str], method: str = "pearson") -> DataFrame:
     """feature_a, feature_b, correlation of all pairs (pairwise complete).
 
-    Spearman first replaces values by their average rank.
+    Spearman takes average ranks, with missing values as 0.
     """
-    return _pearson_pairs(_ranked(df, features) if method == "spearman" else df, features)
+    return (_rank_pairs if method == "spearman" else _pearson_pairs)(df, features)
 
 
 def _pearson_pairs(df: DataFrame, features: list[str]) -> DataFrame:
@@ -151,7 +152,8 @@ def _pearson_pairs(df: DataFrame, features: list[str]) -> DataFrame:
     mean, so that no digits are lost when the moments are combined.
     """
     k = len(features)
-    number = {f: c(f).cast("double") for f in features}
+    # NaN is missing as well
+    number = {f: F.nanvl(c(f).cast("double"), F.lit(None).cast("double")) for f in features}
     center = df.agg(*[F.avg(number[f]).alias(f) for f in features]).first()
     shift = np.array([center[f] or 0.0 for f in features])
     first, second = np.triu_indices(k, 1)
@@ -187,21 +189,61 @@ def _pearson_pairs(df: DataFrame, features: list[str]) -> DataFrame:
     )
 
 
-def _ranked(df: DataFrame, features: list[str]) -> DataFrame:
-    """Average ranks, missing values as 0; ranks come from the cumulative frequencies.
+# Rows that are held as a matrix at a time.
+BLOCK = 1_024
 
-    Each feature's ranks are counted on the frame itself, so the plan has one branch per feature.
+
+def _rank_pairs(df: DataFrame, features: list[str]) -> DataFrame:
+    """Spearman's correlation of all pairs by one rank dictionary of all features.
+
+    Equal rows are one row with a weight. Values other than 0 are laid out by feature, ranked
+    together, met with their ranks and put back to rows: the plan doesn't grow with the features.
+    Ranks are taken relative to that of 0, so zeros take part in sums without being sent.
     """
-    from bureauflow.functions import ranking
+    values = F.array(*[F.coalesce(c(f).cast("double"), F.lit(0.0)) for f in features])
+    rows = df.groupBy(values.alias("v")).agg(F.count("*").alias("w"))
+    total = df.agg(F.count("*")).scalar()
+    key = F.struct(F.xxhash64("v"), F.xxhash64(F.lit(1), "v"))
+    long = rows.select(key.alias("key"), "w", F.posexplode("v").alias("f", "value")).where(c("value") != 0)
+    weight = {"k": c("w"), "low": F.when(c("value") < 0, c("w")).otherwise(F.lit(0))}
+    # half the zeros stand between 0's rank and the first above it, and as many below
+    zeros = (total - c("k_total")) / 2
+    rank = c("k_before") + c("k") / 2 - c("low_total") + F.when(c("value") > 0, zeros).otherwise(-zeros)
+    ranks = ranking.cumulative(long, ["f"], "value", weight).select("f", "value", rank.alias("rank"))
+    met = long.join(ranks, ["f", "value"]).groupBy("key").agg(
+        F.max("w").alias("w"), F.collect_list("f").alias("fs"), F.collect_list("rank").alias("ranks")
+    )
+    k = len(features)
+    first, second = np.triu_indices(k)
 
-    clean = df.select(*[F.coalesce(c(f).cast("double"), F.lit(0.0)).alias(f) for f in features])
-    out = clean
-    for f in features:
-        ranks = ranking.cumulative(clean.select(f), [], f, {"k": F.lit(1)}).select(
-            f, (c("k_before") + (c("k") + 1) / 2).alias(f"{f}__rank")
-        )
-        out = out.join(ranks, f)
-    return out.select(*[c(f"{f}__rank").alias(f) for f in features])
+    def moments(batches):
+        sums, products = np.zeros(k), np.zeros((k, k))
+        for batch in batches:
+            for at in range(0, batch.num_rows, BLOCK):
+                w, fs, ranked = batch.slice(at, BLOCK).columns
+                w = w.to_numpy().astype(float)
+                row = np.repeat(np.arange(len(w)), fs.value_lengths().to_numpy())
+                x = np.zeros((len(w), k))
+                x[row, fs.flatten().to_numpy()] = ranked.flatten().to_numpy()
+                sums += w @ x
+                products += (x * w[:, None]).T @ x
+        a, b = np.append(first, np.arange(k)), np.append(second, np.full(k, -1))
+        both = np.append(products[first, second], sums)
+        yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(both)], ["a", "b", "s"])
+
+    made = met.select("w", "fs", "ranks").mapInArrow(moments, "a bigint, b bigint, s double")
+    sums = made.groupBy("a", "b").agg(F.sum("s").alias("s"))
+    one = sums.where(c("b") < 0).select(c("a").alias("i"), c("s").alias("sum"))
+    square = sums.where(c("a") == c("b")).select(c("a").alias("i"), c("s").alias("square"))
+    each = one.join(square, "i").select("i", "sum", (c("square") - c("sum") * c("sum") / total).alias("spread"))
+    side = lambda x: each.select(c("i").alias(x), c("sum").alias(f"sum_{x}"), c("spread").alias(f"spread_{x}"))
+    product = c("s") - c("sum_a") * c("sum_b") / total
+    r = F.when((c("spread_a") > 0) & (c("spread_b") > 0), product / F.sqrt(c("spread_a") * c("spread_b")))
+    names = df.sparkSession.createDataFrame(list(enumerate(features)), "i bigint, name string")
+    name = lambda x: names.select(c("i").alias(x), c("name").alias(f"feature_{x}"))
+    found = sums.where((c("b") >= 0) & (c("a") < c("b"))).join(side("a"), "a").join(side("b"), "b").select("a", "b", r.alias("correlation"))
+    pairs = name("a").join(name("b"), c("a") < c("b"))
+    return pairs.join(found, ["a", "b"], "left").select("feature_a", "feature_b", "correlation")
 
 
 def correlation_matrix(df: DataFrame, features: list[str], method: str = "pearson") -> DataFrame:

@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import math
 from concurrent.futures import ThreadPoolExecutor
-from zlib import crc32
+from functools import lru_cache
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from bureauflow.functions.expressions import stable_hash
+from bureauflow.operators import newton
 from bureauflow.operators.metrics import auc_table, curve
 
 c = F.col
@@ -140,17 +142,22 @@ def forward_by_gain(
     """Candidates in the given (IV) order; one is added when the test AUC grows enough."""
     chosen: list[str] = []
     best, rows = 0.5, []
+    # a boosted or user-given fit goes one by one, logistic ones together
+    ahead = _logistic_aucs(train, test, candidates, target) if fit is fit_logistic else None
     train, test = train.persist(), test.persist()
     try:
-        data = _weights(train, target)  # classes are counted once
-        for step, f in enumerate(candidates, 1):
-            model = fit(data, [*chosen, f], target)
-            auc = _auc(predict(model, test), "probability_bad", target)
+        data = None if ahead else _weights(train, target)  # classes are counted once
+        waiting, aucs = list(candidates), []
+        while waiting:
+            if ahead and not aucs:
+                aucs = ahead([[*chosen, f] for f in waiting])
+            f = waiting.pop(0)
+            auc = aucs.pop(0) if ahead else _auc(predict(fit(data, [*chosen, f], target), test), "probability_bad", target)
             added = auc - best >= min_gain
-            rows.append((step, f, auc, auc - best, "Added" if added else "Skipped"))
+            rows.append((len(rows) + 1, f, auc, auc - best, "Added" if added else "Skipped"))
             if added:
                 chosen.append(f)
-                best = auc
+                best, aucs = auc, []
     finally:
         train.unpersist()
         test.unpersist()
@@ -159,6 +166,25 @@ def forward_by_gain(
     )
 
 
+def _logistic_aucs(train: DataFrame, test: DataFrame, features: list[str], target: str):
+    """A function from sets of features to the test AUC of each set's logistic fit on train.
+
+    All sets share the passes over train and one over test; until a candidate is added, the
+    candidates after it are judged by the same pass.
+    """
+    rows = train.withColumn("fold", F.lit(0))
+    known: dict = {}
+
+    def aucs(sets: list[list[str]]) -> list[float]:
+        fits, stats = newton.fit_many(rows, features, sets, target, [-1], known=known.get("stats"))
+        known["stats"] = stats
+        scores = newton.held_out_scores(test.withColumn("fold", F.lit(0)), features, fits, stats, list(range(len(sets))), target)
+        found = {r["set"]: r["auc"] for r in auc_table(scores, "score", target, ["set"]).collect()}
+        return [float(found[k]) for k in range(len(sets))]
+
+    return aucs
+
+
 def fold_column(df: DataFrame, uid: str = "uid", folds: int = 5) -> DataFrame:
     return df.withColumn("fold", F.pmod(stable_hash(c(uid)), F.lit(folds)).cast("int"))
 
@@ -206,16 +232,50 @@ def sequential_selection(
 ) -> tuple[list[str], DataFrame]:
     """Stepwise selection by cross-validated AUC with the one-standard-error rule.
 
-    Candidates of a step are independent Spark jobs and run from a small thread pool.
+    Logistic candidates of a step are fitted together, on all folds (`newton`); fits of another kind
+    are independent Spark jobs and run from a small thread pool.
     """
     if direction not in ("forward", "backward"):
         raise ValueError("direction must be 'forward' or 'backward'")
     data = (df if "fold" in df.columns else fold_column(df, folds=folds)).persist()
-    frames = fold_frames(data, target, folds)
+    try:
+        return _selected(data, features, target, direction, folds, min_features, max_features, tolerance, patience, parallelism, fit)
+    finally:
+        data.unpersist()
+
+
+def _logistic_folds(data: DataFrame, features: list[str], target: str, folds: int):
+    """A function from sets of features to (mean, standard deviation) of each set's held-out AUCs."""
+    every = list(range(folds))
+    stats = newton.fold_statistics(data, features, target, every)
+
+    def evaluate(sets: list[list[str]]) -> list[tuple[float, float]]:
+        fits, _ = newton.fit_many(data, features, sets, target, every, known=stats)
+        number = [k for k in range(len(sets)) for _ in every]
+        scores = newton.held_out_scores(data, features, fits, stats, number, target)
+        aucs: dict[int, list] = {k: [] for k in range(len(sets))}
+        for r in auc_table(scores, "score", target, ["set", "fold"]).collect():
+            aucs[r["set"]].append(r["auc"])
+        return [(float(np.mean(aucs[k])), float(np.std(aucs[k]))) for k in range(len(sets))]
+
+    return evaluate
+
+
+def _selected(
+    data, features, target, direction, folds, min_features, max_features, tolerance, patience, parallelism, fit
+) -> tuple[list[str], DataFrame]:
+    if fit is fit_logistic:
+        together = _logistic_folds(data, features, target, folds)
+    else:
+        frames = fold_frames(data, target, folds)
+        together = None
     evaluate = lambda fs: cross_validated_auc(data, fs, target, folds, fit, frames)
     current = [] if direction == "forward" else list(features)
     states, rows, idle = [], [], 0
-    reference = -np.inf if direction == "forward" else evaluate(current)[0]
+    if direction == "forward":
+        reference = -np.inf
+    else:
+        reference = (together([current])[0] if together else evaluate(current))[0]
     with ThreadPoolExecutor(parallelism) as pool:
         while True:
             if direction == "forward":
@@ -228,7 +288,7 @@ def sequential_selection(
                 sets = [[g for g in current if g != f] for f in options]
             if done:
                 break
-            results = list(pool.map(evaluate, sets))
+            results = together(sets) if together else list(pool.map(evaluate, sets))
             i = int(np.argmax([m for m, _ in results]))
             mean, std = results[i]
             current = sets[i]
@@ -245,11 +305,10 @@ def sequential_selection(
             idle = (idle + 1 if weak else 0) if counted else idle
             if idle >= patience:
                 break
-    data.unpersist()
     order = range(len(rows)) if direction == "forward" else range(len(rows) - 1, -1, -1)
     order = list(order)
     pick = order[one_standard_error([rows[i][3] for i in order], [rows[i][4] for i in order])]
-    table = df.sparkSession.createDataFrame(
+    table = data.sparkSession.createDataFrame(
         [(*r, i == pick) for i, r in enumerate(rows)],
         "step int, n_features int, feature string, mean_auc double, std_auc double, optimal boolean",
     )
@@ -290,9 +349,42 @@ def grid_search(
     return grid[best], table
 
 
-# Ranges of scores that one task adds up, and scores whose draws are held at a time.
-RANGES = 256
-BLOCK = 2_000
+# Rows of a score range that is added up alone, ranges put together at a time, and how often.
+RANGE_ROWS = 20_000
+FAN_IN = 512
+ROUNDS = 3
+# Scores whose draws are held at a time.
+BLOCK = 1_000
+# The steps of the counter-based generator.
+GOLDEN, MIX_1, MIX_2 = 0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB
+
+
+def uniforms(keys: np.ndarray, counters: np.ndarray) -> np.ndarray:
+    """Doubles in [0, 1) that follow from a 64-bit key (rows) and a counter (columns) alone."""
+    x = keys.astype(np.uint64)[:, None] + counters.astype(np.uint64)[None] * np.uint64(GOLDEN)
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(MIX_1)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(MIX_2)
+    return ((x ^ (x >> np.uint64(31))) >> np.uint64(11)) * 2.0**-53
+
+
+@lru_cache(4_096)
+def poisson_table(mean: int) -> tuple[int, np.ndarray]:
+    """The least value worth a draw and the distribution function from it on."""
+    width = 12 * math.sqrt(mean) + 40
+    low, high = max(0, math.floor(mean - width)), math.ceil(mean + width)
+    logs = np.concatenate([[0.0], np.cumsum(np.log(mean / np.arange(low + 1, high + 1)))])
+    share = np.exp(logs - logs.max())
+    return low, np.cumsum(share / share.sum())
+
+
+def poisson_draws(u: np.ndarray, means: np.ndarray) -> np.ndarray:
+    """Poisson draws of each row's mean at the uniforms u: one look-up per distinct mean."""
+    out = np.zeros(u.shape)
+    for mean in np.unique(means[means > 0]).tolist():
+        rows = means == mean
+        low, table = poisson_table(mean)
+        out[rows] = low + np.minimum(np.searchsorted(table, u[rows], side="right"), len(table) - 1)
+    return out
 
 
 def bootstrap_auc(
@@ -301,53 +393,72 @@ def bootstrap_auc(
 ) -> DataFrame:
     """by, auc, n, ci_lower, ci_upper, iterations: Poisson bootstrap of the exact AUC.
 
-    The draws of a score follow from seed, period and score alone, so the interval is the same in
-    every partitioning. Each task adds up one range of scores for all iterations, and the ranges of
-    a period are put together from RANGES rows at most; approximate cuts only deal out the work.
+    The draws of a score follow from seed, period, the rows below it and the iteration, so the
+    interval is the same in every partitioning. A task adds up a range of RANGE_ROWS rows by rank
+    for all iterations into three vectors (pairs won, bads, goods), and FAN_IN neighbouring ranges
+    are put together at a time: left and right make (won + won + bads right x goods left, ...).
     """
-    freq = curve(df, score, target, [by]).select(
-        by, c(score).cast("double").alias("level"), c("n").cast("long"), c("bad").cast("long")
+    levels = curve(df, score, target, [by]).select(
+        by,
+        c("n_before").cast("bigint").alias("below"),
+        c("n").cast("bigint"),
+        c("bad").cast("bigint"),
+        F.conv(
+            F.substring(F.md5(F.concat_ws("|", F.lit(str(seed)), c(by).cast("string"), c("n_before").cast("string"))), 1, 15), 16, 10
+        ).cast("bigint").alias("key"),
     )
-    cuts = freq.groupBy(by).agg(
-        F.percentile_approx("level", [i / RANGES for i in range(1, RANGES)], 4 * RANGES).alias("cuts")
-    )
-    cells = freq.join(cuts, freq[by].eqNullSafe(cuts[by])).drop(cuts[by])
-    cells = cells.withColumn("range", F.size(F.filter("cuts", lambda x: x < c("level")))).drop("cuts")
+    levels = levels.withColumn("part", F.floor(c("below") / RANGE_ROWS))
     kind = df.schema[by].dataType.simpleString()
-    sums = "part array<double>, bad array<double>, good array<double>"
-
-    def one_range(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("level")
-        part, bad, good = (np.zeros(iterations) for _ in range(3))
-        for at in range(0, len(pdf), BLOCK):
-            rows = pdf.iloc[at : at + BLOCK]
-            draws = []
-            for period, level, n, k in zip(rows[by], rows["level"], rows["n"], rows["bad"], strict=True):
-                rng = np.random.default_rng([seed, crc32(f"{period}|{level!r}".encode())])
-                draws.append((rng.poisson(k, iterations), rng.poisson(n - k, iterations)))
-            b = np.array([d[0] for d in draws], float)
-            g = np.array([d[1] for d in draws], float)
-            part += (b * (good + np.cumsum(g, 0) - g / 2)).sum(0)
-            bad += b.sum(0)
-            good += g.sum(0)
-        key = pdf[by].iloc[0]
-        return pd.DataFrame({by: [key], "range": [pdf["range"].iloc[0]], "part": [part], "bad": [bad], "good": [good]})
-
-    def one_period(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("range")
-        part, bad, good = (np.stack(pdf[x].to_list()) for x in ("part", "bad", "good"))
-        before = np.cumsum(good, 0) - good
-        pairs = bad.sum(0) * good.sum(0)
-        values = (part + bad * before).sum(0)[pairs > 0] / pairs[pairs > 0]
-        tail = (1 - confidence) / 2
-        low, high = np.quantile(values, [tail, 1 - tail]) if len(values) else (None, None)
-        return pd.DataFrame(
-            {by: [pdf[by].iloc[0]], "ci_lower": [low], "ci_upper": [high], "iterations": [len(values)]}
+    vectors = ["won", "bads", "goods"]
+    schema = f"{by} {kind}, part bigint, " + ", ".join(f"{v} array<double>" for v in vectors)
+
+    def one_row(group: pa.Table, sums: list[np.ndarray]) -> pa.Table:
+        lists = [pa.array([x], pa.list_(pa.float64())) for x in sums]
+        return pa.table([group.column(by).slice(0, 1), group.column("part").slice(0, 1), *lists], [by, "part", *vectors])
+
+    def one_range(group: pa.Table) -> pa.Table:
+        group = group.sort_by("below")
+        n, bad, keys = (group.column(k).to_numpy() for k in ("n", "bad", "key"))
+        won, bads, goods = (np.zeros(iterations) for _ in range(3))
+        for at in range(0, len(n), BLOCK):
+            some = slice(at, at + BLOCK)
+            draw = lambda side, means: poisson_draws(uniforms(keys[some], 2 * np.arange(iterations) + side), means)
+            b, g = draw(1, bad[some]), draw(2, (n - bad)[some])
+            won += (b * (goods + np.cumsum(g, 0) - g / 2)).sum(0)
+            bads += b.sum(0)
+            goods += g.sum(0)
+        return one_row(group, [won, bads, goods])
+
+    def together(group: pa.Table) -> pa.Table:
+        group = group.sort_by("part")
+        won, bads, goods = (
+            np.concatenate([x.values.to_numpy() for x in group.column(v)]).reshape(-1, iterations) for v in vectors
         )
+        before = np.cumsum(goods, 0) - goods
+        return one_row(group, [(won + bads * before).sum(0), bads.sum(0), goods.sum(0)])
+
+    ranges = levels.groupBy(by, "part").applyInArrow(one_range, schema)
+    for _ in range(ROUNDS):
+        ranges = ranges.withColumn("whole", F.floor(c("part") / FAN_IN))
+        ranges = ranges.groupBy(by, "whole").applyInArrow(together, schema)
+        ranges = ranges.withColumn("part", F.floor(c("part") / FAN_IN))
+    # one row per period, or few of very many ranges
+    whole = ranges.groupBy(by).applyInArrow(together, schema)
+    each = F.transform(
+        F.arrays_zip(*vectors),
+        lambda x: F.when((x["bads"] > 0) & (x["goods"] > 0), x["won"] / (x["bads"] * x["goods"])),
+    )
+    values = whole.select(by, F.array_sort(F.filter(each, lambda x: x.isNotNull())).alias("v"))
+    tail = (1 - confidence) / 2
+
+    def at(p: float) -> Column:
+        place = (F.size("v") - 1) * p
+        low = F.floor(place).cast("int")
+        a, b = F.get("v", low), F.get("v", F.least(low + 1, F.size("v") - 1))
+        return a + (b - a) * (place - low)
 
-    ranges = cells.groupBy(by, "range").applyInPandas(one_range, f"{by} {kind}, range int, {sums}")
-    ci = ranges.groupBy(by).applyInPandas(
-        one_period, f"{by} {kind}, ci_lower double, ci_upper double, iterations bigint"
+    ci = values.select(
+        by, at(tail).alias("ci_lower"), at(1 - tail).alias("ci_upper"), F.size("v").cast("bigint").alias("iterations")
     )
     point = auc_table(df, score, target, [by]).where(c("auc").isNotNull())
     return point.select(by, "auc", "n").join(ci, by, "left")

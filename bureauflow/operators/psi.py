@@ -1,118 +1,157 @@
-"""Population stability: comparison plans, PSI of many features and periods in one pass, monitoring."""
+"""Population stability: comparison plans, PSI of many features and periods in one pass, monitoring.
+
+A comparison plan marks the rows of a frame: `base_id` (which baseline they belong to), `base`
+(whether they count towards it) and `label` (the comparison they are the current side of, if any).
+Everything else follows from one additive cube of counts by feature, baseline, label and bin: sizes,
+expected and actual shares are sums over it, so the frame is read once for the edges of the bins and
+once for the cube, and no job runs while the plan is built.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from bureauflow.functions import ranking
 from bureauflow.functions.expressions import quarter_label
-from bureauflow.operators.binning import qcut_edges, with_bins
+from bureauflow.operators.binning import long_form, qcut_edges, with_bins
 
 c = F.col
 MIN_SIDE = 10
+# The customary limits of a moderate and of a significant shift.
+MODERATE, SIGNIFICANT = 0.10, 0.25
+MARKS = ["base_id", "label", "base"]
+CELL = ["feature", *MARKS]
 
 
-def _plan(df: DataFrame, base: Column, base_id: Column, label: Column) -> tuple:
-    """(base rows with base_id, comparison rows with base_id and label)."""
-    left = df.where(base).withColumn("base_id", base_id)
-    right = df.where(label.isNotNull()).withColumns({"label": label, "base_id": base_id})
-    return left, right
-
-
-def _enough(df: DataFrame, key: Column, min_rows: int = MIN_SIDE) -> list:
-    """Period keys with enough rows, in order: a handful of quarters or years."""
-    counts = df.groupBy(key.alias("k")).agg(F.count("*").alias("n"))
-    return [r["k"] for r in counts.where(c("n") >= min_rows).orderBy("k").collect()]
+def _period(date: str, period: str) -> Column:
+    return quarter_label(c(date)) if period == "quarter" else F.year(date).cast("string")
 
 
-def period_vs_all(df: DataFrame, date: str = "date", period: str = "quarter") -> tuple:
+def by_period(df: DataFrame, date: str = "date", period: str = "quarter") -> DataFrame:
     """Every quarter (or year) against the whole frame; labels Q_2024Q1_vs_All / Y_2024_vs_All."""
-    key = quarter_label(c(date)) if period == "quarter" else F.year(date).cast("string")
-    mark = "Q_" if period == "quarter" else "Y_"
-    kept = _enough(df, key)
-    label = F.when(key.isin(kept), F.concat(F.lit(mark), key, F.lit("_vs_All")))
-    return _plan(df, F.lit(True), F.lit("all"), label)
+    label = F.concat(F.lit("Q_" if period == "quarter" else "Y_"), _period(date, period), F.lit("_vs_All"))
+    return df.withColumns({"base_id": F.lit("all"), "label": label, "base": F.lit(True)})
 
 
-def consecutive_quarters(df: DataFrame, date: str = "date") -> tuple:
-    """Every quarter against the one before it; both need enough rows."""
+def by_consecutive_quarters(df: DataFrame, date: str = "date") -> DataFrame:
+    """Every quarter against the one before it that has rows; labels 2024Q1_vs_2024Q2."""
     key = quarter_label(c(date))
-    counts = df.groupBy(key.alias("k")).agg(F.count("*").alias("n")).orderBy("k").collect()
-    pairs = [
-        (a["k"], b["k"])
-        for a, b in zip(counts, counts[1:])
-        if a["n"] >= MIN_SIDE and b["n"] >= MIN_SIDE
-    ]
-    base = df.where(key.isin([a for a, _ in pairs])).withColumn("base_id", key)
-    previous, label = F.when(F.lit(False), F.lit("")), F.when(F.lit(False), F.lit(""))
-    for a, b in pairs:
-        previous = previous.when(key == b, a)
-        label = label.when(key == b, f"{a}_vs_{b}")
-    cmp = df.where(key.isin([b for _, b in pairs]))
-    return base, cmp.withColumns({"base_id": previous, "label": label})
+    present = df.select(key.alias("k")).where(c("k").isNotNull()).distinct()  # as many rows as quarters
+    in_order = F.sort_array(F.collect_list("k"))
+    pairs = F.zip_with(F.slice("ks", 2, F.size("ks")), F.slice("ks", 1, F.size("ks") - 1), lambda k, before: F.struct(k, before))
+    before = present.agg(in_order.alias("ks")).select(F.map_from_entries(pairs)).scalar()
+    sides = F.array(
+        F.struct(key.alias("base_id"), F.lit(None).cast("string").alias("label"), F.lit(True).alias("base")),
+        F.struct(c("_before").alias("base_id"), F.concat("_before", F.lit("_vs_"), key).alias("label"), F.lit(False).alias("base")),
+    )
+    marked = df.withColumn("_before", F.try_element_at(before, key))
+    return marked.select(*df.columns, F.inline(sides)).where(c("base_id").isNotNull())
 
 
-def date_split(df: DataFrame, date: str, split: str, label: str | None = None) -> tuple:
-    """Rows up to a date against rows after it."""
-    day = F.lit(split).cast("date")
-    return _halves(df, c(date) <= day, label or f"before_vs_after_{split}")
+def by_split(df: DataFrame, first: Column, label: str) -> DataFrame:
+    """Rows of the first side against the others; rows of neither are left out."""
+    marked = df.withColumns({"base_id": F.lit(label), "base": first})
+    marked = marked.where(c("base").isNotNull())
+    return marked.withColumn("label", F.when(~c("base"), F.lit(label)))
 
 
-def half_split(df: DataFrame, date: str = "date") -> tuple:
+def by_halves(df: DataFrame, date: str = "date") -> DataFrame:
     """Rows up to the median date against later rows."""
     days = df.select(F.unix_date(c(date)).alias("day"))
-    median = ranking.quantiles(days, [], "day", [0.5]).first()["q"][0]
-    return _halves(df, F.unix_date(c(date)) <= F.lit(median), "first_half_vs_second_half")
+    median = ranking.quantiles(days, [], "day", [0.5]).select(c("q")[0]).scalar()
+    return by_split(df, F.unix_date(c(date)) <= median, "first_half_vs_second_half")
 
 
-def _halves(df: DataFrame, first: Column, label: str) -> tuple:
-    sizes = df.agg(F.count_if(first).alias("a"), F.count_if(~first).alias("b")).first()
-    enough = sizes["a"] >= MIN_SIDE and sizes["b"] >= MIN_SIDE
-    mark = F.when(~first & F.lit(enough), F.lit(label))
-    return _plan(df, first & F.lit(enough), F.lit(label), mark)
+def by_date(df: DataFrame, date: str, split: str, label: str | None = None) -> DataFrame:
+    """Rows up to a date against rows after it."""
+    return by_split(df, c(date) <= F.lit(split).cast("date"), label or f"before_vs_after_{split}")
 
 
-def _shares(
-    base: DataFrame, cmp: DataFrame, n_bins: int, closed: str
-) -> DataFrame:
-    """Full grid of bins: feature, base_id, label, bin, e (base count), a, e_total, a_total."""
+def date_split(df: DataFrame, date: str, split: str, label: str | None = None) -> tuple:
+    """by_date as two frames: base rows with base_id, current rows with base_id and label."""
+    marked = by_date(df, date, split, label)
+    return marked.where("base").drop("label", "base"), marked.where(c("label").isNotNull()).drop("base")
+
+
+def _cells(long: DataFrame, n_bins: int, min_rows: int) -> DataFrame:
+    """Full grid of bins of every comparison: feature, base_id, label, bin, e, a, e_total, a_total.
+
+    long: feature, value and the marks of a plan. Comparisons with fewer than min_rows rows on a
+    side, missing values included, are left out.
+    """
     keys = ["feature", "base_id"]
-    edges = qcut_edges(base, by=keys, n_bins=n_bins)
+    edges = qcut_edges(long.where("base"), by=keys, n_bins=n_bins)
     # a constant baseline has one open-ended bin
     one = edges.withColumn(
         "edges",
         F.when(F.size("edges") >= 2, c("edges")).otherwise(F.concat("edges", "edges")),
     )
-    slot = lambda df: with_bins(df, one, keys, closed)
-    expected = slot(base.where(c("value").isNotNull())).groupBy(*keys, "bin").agg(
-        F.count("*").alias("e")
-    )
-    actual = slot(cmp.where(c("value").isNotNull())).groupBy(*keys, "label", "bin").agg(
-        F.count("*").alias("a")
+    bins = F.size("edges") - 1
+    cube = with_bins(long, one, keys, keep=bins.alias("bins")).groupBy(*CELL, "bins", "bin").agg(
+        F.count("*").alias("k")
     )
     # from here on: features x labels x at most n_bins rows
-    labels = cmp.select(*keys, "label").distinct()
-    grid = labels.join(one.select(*keys, F.size("edges").alias("k")), keys).select(
-        *keys, "label", F.explode(F.sequence(F.lit(0), c("k") - 2)).alias("bin")
-    )
-    full = grid.join(expected, [*keys, "bin"], "left").join(
-        actual, [*keys, "label", "bin"], "left"
-    )
-    return full.select(
-        *keys,
-        "label",
-        "bin",
-        F.coalesce("e", F.lit(0)).alias("e"),
-        F.coalesce("a", F.lit(0)).alias("a"),
+    counts = F.map_from_entries(F.collect_list(F.when(c("bin").isNotNull(), F.struct("bin", "k"))))
+    sides = cube.groupBy(*CELL, "bins").agg(counts.alias("k"), F.sum("k").alias("rows"))
+    every = F.sequence(F.lit(0), c("bins") - 1)
+    grid = sides.select(*CELL, "rows", "k", F.explode(every).alias("bin"))
+    grid = grid.withColumn("a", F.coalesce(F.try_element_at("k", "bin"), F.lit(0)))
+    whole = Window.partitionBy(*keys, "bin")
+    grid = grid.withColumns({
+        "e": F.coalesce(F.sum(F.when(c("base"), c("a"))).over(whole), F.lit(0)),
+        "base_rows": F.sum(F.when(c("base"), c("rows"))).over(whole),
+    })
+    kept = grid.where(c("label").isNotNull() & (c("rows") >= min_rows) & (c("base_rows") >= min_rows))
+    side = Window.partitionBy(*keys, "label")
+    kept = kept.withColumns({"e_total": F.sum("e").over(side), "a_total": F.sum("a").over(side)})
+    return kept.select(*keys, "label", "bin", "e", "a", "e_total", "a_total")
+
+
+def _shares(floor: float) -> tuple[Column, Column, Column]:
+    """Expected and actual share of a bin, floored, and their part of the index."""
+    e = F.greatest(c("e") / c("e_total"), F.lit(floor))
+    a = F.greatest(c("a") / c("a_total"), F.lit(floor))
+    return e, a, (a - e) * F.ln(a / e)
+
+
+def _summed(cells: DataFrame, floor: float, min_rows: int) -> DataFrame:
+    enough = (c("e_total") >= min_rows) & (c("a_total") >= min_rows)
+    part = F.when(enough, _shares(floor)[2])
+    return cells.groupBy("feature", "base_id", "label").agg(F.sum(part).alias("psi"))
+
+
+def _broken_down(cells: DataFrame, floor: float) -> DataFrame:
+    e, a, part = _shares(floor)
+    return cells.select(
+        "feature", "label", "bin", e.alias("expected_share"), a.alias("actual_share"), part.alias("psi")
     )
 
 
-def _totals(full: DataFrame) -> DataFrame:
-    from pyspark.sql import Window
+def plan_psi(
+    plan: DataFrame, features: list[str], n_bins: int = 10, floor: float = 1e-4, min_rows: int = MIN_SIDE
+) -> DataFrame:
+    """PSI per feature and comparison of a plan's rows: feature, base_id, label, psi.
 
-    w = Window.partitionBy("feature", "base_id", "label")  # one row per bin
-    return full.withColumns({"e_total": F.sum("e").over(w), "a_total": F.sum("a").over(w)})
+    Bins are right-closed quantile bins of the baseline with open ends; shares are floored, not
+    renormalised; NULL below min_rows values.
+    """
+    return _summed(_cells(long_form(plan, features, MARKS), n_bins, min_rows), floor, min_rows)
+
+
+def plan_psi_bins(
+    plan: DataFrame, features: list[str], n_bins: int = 10, floor: float = 1e-4, min_rows: int = MIN_SIDE
+) -> DataFrame:
+    """Breakdown per bin: expected share, actual share and contribution."""
+    return _broken_down(_cells(long_form(plan, features, MARKS), n_bins, min_rows), floor)
+
+
+def _both(base: DataFrame, cmp: DataFrame) -> DataFrame:
+    """Two long frames, the second with labels, as one with marks."""
+    old = base.withColumns({"label": F.lit(None).cast("string"), "base": F.lit(True)})
+    new = cmp.withColumn("base", F.lit(False))
+    columns = ["feature", "value", *MARKS]
+    return old.select(*columns).unionByName(new.select(*columns))
 
 
 def psi(
@@ -122,32 +161,13 @@ def psi(
     floor: float = 1e-4,
     min_rows: int = MIN_SIDE,
 ) -> DataFrame:
-    """PSI per feature and comparison: feature, base_id, label, psi.
-
-    base: feature, value, base_id; cmp: the same plus label. Bins are right-closed quantile bins of
-    the baseline with open ends; shares are floored, not renormalised; NULL below min_rows values.
-    """
-    rows = _totals(_shares(base, cmp, n_bins, "right"))
-    e = F.greatest(c("e") / c("e_total"), F.lit(floor))
-    a = F.greatest(c("a") / c("a_total"), F.lit(floor))
-    enough = (c("e_total") >= min_rows) & (c("a_total") >= min_rows)
-    part = F.when(enough, (a - e) * F.ln(a / e))
-    return rows.groupBy("feature", "base_id", "label").agg(F.sum(part).alias("psi"))
+    """plan_psi of two frames. base: feature, value, base_id; cmp: the same plus label."""
+    return _summed(_cells(_both(base, cmp), n_bins, 0), floor, min_rows)
 
 
 def psi_bins(base: DataFrame, cmp: DataFrame, n_bins: int = 10, floor: float = 1e-4) -> DataFrame:
-    """Breakdown per bin: expected share, actual share and contribution."""
-    rows = _totals(_shares(base, cmp, n_bins, "right"))
-    e = F.greatest(c("e") / c("e_total"), F.lit(floor))
-    a = F.greatest(c("a") / c("a_total"), F.lit(floor))
-    return rows.select(
-        "feature",
-        "label",
-        "bin",
-        e.alias("expected_share"),
-        a.alias("actual_share"),
-        ((a - e) * F.ln(a / e)).alias("psi"),
-    )
+    """plan_psi_bins of two frames."""
+    return _broken_down(_cells(_both(base, cmp), n_bins, 0), floor)
 
 
 def score_psi(df: DataFrame, score: str, period: str = "period", base: str = "train",
@@ -155,17 +175,16 @@ def score_psi(df: DataFrame, score: str, period: str = "period", base: str = "tr
     """Score PSI of every other period against train: period, psi, status."""
     rows = df.select(
         F.lit("score").alias("feature"),
-        F.lit(base).alias("base_id"),
-        c(period).alias("label"),
         c(score).cast("double").alias("value"),
-    )
-    out = psi(
-        rows.where(c("label") == base).drop("label"), rows.where(c("label") != base), n_bins
-    )
+        F.lit(base).alias("base_id"),
+        F.when(c(period) != base, c(period)).alias("label"),
+        (c(period) == base).alias("base"),
+    ).where(c("base").isNotNull())
+    out = _summed(_cells(rows, n_bins, 0), 1e-4, MIN_SIDE)
     status = (
         F.when(c("psi").isNull(), "N/A")
-        .when(c("psi") < 0.10, "Stable")
-        .when(c("psi") < 0.25, "Moderate")
+        .when(c("psi") < MODERATE, "Stable")
+        .when(c("psi") < SIGNIFICANT, "Moderate")
         .otherwise("Significant")
     )
     return out.select(c("label").alias(period), "psi", status.alias("status"))
@@ -195,11 +214,11 @@ def fit_baseline(long: DataFrame, n_bins: int = 10, min_rows: int = 50) -> DataF
     )
 
 
-def monitor(baseline: DataFrame, current: DataFrame, floor: float = 1e-6,
-            warning: float = 0.10, critical: float = 0.25) -> DataFrame:
-    """PSI of current data against a baseline: feature, psi, status, message.
+def monitor_bins(baseline: DataFrame, current: DataFrame, floor: float = 1e-6) -> DataFrame:
+    """Every bin of a baseline: feature, bin, expected, actual, psi (its part of the index).
 
-    Shares are floored and renormalised on both sides.
+    Shares are floored and renormalised on both sides; a feature without any current value has empty
+    bins, and stays.
     """
     counts = (
         with_bins(current, baseline, closed="left")
@@ -207,23 +226,23 @@ def monitor(baseline: DataFrame, current: DataFrame, floor: float = 1e-6,
         .groupBy("feature", "bin")
         .agg(F.count("*").alias("k"))
     )
-    total = counts.groupBy("feature").agg(F.sum("k").alias("total"))
     grid = baseline.select("feature", F.posexplode("shares").alias("bin", "e"))
-    rows = (
-        grid.join(counts, ["feature", "bin"], "left")
-        # a feature without any current value has empty bins, and stays
-        .join(total, "feature", "left")
-        .select(
-            "feature",
-            F.greatest(c("e"), F.lit(floor)).alias("e"),
-            F.greatest(F.coalesce(c("k") / c("total"), F.lit(0.0)), F.lit(floor)).alias("a"),
-        )
+    rows = grid.join(counts, ["feature", "bin"], "left")
+    feature = Window.partitionBy("feature")  # a row per bin
+    actual = F.coalesce(c("k") / F.sum("k").over(feature), F.lit(0.0))
+    rows = rows.select(
+        "feature", "bin", F.greatest("e", F.lit(floor)).alias("e"), F.greatest(actual, F.lit(floor)).alias("a")
     )
-    sums = rows.groupBy("feature").agg(F.sum("e").alias("es"), F.sum("a").alias("as_"))
-    e, a = c("e") / c("es"), c("a") / c("as_")
-    out = rows.join(sums, "feature").groupBy("feature").agg(
-        F.sum((a - e) * F.ln(a / e)).alias("psi")
+    rows = rows.select("feature", "bin", *[(c(x) / F.sum(x).over(feature)).alias(x) for x in ("e", "a")])
+    return rows.select(
+        "feature", "bin", c("e").alias("expected"), c("a").alias("actual"), ((c("a") - c("e")) * F.ln(c("a") / c("e"))).alias("psi")
     )
+
+
+def monitor(baseline: DataFrame, current: DataFrame, floor: float = 1e-6,
+            warning: float = MODERATE, critical: float = SIGNIFICANT) -> DataFrame:
+    """PSI of current data against a baseline: feature, psi, status."""
+    out = monitor_bins(baseline, current, floor).groupBy("feature").agg(F.sum("psi").alias("psi"))
     status = (
         F.when(c("psi") >= critical, "critical")
         .when(c("psi") >= warning, "warning")
@@ -248,3 +267,53 @@ def run_record(monitored: DataFrame, run_date: str) -> DataFrame:
         is_("warning").alias("warning"),
         is_("critical").alias("critical"),
     ).select(F.lit(run_date).cast("date").alias("run_date"), "*")
+
+
+# --- history of runs ------------------------------------------------------------------------------
+
+RUNS = "feature string, psi double, status string, run_date date"
+
+
+def record_run(monitored: DataFrame, folder: str, run_date: str) -> None:
+    """Adds a run to the history in folder, a partition per date; the same date again replaces that run.
+
+    Only the run's own partition is written, and it appears as a whole when the job commits, so a run
+    that is repeated after a failure leaves what one run leaves.
+    """
+    rows = monitored.select("feature", "psi", "status", F.lit(run_date).cast("date").alias("run_date"))
+    writer = rows.coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy("run_date").parquet(folder)
+
+
+def read_runs(spark: SparkSession, folder: str, since: str | None = None) -> DataFrame:
+    """The history's rows; `since` reads later partitions only."""
+    runs = spark.read.schema(RUNS).parquet(folder)
+    return runs if since is None else runs.where(c("run_date") >= F.lit(since).cast("date"))
+
+
+def run_history(runs: DataFrame) -> DataFrame:
+    """A row per run: run_date, features, stable, warning, critical, max_psi, mean_psi."""
+    count = lambda s: F.count_if(c("status") == s).alias(s)
+    return runs.groupBy("run_date").agg(
+        F.count("*").alias("features"),
+        count("stable"),
+        count("warning"),
+        count("critical"),
+        F.max("psi").alias("max_psi"),
+        F.avg("psi").alias("mean_psi"),
+    )
+
+
+def status_changes(runs: DataFrame) -> DataFrame:
+    """Features whose status isn't that of the run before: run_date, feature, psi, status, those of before, change.
+
+    A feature's first run counts as a change unless it is stable.
+    """
+    level = lambda s: F.array_position(F.array(*[F.lit(x) for x in ("stable", "warning", "critical")]), c(s))
+    before = Window.partitionBy("feature").orderBy("run_date")  # a row per run
+    rows = runs.withColumns({f"previous_{x}": F.lag(x).over(before) for x in ("psi", "status")})
+    step = level("status") - F.coalesce(level("previous_status"), F.lit(1))
+    change = F.when(c("previous_status").isNull(), "new").when(step > 0, "worse").otherwise("better")
+    return rows.where(step != 0).select(
+        "run_date", "feature", "psi", "status", "previous_psi", "previous_status", change.alias("change")
+    )

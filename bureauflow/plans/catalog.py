@@ -442,20 +442,10 @@ def a11_woe_encode(spark, sf_dir):
     return canon(out.select("uid", *[f"{f}_woe" for f in PAIRED]))
 
 
-def _psi(base, cmp, keep_base=("base_id",), features=FEATURES):
-    return psi.psi(
-        binning.long_form(base, features, ["base_id"]),
-        binning.long_form(cmp, features, ["base_id", "label"]),
-    )
-
-
 @query
 def a12_psi(spark, sf_dir):
-    base, cmp = psi.date_split(train_frame(spark, sf_dir), "date", "1997-12-31")
-    return canon(psi.psi_bins(
-        binning.long_form(base, FEATURES, ["base_id"]),
-        binning.long_form(cmp, FEATURES, ["base_id", "label"]),
-    ))
+    plan = psi.by_date(train_frame(spark, sf_dir), "date", "1997-12-31")
+    return canon(psi.plan_psi_bins(plan, FEATURES))
 
 
 def _monitored(spark, sf_dir):
@@ -482,22 +472,22 @@ def a14_monitoring_record(spark, sf_dir):
 
 @query
 def a15_psi_by_quarter(spark, sf_dir):
-    return canon(_psi(*psi.period_vs_all(train_frame(spark, sf_dir))))
+    return canon(psi.plan_psi(psi.by_period(train_frame(spark, sf_dir)), FEATURES))
 
 
 @query
 def a15_psi_by_year(spark, sf_dir):
-    return canon(_psi(*psi.period_vs_all(train_frame(spark, sf_dir), period="year")))
+    return canon(psi.plan_psi(psi.by_period(train_frame(spark, sf_dir), period="year"), FEATURES))
 
 
 @query
 def a15_psi_consecutive(spark, sf_dir):
-    return canon(_psi(*psi.consecutive_quarters(train_frame(spark, sf_dir))))
+    return canon(psi.plan_psi(psi.by_consecutive_quarters(train_frame(spark, sf_dir)), FEATURES))
 
 
 @query
 def a15_psi_halves(spark, sf_dir):
-    return canon(_psi(*psi.half_split(train_frame(spark, sf_dir))))
+    return canon(psi.plan_psi(psi.by_halves(train_frame(spark, sf_dir)), FEATURES))
 
 
 @query
@@ -671,7 +661,7 @@ def e3_iv_filter(spark, sf_dir):
 
 @query
 def e4_psi_filter(spark, sf_dir):
-    table = _psi(*psi.period_vs_all(train_frame(spark, sf_dir)))
+    table = psi.plan_psi(psi.by_period(train_frame(spark, sf_dir)), FEATURES)
     return canon(elimination.psi_filter(table, FEATURES, 0.05))
 
 

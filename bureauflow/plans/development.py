@@ -45,11 +45,7 @@ def _iv(result: DataFrame) -> dict[str, float]:
 
 def train_psi(train: DataFrame, features: list[str], date: str) -> DataFrame:
     """PSI of every training quarter against the whole training period."""
-    base, cmp = psi.period_vs_all(train, date)
-    return psi.psi(
-        binning.long_form(base, features, ["base_id"]),
-        binning.long_form(cmp, features, ["base_id", "label"]),
-    )
+    return psi.plan_psi(psi.by_period(train, date), features)
 
 
 def evaluate(
@@ -156,11 +152,7 @@ def develop_scorecard(
     encoded = binning.woe_encode(data, bins.where(c("feature").isin(kept)))
     train = encoded.where("split = 'train'")
     names = [f"{f}_woe" for f in kept]
-    base, cmp = psi.half_split(train, date)
-    stability = psi.psi(
-        binning.long_form(base, names, ["base_id"]),
-        binning.long_form(cmp, names, ["base_id", "label"]),
-    )
+    stability = psi.plan_psi(psi.by_halves(train, date), names)
     tables["psi"] = elimination.psi_filter(stability, names, max_psi)
     stable = set(elimination.kept(tables["psi"]))
     names = [n for n in names if n in stable]
