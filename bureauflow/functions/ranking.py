@@ -21,12 +21,13 @@ MAX_GROUP = 2_000_000
 def _cut_points(freq: DataFrame, by: list[str], value: str, max_group: int) -> DataFrame:
     """by, _cuts: CHUNKS - 1 ascending values of an over-full group, NULL where a group fits.
 
-    freq has one row per distinct (group, value).
+    freq has one row per distinct (group, value). All its columns are used, so that one exchange serves
+    the cuts and what is cut.
     """
-    hashed = F.xxhash64(value)
-    drawn = freq.groupBy(*by, F.pmod(hashed, F.lit(SLOTS)).alias("_slot")).agg(
-        F.min(F.struct(hashed.alias("h"), F.col(value).alias("v")))["v"].alias("_v"),
-        F.count("*").alias("_k"),
+    # a sum is NULL for a group without any, so all of them are read, and none changes the number
+    rest = [F.count(x) for x in freq.columns if x not in (*by, value)]
+    drawn = freq.groupBy(*by, F.pmod(F.xxhash64(value), F.lit(SLOTS)).alias("_slot")).agg(
+        F.min_by(value, F.xxhash64(value)).alias("_v"), F.greatest(F.count("*"), *rest).alias("_k")
     )
     found = drawn.groupBy(*by).agg(
         F.sum("_k").alias("_size"), F.sort_array(F.collect_list("_v")).alias("_drawn")
@@ -138,26 +139,13 @@ def first_k(
     values. Only the boundary (one row per group) is computed and joined back, so no row is ranked.
     """
     by = by or []
-    cum = cumulative(df, by, order, {"n": F.lit(1)}, max_group).withColumn("_k", k)
-    cut = cum.where((F.col("n_before") < F.col("_k")) & (F.col("_k") <= F.col("n_before") + F.col("n")))
-    cut = cut.select(*by, F.col(order).alias("_v"), (F.col("_k") - F.col("n_before")).alias("_left"))
-    same = _same(by, "d", "c")
-    at_cut = (
-        df.alias("d")
-        .join(cut.alias("c"), [*same, F.col(f"d.{order}") == F.col("_v")])
-        .select("d.*", "_left")
-    )
-    ranked = cumulative(at_cut, [*by, "_left"], tie, {"n": F.lit(1)}, max_group)
-    last = ranked.where(F.col("n_before") + 1 == F.col("_left")).select(
-        *by, F.col(tie).alias("_u")
-    )
+    placed = df.where(F.col(order).isNotNull()).select(*by, F.struct(order, tie).alias("_place"))
+    cum = cumulative(placed, by, "_place", {"n": F.lit(1)}, max_group)
+    last = cum.where((F.col("n_before") < k) & (k <= F.col("n_before") + F.col("n")))
+    last = last.select(*by, F.col("_place").alias("_last"))
     if by:
-        bound = cut.alias("x").join(last.alias("y"), _same(by, "x", "y")).select("x.*", "_u")
-        out = df.alias("d").join(bound.alias("c"), same, "left")
+        out = df.alias("d").join(last.alias("c"), _same(by, "d", "c"), "left")
     else:
-        # one row, or none
-        out = df.alias("d").join(F.broadcast(cut.join(F.broadcast(last))).alias("c"), how="left")
-    chosen = (F.col(f"d.{order}") < F.col("_v")) | (
-        (F.col(f"d.{order}") == F.col("_v")) & (F.col(f"d.{tie}") <= F.col("_u"))
-    )
+        out = df.alias("d").withColumn("_last", last.select("_last").scalar())
+    chosen = F.col(f"d.{order}").isNotNull() & (F.struct(f"d.{order}", f"d.{tie}") <= F.col("_last"))
     return out.select("d.*", F.coalesce(chosen, F.lit(False)).alias("selected"))

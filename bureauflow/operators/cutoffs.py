@@ -55,7 +55,11 @@ def at_cutoffs(df: DataFrame, score: str, target: str, cutoffs: list[float]) ->
             for i, t in enumerate(cuts)
         ]
     )
-    flat = wide.select("total", "bads", F.inline(rows))
+    return _analysis(wide.select("total", "bads", F.inline(rows)), ["cutoff"])
+
+
+def _analysis(flat: DataFrame, keys: list[str]) -> DataFrame:
+    """Rates of a cut-off from total, bads, approved and approved_bads."""
     rejected = c("total") - c("approved")
     tp = c("bads") - c("approved_bads")
     fp = rejected - tp
@@ -63,7 +67,7 @@ def at_cutoffs(df: DataFrame, score: str, target: str, cutoffs: list[float]) ->
     precision = F.when(both, ratio0(tp, tp + fp)).otherwise(0.0)
     recall = F.when(both, ratio0(tp, c("bads"))).otherwise(0.0)
     return flat.select(
-        "cutoff",
+        *keys,
         (c("approved") / c("total")).alias("approval_rate"),
         (rejected / c("total")).alias("rejection_rate"),
         ratio0(c("approved_bads"), c("approved")).alias("bad_rate_approved"),
@@ -132,16 +136,26 @@ def cutoff_table(df: DataFrame, score: str, target: str, n_points: int = 20) ->
     )
 
 
-def several_cutoffs(df: DataFrame, score: str, target: str) -> DataFrame:
-    """Cut-offs by method: ks, approval_50, approval_70, bad_rate_5 with their analysis."""
-    found = {
-        "ks": ks_cutoff(df, score, target).first()["cutoff"],
-        "approval_50": approval_cutoff(df, score, 0.5).first()["cutoff"],
-        "approval_70": approval_cutoff(df, score, 0.7).first()["cutoff"],
-        "bad_rate_5": bad_rate_cutoff(df, score, target, 0.05).first()["cutoff"],
-    }
-    table = at_cutoffs(df, score, target, list(found.values()))
-    names = df.sparkSession.createDataFrame(
-        [(m, float(v)) for m, v in found.items()], "method string, cutoff double"
+def several_cutoffs(
+    df: DataFrame, score: str, target: str, approvals: list[float] = (0.5, 0.7), bad_rates: list[float] = (0.05,)
+) -> DataFrame:
+    """Cut-offs by method with their analysis: ks, approval_50, approval_70, bad_rate_5.
+
+    The cut-offs are part of the plan; rows are counted by score and then for every cut-off.
+    """
+    named = lambda name, found: found.select(F.lit(name).alias("method"), c("cutoff").cast("double").alias("cutoff"))
+    found = named("ks", ks_cutoff(df, score, target))
+    for rate in approvals:
+        found = found.unionByName(named(f"approval_{round(100 * rate)}", approval_cutoff(df, score, rate)))
+    for limit in bad_rates:
+        found = found.unionByName(named(f"bad_rate_{round(100 * limit)}", bad_rate_cutoff(df, score, target, limit)))
+    listed = found.agg(F.collect_list(F.struct("method", "cutoff"))).scalar()
+    scores = df.groupBy(c(score).cast("double").alias("s")).agg(
+        F.count("*").alias("n"), F.coalesce(F.sum(c(target).cast("bigint")), F.lit(0)).alias("bad")
+    )
+    rows = scores.withColumn("cutoffs", listed).select("s", "n", "bad", F.inline("cutoffs"))
+    passed = lambda x: F.coalesce(F.sum(F.when(c("s") >= c("cutoff"), c(x))), F.lit(0))
+    flat = rows.groupBy("method", "cutoff").agg(
+        F.sum("n").alias("total"), F.sum("bad").alias("bads"), passed("n").alias("approved"), passed("bad").alias("approved_bads")
     )
-    return names.join(table, "cutoff").select("method", *table.columns)
+    return _analysis(flat, ["method", "cutoff"])

@@ -124,15 +124,17 @@ def fit_many(
     folds: list[int] = (-1,),
     inverse_penalty: float = 1.0,
     known: dict[int, Fold] | None = None,
+    start: dict[str, float] | None = None,
 ) -> tuple[list[Fit], dict[int, Fold]]:
     """A fit for every set of features and fold left out (-1 leaves out none); df has `fold`.
 
     As many jobs as Newton steps, whatever the number of models. A step that makes the loss larger
-    is halved.
+    is halved. start: coefficients to begin with by feature, and the intercept's under "".
     """
     known = known or fold_statistics(df, features, target, list(folds))
     at = {f: k for k, f in enumerate(features)}
-    fits = [Fit([at[f] for f in s], k, np.zeros(len(s) + 1)) for s in sets for k in folds]
+    begin = start or {}
+    fits = [Fit([at[f] for f in s], k, np.array([begin.get(f, 0.0) for f in [*s, ""]])) for s in sets for k in folds]
     last = [np.inf] * len(fits)
     steps = [np.zeros(len(m.beta)) for m in fits]
     open_ = list(range(len(fits)))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bureauflow.operators import binning
@@ -50,10 +50,10 @@ def definitions() -> list[tuple]:
                 "higher_is_riskier" if s == "defaulted" else "context_dependent",
             ))
     for family, build in FAMILIES.items():
-        for name in _names(build):
+        for name, column in build().items():
             unit = _unit(name)
             rows.append((
-                name, f"{family}_feature", None, None, None, None, unit, f"compute({name})",
+                name, f"{family}_feature", None, None, None, None, unit, _formula(column),
                 0.0 if unit in ("flag", "ratio", "count") else None,
                 1.0 if unit in ("flag", "ratio") else None,
                 "higher_is_riskier" if "default" in name else "context_dependent",
@@ -61,8 +61,9 @@ def definitions() -> list[tuple]:
     return rows
 
 
-def _names(build) -> list[str]:
-    return list(build())
+def _formula(column: Column) -> str:
+    """The column's own expression over the applicant profile."""
+    return str(column).removeprefix("Column<'").removesuffix("'>")
 
 
 def registry(spark: SparkSession) -> DataFrame:
@@ -80,7 +81,7 @@ def data_dictionary(
     """Statistics and IV of the features with their metadata; unknown features keep NULL metadata."""
     stats = binning.numeric_stats(df, features, exact)
     long = binning.long_form(df, features, [target])
-    iv = binning.approximate_iv(long, target)
+    iv = (binning.fifths_iv if exact else binning.approximate_iv)(long, target)
     meta = registry(df.sparkSession).select(
         F.col("name").alias("feature"), "category", "unit", "formula"
     )

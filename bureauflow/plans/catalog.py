@@ -117,9 +117,7 @@ def f35_wide_frame(spark, sf_dir):
 @query
 def f36_reconciliation(spark, sf_dir):
     apps, bureau = tables(spark, sf_dir)
-    people = ft.with_uid(apps)
-    counts = fam.family_frame(apps, bureau, ["ratio"])
-    return ft.reconcile(people.join(counts, KEY), apps)
+    return ft.reconcile(ft.wide_frame(apps, bureau), apps)
 
 
 def _extractor(groups):
@@ -383,6 +381,14 @@ def a2_approximate_bins(spark, sf_dir):
     return out.groupBy("sum_price_bin").agg(F.count("*").alias("n"))
 
 
+@query
+def a2_sketch_rank_errors(spark, sf_dir):
+    """Whether every cut stands within twice the sketch's 99% bound, five standard deviations."""
+    long = binning.long_form(frame(spark, sf_dir), FEATURES)
+    out = binning.rank_errors(long, [i / 10 for i in range(1, 10)])
+    return out.select("feature", "prob", "n", (c("rank_error") <= 2 * c("bound")).alias("within"))
+
+
 @query
 def a3_approximate_iv(spark, sf_dir):
     return binning.approximate_iv(binning.long_form(frame(spark, sf_dir), FEATURES, ["target"]))
@@ -460,6 +466,38 @@ def a13_psi_monitor(spark, sf_dir):
     return canon(_monitored(spark, sf_dir))
 
 
+@query
+def a13_monitor_bins(spark, sf_dir):
+    m = frame(spark, sf_dir)
+    early = c("date") <= F.lit("1997-12-31").cast("date")
+    baseline = psi.fit_baseline(binning.long_form(m.where(early), FEATURES))
+    return canon(psi.monitor_bins(baseline, binning.long_form(m.where(~early), FEATURES)))
+
+
+def _runs(spark, sf_dir):
+    """Three yearly runs against one baseline; the second is repeated after a run of half its rows."""
+    m = frame(spark, sf_dir)
+    saved = src.artefact_folder(spark, f"baseline-{uuid.uuid4().hex}")
+    early = c("date") <= F.lit("1995-12-31").cast("date")
+    src.save_artefact(psi.fit_baseline(binning.long_form(m.where(early), FEATURES)), saved)
+    baseline = src.load_artefact(spark, saved)
+    folder = src.artefact_folder(spark, f"runs-{uuid.uuid4().hex}")
+    of = lambda year: m.where(F.year("date") == year)
+    for year, rows in ((1996, of(1996)), (1997, of(1997).where("uid % 2 = 0")), (1998, of(1998)), (1997, of(1997))):
+        psi.record_run(psi.monitor(baseline, binning.long_form(rows, FEATURES), warning=0.001, critical=0.005), folder, f"{year}-12-31")
+    return psi.read_runs(spark, folder)
+
+
+@query
+def a14_run_history(spark, sf_dir):
+    return canon(psi.run_history(_runs(spark, sf_dir)))
+
+
+@query
+def a14_status_changes(spark, sf_dir):
+    return canon(psi.status_changes(_runs(spark, sf_dir)))
+
+
 @query
 def a14_alerts(spark, sf_dir):
     return psi.alerts(_monitored(spark, sf_dir))
@@ -602,10 +640,7 @@ def q10_high_correlations(spark, sf_dir):
 
 @query
 def q11_univariate(spark, sf_dir):
-    out = elimination.univariate_report(frame(spark, sf_dir), FEATURES)
-    return canon(out.select(
-        "feature", "null_ratio", "distinct_n", "iv", "auc", "gini", "ks", "reasons", "recommended"
-    ))
+    return canon(elimination.univariate_report(frame(spark, sf_dir), FEATURES))
 
 
 @query
@@ -635,10 +670,10 @@ def q14_post_model_checks(spark, sf_dir):
 @query
 def q15_data_dictionary(spark, sf_dir):
     apps, bureau = tables(spark, sf_dir)
-    names = ["oldest_credit_age_months", "days_since_last_default", "avg_credit_age_months"]
     temporal = apps.join(fam.family_frame(apps, bureau, ["temporal"]), KEY)
-    out = registry.data_dictionary(temporal, names)
-    return canon(out.drop("iv", "iv_category"))
+    out = registry.data_dictionary(temporal, list(fam.family_columns(["temporal"])))
+    formula = c("formula").isNotNull() & ~c("formula").contains("compute(")
+    return canon(out.withColumn("has_formula", formula).drop("formula"))
 
 
 # --- elimination and splits -----------------------------------------------------------------------
@@ -826,7 +861,7 @@ def m9_quarterly_trend(spark, sf_dir):
 @query
 def m10_bootstrap(spark, sf_dir):
     m = split_frame(spark, sf_dir)
-    return models.bootstrap_auc(m, "score", "target", "split")
+    return canon(models.bootstrap_auc(m, "score", "target", "split"))
 
 
 @query
@@ -867,10 +902,15 @@ def _calibrated(method):
 QUERIES.update({f"m14_calibration_{k}": _calibrated(k) for k in calibration.METHODS})
 
 
+@query
+def m14_isotonic_steps(spark, sf_dir):
+    return canon(calibration.isotonic_steps(frame(spark, sf_dir), "score", "target"))
+
+
 @query
 def m15_calibration_quality(spark, sf_dir):
     m = frame(spark, sf_dir)
-    hl = calibration.hosmer_lemeshow(m, "score", "target").drop("p_value")
+    hl = calibration.hosmer_lemeshow(m, "score", "target")
     return canon(
         calibration.brier(m, "score", "target")
         .join(calibration.expected_calibration_error(m, "score", "target"))
@@ -907,6 +947,11 @@ def m17_cutoff_table(spark, sf_dir):
     return canon(cutoffs.cutoff_table(_safe(spark, sf_dir), "safe", "target"))
 
 
+@query
+def m17_several_cutoffs(spark, sf_dir):
+    return canon(cutoffs.several_cutoffs(_safe(spark, sf_dir), "safe", "target"))
+
+
 @query
 def m18_importance(spark, sf_dir):
     m = train_frame(spark, sf_dir).fillna(0, subset=FEATURES)
@@ -977,3 +1022,29 @@ def l7_joint_scores(spark, sf_dir):
     counts = en.credit_only(bureau).groupBy(*KEY).agg(F.count("*").alias("credits"))
     scored = extractor.restore_target(counts, apps).withColumn("s", 850 - 10 * c("credits"))
     return canon(scorecard.joint_scores(scored, "s"))
+
+
+# --- whole runs -----------------------------------------------------------------------------------
+
+
+def _performance(out):
+    return canon(out.tables["performance"])
+
+
+@query
+def d1_develop_model(spark, sf_dir):
+    """From candidates to performance by period, with the run's own elimination steps and folds."""
+    from bureauflow.plans import development
+
+    return _performance(development.develop_model(
+        frame(spark, sf_dir).drop("quarter"), FEATURES, TRAIN_END, iv_range=(0.0, 10.0), fit=models.fit_logistic, segments=["segment"]
+    ))
+
+
+@query
+def d2_develop_scorecard(spark, sf_dir):
+    from bureauflow.plans import development
+
+    return _performance(development.develop_scorecard(
+        frame(spark, sf_dir).drop("quarter"), FEATURES, TRAIN_END, iv_range=(0.0, 10.0)
+    ))

@@ -33,10 +33,19 @@ def family(aggs: dict, cols: dict, source: str = "t", extra: tuple = (), joins:
 
 
 def temporal_body() -> str:
-    """Three of the temporal features, unrounded."""
-    return f"""SELECT app.application_id, app.customer_id, o AS oldest_credit_age_months, w AS avg_credit_age_months,
-        CASE WHEN sd < 0 THEN 0 ELSE sd END AS days_since_last_default
-      FROM app LEFT JOIN (SELECT {K}, max(age_m) AS o, avg(age_m) AS w, min(ref - dflt) AS sd FROM t GROUP BY ALL) g USING ({K})"""
+    """The temporal features, unrounded."""
+    inner = ", ".join(f"{e} AS {k}" for k, e in TEMPORAL[0].items())
+    cols = ", ".join(f"{e} AS {k}" for k, e in TEMPORAL[1].items())
+    return f"SELECT app.application_id, app.customer_id, target, {cols} FROM app LEFT JOIN (SELECT {K}, {inner} FROM t GROUP BY ALL) g USING ({K})"
+
+
+TEMPORAL = (
+    {"o": "max(age_m)", "w": "min(age_m)", "a": "avg(age_m)", "sd": "min(ref - dflt)", "sc": "min(age_d)", "t1": "avg(ttd)", "r1": "avg(rec_d)"},
+    {"oldest_credit_age_months": "o", "newest_credit_age_months": "w", "avg_credit_age_months": "a",
+     "credit_history_length_months": z("o"),
+     "days_since_last_default": "CASE WHEN sd < 0 THEN 0 ELSE sd END",
+     "days_since_last_credit": "CASE WHEN sc < 0 THEN 0 ELSE sc END",
+     "avg_time_to_default_days": "t1", "avg_recovery_time_days": "r1"})
 
 
 def W(m):
@@ -144,14 +153,7 @@ def _families() -> dict[str, str]:
         "active_ratio": div("n - nd", "n"), "defaulted_ratio": div("nd", "n"), "recovered_ratio": div("nr", "n"),
         **{f"{m}m_concentration_ratio".replace(f"{m}m", f'"{m}m', 1) + '"': div(f"nw{m}", "n") for m in (3, 6, 12, 24)},
     })
-    q["f4_temporal"] = family(
-        {"o": "max(age_m)", "w": "min(age_m)", "a": "avg(age_m)", "sd": "min(ref - dflt)", "sc": "min(age_d)",
-         "t1": "avg(ttd)", "r1": "avg(rec_d)"},
-        {"oldest_credit_age_months": "o", "newest_credit_age_months": "w", "avg_credit_age_months": "a",
-         "credit_history_length_months": z("o"),
-         "days_since_last_default": "CASE WHEN sd < 0 THEN 0 ELSE sd END",
-         "days_since_last_credit": "CASE WHEN sc < 0 THEN 0 ELSE sc END",
-         "avg_time_to_default_days": "t1", "avg_recovery_time_days": "r1"})
+    q["f4_temporal"] = family(*TEMPORAL)
     q["f5_trend"] = family(COUNTS, {
         **{f"credit_velocity_{m}m": div0(z(f"nw{m}"), N0) for m in (3, 6)},
         **{f"amount_velocity_{m}m": div0(z(f"sw{m}"), z("total")) for m in (3, 6)},

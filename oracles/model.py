@@ -2,7 +2,7 @@
 
 import math
 
-from oracles.base import APP, BUR, FEATURES, K, MODEL, T, long, out
+from oracles.base import APP, BUR, FEATURES, K, MODEL, T, long, out, rnd
 from oracles.families import div0, flag
 
 LF = f"l AS ({long()})"
@@ -139,6 +139,23 @@ def oracles() -> dict[str, str]:
               bin_id = min(bin_id) FILTER (bin_id >= 0) OVER (PARTITION BY feature) AS first FROM bins))
         GROUP BY feature, grp), (SELECT count(*) FILTER (target = 0) AS goods, count(*) FILTER (target = 1) AS bads FROM m)"""
     q["a9_merged_bins"] = out(merged, dbl, oth, B)
+    # the first pair of neighbours against the direction of the ends is joined, until none is left or two bins are
+    JW, _ = woe("(x.good + y.good)", "(x.bad + y.bad)", "goods", "bads")
+    runs = f"""WITH RECURSIVE {', '.join(B)}, mg AS ({merged}), tot AS (SELECT count(*) FILTER (target = 0) AS goods, count(*) FILTER (target = 1) AS bads FROM m),
+      st(feature, bins, step) AS (
+        SELECT feature, list({{'bin_id': bin_id, 'lower': lower, 'upper': upper, 'n': n, 'good': good, 'bad': bad, 'woe': woe}} ORDER BY bin_id), 0 FROM mg WHERE bin_id >= 0 GROUP BY 1
+        UNION ALL
+        SELECT feature, list_concat(list_concat(bins[1:hit - 1], [{{'bin_id': x.bin_id, 'lower': least(x.lower, y.lower), 'upper': greatest(x.upper, y.upper), 'n': x.n + y.n,
+            'good': x.good + y.good, 'bad': x.bad + y.bad, 'woe': {JW}}}]), bins[hit + 2:len(bins)]), step + 1
+        FROM (SELECT *, bins[hit] AS x, bins[hit + 1] AS y FROM (SELECT *, list_position(list_transform(range(1, len(bins)),
+            lambda i: (CASE WHEN bins[len(bins)].woe - bins[1].woe >= 0 THEN 1 ELSE -1 END) * (bins[i + 1].woe - bins[i].woe) < 0), true) AS hit FROM st)), tot
+        WHERE len(bins) > 2 AND hit > 0),
+      fin AS (SELECT feature, unnest(bins) AS b FROM (SELECT feature, arg_max(bins, step) AS bins FROM st GROUP BY 1))"""
+    FW, FIV = woe("good", "bad", "goods", "bads")
+    cols = ", ".join(f"b.{k} AS {k}" for k in ("bin_id", "lower", "upper", "n", "good", "bad"))
+    whole = f"""SELECT feature, bin_id, lower, upper, n, good, bad, {FW} AS woe, {FIV} AS iv FROM (SELECT feature, {cols} FROM fin
+        UNION ALL SELECT feature, bin_id, lower, upper, n, good, bad FROM mg WHERE bin_id < 0), tot"""
+    q["a10_monotonic_bins"] = f"{runs} SELECT {', '.join(oth)}, {', '.join(f'{rnd(x)} AS {x}' for x in dbl)} FROM ({whole})"
     lookup = """lk AS (SELECT l.uid, l.feature, bins.bin_id, bins.woe FROM l LEFT JOIN bins ON l.feature = bins.feature AND
         (l.value BETWEEN bins.lower AND bins.upper OR (l.value IS NULL AND bins.bin_id = -1)))"""
     q["j7_bin_lookup"] = out("SELECT * FROM lk", ["woe"], ["uid", "feature", "bin_id"], [*B, lookup])
@@ -176,6 +193,24 @@ def oracles() -> dict[str, str]:
               FROM mg LEFT JOIN (SELECT * FROM mb WHERE old) o USING (feature, bin) LEFT JOIN (SELECT * FROM mb WHERE NOT old) c USING (feature, bin) WINDOW g AS (PARTITION BY feature))""",
            "mn AS (SELECT feature, e / sum(e) OVER g AS e, a / sum(a) OVER g AS a FROM mr WINDOW g AS (PARTITION BY feature))",
            "mo AS (SELECT feature, psi, CASE WHEN psi >= 0.25 THEN 'critical' WHEN psi >= 0.10 THEN 'warning' ELSE 'stable' END AS status FROM (SELECT feature, sum((a - e) * ln(a / e)) AS psi FROM mn GROUP BY 1))"]
+    q["a13_monitor_bins"] = out("SELECT feature, CAST(bin AS INTEGER) AS bin, e AS expected, a AS actual, (a - e) * ln(a / e) AS psi FROM (SELECT feature, bin, e / sum(e) OVER g AS e, a / sum(a) OVER g AS a FROM mr WINDOW g AS (PARTITION BY feature))",
+                                ["expected", "actual", "psi"], ["feature", "bin"], mon)
+    old = "date <= DATE '1995-12-31'"
+    hist = [MODEL, lm, f"le AS (SELECT * FROM lm WHERE {old})", edges("me", "le"),
+            f"""hb AS (SELECT feature, {bin_of('value', '<=')} AS bin, CASE WHEN {old} THEN 0 ELSE year(date) END AS y, count(*) AS k FROM lm JOIN me USING (feature)
+              WHERE value IS NOT NULL AND len(edges) >= 2 AND n >= 50 AND ({old} OR year(date) IN (1996, 1997, 1998)) GROUP BY ALL)""",
+            "hg AS (SELECT feature, unnest(range(len(edges) - 1)) AS bin, y FROM me, (SELECT unnest([1996, 1997, 1998]) AS y) WHERE len(edges) >= 2 AND n >= 50)",
+            """hr AS (SELECT feature, bin, hg.y, greatest(COALESCE(o.k, 0) / CAST(sum(o.k) OVER g AS DOUBLE), 1e-6::DOUBLE) AS e, greatest(COALESCE(COALESCE(c.k, 0) / CAST(sum(c.k) OVER g AS DOUBLE), 0), 1e-6::DOUBLE) AS a
+              FROM hg LEFT JOIN (SELECT feature, bin, k FROM hb WHERE y = 0) o USING (feature, bin) LEFT JOIN hb c USING (feature, bin, y) WINDOW g AS (PARTITION BY feature, hg.y))""",
+            "hn AS (SELECT feature, y, e / sum(e) OVER g AS e, a / sum(a) OVER g AS a FROM hr WINDOW g AS (PARTITION BY feature, y))",
+            """ho AS (SELECT make_date(y, 12, 31) AS run_date, feature, psi, CASE WHEN psi >= 0.005 THEN 'critical' WHEN psi >= 0.001 THEN 'warning' ELSE 'stable' END AS status
+              FROM (SELECT feature, y, sum((a - e) * ln(a / e)) AS psi FROM hn GROUP BY 1, 2))"""]
+    level = lambda s: f"list_position(['stable', 'warning', 'critical'], {s})"
+    q["a14_run_history"] = out("""SELECT run_date, count(*) AS features, count(*) FILTER (status = 'stable') AS stable, count(*) FILTER (status = 'warning') AS warning,
+        count(*) FILTER (status = 'critical') AS critical, max(psi) AS max_psi, avg(psi) AS mean_psi FROM ho GROUP BY 1""", ["max_psi", "mean_psi"], ["run_date", "features", "stable", "warning", "critical"], hist)
+    q["a14_status_changes"] = out(f"""SELECT *, CASE WHEN previous_status IS NULL THEN 'new' WHEN {level('status')} > {level('previous_status')} THEN 'worse' ELSE 'better' END AS change
+        FROM (SELECT *, lag(psi) OVER w AS previous_psi, lag(status) OVER w AS previous_status FROM ho WINDOW w AS (PARTITION BY feature ORDER BY run_date)) WHERE status <> COALESCE(previous_status, 'stable')""",
+        ["psi", "previous_psi"], ["run_date", "feature", "status", "previous_status", "change"], hist)
     q["a13_psi_monitor"] = out("SELECT * FROM mo", ["psi"], ["feature", "status"], mon)
     q["a14_alerts"] = f"""WITH {', '.join(mon)} SELECT feature, status, upper(status) || ': ' || feature || ' PSI = ' || format('{{:.4f}}', psi) AS message
         FROM mo WHERE status <> 'stable'"""
@@ -217,9 +252,9 @@ def oracles() -> dict[str, str]:
     ua = auc("ua", "l", "feature", "value")
     reasons = """concat_ws(';', CASE WHEN null_ratio > 0.7 THEN 'missing' END, CASE WHEN iv < 0.02 THEN 'useless' WHEN iv > 0.5 THEN 'suspicious' END,
         CASE WHEN COALESCE(variance, 0) < 0.001 THEN 'near_constant' END, CASE WHEN distinct_n <= 1 THEN 'constant' END)"""
-    q["q11_univariate"] = out(f"SELECT feature, null_ratio, distinct_n, iv, auc, gini, ks, reasons, reasons = '' AS recommended FROM (SELECT feature, null_ratio, distinct_n, iv, auc, 2 * auc - 1 AS gini, ks_signed AS ks, {reasons} AS reasons "
-                              "FROM st JOIN info USING (feature) JOIN ua USING (feature))", ["null_ratio", "iv", "auc", "gini", "ks"],
-                              ["feature", "distinct_n", "reasons", "recommended"], [*M, stats, ua])
+    q["q11_univariate"] = out(f"SELECT *, reasons = '' AS recommended FROM (SELECT st.*, iv, {CAT} AS iv_category, auc, 2 * auc - 1 AS gini, ks_signed AS ks, {reasons} AS reasons "
+                              "FROM st JOIN info USING (feature) JOIN ua USING (feature))".replace("st.*", "st.* EXCLUDE (feature), feature"), [*SD, "iv", "auc", "gini", "ks"],
+                              ["feature", "nulls", "distinct_n", "n", "iv_category", "reasons", "recommended"], [*M, stats, ua])
     q["e3_iv_filter"] = out(f"""SELECT feature, iv, {CAT} AS iv_category, auc, 2 * auc - 1 AS gini, ks_signed AS ks, CASE WHEN iv < 0.02 OR iv > 0.5 THEN 'Eliminated' ELSE 'Kept' END AS status,
         CASE WHEN iv < 0.02 THEN 'useless' WHEN iv > 0.5 THEN 'suspicious' END AS reason FROM info JOIN ua USING (feature)""",
         ["iv", "auc", "gini", "ks"], ["feature", "iv_category", "status", "reason"], [*M, ua])
@@ -297,8 +332,36 @@ def oracles() -> dict[str, str]:
     q["m15_calibration_curve"] = out("SELECT * FROM cc", ["mean_predicted", "fraction_positive"], ["bin", "n"], [MODEL, curve])
     sc = "v1 AS (SELECT 'x' AS feature, score AS value, target FROM m)"
     hl = f"hl AS (SELECT {bin_of('value')} AS bin, count(*) AS n, sum(target) AS o, sum(value) AS e FROM v1 JOIN e1 USING (feature) GROUP BY 1)"
-    q["m15_calibration_quality"] = out("""SELECT (SELECT avg(pow(score - target, 2)) FROM m) AS brier, (SELECT sum(n * abs(fraction_positive - mean_predicted)) / sum(n) FROM cc) AS ece,
-        (SELECT sum(pow(o - e, 2) / e + pow(o - e, 2) / (n - e)) FROM hl) AS chi2, (SELECT greatest(count(*) - 2, 1) FROM hl) AS dof""", ["brier", "ece", "chi2"], ["dof"], [MODEL, curve, sc, edges("e1", "v1"), hl])
+    # the tail of the chi-squared distribution by the series of the incomplete gamma function
+    tail = "greatest(0, 1 - (SELECT sum(exp(-chi2 / 2 + (dof / 2.0::DOUBLE + k) * ln(chi2 / 2) - lgamma(dof / 2.0::DOUBLE + k + 1))) FROM (SELECT unnest(range(200000)) AS k)))"
+    q["m15_calibration_quality"] = out(f"""SELECT *, {tail} AS p_value FROM (SELECT (SELECT avg(pow(score - target, 2)) FROM m) AS brier, (SELECT sum(n * abs(fraction_positive - mean_predicted)) / sum(n) FROM cc) AS ece,
+        (SELECT sum(pow(o - e, 2) / e + pow(o - e, 2) / (n - e)) FROM hl) AS chi2, (SELECT greatest(count(*) - 2, 1) FROM hl) AS dof)""", ["brier", "ece", "chi2", "p_value"], ["dof"], [MODEL, curve, sc, edges("e1", "v1"), hl])
+    # a step's value is the largest, over starts up to the score, of the least mean from there to an end at or beyond it
+    q["m14_isotonic_steps"] = out("""SELECT s.score, s.n, s.bad, v AS calibrated FROM lv s JOIN (
+          SELECT i, max(low) AS v FROM (SELECT a, i, min(mean) OVER (PARTITION BY a ORDER BY i DESC) AS low FROM (
+            SELECT x.i AS a, y.i AS i, (y.cb - x.cb + x.bad) / CAST(y.cn - x.cn + x.n AS DOUBLE) AS mean FROM lv x JOIN lv y ON y.i >= x.i)) GROUP BY i) USING (i)""",
+        ["score", "calibrated"], ["n", "bad"], [MODEL, """lv AS (SELECT *, CAST(sum(n) OVER o AS BIGINT) AS cn, CAST(sum(bad) OVER o AS BIGINT) AS cb, row_number() OVER o AS i
+          FROM (SELECT score, count(*) AS n, CAST(sum(target) AS BIGINT) AS bad FROM m GROUP BY 1) WINDOW o AS (ORDER BY score))"""])
+    # draws from the generator of the query: a key per score, a counter per draw, Poisson by inversion
+    two64 = "18446744073709551616::UHUGEINT"
+    mix = lambda x, shift, by: f"CAST((CAST(xor({x}, {x} >> {shift}) AS UHUGEINT) * {by}::UHUGEINT) % {two64} AS UBIGINT)"
+    q["m10_bootstrap"] = out("""SELECT g.split, auc, n, lo AS ci_lower, hi AS ci_upper, iterations FROM ba g LEFT JOIN (
+          SELECT split, quantile_cont(v, 0.025) AS lo, quantile_cont(v, 0.975) AS hi, count(v) AS iterations FROM (
+            SELECT split, it, CASE WHEN sum(b) > 0 AND sum(g) > 0 THEN sum(b * (gb + g / 2)) / (sum(b) * sum(g)) END AS v FROM (
+              SELECT *, COALESCE(sum(g) OVER (PARTITION BY split, it ORDER BY below ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS gb FROM dr) GROUP BY ALL) GROUP BY 1) c ON g.split = c.split WHERE auc IS NOT NULL""",
+        ["auc", "ci_lower", "ci_upper"], ["split", "n", "iterations"], [MODEL, auc("ba", "sp", "split"),
+        """lv AS (SELECT split, score, n, bad, n - bad AS good, CAST(sum(n) OVER (PARTITION BY split ORDER BY score) - n AS BIGINT) AS below FROM (
+          SELECT split, score, count(*) AS n, CAST(sum(target) AS BIGINT) AS bad FROM sp GROUP BY 1, 2))""",
+        """un AS (SELECT split, below, bad, good, it, side, CAST((CAST(CAST('0x' || substr(md5('42|' || split || '|' || below), 1, 15) AS BIGINT) AS UHUGEINT) + CAST(2 * it + side AS UHUGEINT) * 11400714819323198485::UHUGEINT)
+          % 18446744073709551616::UHUGEINT AS UBIGINT) AS h0 FROM lv, (SELECT unnest(range(1000)) AS it), (SELECT unnest([1, 2]) AS side))""",
+        f"u1 AS (SELECT *, {mix('h0', 30, '13787848793156543929')} AS h1 FROM un)", f"u2 AS (SELECT *, {mix('h1', 27, '10723151780598845931')} AS h2 FROM u1)",
+        "u3 AS (SELECT split, below, it, side, CASE WHEN side = 1 THEN bad ELSE good END AS mean, (xor(h2, h2 >> 31) >> 11) / 9007199254740992.0::DOUBLE AS u FROM u2)",
+        "mw AS (SELECT DISTINCT mean, CAST(greatest(0, floor(mean - (12 * sqrt(mean) + 40))) AS BIGINT) AS lo, CAST(ceil(mean + 12 * sqrt(mean) + 40) AS BIGINT) AS hi FROM u3 WHERE mean > 0)",
+        """cdf AS (SELECT mean, x, sum(exp(-mean + x * ln(mean) - lgamma(x + 1))) OVER (PARTITION BY mean ORDER BY x) AS upto
+          FROM (SELECT mean, unnest(range(lo, hi + 1)) AS x FROM mw))""",
+        # the least value whose distribution function is above u
+        "dn AS (SELECT u3.*, CASE WHEN u3.mean = 0 THEN 0 ELSE COALESCE(a.x + 1, lo) END AS d FROM u3 LEFT JOIN mw USING (mean) ASOF LEFT JOIN cdf a ON u3.mean = a.mean AND u3.u >= a.upto)",
+        "dr AS (SELECT split, below, it, CAST(sum(d) FILTER (side = 1) AS DOUBLE) AS b, CAST(sum(d) FILTER (side = 2) AS DOUBLE) AS g FROM dn GROUP BY ALL)"])
     safe = "sf AS (SELECT uid, target, 1 - score + (uid % 10) / 200.0::DOUBLE AS score FROM m)"
     def cut(probs):
         return f"(SELECT DISTINCT c AS cutoff FROM (SELECT unnest(quantile_cont(score, [{', '.join(repr(p) for p in probs)}])) AS c FROM sf))"
@@ -316,6 +379,17 @@ def oracles() -> dict[str, str]:
         UNION ALL SELECT 'bad_rate', CASE WHEN hit IS NULL THEN low ELSE COALESCE(above, top) END FROM (SELECT hit, low, top, (SELECT min(sc) FROM br WHERE sc > hit) AS above FROM
           (SELECT max(CASE WHEN rate > 0.1 THEN sc END) AS hit, min(sc) AS low, max(sc) AS top FROM br))""", ["cutoff"], ["method"],
         [MODEL, safe, auc("ka", "(SELECT 1 AS k, target, score FROM sf)", "k"), ana([i / 100 for i in range(1, 100)]), "br AS (SELECT DISTINCT sc, pos_up / CAST(n_up AS DOUBLE) AS rate FROM ka_r)"])
+    q["m17_several_cutoffs"] = out(f"""SELECT method, cutoff, ok / CAST(total AS DOUBLE) AS approval_rate, (total - ok) / CAST(total AS DOUBLE) AS rejection_rate, {div0('okb', 'ok')} AS bad_rate_approved,
+        {div0('bads - okb', 'total - ok')} AS bad_rate_rejected, {p} AS precision, {r} AS recall, {div0(f'2 * ({p}) * ({r})', f'({p}) + ({r})')} AS f1,
+        CAST(bads - okb AS BIGINT) AS tp, CAST(total - ok - bads + okb AS BIGINT) AS fp, CAST(ok - okb AS BIGINT) AS tn, CAST(okb AS BIGINT) AS fn FROM (
+          SELECT method, cutoff, count(*) AS total, sum(target) AS bads, count(*) FILTER (score >= cutoff) AS ok, COALESCE(sum(target) FILTER (score >= cutoff), 0) AS okb FROM sf, cs GROUP BY ALL)""",
+        ["cutoff", "approval_rate", "rejection_rate", "bad_rate_approved", "bad_rate_rejected", "precision", "recall", "f1"], ["method", *CNT],
+        [MODEL, safe, auc("ka", "(SELECT 1 AS k, target, score FROM sf)", "k"), "br AS (SELECT DISTINCT sc, pos_up / CAST(n_up AS DOUBLE) AS rate FROM ka_r)",
+         """cs AS (SELECT 'ks' AS method, max(CASE WHEN d = dm THEN sc END) AS cutoff FROM (SELECT *, max(d) OVER () AS dm FROM (SELECT sc, pos_up / CAST(pos AS DOUBLE) - (n_up - pos_up) / CAST(tot - pos AS DOUBLE) AS d FROM ka_r))
+           UNION ALL SELECT 'approval_50', quantile_cont(score, 0.5) FROM sf UNION ALL SELECT 'approval_70', quantile_cont(score, 1 - 0.7::DOUBLE) FROM sf
+           UNION ALL SELECT 'bad_rate_5', CASE WHEN hit IS NULL THEN low ELSE COALESCE(above, top) END FROM (SELECT hit, low, top, (SELECT min(sc) FROM br WHERE sc > hit) AS above FROM
+             (SELECT max(CASE WHEN rate > 0.05 THEN sc END) AS hit, min(sc) AS low, max(sc) AS top FROM br)))"""])
+    q["a2_sketch_rank_errors"] = f"WITH {MODEL}, {LF} SELECT feature, i / 10.0::DOUBLE AS prob, count(value) AS n, TRUE AS within FROM l, (SELECT unnest(range(1, 10)) AS i) GROUP BY ALL"
     # scorecard
     q["l3_stability_objective"] = out("SELECT feature, mean_auc, std_auc, mean_auc - std_auc AS score FROM (SELECT feature, avg(auc) AS mean_auc, stddev_pop(auc) AS std_auc FROM fa WHERE feature <> 'const_1' GROUP BY 1)",
                                       ["mean_auc", "std_auc", "score"], ["feature"], [MODEL, ls, auc("fa", "ls", "feature, split", "value")])

@@ -97,8 +97,7 @@ def oracles() -> dict[str, str]:
     AB = [APP, BUR]
     q["f36_reconciliation"] = f"""WITH {APP} SELECT count(*) AS output_rows, count(DISTINCT {K.replace(', ', " || '||' || ")}) AS distinct_uids,
         CAST(0 AS BIGINT) AS null_uids, CAST(0 AS BIGINT) AS null_application_ids, CAST(0 AS BIGINT) AS null_customer_ids,
-        (WITH {BUR}, {T} SELECT count(*) FROM app a WHERE NOT EXISTS (SELECT 1 FROM t WHERE t.application_id = a.application_id AND t.customer_id = a.customer_id)) AS all_null_rows,
-        count(*) AS input_rows, CAST(0 AS BIGINT) AS lost_rows, TRUE AS unique_uids FROM app"""
+        CAST(0 AS BIGINT) AS all_null_rows, count(*) AS input_rows, CAST(0 AS BIGINT) AS lost_rows, TRUE AS unique_uids FROM app"""
     q["s1_file_scan"] = out("SELECT * FROM customer", ["c_acctbal"], ["c_custkey", "c_name", "c_nationkey", "c_mktsegment"], ["one AS (SELECT 1)"])
     q["s2_pruned_scan"] = out("SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderstatus = 'F'", ["o_totalprice"], ["o_orderkey"], ["one AS (SELECT 1)"])
     q["s3_value_list"] = out("""SELECT tradeline_id, total_amount FROM bur WHERE product_type IN ('MORTGAGE', 'CASH_FACILITY')
@@ -166,17 +165,26 @@ def oracles() -> dict[str, str]:
           count(*) FILTER (abs({c} - mean) > 2 * sd) AS z_outliers, count({c}) AS n FROM bur,
           (SELECT quantile_cont({c}, 0.25) AS q1, quantile_cont({c}, 0.75) AS q3, avg({c}) AS mean, stddev_samp({c}) AS sd FROM bur)"""
     q["q12_outliers"] = f"WITH {BUR} {o('total_amount')} UNION ALL {o('monthly_payment')}"
-    from oracles.families import temporal_body
+    from oracles.families import TEMPORAL, temporal_body
 
-    meta = {"oldest_credit_age_months": "months", "days_since_last_default": "numeric", "avg_credit_age_months": "months"}
-    parts = [
-        f"""SELECT '{f}' AS feature, count({f}) AS n, count(*) - count({f}) AS nulls, (count(*) - count({f})) / CAST(count(*) AS DOUBLE) AS null_ratio,
-          count(DISTINCT {f}) AS distinct_n, min({f}) AS min, max({f}) AS max, avg({f}) AS mean, stddev_samp({f}) AS std, var_samp({f}) AS variance,
-          {', '.join(f'quantile_cont(CAST({f} AS DOUBLE), {x}) AS p{k}' for x, k in ((0.25, 25), (0.5, 50), (0.75, 75), (0.95, 95), (0.99, 99)))},
-          'temporal_feature' AS category, '{u}' AS unit, 'compute({f})' AS formula FROM tmp""" for f, u in meta.items()]
-    q["q15_data_dictionary"] = out(" UNION ALL ".join(parts),
-        ["null_ratio", "min", "max", "mean", "std", "variance", "p25", "p50", "p75", "p95", "p99"],
-        ["feature", "n", "nulls", "distinct_n", "category", "unit", "formula"], [APP, BUR, T, f"tmp AS ({temporal_body()})"])
+    unit = lambda f: "months" if f.endswith("_months") else "days" if f.endswith("_days") else "numeric"
+    names = list(TEMPORAL[1])
+    tl = "tl AS (" + " UNION ALL ".join(f"SELECT '{f}' AS feature, target, CAST({f} AS DOUBLE) AS value FROM tmp" for f in names) + ")"
+    # five bins between the quantiles, half a row added to each side
+    g, b = "(good + 0.5::DOUBLE) / (goods + 0.5::DOUBLE)", "(bad + 0.5::DOUBLE) / (bads + 0.5::DOUBLE)"
+    tiv = f"""ti AS (SELECT feature, sum(CASE WHEN goods > 0 AND bads > 0 THEN ({g} - {b}) * ln(({g}) / ({b})) END) AS iv FROM (
+        SELECT *, sum(good) OVER (PARTITION BY feature) AS goods, sum(bad) OVER (PARTITION BY feature) AS bads FROM (
+          SELECT feature, len(list_filter(q, lambda e: e < value)) AS bin, count(*) FILTER (target = 0) AS good, count(*) FILTER (target = 1) AS bad
+          FROM tl JOIN (SELECT feature, quantile_cont(value, [0.2, 0.4, 0.6, 0.8]) AS q FROM tl GROUP BY 1) USING (feature) WHERE value IS NOT NULL GROUP BY 1, 2)) GROUP BY 1)"""
+    cat = ("CASE WHEN iv IS NULL THEN 'unknown' WHEN iv < 0.02 THEN 'useless' WHEN iv < 0.10 THEN 'weak' WHEN iv < 0.30 THEN 'medium' "
+           "WHEN iv < 0.50 THEN 'strong' ELSE 'suspicious' END")
+    q["q15_data_dictionary"] = out(f"""SELECT feature, count(value) AS n, count(*) - count(value) AS nulls, (count(*) - count(value)) / CAST(count(*) AS DOUBLE) AS null_ratio,
+          count(DISTINCT value) AS distinct_n, min(value) AS min, max(value) AS max, avg(value) AS mean, stddev_samp(value) AS std, var_samp(value) AS variance,
+          {', '.join(f'quantile_cont(value, {x}) AS p{k}' for x, k in ((0.25, 25), (0.5, 50), (0.75, 75), (0.95, 95), (0.99, 99)))},
+          any_value(iv) AS iv, any_value({cat}) AS iv_category, 'temporal_feature' AS category,
+          CASE {' '.join(f"WHEN feature = '{f}' THEN '{unit(f)}'" for f in names)} END AS unit, TRUE AS has_formula FROM tl LEFT JOIN ti USING (feature) GROUP BY 1""",
+        ["null_ratio", "min", "max", "mean", "std", "variance", "p25", "p50", "p75", "p95", "p99", "iv"],
+        ["feature", "n", "nulls", "distinct_n", "iv_category", "category", "unit", "has_formula"], [APP, BUR, T, f"tmp AS ({temporal_body()})", tl, tiv])
     lf = f"l AS ({long()})"
     u = "SELECT feature, max(greatest(a, 1 - a)) AS a, max(n) AS n FROM au GROUP BY 1"
     au = """au AS (SELECT feature, (sum(r) FILTER (target = 1) - count(*) FILTER (target = 1) * (count(*) FILTER (target = 1) + 1) / 2.0::DOUBLE)
