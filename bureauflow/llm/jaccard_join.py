@@ -24,7 +24,7 @@ from math import exp, sqrt
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from bureauflow.llm import ragged, storage
@@ -299,8 +299,10 @@ def similar_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     docs = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
     own = storage.written(described(docs, shingle))
     heads = storage.written(own.where("n > 0").groupBy("id").agg(F.min("key").alias("key"), F.first("n").alias("n"), F.first("bits").alias("bits")))
-    counts = indexed(docs, shingle, share, None).groupBy("entry").count().where("count > 1").select("entry")
-    shared = storage.written(counts)
+    # most entries are met once, so counts would fill a map of all of them before the exchange; a sort finds the second of each in less
+    # memory, and a task sends two of an entry at most
+    second = F.row_number().over(Window.partitionBy("entry").orderBy("entry"))
+    shared = storage.written(indexed(docs, shingle, share, None).withColumn("place", second).where("place = 2").select("entry"))
     rows = storage.written(indexed(docs, shingle, share, bit_set(shared, "entry", FILTER_BITS)).dropDuplicates(["entry", "id"]))
 
     def checked(pairs: DataFrame) -> DataFrame:
