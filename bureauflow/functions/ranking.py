@@ -103,12 +103,15 @@ def quantiles(
     value: str,
     probs: list,
     max_group: int = MAX_GROUP,
+    weight: Column | None = None,
 ) -> DataFrame:
     """Exact linearly interpolated quantiles: by, q (array in the order of probs), n.
 
-    A prob is a number or a Column over `n`, the number of values of the group.
+    A prob is a number or a Column over `n`, the number of values of the group. weight: how often a
+    row's value counts, if df holds values with their numbers.
     """
-    cum = cumulative(df, by, value, {"k": F.lit(1)}, max_group).withColumn("n", F.col("k_total"))
+    times = F.lit(1) if weight is None else weight
+    cum = cumulative(df, by, value, {"k": times}, max_group).withColumn("n", F.col("k_total"))
     cols = [p if isinstance(p, Column) else F.lit(float(p)) for p in probs]
     pos = [(F.col("n") - 1) * p for p in cols]
     covers = lambda x: (F.col("k_before") <= x) & (x < F.col("k_before") + F.col("k"))

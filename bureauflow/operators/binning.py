@@ -35,11 +35,16 @@ def bin_of(value: Column, edges: Column, closed: str = "right") -> Column:
 
 
 def qcut_edges(
-    long: DataFrame, by: list[str] | None = None, n_bins: int = 10, min_samples: int | None = None
+    long: DataFrame,
+    by: list[str] | None = None,
+    n_bins: int = 10,
+    min_samples: int | None = None,
+    weight: Column | None = None,
 ) -> DataFrame:
     """Exact distinct quantile edges per feature: by, edges, n.
 
-    With `min_samples` the number of bins shrinks so that a bin holds about that many rows.
+    With `min_samples` the number of bins shrinks so that a bin holds about that many rows. weight:
+    as in `ranking.quantiles`.
     """
     by = by or ["feature"]
     if min_samples:
@@ -49,10 +54,18 @@ def qcut_edges(
         probs = [F.least(F.lit(float(i)) / bins, F.lit(1.0)) for i in range(n_bins + 1)]
     else:
         probs = [i / n_bins for i in range(n_bins + 1)]
-    q = ranking.quantiles(long, by, "value", probs)
+    q = ranking.quantiles(long, by, "value", probs, weight=weight)
     return q.select(*by, F.array_distinct("q").alias("edges"), "n")
 
 
+def value_counts(long: DataFrame, target: str = "target") -> DataFrame:
+    """feature, value, n, good, bad: the rows of every distinct value; all a feature's bins, edges and IV need."""
+    t = c(target)
+    return long.groupBy("feature", "value").agg(
+        F.count("*").alias("n"), F.count_if(t == 0).alias("good"), F.count_if(t == 1).alias("bad")
+    )
+
+
 def with_bins(
     long: DataFrame,
     edges: DataFrame,
@@ -104,6 +117,11 @@ def woe_table(
             F.count_if(t == 1).alias("bad"),
         )
     )
+    return _woe_of(counts, by, smoothing)
+
+
+def _woe_of(counts: DataFrame, by: str = "bin", smoothing: float | None = None) -> DataFrame:
+    """woe_table of the counts (n, good, bad) of bins."""
     w = Window.partitionBy("feature")  # a handful of bins per feature
     counts = counts.withColumns({"goods": F.sum("good").over(w), "bads": F.sum("bad").over(w)})
     woe, iv = woe_columns(c("good"), c("bad"), c("goods"), c("bads"), smoothing)
@@ -131,20 +149,20 @@ def information_value(
     Plain variant: NULL below `min_rows` values; a constant feature has IV 0. With `min_samples`
     the number of bins adapts, and fewer than 2 x min_samples values or 2 bins give NULL.
     """
-    clean = long.where(c("value").isNotNull() & c(target).isNotNull())
-    edges = qcut_edges(clean, n_bins=n_bins, min_samples=min_samples)
-    bins = woe_table(with_bins(clean, edges), target)
+    values = value_counts(long.where(c("value").isNotNull() & c(target).isNotNull()), target)
+    edges = qcut_edges(values, n_bins=n_bins, min_samples=min_samples, weight=c("n"))
+    sums = [F.sum(x).alias(x) for x in ("n", "good", "bad")]
+    binned = with_bins(values, edges).groupBy("feature", "bin").agg(*sums)
+    bins = _woe_of(binned.where(c("bin").isNotNull()))
     per_feature = bins.groupBy("feature").agg(F.sum("iv").alias("iv"), F.count("*").alias("k"))
-    sizes = clean.groupBy("feature").agg(
-        F.count("*").alias("n"), F.count_distinct(target).alias("classes")
-    )
+    # a constant feature has no bin but a size
+    sizes = binned.groupBy("feature").agg(*sums)
+    both = (c("good") > 0) & (c("bad") > 0)
     joined = sizes.join(per_feature, "feature", "left")
     if min_samples:
         iv = F.when((c("n") >= 2 * min_samples) & (c("k") >= 2), c("iv"))
     else:
-        iv = F.when(
-            (c("n") >= min_rows) & (c("classes") == 2), F.coalesce(c("iv"), F.lit(0.0))
-        )
+        iv = F.when((c("n") >= min_rows) & both, F.coalesce(c("iv"), F.lit(0.0)))
     return joined.select("feature", iv.alias("iv"), "n").select(
         "feature", "iv", iv_category(c("iv")).alias("iv_category"), "n"
     )
@@ -185,9 +203,10 @@ def approximate_bins(df: DataFrame, column: str, n_bins: int = 10, k: int = 200)
     """df with `{column}_bin`: left-closed quantile buckets from a mergeable sketch; missing values have the last."""
     rows = df.select(F.lit(column).alias("feature"), c(column).cast("double").alias("value"))
     cuts = sketch_cuts(rows, [i / n_bins for i in range(1, n_bins)], k).select(F.array_distinct("cuts")).scalar()
-    slot = F.size(F.filter(cuts, lambda x: x <= c(column)))
+    slot = F.size(F.filter("_cuts", lambda x: x <= c(column)))
     missing = c(column).isNull() | F.isnan(c(column).cast("double"))
-    return df.withColumn(f"{column}_bin", F.when(missing, F.size(cuts) + 1).otherwise(slot).cast("double"))
+    bucket = F.when(missing, F.size("_cuts") + 1).otherwise(slot).cast("double")
+    return df.withColumn("_cuts", cuts).withColumn(f"{column}_bin", bucket).drop("_cuts")
 
 
 def _fifths(clean: DataFrame, cuts: DataFrame, target: str) -> DataFrame:

@@ -65,18 +65,19 @@ def isotonic_steps(df: DataFrame, score: str, target: str) -> DataFrame:
     """score, n, bad, calibrated: the monotone step fit at every distinct score (pool adjacent violators).
 
     Ranges of about RANGE_ROWS rows by the rank of the score pool their own scores into blocks of
-    rising bad rate; FAN_IN neighbouring ranges then pool each other's blocks, ROUNDS times. Pooling
-    is associative, so the result is that of one pass over all scores. Blocks of n rows in all have
-    distinct bad rates, hence there are at most about n ** (2 / 3) of them in the last group.
+    rising bad rate; FAN_IN neighbouring ranges then pool each other's blocks, ROUNDS times, and what is
+    left is pooled together. Pooling is associative, so the result is that of one pass over all scores.
+    Blocks of n rows in all have distinct bad rates, hence there are at most about n ** (2 / 3) of them.
     """
     rows = metrics.curve(df, score, target).select(
         c(score).alias("score"), c("n_before").cast("bigint").alias("start"), "n", "bad"
     )
     rows = rows.withColumn("part", F.floor(c("start") / RANGE_ROWS))
     blocks = rows.select("part", "start", "n", "bad")
-    for _ in range(1 + ROUNDS):
+    for turn in range(1 + ROUNDS):
         blocks = blocks.groupBy("part").applyInArrow(_pool, BLOCKS)
-        blocks = blocks.withColumn("part", F.floor(c("part") / FAN_IN))
+        wider = F.floor(c("part") / FAN_IN) if turn < ROUNDS - 1 else F.lit(0).cast("bigint")
+        blocks = blocks.withColumn("part", wider)
     # a block stands at its start and at the start of every further range it reaches into
     first, last = F.floor(c("start") / RANGE_ROWS), F.floor((c("start") + c("n") - 1) / RANGE_ROWS)
     marks = blocks.select(

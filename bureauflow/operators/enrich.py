@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -93,15 +95,20 @@ def enrich(dated: DataFrame) -> DataFrame:
     )
 
 
-def hot_keys(
-    bureau: DataFrame, keys: list[str] = KEY, limit: int = MAX_ROWS_PER_KEY
-) -> DataFrame | None:
-    """Keys with more rows than one task should hold, or None when there are none.
+@dataclass
+class HotKeys:
+    """Keys with more rows than one task should hold; None when there are none."""
+
+    keys: DataFrame | None
+
+
+def hot_keys(bureau: DataFrame, keys: list[str] = KEY, limit: int = MAX_ROWS_PER_KEY) -> HotKeys:
+    """The over-full keys, from one pre-aggregated counting job.
 
-    One pre-aggregated counting job; the keys stay a distributed table, however many there are.
+    They stay a distributed table, however many there are.
     """
     found = bureau.groupBy(*keys).agg(F.count("*").alias("rows")).where(F.col("rows") > limit)
-    return None if found.isEmpty() else found.select(*keys)
+    return HotKeys(None if found.isEmpty() else found.select(*keys))
 
 
 def split_hot(

@@ -128,7 +128,13 @@ GROUPS = {
 def extract_features(
     apps: DataFrame, bureau: DataFrame, groups: list[str] | None = None
 ) -> DataFrame:
-    """Applications with the named feature groups (all by default); missing features are 0."""
+    """Applications with the named feature groups (all by default); missing features are 0.
+
+    One row per applicant: of repeated applications the first by date, then by the other columns.
+    """
+    rest = ["application_date", *[x for x in apps.columns if x not in (*KEY, "application_date")]]
+    first = apps.groupBy(*KEY).agg(F.min(F.struct(*rest)).alias("_first"))
+    apps = first.select(*KEY, "_first.*").select(*apps.columns)
     dated = attach_application_date(with_optional_columns(bureau), apps).withColumn(
         "age", F.months_between("application_date", "opening_date")
     )
@@ -141,7 +147,7 @@ def extract_features(
         *apps.columns,
         F.concat_ws("||", *KEY).alias("uid"),
         *[derived[n].alias(n) if n in derived else F.col(n) for n in names],
-    ).dropDuplicates(["uid"])
+    )
 
 
 def combine_groups(frames: list[DataFrame]) -> DataFrame:

@@ -108,10 +108,9 @@ def lift_table(
 
 
 def _with_edges(df: DataFrame, edges: DataFrame, by: list[str]) -> DataFrame:
-    """Attach the edge array of the row's group; one row per group, so it may be broadcast."""
-    edges = F.broadcast(edges)
+    """Attach the edge array of the row's group; whether the groups' rows are broadcast is left to their size."""
     if not by:
-        return df.join(edges)
+        return df.join(F.broadcast(edges))  # one row
     on = [F.col(f"d.{b}").eqNullSafe(F.col(f"e.{b}")) for b in by]
     return df.alias("d").join(edges.alias("e"), on).select("d.*", "edges")
 

@@ -22,8 +22,13 @@ def _weights(df: DataFrame, target: str) -> DataFrame:
     """Class weights n / (2 n_class), so that both classes weigh the same; kept if df has them."""
     if "_w" in df.columns:
         return df
+    return _weighted(df, target, *_class_counts(df, target))
+
+
+def _class_counts(df: DataFrame, target: str) -> tuple[int, float]:
+    """(number of rows, number of bads)."""
     row = df.agg(F.count("*").alias("n"), F.sum(c(target).cast("double")).alias("bad")).first()
-    return _weighted(df, target, row["n"], row["bad"])
+    return row["n"], row["bad"]
 
 
 def _weighted(df: DataFrame, target: str, n: int, bad: float) -> DataFrame:
@@ -53,12 +58,17 @@ def fit_logistic(
     from pyspark.ml import Pipeline
     from pyspark.ml.classification import LogisticRegression
 
-    data = _weights(df, target) if balanced else df.withColumn("_w", F.lit(1.0))
+    if balanced and "_w" not in df.columns:
+        n, bad = _class_counts(df, target)
+        data = _weighted(df, target, n, bad)
+    else:
+        n = df.count()
+        data = df if balanced else df.withColumn("_w", F.lit(1.0))
     model = LogisticRegression(
         featuresCol="_x",
         labelCol=target,
         weightCol="_w",
-        regParam=1.0 / (inverse_penalty * max(df.count(), 1)),
+        regParam=1.0 / (inverse_penalty * max(n, 1)),
         elasticNetParam=elastic_net,
         standardization=False,
         maxIter=100,

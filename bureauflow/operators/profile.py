@@ -9,6 +9,8 @@ by a small table of day summaries; value distributions go through the chunked fr
 
 from __future__ import annotations
 
+from uuid import uuid4
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -16,6 +18,7 @@ from bureauflow.functions import ranking
 from bureauflow.functions.expressions import adjusted_skewness, sum_if
 from bureauflow.operators import enrich as en
 from bureauflow.schema import KEY, PRODUCTS
+from bureauflow.sources import tables as src
 
 PART = KEY + ["is_credit"]
 SEQ = ["opening", "amt", "product", "tid"]
@@ -110,39 +113,66 @@ def _join_null_safe(left: DataFrame, right: DataFrame, keys: list[str]) -> DataF
 
 
 def _lag_across_chunks(
-    df: DataFrame, part: list[str], chunk: str, order: list[str], col: str, out: str
+    df: DataFrame, part: list[str], chunk: list[str], order: list[str], col: str, out: str
 ) -> DataFrame:
     """lag(col) over a long ordered group, one task per (group, chunk) instead of per group."""
-    local = Window.partitionBy(*part, chunk).orderBy(*order)
-    last = df.groupBy(*part, chunk).agg(F.max_by(col, F.struct(*order)).alias("_last"))
+    local = Window.partitionBy(*part, *chunk).orderBy(*order)
+    last = df.groupBy(*part, *chunk).agg(F.max_by(col, F.struct(*order)).alias("_last"))
     before = last.select(
-        *part, chunk, F.lag("_last").over(Window.partitionBy(*part).orderBy(chunk)).alias("_carry")
+        *part, *chunk, F.lag("_last").over(Window.partitionBy(*part).orderBy(*chunk)).alias("_carry")
     )
-    df = df.withColumns(
-        {"_lag": F.lag(col).over(local), "_first": F.row_number().over(local) == 1}
-    ).join(before, [*part, chunk], "left")
+    df = df.withColumns({"_lag": F.lag(col).over(local), "_first": F.row_number().over(local) == 1})
+    df = _join_null_safe(df, before, [*part, *chunk])
     return df.withColumn(
         out, F.when(F.col("_first"), F.col("_carry")).otherwise(F.col("_lag"))
     ).drop("_lag", "_first", "_carry")
 
 
+def _cut_within(rows: DataFrame, group: list[str], limit: int, name: str) -> DataFrame:
+    """rows with `name`, the range of (amt, product, tid) inside their group; 0 where a group fits."""
+    placed = rows.withColumn("_place", F.struct(*SEQ[1:]))
+    return ranking.in_ranges(placed, group, "_place", limit).withColumnRenamed("_chunk", name).drop("_place")
+
+
+def _chunked(rows: DataFrame, limit: int) -> DataFrame:
+    """Credit rows of over-full applicants with the chunks that order is resolved in.
+
+    By opening day (`day`, `sub`) and, for the order of defaults, by default date (`_date`, `_sub`):
+    a date of more than `limit` rows is cut into ranges of amount, product and tradeline id.
+    """
+    rows = _cut_within(rows.where(F.col("is_credit")), [*PART, "day"], limit, "sub")
+    # only defaulted rows use the order of defaults; the others, most of a key, are dealt out by day
+    date = F.when(F.col("d"), F.col("dflt").cast("string")).otherwise(F.col("day").cast("string"))
+    return _cut_within(rows.withColumn("_date", date), [*PART, "d", "_date"], limit, "_sub")
+
+
+def _written(rows: DataFrame) -> DataFrame:
+    """rows, written to the shared folder and read again: what follows reads them several times."""
+    path = src.artefact_folder(rows.sparkSession, f"over-full-{uuid4().hex}")
+    src.save_artefact(rows, path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
 def _hot_rows(rows: DataFrame) -> DataFrame:
-    """The sequence columns of `_cold_rows` for over-full applicants, chunked by opening day."""
-    rows = rows.where(F.col("is_credit"))
-    by_day = [*PART, "day"]
-    days = rows.groupBy(*by_day, "month").agg(
+    """The sequence columns of `_cold_rows` for the chunked rows of over-full applicants.
+
+    Order is resolved inside the chunks; a table of one row per chunk carries counts, the last
+    product and the start of the running streak across their cuts.
+    """
+    by_chunk = [*PART, "day", "sub"]
+    chunks = rows.groupBy(*by_chunk, "month").agg(
         F.count("*").alias("n_d"),
         F.count("payment").alias("pay_d"),
         F.sum("amt").alias("amt_d"),
         F.max_by("p", F.struct("amt", "product", "tid")).alias("last_p"),
     )
     w = Window.partitionBy(*PART)
-    order = w.orderBy("day")
+    order = w.orderBy("day", "sub")
     earlier = order.rowsBetween(UNB, -1)
-    ahead = lambda d: order.rangeBetween(0, d)
+    ahead = lambda d: w.orderBy("day").rangeBetween(0, d)
     zero = lambda c: F.coalesce(c, F.lit(0))
-    days = days.select(
-        *by_day,
+    chunks = chunks.select(
+        *by_chunk,
         F.sum("n_d").over(w).alias("n"),
         F.sum("pay_d").over(w).alias("np"),
         zero(F.sum("n_d").over(earlier)).alias("rn_off"),
@@ -159,8 +189,8 @@ def _hot_rows(rows: DataFrame) -> DataFrame:
         .otherwise(F.sum("n_d").over(Window.partitionBy(*PART, "month")))
         .alias("in_month"),
     )
-    rows = _join_null_safe(rows, days, by_day)
-    local = Window.partitionBy(*by_day).orderBy("amt", "product", "tid")
+    rows = _join_null_safe(rows, chunks, by_chunk)
+    local = Window.partitionBy(*by_chunk).orderBy("amt", "product", "tid")
     upto = local.rowsBetween(UNB, 0)
     rows = rows.withColumns({"rn_d": F.row_number().over(local), "lag_p": F.lag("p").over(local)})
     rows = rows.withColumns(
@@ -172,25 +202,23 @@ def _hot_rows(rows: DataFrame) -> DataFrame:
         }
     )
     rows = _sequence_steps(rows, upto)
-    starts = rows.groupBy(*by_day).agg(
+    starts = rows.groupBy(*by_chunk).agg(
         F.max(F.when(F.col("change"), F.col("rn"))).alias("last_start")
     )
-    starts = starts.select(*by_day, F.max("last_start").over(earlier).alias("start_before"))
+    starts = starts.select(*by_chunk, F.max("last_start").over(earlier).alias("start_before"))
     rows = rows.withColumn("start_here", F.max(F.when(F.col("change"), F.col("rn"))).over(upto))
-    rows = _join_null_safe(rows, starts, by_day)
+    rows = _join_null_safe(rows, starts, by_chunk)
     rows = rows.withColumn("run_start", F.coalesce("start_here", "start_before"))
-    # only defaulted rows use it; the others, most rows of a key, are dealt out by day
-    rows = rows.withColumn(
-        "_chunk", F.when(F.col("d"), F.col("dflt").cast("string")).otherwise(F.col("day").cast("string"))
-    )
-    rows = _lag_across_chunks(rows, [*PART, "d"], "_chunk", DEFAULT_SEQ[1:], "p", "prev_dp").drop("_chunk")
+    rows = _lag_across_chunks(
+        rows, [*PART, "d"], ["_date", "_sub"], DEFAULT_SEQ[1:], "p", "prev_dp"
+    ).drop("_date", "_sub", "sub")
     fixed = rows.groupBy(*KEY).agg(
         F.min("rec").alias("r1"),
         F.min("amt").alias("amt_min"),
         F.max("amt").alias("amt_max"),
         F.max(F.when(F.col("rn") == F.col("n"), F.col("amt"))).alias("latest"),
     )
-    return rows.join(F.broadcast(fixed), KEY)
+    return rows.join(fixed, KEY)
 
 
 def _aggregates() -> dict[str, Column]:
@@ -435,7 +463,7 @@ def _hot_distribution(rows: DataFrame) -> DataFrame:
     fence = 1.5 * (F.col("q3") - F.col("q1"))
     out = (
         rows.select(*KEY, "amt", "latest")
-        .join(F.broadcast(quart), KEY)
+        .join(quart, KEY)
         .groupBy(*KEY)
         .agg(
             F.max("amt_med").alias("amt_med"),
@@ -487,11 +515,14 @@ def dated_rows(apps: DataFrame, bureau: DataFrame) -> DataFrame:
 
 
 def applicant_profile(
-    apps: DataFrame, bureau: DataFrame, max_rows_per_key: int = en.MAX_ROWS_PER_KEY
+    apps: DataFrame,
+    bureau: DataFrame,
+    max_rows_per_key: int = en.MAX_ROWS_PER_KEY,
+    found: en.HotKeys | None = None,
 ) -> DataFrame:
-    """One row per applicant with tradelines: KEY and all base aggregates."""
-    hot = en.hot_keys(bureau, KEY, max_rows_per_key)
-    cold, over = en.split_hot(bureau, hot)
+    """One row per applicant with tradelines: KEY and all base aggregates. found: the over-full applicants, if known."""
+    found = found or en.hot_keys(bureau, KEY, max_rows_per_key)
+    cold, over = en.split_hot(bureau, found.keys)
     aggs = _aggregates()
     profile = (
         _cold_rows(dated_rows(apps, cold))
@@ -499,18 +530,18 @@ def applicant_profile(
         .agg(*[e.alias(k) for k, e in {**aggs, **_cold_distribution()}.items()])
     )
     if over is not None:
-        profile = profile.unionByName(_hot_profile(apps, over, hot, aggs))
+        profile = profile.unionByName(_hot_profile(apps, over, found.keys, aggs, max_rows_per_key))
     return _finish(profile)
 
 
 def _hot_profile(
-    apps: DataFrame, over: DataFrame, hot: DataFrame, aggs: dict[str, Column]
+    apps: DataFrame, over: DataFrame, hot: DataFrame, aggs: dict[str, Column], limit: int
 ) -> DataFrame:
-    hot_apps = apps.join(F.broadcast(hot), KEY, "left_semi").select(*KEY, "application_date")
-    rows = en.enrich(en.with_optional_columns(over).join(F.broadcast(hot_apps), KEY))
+    hot_apps = apps.join(hot, KEY, "left_semi").select(*KEY, "application_date")
+    rows = en.enrich(en.with_optional_columns(over).join(hot_apps, KEY))
     # overdraft rows carry no sequence columns; their aggregates need none
     signals = [k for k in aggs if k.startswith(("od_", "ol_"))]
-    credit = _hot_rows(rows)
+    credit = _written(_hot_rows(_written(_chunked(rows, limit))))
     main = credit.groupBy(*KEY).agg(
         *[e.alias(k) for k, e in aggs.items() if k not in signals]
     )

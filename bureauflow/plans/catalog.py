@@ -109,6 +109,21 @@ def _family(name: str):
 QUERIES.update({f"{i}_{n}": _family(n) for i, n in FAMILY_IDS.items()})
 
 
+def _over_full(name):
+    """A family with so low a limit that most applicants, and many of their days, are over-full."""
+
+    def run(spark, sf_dir):
+        apps, bureau = tables(spark, sf_dir)
+        return _doubles(fam.family_frame(apps, bureau, [name], max_rows_per_key=3))
+
+    return run
+
+
+QUERIES.update({
+    f"{i}_{FAMILY_IDS[i]}_over_full": _over_full(FAMILY_IDS[i]) for i in ("f10", "f13", "f17", "f26", "f33")
+})
+
+
 @query
 def f35_wide_frame(spark, sf_dir):
     return canon(ft.wide_frame(*tables(spark, sf_dir)))

@@ -7,6 +7,7 @@ with a `split` column. Result tables are returned by name and can be saved with
 
 from __future__ import annotations
 
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
@@ -20,10 +21,28 @@ c = F.col
 
 @dataclass
 class Development:
+    """What a run leaves. Its frames read cached ones until release() lets them go; they then compute anew."""
+
     features: list[str]
     model: object
     scored: DataFrame
     tables: dict[str, DataFrame] = field(default_factory=dict)
+    held: list[DataFrame] = field(default_factory=list)
+
+    def release(self) -> None:
+        for frame in self.held:
+            frame.unpersist()
+
+
+@contextmanager
+def _holding(held: list[DataFrame]):
+    """Lets go of the frames held so far if the run fails."""
+    try:
+        yield
+    except BaseException:
+        for frame in held:
+            frame.unpersist()
+        raise
 
 
 def prepare(
@@ -85,7 +104,16 @@ def develop_model(
 ) -> Development:
     """Split, eliminate step by step, select by cross-validation, fit and evaluate."""
     data = prepare(df, train_end, date, target, uid)
-    data = data.persist() if cache else data  # every step below reads it
+    held = [data.persist()] if cache else []  # every step below reads it
+    with _holding(held):
+        found = _developed(data, features, date, target, uid, segments, max_features, fit, iv_range, max_psi, max_correlation, folds)
+    found.held = held
+    return found
+
+
+def _developed(
+    data, features, date, target, uid, segments, max_features, fit, iv_range, max_psi, max_correlation, folds
+) -> Development:
     train = data.where("split = 'train'")
     tables: dict[str, DataFrame] = {}
 
@@ -139,9 +167,20 @@ def develop_scorecard(
     """WoE bins on train, IV range, half-split PSI and pairwise correlation on the encoded values,
     standardised logistic regression, points, scored rows and evaluation."""
     data = prepare(df, train_end, date, target, uid)
-    data = data.persist() if cache else data  # every step below reads it
+    held = [data.persist()] if cache else []  # every step below reads it
+    with _holding(held):
+        bins = binning.fit_woe(data.where("split = 'train'"), features, target).persist()
+        held.append(bins)
+        found = _developed_scorecard(data, bins, date, target, uid, iv_range, max_psi, max_correlation, scale)
+    found.held = held
+    return found
+
+
+def _developed_scorecard(
+    data, bins, date, target, uid, iv_range, max_psi, max_correlation, scale
+) -> Development:
+    spark = data.sparkSession
     train = data.where("split = 'train'")
-    bins = binning.fit_woe(train, features, target).persist()
     ivs = binning.iv_summary(bins)
     tables = {"bins": bins, "iv": ivs}
     low, high = iv_range
@@ -167,7 +206,7 @@ def develop_scorecard(
         left = set(elimination.kept(tables["correlation"]))
         names = [n for n in names if n in left]
     model = models.fit_logistic(train, names, target)
-    coef = {r["feature"]: r for r in models.coefficient_table(model, df.sparkSession, names).collect()}
+    coef = {r["feature"]: r for r in models.coefficient_table(model, spark, names).collect()}
     plain = {n: n.removesuffix("_woe") for n in names}
     card = scorecard.build_scaled_scorecard(
         bins,
@@ -178,7 +217,7 @@ def develop_scorecard(
         **scale,
     )
     tables["scorecard"] = card
-    tables["importance"] = models.coefficient_importance(model, df.sparkSession, names)
+    tables["importance"] = models.coefficient_importance(model, spark, names)
     scored = scorecard.score_rows(models.predict(model, encoded), card, None, None)
     tables.update(evaluate(scored, "probability_bad", target, uid))
     tables["cutoffs"] = cutoffs.cutoff_table(

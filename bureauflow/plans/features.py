@@ -28,15 +28,18 @@ def first_per_uid(apps: DataFrame) -> DataFrame:
 
 
 def cube_long(
-    apps: DataFrame, bureau: DataFrame, max_rows_per_key: int = en.MAX_ROWS_PER_KEY
+    apps: DataFrame,
+    bureau: DataFrame,
+    max_rows_per_key: int = en.MAX_ROWS_PER_KEY,
+    found: en.HotKeys | None = None,
 ) -> DataFrame:
-    """Long amount/count cube of all applicants with credit."""
-    hot = en.hot_keys(bureau, KEY, max_rows_per_key)
-    cold, over = en.split_hot(bureau, hot)
+    """Long amount/count cube of all applicants with credit. found: the over-full applicants, if known."""
+    found = found or en.hot_keys(bureau, KEY, max_rows_per_key)
+    cold, over = en.split_hot(bureau, found.keys)
     out = amount_cube(dated_rows(apps, cold))
     if over is not None:
-        hot_apps = apps.join(F.broadcast(hot), KEY, "left_semi").select(*KEY, "application_date")
-        rows = en.enrich(en.with_optional_columns(over).join(F.broadcast(hot_apps), KEY))
+        hot_apps = apps.join(found.keys, KEY, "left_semi").select(*KEY, "application_date")
+        rows = en.enrich(en.with_optional_columns(over).join(hot_apps, KEY))
         out = out.unionByName(amount_cube(rows))
     return out
 
@@ -53,11 +56,13 @@ def wide_frame(
 ) -> DataFrame:
     """Core columns and every feature (as double), one row per applicant.
 
-    Two reads of the tradelines: one for the cube, one for the profile of all other families.
+    Three reads of the tradelines: for the cube, for the profile of all other families, and of three
+    columns for the totals of applications; before them one count finds the over-full applicants.
     """
     people = first_per_uid(apps)
-    profile = applicant_profile(people, bureau, max_rows_per_key)
-    cube = cube_pivot(cube_long(people, bureau, max_rows_per_key))
+    found = en.hot_keys(bureau, KEY, max_rows_per_key)
+    profile = applicant_profile(people, bureau, max_rows_per_key, found)
+    cube = cube_pivot(cube_long(people, bureau, max_rows_per_key, found))
     frame = with_application_totals(people, bureau).join(profile, KEY, "left")
     cols = family_columns(list(FAMILIES), undefined)
     other = frame.select(*CORE, *[e.alias(k) for k, e in cols.items()])

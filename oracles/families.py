@@ -110,6 +110,9 @@ def wide(q: dict[str, str]) -> str:
 def oracles() -> dict[str, str]:
     q = _families()
     q["f35_wide_frame"] = wide(q)
+    # the same results by another path
+    for k in ("f10_sequence", "f13_interval", "f17_relative", "f26_anomaly", "f33_payment_behavior"):
+        q[f"{k}_over_full"] = q[k]
     return q
 
 
