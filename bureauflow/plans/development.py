@@ -120,6 +120,8 @@ def _developed(
     def step(name: str, result: DataFrame, current: list[str]) -> list[str]:
         tables[name] = result
         survivors = set(elimination.kept(result))
+        if not survivors.intersection(current):
+            raise ValueError(f"no feature survives the step {name}")
         return [f for f in current if f in survivors]
 
     kept = step("constant", elimination.constant_features(train, features), list(features))
