@@ -1,12 +1,15 @@
 """Language identification by a bidirectional gated recurrent network over bytes (operator 8).
 
-The network reads each whitespace-separated word of a text byte by byte in both directions and labels every byte position with language
-probabilities; a document's probabilities are their mean over all its positions. As the state begins anew with each word, a word's labels
-don't depend on where it stands: each distinct word of a task is run once. Training is backpropagation through time in numpy, on the words
-of a bounded sample of labelled rows (TRAIN_ROWS, by hash order).
+The network reads whole texts byte by byte in both directions, blanks included, and labels every byte position with language probabilities;
+a document's probabilities are their mean over all its positions. Texts over WINDOW bytes are labelled in even windows: in each direction the
+state begins CONTEXT bytes outside the window (or at the text's end), so every position is labelled after all that stands before it in its
+window and CONTEXT bytes more. Windows of all texts are lanes of one array, so a very long text is many lanes and not many steps. Training is
+backpropagation through time in numpy on passages of a bounded sample of labelled rows (TRAIN_ROWS by hash order, of each TRAIN_CHARS
+characters in a row at most, from a place given by a hash).
 
 Defined results: null text and text without a letter are `und` with score 0; equal probabilities go to the language that sorts first;
-without any labelled row everything is `und`; repeated rows are labelled each; an empty table gives an empty result.
+without any labelled row everything is `und`; repeated rows are labelled each; an empty table gives an empty result; a text's answer does
+not depend on the rows beside it but for rounding.
 """
 
 from __future__ import annotations
@@ -22,14 +25,18 @@ from pyspark.sql import functions as F
 from bureauflow.llm import ragged
 
 TRAIN_ROWS = 2_000
+TRAIN_CHARS = 1_000
 HIDDEN = 8
 STEPS = 400
-BATCH = 384
-RATE = 0.01
-#: Longer words are read in pieces of so many bytes.
-PIECE = 24
-#: Distinct words that a Python worker remembers; it starts anew when there are more. Results don't depend on it.
-CACHE_WORDS = 500_000
+BATCH = 192
+#: Bytes of a passage that the network learns from.
+PASSAGE = 64
+RATE = 0.02
+#: Bytes of a text that a lane labels at most, and bytes that it reads before them in either direction.
+WINDOW = 1024
+CONTEXT = 48
+#: Lanes read side by side. Results don't depend on it.
+LANES = 1024
 
 
 @dataclass
@@ -43,7 +50,7 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
 
 
 def run(w: dict[str, np.ndarray], side: str, x: np.ndarray, mask: np.ndarray, kept: list | None = None) -> np.ndarray:
-    """States after each byte, (time, word, hidden)."""
+    """States after each byte, (time, passage, hidden), as training needs them."""
     table, u, v = w[f"W{side}"], w[f"U{side}"], w[f"C{side}"]
     size = v.shape[0]
     h = np.zeros((x.shape[1], size), table.dtype)
@@ -82,7 +89,7 @@ def back(w: dict[str, np.ndarray], side: str, x: np.ndarray, mask: np.ndarray, k
 
 
 def turned(x: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """Each word's bytes from the last to the first; (time, word)."""
+    """Each passage's bytes from the last to the first; (time, passage)."""
     t = np.arange(len(x))[:, None]
     return np.take_along_axis(x, np.where(t < size, size - 1 - t, t), 0)
 
@@ -101,61 +108,40 @@ def positions(w: dict[str, np.ndarray], x: np.ndarray, size: np.ndarray, kept: t
 
 
 def padded(buf: np.ndarray, starts: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """Bytes of words, (time, word), zero after their ends."""
+    """Bytes of passages, (time, passage), zero after their ends."""
     t = np.arange(max(1, int(size.max(initial=1))))[:, None]
     return np.where(t < size, buf[np.minimum(starts + t, max(0, len(buf) - 1))], 0)
 
 
-def word_spans(buf: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Starts and ends of words, cut into pieces of PIECE bytes at most."""
-    if not len(buf):
-        return np.empty(0, np.int64), np.empty(0, np.int64)
-    space = (buf == 0x20) | ((buf >= 9) & (buf <= 13))
-    begin = ~space
-    begin[1:] &= space[:-1]
-    inner = bounds[(bounds < len(buf))]
-    begin[inner] = ~space[inner]
-    stop = np.zeros(len(buf) + 1, bool)
-    stop[1:-1] = ~space[:-1] & space[1:]
-    stop[bounds[1:]] |= np.where(bounds[1:] > 0, ~space[np.maximum(bounds[1:] - 1, 0)], False)
-    starts, ends = np.flatnonzero(begin), np.flatnonzero(stop)
-    pieces = -(-(ends - starts) // PIECE)
-    if (pieces > 1).any():
-        first = np.repeat(starts, pieces)
-        k = np.arange(len(first)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
-        starts, ends = first + k * PIECE, np.minimum(first + (k + 1) * PIECE, np.repeat(ends, pieces))
-    return starts, ends
-
-
 def fit(rows: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id", seed: int = 5) -> Model:
     """Learns from TRAIN_ROWS rows that have text and language, by order of a hash of the key."""
     known = rows.where(F.col(text).isNotNull() & F.col(lang).isNotNull()).select(key, text, lang)
     order = F.xxhash64(F.col(key).cast("string"))
     cut = known.select(order.alias("h")).orderBy("h").limit(TRAIN_ROWS).agg(F.max("h")).first()[0]
-    sample = sorted((r[2], r[1]) for r in known.where(order <= F.lit(cut)).orderBy(order).limit(TRAIN_ROWS).select(key, text, lang).collect()) if cut is not None else []
+    place = F.pmod(order, F.greatest(F.char_length(text) - TRAIN_CHARS + 1, F.lit(1))).cast("int") + 1
+    part = F.substring(F.col(text), place, F.lit(TRAIN_CHARS)).alias(text)
+    # TRAIN_ROWS rows of TRAIN_CHARS characters at most
+    sample = sorted((r[1], r[0]) for r in known.where(order <= F.lit(cut)).orderBy(order).limit(TRAIN_ROWS).select(part, lang).collect() if r[0]) if cut is not None else []
     langs = sorted({a for a, _ in sample})
     if not langs:
         return Model([], {})
     rng = np.random.default_rng(seed)
     buf, bounds = ragged.text_bytes(pa.array([t for _, t in sample], pa.string()))
-    starts, ends = word_spans(buf, bounds)
-    label = np.repeat(np.searchsorted(langs, [a for a, _ in sample]), np.diff(np.searchsorted(starts, bounds)))
-    # each distinct word of a language once, with the root of its count as weight; languages weigh the same
-    first, which = ragged.unique(ragged.span_hashes(buf, starts, ends) ^ ragged.mix(label.astype(np.uint64) + np.uint64(1)))
-    weight = np.sqrt(np.bincount(which))
-    share = np.bincount(label[first], weight, len(langs))
-    weight = weight / share[label[first]]
+    label = np.searchsorted(langs, [a for a, _ in sample])
+    # languages weigh the same, and of one language every byte does
+    length = np.diff(bounds)
+    weight = length / np.bincount(label, length, len(langs))[label]
     weight /= weight.sum()
     init = lambda *shape: rng.normal(0, 0.3, shape).astype(np.float32)
     w = {"V": init(2 * HIDDEN, len(langs)), "c": np.zeros(len(langs), np.float32)}
     for side in "fb":
         w |= {f"W{side}": init(256, 3 * HIDDEN), f"U{side}": init(HIDDEN, 2 * HIDDEN), f"C{side}": init(HIDDEN, HIDDEN)}
     slow, fast = {k: np.zeros_like(a) for k, a in w.items()}, {k: np.zeros_like(a) for k, a in w.items()}
-    picks = rng.choice(len(first), (STEPS, BATCH), p=weight)
+    picks, places = rng.choice(len(label), (STEPS, BATCH), p=weight), rng.random((STEPS, BATCH))
     for step in range(STEPS):
-        some = first[picks[step]]
-        size = ends[some] - starts[some]
-        x = padded(buf, starts[some], size)
+        some = picks[step]
+        size = np.minimum(length[some], PASSAGE)
+        x = padded(buf, bounds[some] + (places[step] * (length[some] - size + 1)).astype(np.int64), size)
         kept: tuple[list, list] = ([], [])
         p, both, mask = positions(w, x, size, kept)
         # cross entropy of every position
@@ -177,49 +163,75 @@ def fit(rows: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc
     return Model(langs, w)
 
 
-def word_sums(model: Model, buf: np.ndarray, starts: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """For each word the sum of its positions' probabilities, (word, language)."""
-    out = np.zeros((len(starts), len(model.langs)), np.float32)
-    order = np.argsort(size, kind="stable")
-    for at in range(0, len(order), 4096):
-        some = order[at : at + 4096]
-        p, _, mask = positions(model.weights, padded(buf, starts[some], size[some]), size[some])
-        out[some] = (p * mask[:, :, None]).sum(0)
+def states(w: dict[str, np.ndarray], side: str, x: np.ndarray, inside: np.ndarray) -> np.ndarray:
+    """States after each byte, (time, hidden, lane); those of `run`, but zero outside."""
+    size = w[f"C{side}"].shape[0]
+    # half the gates' input, as their sigmoid is a tanh of half of it
+    scale = np.repeat(np.array([0.5, 1.0], np.float32), [2 * size, size])
+    table, u, v = np.ascontiguousarray((w[f"W{side}"] * scale).T), np.ascontiguousarray(w[f"U{side}"].T * np.float32(0.5)), np.ascontiguousarray(w[f"C{side}"].T)
+    lanes = x.shape[1]
+    h = np.zeros((size, lanes), np.float32)
+    out = np.empty((len(x), size, lanes), np.float32)
+    gate, n, given = np.empty((2 * size, lanes), np.float32), np.empty((size, lanes), np.float32), np.empty((3 * size, lanes), np.float32)
+    live = inside.astype(np.float32)
+    for t in range(len(x)):
+        np.take(table, x[t], axis=1, out=given, mode="clip")
+        np.matmul(u, h, out=gate)
+        gate += given[: 2 * size]
+        np.tanh(gate, out=gate)
+        gate *= 0.5
+        gate += 0.5
+        r, z = gate[:size], gate[size:]
+        r *= h
+        np.matmul(v, r, out=n)
+        n += given[2 * size :]
+        np.tanh(n, out=n)
+        new = out[t]
+        np.subtract(h, n, out=new)
+        new *= z
+        new += n
+        new *= live[t]
+        h = new
     return out
 
 
-_known: list = [None, np.empty(0, np.uint64), np.empty((0, 0), np.float32)]
-
-
-def label_slice(model: Model, mark: int, buf: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    """Sums of the positions' probabilities of each document."""
-    starts, ends = word_spans(buf, bounds)
-    total = np.zeros((len(starts) + 1, len(model.langs)))
-    if len(starts):
-        keys = ragged.span_hashes(buf, starts, ends)
-        first, which = ragged.unique(keys)
-        own = keys[first]
-        if _known[0] != mark or len(_known[1]) > CACHE_WORDS:
-            _known[:] = [mark, np.empty(0, np.uint64), np.empty((0, len(model.langs)), np.float32)]
-        at = np.searchsorted(_known[1], own)
-        new = np.ones(len(own), bool)
-        inside = at < len(_known[1])
-        new[inside] = _known[1][at[inside]] != own[inside]
-        each = np.empty((len(own), len(model.langs)), np.float32)
-        each[~new] = _known[2][at[~new]]
-        if new.any():
-            each[new] = word_sums(model, buf, starts[first[new]], (ends - starts)[first[new]])
-            _known[1:] = [np.insert(_known[1], at[new], own[new]), np.insert(_known[2], at[new], each[new], axis=0)]
-        np.cumsum(each[which], axis=0, dtype=np.float64, out=total[1:])
-    cuts = np.searchsorted(starts, bounds)
-    return total[cuts[1:]] - total[cuts[:-1]]
+def windows(bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts, ends and documents of the windows: each text's bytes, cut evenly into as few as WINDOW allows."""
+    length = np.diff(bounds)
+    number = -(-length // WINDOW)
+    doc = np.repeat(np.arange(len(length)), number)
+    k = np.arange(len(doc)) - np.repeat(np.cumsum(number) - number, number)
+    cut = lambda k: bounds[doc] + k * length[doc] // number[doc]
+    return cut(k), cut(k + 1), doc
+
+
+def label_sums(model: Model, buf: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Sums of the positions' probabilities of each document, (document, language)."""
+    starts, ends, doc = windows(bounds)
+    w, each = model.weights, np.zeros((len(starts), len(model.langs)))
+    order = np.argsort(ends - starts, kind="stable")
+    for some in np.array_split(order, -(-len(order) // LANES)) if len(order) else ():
+        size = ends[some] - starts[some]
+        place = starts[some] + np.arange(-CONTEXT, int(size.max()) + CONTEXT)[:, None]
+        inside = (place >= bounds[doc[some]]) & (place < np.minimum(bounds[doc[some] + 1], ends[some] + CONTEXT))
+        x = buf[np.clip(place, 0, len(buf) - 1)]
+        ahead = states(w, "f", x[:-CONTEXT], inside[:-CONTEXT])[CONTEXT:]
+        behind = states(w, "b", x[: CONTEXT - 1 : -1], inside[: CONTEXT - 1 : -1])[: CONTEXT - 1 : -1]
+        for t in range(0, len(ahead), 64):
+            mask = (np.arange(t, min(t + 64, len(ahead)))[:, None] < size)[:, None, :]
+            logit = np.matmul(w["V"][:HIDDEN].T, ahead[t : t + 64]) + np.matmul(w["V"][HIDDEN:].T, behind[t : t + 64]) + w["c"][:, None]
+            p = np.exp(logit - logit.max(1, keepdims=True))
+            p *= mask / p.sum(1, keepdims=True)
+            each[some] += p.sum(0, dtype=np.float64).T
+    out = np.zeros((len(bounds) - 1, len(model.langs)))
+    np.add.at(out, doc, each)
+    return out
 
 
 def predict(docs: DataFrame, model: Model, kept: list[str] | None = None, text: str = "text") -> DataFrame:
     """Columns kept (all, if None), lang_pred, score. Clashing columns of docs give way to the new ones."""
     kept = [c for c in (docs.columns if kept is None else kept) if c not in ("lang_pred", "score")]
     inner = docs.select(*kept, F.col(text).alias("__text")).schema
-    mark = int(sum(float(np.abs(a).sum()) for a in model.weights.values()) * 1e6)
 
     def labelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -229,7 +241,7 @@ def predict(docs: DataFrame, model: Model, kept: list[str] | None = None, text:
                 letters = np.concatenate([[0], np.cumsum(ragged.byte_classes(part)[0] == ragged.LETTER)]) if len(part) else np.zeros(1, np.int64)
                 has = letters[offs[1:]] > letters[offs[:-1]]
                 if model.langs:
-                    sums = label_slice(model, mark, part, offs)
+                    sums = label_sums(model, part, offs)
                     best = sums.argmax(1)
                     score = np.where(has, sums.max(1) / np.maximum(sums.sum(1), 1e-9), 0.0)
                 else:

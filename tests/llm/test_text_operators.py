@@ -341,6 +341,45 @@ def test_language_on_held_out_rows(spark, odd, monkeypatch):
     assert language_id.predict(empty(spark), model).count() == 0
 
 
+def test_language_windows_against_a_plain_pass(monkeypatch):
+    """Every position's label by one byte after another, of short texts and of texts over several windows."""
+    monkeypatch.setattr(language_id, "WINDOW", 40)
+    monkeypatch.setattr(language_id, "CONTEXT", 16)
+    rng = np.random.default_rng(8)
+    h, langs = language_id.HIDDEN, ["a", "b", "c"]
+    w = {"V": rng.normal(size=(2 * h, 3)).astype(np.float32), "c": rng.normal(size=3).astype(np.float32)}
+    for side in "fb":
+        w |= {f"W{side}": rng.normal(size=(256, 3 * h)).astype(np.float32), f"U{side}": rng.normal(size=(h, 2 * h)).astype(np.float32), f"C{side}": rng.normal(size=(h, h)).astype(np.float32)}
+    texts = [None, "", "a", "zwei wörter", "x" * 40, "y z " * 10 + "!", "no blank" * 60, *random_texts(30, 40, 9)]
+    buf, bounds = ragged.text_bytes(pa.array(texts, pa.string()))
+
+    def passed(side, data):
+        out, state = [], np.zeros(h)
+        for byte in data:
+            given = w[f"W{side}"][byte]
+            gate = 1 / (1 + np.exp(-(given[: 2 * h] + state @ w[f"U{side}"])))
+            fresh = np.tanh(given[2 * h :] + (gate[:h] * state) @ w[f"C{side}"])
+            state = gate[h:] * state + (1 - gate[h:]) * fresh
+            out.append(state)
+        return out
+
+    def plain(data):
+        total, pieces = np.zeros(3), -(-len(data) // 40)
+        for k in range(pieces):
+            start, end = k * len(data) // pieces, (k + 1) * len(data) // pieces
+            low, high = max(0, start - 16), min(len(data), end + 16)
+            ahead, behind = passed("f", data[low:end])[start - low :], passed("b", data[start:high][::-1])[::-1]
+            for a, b in zip(ahead, behind[: end - start], strict=True):
+                p = np.exp(np.concatenate([a, b]) @ w["V"] + w["c"])
+                total += p / p.sum()
+        return total
+
+    expected = np.array([plain((t or "").encode()) for t in texts])
+    for lanes in (1024, 7):
+        monkeypatch.setattr(language_id, "LANES", lanes)
+        assert np.allclose(language_id.label_sums(language_id.Model(langs, w), buf, bounds), expected, atol=1e-3)
+
+
 def test_gradients_are_those_of_the_loss():
     rng = np.random.default_rng(3)
     h, langs = 3, 2
