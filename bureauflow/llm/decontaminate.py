@@ -6,7 +6,7 @@ that shares a seed, the longest common run of unmarked words is found by running
 of MIN_TILE words is left. A pair is reported if the marked runs cover COVERAGE of the item's words, in whatever order they stand.
 
 Defined results: null and empty texts share nothing; items of fewer than MIN_TILE words are never found; an item listed twice under one id
-is tiled by each of its texts and the best counts; repeated rows of a document are judged once; empty tables give an empty result; other
+is tiled by each of its texts and the best counts; long and repetitive texts take memory in proportion to their words; repeated rows of a document are judged once; empty tables give an empty result; other
 columns are ignored.
 """
 
@@ -117,30 +117,46 @@ def tiles(pattern: np.ndarray, text: np.ndarray, least: int = MIN_TILE) -> list[
         at = np.flatnonzero(taken[size:] == taken[:-size])
         return (total[at + size] - total[at]) * down[at], at
 
-    def shared(size: int) -> list[tuple[int, int]]:
+    def common(size: int) -> bool:
+        return bool(np.isin(rolled(pattern, free_p, size)[0], rolled(text, free_t, size)[0]).any())
+
+    def mark(size: int) -> None:
+        """Marks common runs of the size, by ascending place in the pattern, each at the first place of the text that is still free."""
         hp, at_p = rolled(pattern, free_p, size)
         ht, at_t = rolled(text, free_t, size)
         order = np.argsort(ht, kind="stable")
-        lo, hi = np.searchsorted(ht[order], hp, "left"), np.searchsorted(ht[order], hp, "right")
-        hit = np.flatnonzero(hi > lo)
-        return [(int(at_p[k]), [int(x) for x in at_t[order[lo[k] : hi[k]]]]) for k in hit]
+        ranked, places = ht[order], at_t[order]
+        lo, hi = np.searchsorted(ranked, hp, "left"), np.searchsorted(ranked, hp, "right")
+        # places of a hash before this one are marked for good
+        begun: dict[int, int] = {}
+        for k in np.flatnonzero(hi > lo).tolist():
+            p, first, end = int(at_p[k]), int(lo[k]), int(hi[k])
+            # all runs marked in this round are of one size, so a window is free if its ends are
+            if not (free_p[p] and free_p[p + size - 1]):
+                continue
+            at = begun.get(first, first)
+            while at < end and not (free_t[places[at]] and free_t[places[at] + size - 1]):
+                at += 1
+            begun[first] = at
+            while at < end:
+                t = int(places[at])
+                if free_t[t] and free_t[t + size - 1] and (pattern[p : p + size] == text[t : t + size]).all():
+                    free_p[p : p + size], free_t[t : t + size] = False, False
+                    found.append((p, t, size))
+                    break
+                at += 1
 
     while top >= least:
         low, high = least - 1, top
         while low < high:
             size = (low + high + 1) // 2
-            low, high = (size, high) if shared(size) else (low, size - 1)
+            low, high = (size, high) if common(size) else (low, size - 1)
         if low < least:
             break
-        top = low
-        for p, places in shared(low):
-            for t in places:
-                if free_p[p : p + low].all() and free_t[t : t + low].all() and (pattern[p : p + low] == text[t : t + low]).all():
-                    free_p[p : p + low], free_t[t : t + low] = False, False
-                    found.append((p, t, low))
-                    break
-        if not found or found[-1][2] != low:
-            top = low - 1
+        known = len(found)
+        mark(low)
+        # without a mark all agreements were of hashes alone
+        top = low if len(found) > known else low - 1
     return found
 
 
