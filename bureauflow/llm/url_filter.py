@@ -10,7 +10,9 @@ Sizes: a level has BITS bits per key it holds. Level 1 grows with the list, leve
 universe at BITS = 16. Bit sets over MAX_BITS in all are refused; a larger universe needs more bits per listed key.
 
 Defined results: host and path of a null URL or one without `://` are empty and no rule fits; then the verdict is `allow`. Of rules that
-fit, the longest wins (host and path together, then the host). A rule listed as both is `block`. Empty rules or pages are fine.
+fit, the longest wins (host and path together, then the host). A rule listed as both is `block`. Empty rules or pages are fine, repeated rows
+are judged each, other columns pass through (host, path, rule and verdict give way). A URL gives no more keys than the rules' longest host
+has labels times their path lengths, however long it is.
 """
 
 from __future__ import annotations
@@ -36,9 +38,10 @@ def path_of(url: Column) -> Column:
     return F.coalesce(F.regexp_extract(after, r"(?s)^[^/?#]*(/[^?#]*)", 1), F.lit(""))
 
 
-def keys_of(host: Column, path: Column, lengths: list[int]) -> Column:
-    """All pairs of a host suffix and a path beginning that a rule could be, as `host/...path` strings with the host's length in front."""
-    labels = F.split(host, r"\.", -1)
+def keys_of(host: Column, path: Column, lengths: list[int], depth: int) -> Column:
+    """All pairs of a host suffix and a path beginning that a rule could be, as `host/...path` strings; depth: labels of the longest rule's
+    host, as suffixes of more labels are nobody's."""
+    labels = F.split(F.substring_index(host, ".", depth * -1), r"\.", -1)
     count = F.size(labels)
     suffixes = F.transform(F.sequence(F.lit(1), count), lambda k: F.array_join(F.slice(labels, k, count), "."))
     heads = F.transform(F.filter(F.lit(lengths).cast("array<int>"), lambda n: n <= F.length(path)), lambda n: F.substring(path, F.lit(1), n))
@@ -110,15 +113,16 @@ def judge(pages: DataFrame, rules: DataFrame, url: str = "url") -> DataFrame:
     rules = rules.where("key is not null").groupBy("key", "n").agg(F.max("block").alias("block"))
     # numbers up to the longest path
     lengths = sorted(r[0] for r in rules.select("n").distinct().collect())
+    depth = rules.select(F.max(F.size(F.split(F.substring_index("key", "/", 1), r"\.", -1)))).first()[0] or 1
     urls = pages.select(F.col(url).alias("url")).distinct()
-    keys = urls.select(F.explode(keys_of(host_of(F.col("url")), path_of(F.col("url")), lengths)).alias("key")).distinct()
+    keys = urls.select(F.explode(keys_of(host_of(F.col("url")), path_of(F.col("url")), lengths, depth)).alias("key")).distinct()
     universe = storage.written(keys.join(rules.select("key", "block"), "key", "left"))
     allow, block = (cascade(universe.select("key", F.coalesce(hit, F.lit(False)).alias("listed"))) for hit in (~F.col("block"), F.col("block")))
     kept = [c for c in pages.columns if c not in ("host", "path", "rule", "verdict")]
     rows = pages.select(*kept, host_of(F.col(url)).alias("host"), path_of(F.col(url)).alias("path"))
 
     def best(levels: list[list[int]]) -> Column:
-        fits = F.filter(keys_of(F.col("host"), F.col("path"), lengths), lambda k: listed(k, levels))
+        fits = F.filter(keys_of(F.col("host"), F.col("path"), lengths, depth), lambda k: listed(k, levels))
         return F.array_max(F.transform(fits, lambda k: F.struct(F.length(F.replace(k, F.lit("/\u0000"), F.lit(""))).alias("n"), F.length(F.substring_index(k, "/", 1)).alias("m"), k.alias("key"))))
 
     rows = rows.select("*", best(allow).alias("__allow"), best(block).alias("__block"))
