@@ -6,7 +6,8 @@ letter. The lexicon holds whole words and word beginnings, weighted by smoothed
 the hit. A document's weights are summed, normalised by its length, and turned into a probability by a logistic fit on the same sample.
 
 Defined results: null and empty texts get the score of a text without hits; rows are independent, so repeated rows are scored each; without
-labelled rows of both kinds every score is 0.5; an empty table gives an empty result.
+labelled rows of both kinds every score is 0.5; an empty table gives an empty result; very long texts are folded whole, a row at a time. Of
+labelled rows under one key, that of the least text is learned from. Columns named score or predicted give way, others pass through.
 """
 
 from __future__ import annotations
@@ -23,7 +24,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 TRAIN_ROWS = 10_000
-LEXICON = 2_000
 #: A pattern is in the lexicon if so many toxic rows of the sample have it (and this share of them), and its log odds are so high.
 LEAST_ROWS = 6
 LEAST_SHARE = 0.015
@@ -141,16 +141,18 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     """Learns from TRAIN_ROWS labelled rows, by order of a hash of the key. A key with both labels counts as toxic."""
     known = labels.where(F.col(toxic).isNotNull() & F.col(key).isNotNull()).groupBy(key).agg((F.max(toxic) > 0).cast("int").alias("toxic"))
     sample = known.orderBy(F.xxhash64(F.col(key).cast("string")), key).limit(TRAIN_ROWS)
-    # TRAIN_ROWS rows of two numbers
-    rows = docs.select(key, F.col(text).alias("text")).join(F.broadcast(sample), key).select("text", "toxic").persist()
+    # TRAIN_ROWS rows of two numbers; rows that share a key count once
+    rows = docs.select(key, F.col(text).alias("text")).join(F.broadcast(sample), key).groupBy(key).agg(F.min("text").alias("text"), F.first("toxic").alias("toxic"))
+    rows = rows.select("text", "toxic").persist()
     try:
         size = {r[0]: r[1] for r in rows.groupBy("toxic").count().collect()}
         if len(size) < 2:
             return Model()
         odds = F.log((F.col("toxic") + 0.5) / (size[1] + 1)) - F.log((F.col("clean") + 0.5) / (size[0] + 1))
+        # no limit: a pattern has LEAST_SHARE of the sample's toxic rows
         found = (
             _counted(rows, _patterns_of, LEAST_ROWS).withColumn("weight", odds).where((F.col("weight") >= TRIED_WEIGHT) & (F.col("toxic") >= max(LEAST_ROWS, LEAST_SHARE * size[1])))
-            .orderBy(F.desc("weight"), "name").limit(LEXICON).collect()
+            .collect()
         )
         weights: dict[str, float] = {}
         # a pattern is left out if a beginning of it is about as telling
@@ -164,7 +166,8 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
             folded = fold(text)
             return {p for _, start, _ in hits(folded, names) for p in phrases(folded, start)}
 
-        clean_only = frozenset(r["name"] for r in _counted(rows, near, 3).where("toxic = 0").orderBy(F.desc("clean"), "name").limit(LEXICON).collect())
+        # all phrases of the sample's clean rows; their number follows from TRAIN_ROWS
+        clean_only = frozenset(r["name"] for r in _counted(rows, near, 3).where("toxic = 0").collect())
 
         def left(text: str) -> set[str]:
             folded = fold(text)
