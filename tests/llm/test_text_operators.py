@@ -3,6 +3,7 @@
 import base64
 import hashlib
 import random
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -124,6 +125,35 @@ def test_tiles_against_plain_search():
         assert sum(x[2] for x in got) == tiled_by_hand(a, b, 3)
 
 
+def test_tiles_of_long_repetitive_texts():
+    """Places are walked once each, so equal words cost time and memory in proportion to their number."""
+    same = np.full(16_000, 7, np.uint64)
+    began = time.perf_counter()
+    assert decontaminate.tiles(same[:1000], same) == [(0, 0, 1000)]
+    mixed = same.copy()
+    mixed[::50] = 9
+    got = decontaminate.tiles(same[:1000], mixed)
+    assert time.perf_counter() - began < 5
+    assert {x[2] for x in got[:-1]} == {49} and sum(x[2] for x in got) == 49 * 20 + 20
+
+
+def test_overlaps_against_plain_tiling(spark):
+    """All pairs of small texts, with repeated rows, ids of two texts, and items too short to be found."""
+    rng = random.Random(12)
+    base = [" ".join(rng.choices("abcd", k=rng.randrange(3, 14))) for _ in range(12)]
+    items = [(k % 10, t) for k, t in enumerate(base)]
+    docs = [(k % 25, " ".join(rng.choice([*base, "x y z"]) for _ in range(3)).upper()) for k in range(30)] + [(3, None), (None, base[0]), (None, base[0])]
+    found = {}
+    for key, text in docs:
+        for item, asked in items:
+            a, b = (regex.findall(r"\w+", (t or "").lower()) for t in (asked, text))
+            covered = tiled_by_hand(a, b, 5) / len(a)
+            if covered >= 0.5:
+                found[key, item] = max(found.get((key, item), 0), covered)
+    got = decontaminate.overlaps(spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string")).collect()
+    assert {(r.doc_id, r.item_id): r.coverage for r in got} == found and len(found) > 20
+
+
 def test_decontamination_finds_reordered_passages(spark, odd):
     bench = queries.table(spark, SMALL, "benchmark")
     item = max(bench.collect(), key=lambda r: len(r.text))
@@ -161,6 +191,15 @@ def test_url_cascade_against_plain_rules(spark):
     assert url_filter.judge(pages.limit(0), table).count() == 0
 
 
+def test_url_of_very_many_labels(spark):
+    """Only suffixes that a rule's host could be become keys; a very long path and a repeated row are judged like others."""
+    urls = ["http://" + "a." * 50_000 + "b.net/x", "http://b.net/" + "x" * 100_000, "http://b.net/x", "http://b.net/x", "http://" + "." * 1000, "http://c.b.net/x"]
+    rules = [("b.net", "/x", "block"), ("net", "", "allow"), ("c.b.net", "/", "allow")]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id bigint, url string")
+    got = {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in url_filter.judge(pages, spark.createDataFrame(rules, "host string, path string, verdict string")).collect()}
+    assert got == {k: judged_by_hand(u, rules) for k, u in enumerate(urls)}
+
+
 def test_cascade_is_exact_with_few_bits(spark, monkeypatch):
     monkeypatch.setattr(url_filter, "BITS", 7)
     keys = spark.range(4000).select(F.concat(F.lit("k"), "id").alias("key"), (F.col("id") % 7 == 0).alias("listed"))
@@ -197,6 +236,30 @@ def test_toxicity_on_held_out_rows(spark, odd):
     assert toxicity.fit(docs, known.limit(0)).weights == {} and toxicity.score(empty(spark), model).count() == 0
 
 
+def test_toxic_hits_against_plain_search():
+    """The automaton finds what a search at every word's beginning finds: of patterns that fit, the longest."""
+    rng = random.Random(4)
+    for _ in range(200):
+        patterns = tuple(sorted({"".join(rng.choices("abc", k=rng.randrange(1, 5))) + rng.choice(["", "$"]) for _ in range(6)}))
+        text = "".join(rng.choices("abc .", k=rng.randrange(40)))
+        expected = {}
+        for at in range(len(text)):
+            if text[at].isalpha() and (at == 0 or not text[at - 1].isalpha()):
+                word = regex.match(r"\p{L}+", text[at:])[0]
+                fits = [p for p in patterns if (word == p[:-1] if p.endswith("$") else word.startswith(p))]
+                if fits:
+                    expected[at] = max(len(p.rstrip("$")) for p in fits)
+        assert {start: end - start for _, start, end in toxicity.hits(text, patterns)} == expected
+
+
+def test_toxicity_learns_once_from_a_repeated_key(spark):
+    rows = [(k, "rotten one" if k % 2 else "plain word", None) for k in range(40)]
+    docs, known = spark.createDataFrame(rows, SCHEMA), spark.createDataFrame([(k, k % 2) for k in range(40)], "doc_id bigint, toxic int")
+    copies = docs.unionByName(docs.where("doc_id = 1").crossJoin(spark.range(300)).drop("id")).unionByName(docs.where("doc_id = 2").withColumn("text", F.lit("zzz rotten")))
+    one, many = toxicity.fit(docs, known), toxicity.fit(copies, known)
+    assert one.weights == many.weights and one.weights and one.logistic == many.logistic
+
+
 def repeated_by_hand(docs, length):
     raws = [(k, (t or "").encode()) for k, t in docs]
     seen = Counter(r[i : i + length] for _, r in raws for i in range(len(r) - length + 1))
