@@ -85,6 +85,32 @@ def test_first_k(frame, limit, by):
     assert {r["uid"] for r in got.select("uid").collect()} == want
 
 
+@pytest.mark.parametrize("by", [[], ["segment"]])
+def test_few_large_groups_stay_where_they_are(frame, monkeypatch, by):
+    """No join lays rows out by group alone: two classes would be two tasks."""
+    monkeypatch.setattr(ranking, "FEW_GROUPS_FROM", 1)
+    chosen = ranking.first_k(frame, "signal", "uid", F.floor(F.col("n_total") * 0.3), by, 20)
+    pdf = frame.select("uid", "signal", "segment").toPandas().sort_values(["signal", "uid"])
+    groups = [g for _, g in pdf.groupby("segment")] if by else [pdf]
+    want = {u for g in groups for u in g.uid.head(int(len(g) * 0.3))}
+    assert {r["uid"] for r in chosen.where("selected").select("uid").collect()} == want
+    plan = chosen._jdf.queryExecution().sparkPlan().toString()
+    joins = [x for x in plan.splitlines() if "SortMergeJoin" in x or "ShuffledHashJoin" in x]
+    assert all("_chunk" in x for x in joins), joins
+
+
+def test_range_of_a_value(spark):
+    """As many cuts below as a comparison with each of them finds, for any number of cuts."""
+    for n in (0, 1, 14, 15, 16, 17, 31, 32, 100, 255):
+        cuts = [2 * i for i in range(n)]
+        coarse = cuts[ranking.STRIDE - 1 :: ranking.STRIDE]
+        rows = spark.range(-1, 2 * n + 2).select(
+            "id", F.lit(cuts).cast("array<bigint>").alias("_cuts"), F.lit(coarse).cast("array<bigint>").alias("_coarse")
+        )
+        for r in rows.select("id", ranking._below("id").alias("below")).collect():
+            assert r["below"] == sum(x < r["id"] for x in cuts)
+
+
 def test_chunked_auc(spark, frame):
     from bureauflow.operators.metrics import auc_table
     from conftest import SMALL
