@@ -93,6 +93,11 @@ CONF = ["threshold", "precision", "recall", "f1", "type_i_error", "type_ii_error
 CNT = ["tp", "fp", "tn", "fn"]
 
 
+# the tail of the chi-squared distribution by the series of the incomplete gamma function, whose terms are largest at k = chi2 / 2
+CHI2_TAIL = ("greatest(0, 1 - list_sum(list_transform(range(CAST(ceil(chi2 / 2 + 40 * sqrt(chi2 / 2)) AS BIGINT) + 200), "
+             "lambda k: exp(-chi2 / 2 + (dof / 2.0::DOUBLE + k) * ln(chi2 / 2) - lgamma(dof / 2.0::DOUBLE + k + 1)))))")
+
+
 def oracles() -> dict[str, str]:
     q: dict[str, str] = {}
     M = [MODEL, LF, edges("ed", "l"), BINNED, WT, INFO]
@@ -332,9 +337,7 @@ def oracles() -> dict[str, str]:
     q["m15_calibration_curve"] = out("SELECT * FROM cc", ["mean_predicted", "fraction_positive"], ["bin", "n"], [MODEL, curve])
     sc = "v1 AS (SELECT 'x' AS feature, score AS value, target FROM m)"
     hl = f"hl AS (SELECT {bin_of('value')} AS bin, count(*) AS n, sum(target) AS o, sum(value) AS e FROM v1 JOIN e1 USING (feature) GROUP BY 1)"
-    # the tail of the chi-squared distribution by the series of the incomplete gamma function
-    tail = "greatest(0, 1 - (SELECT sum(exp(-chi2 / 2 + (dof / 2.0::DOUBLE + k) * ln(chi2 / 2) - lgamma(dof / 2.0::DOUBLE + k + 1))) FROM (SELECT unnest(range(200000)) AS k)))"
-    q["m15_calibration_quality"] = out(f"""SELECT *, {tail} AS p_value FROM (SELECT (SELECT avg(pow(score - target, 2)) FROM m) AS brier, (SELECT sum(n * abs(fraction_positive - mean_predicted)) / sum(n) FROM cc) AS ece,
+    q["m15_calibration_quality"] = out(f"""SELECT *, {CHI2_TAIL} AS p_value FROM (SELECT (SELECT avg(pow(score - target, 2)) FROM m) AS brier, (SELECT sum(n * abs(fraction_positive - mean_predicted)) / sum(n) FROM cc) AS ece,
         (SELECT sum(pow(o - e, 2) / e + pow(o - e, 2) / (n - e)) FROM hl) AS chi2, (SELECT greatest(count(*) - 2, 1) FROM hl) AS dof)""", ["brier", "ece", "chi2", "p_value"], ["dof"], [MODEL, curve, sc, edges("e1", "v1"), hl])
     # a step's value is the largest, over starts up to the score, of the least mean from there to an end at or beyond it
     q["m14_isotonic_steps"] = out("""SELECT s.score, s.n, s.bad, v AS calibrated FROM lv s JOIN (
