@@ -248,7 +248,8 @@ def _aggregates() -> dict[str, Column]:
         "ol_amt": sum_if(c("product") == "OVERLIMIT", c("nc_amt")),
         "age_max": F.max("age_d"),
         "age_min": F.min("age_d"),
-        "age_avg": F.avg("age_m"),
+        # whole days are added, so the mean doesn't depend on the order of addition
+        "age_avg": F.avg("age_d") / en.DAYS_PER_MONTH,
         "since_dflt": F.min(F.datediff("ref", "dflt")),
         "first_dflt": F.max(F.datediff("ref", "dflt")),
         "since_rec": F.min(F.datediff("ref", "rec")),
@@ -361,6 +362,7 @@ def _aggregates() -> dict[str, Column]:
         "dur_min": F.min("duration").cast("double"),
         "dur_sum": F.sum("duration").cast("double"),
         "dur_std": F.stddev_samp("duration"),
+        "dur_squares": F.sum(c("duration").cast("bigint") * c("duration")),
         "dur_amt": F.sum(c("duration") * amt),
         "n_gt60": F.count_if(c("duration") > 60),
         "n_lt24": F.count_if(c("duration") < 24),

@@ -40,7 +40,7 @@ def temporal_body() -> str:
 
 
 TEMPORAL = (
-    {"o": "max(age_m)", "w": "min(age_m)", "a": "avg(age_m)", "sd": "min(ref - dflt)", "sc": "min(age_d)", "t1": "avg(ttd)", "r1": "avg(rec_d)"},
+    {"o": "max(age_m)", "w": "min(age_m)", "a": "CAST(sum(age_d) AS DOUBLE) / count(age_d) / 30.44::DOUBLE", "sd": "min(ref - dflt)", "sc": "min(age_d)", "t1": "avg(ttd)", "r1": "avg(rec_d)"},
     {"oldest_credit_age_months": "o", "newest_credit_age_months": "w", "avg_credit_age_months": "a",
      "credit_history_length_months": z("o"),
      "days_since_last_default": "CASE WHEN sd < 0 THEN 0 ELSE sd END",
@@ -446,14 +446,14 @@ def _families() -> dict[str, str]:
          "closed_with_default": z("nc - cc"), "closure_success_rate": rate, "avg_closure_to_plan": "1", "early_closure_count": "0",
          "on_time_closure_count": z("nc"), "maturity_behavior_score": f"least(10, {rate} * 10)", "has_recent_closure": flag("nc > 0")})
     du = {"nu": "count(duration)", "da": "avg(duration)", "dx": "max(duration)", "dn": "min(duration)", "dsd": "stddev_samp(duration)",
-          "dsum": "sum(duration)", "g60": "count(*) FILTER (duration > 60)", "l24": "count(*) FILTER (duration < 24)",
+          "dsum": "sum(duration)", "dsq": "sum(CAST(duration AS BIGINT) * duration)", "g60": "count(*) FILTER (duration > 60)", "l24": "count(*) FILTER (duration < 24)",
           "l12": "count(*) FILTER (duration < 12)", "su": "sum(amt) FILTER (duration IS NOT NULL)",
           "hb": "count(*) FILTER (duration > 60 AND amt > 50000)", "da_": "sum(duration * amt)"}
     q["f32_duration_risk"] = family(du, {
         "avg_duration_months": z("da"), "max_duration_months": z("dx"), "min_duration_months": z("dn"), "duration_spread": z("dx - dn"),
         "duration_cv": f"CASE WHEN COALESCE(nu, 0) = 0 THEN 0 ELSE {div('dsd', 'da')} END",
         "prefers_long_term": flag(f"{div('g60', 'nu')} > 0.5"), "prefers_short_term": flag(f"{div('l24', 'nu')} > 0.5"),
-        "mixed_duration_portfolio": flag(f"{div('dsd', 'da')} > 0.5"), "duration_to_amount_ratio": div0("dsum", "su / 10000"),
+        "mixed_duration_portfolio": flag("4 * nu * (nu * dsq - dsum * dsum) > (nu - 1) * dsum * dsum"), "duration_to_amount_ratio": div0("dsum", "su / 10000"),
         "high_duration_high_amount": flag("hb > 0")})
     pr = f""" pr AS (SELECT s.*, row_number() OVER (PARTITION BY {K} ORDER BY rn) AS pn_, count(*) OVER (PARTITION BY {K}) AS pc FROM s WHERE payment IS NOT NULL)"""
     pcv = div0(z("psd"), "pa")
