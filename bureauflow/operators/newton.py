@@ -13,7 +13,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 c = F.col
@@ -22,6 +22,10 @@ STEPS = 30
 TOLERANCE = 1e-9
 BLOCK = 2_048
 MODEL_SUMS = "model int, place int, total double"
+# Rows of a score range that is ranked alone, rows that tell the ranges' cuts, and scores a task holds at a time.
+RANGE_ROWS = 200_000
+DRAWN = 4_096
+HELD = 4_000_000
 
 
 @dataclass
@@ -93,18 +97,20 @@ def _sums(df: DataFrame, features: list[str], target: str, fits: list[Fit], fold
                 if not inside.any():
                     continue
                 own, rows = folds[k], y[inside]
-                scaled = np.column_stack([(x[inside] - own.mean) / own.scale, np.ones(len(rows))])
+                # a feature is a row of this matrix, so that a model's are taken in whole stretches
+                scaled = np.vstack([((x[inside] - own.mean) / own.scale).T, np.ones(len(rows))])
                 w = own.weights(rows)
                 for total, m in zip(totals, fits):
                     if m.fold != k:
                         continue
-                    part = scaled[:, [*m.columns, -1]]
-                    z = part @ m.beta
-                    p = 1 / (1 + np.exp(-np.clip(z, -700, 700)))
+                    part = scaled[[*m.columns, -1]]
+                    z = m.beta @ part
+                    e = np.exp(-np.abs(z))
+                    p = np.where(z >= 0, 1.0, e) / (1 + e)
                     size = len(m.beta)
-                    total[0] += (w * (np.logaddexp(0, z) - rows * z)).sum()
-                    total[1 : 1 + size] += part.T @ (w * (p - rows))
-                    total[1 + size :] += ((part * (w * p * (1 - p))[:, None]).T @ part).ravel()
+                    total[0] += w @ (np.maximum(z, 0) + np.log1p(e) - rows * z)
+                    total[1 : 1 + size] += part @ (w * (p - rows))
+                    total[1 + size :] += ((part * (w * p * (1 - p))) @ part.T).ravel()
         model = np.repeat(np.arange(len(fits), dtype=np.int32), [len(t) for t in totals])
         place = np.concatenate([np.arange(len(t), dtype=np.int32) for t in totals])
         yield pa.RecordBatch.from_arrays([pa.array(model), pa.array(place), pa.array(np.concatenate(totals))], ["model", "place", "total"])
@@ -183,3 +189,86 @@ def held_out_scores(
                     )
 
     return _columns(df, features, target).mapInArrow(scored, f"set int, fold int, {target} double, score double")
+
+
+def _levels(scores: np.ndarray, n: np.ndarray, bad: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct scores in ascending order with their numbers of rows and of bads."""
+    order = np.argsort(scores, kind="stable")
+    scores = scores[order]
+    first = np.flatnonzero(np.append(True, scores[1:] != scores[:-1]))
+    return scores[first], np.add.reduceat(n[order], first), np.add.reduceat(bad[order], first)
+
+
+def held_out_aucs(
+    df: DataFrame, features: list[str], fits: list[Fit], folds: dict[int, Fold], sets: list[int], drawn: np.ndarray,
+    rows: float, target: str = "target", range_rows: int = RANGE_ROWS,
+) -> DataFrame:
+    """set, fold, auc: the exact AUC of what `held_out_scores` gives, NULL for a single class.
+
+    A task sends its distinct scores with their counts as one array for each model and range of scores; a
+    range is ranked alone, and range totals put the ranges together. `drawn` (rows of `draw`) tells the cuts
+    of the about `rows` / `range_rows` ranges; the result is the same for any cuts.
+    """
+    share = np.arange(1, int(np.ceil(rows / range_rows))) / np.ceil(rows / range_rows)
+    probability = lambda z: 1 / (1 + np.exp(-np.clip(z, -700, 700)))
+    cuts = [
+        np.unique(np.quantile(probability(m.linear(drawn, folds[m.fold])), share)) if len(drawn) else np.zeros(0) for m in fits
+    ]
+    lists = ["scores", "ns", "bads"]
+
+    def sent(held):
+        """A row for each model and range of the blocks held."""
+        for number, m, cut, blocks in zip(sets, fits, cuts, held):
+            if not blocks:
+                continue
+            scores, y = (np.concatenate(v) for v in zip(*blocks))
+            scores, n, bad = _levels(scores, np.ones(len(y), np.int64), y.astype(np.int64))
+            ends = np.append(np.searchsorted(scores, cut, side="right"), len(scores))
+            offsets = pa.array(np.append(0, ends), pa.int32())
+            arrays = [pa.ListArray.from_arrays(offsets, pa.array(v)) for v in (scores, n, bad)]
+            k = len(ends)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(k, number, np.int32)), pa.array(np.full(k, m.fold, np.int32)), pa.array(np.arange(k, dtype=np.int32)), *arrays],
+                ["set", "fold", "part", *lists],
+            )
+
+    def collapsed(batches):
+        held, size = [[] for _ in fits], 0
+        for x, y, fold in _matrices(batches, len(features)):
+            for blocks, m in zip(held, fits):
+                inside = slice(None) if m.fold < 0 else fold == m.fold
+                scores = probability(m.linear(x[inside], folds[m.fold]))
+                if len(scores):
+                    blocks.append((scores, y[inside]))
+                    size += len(scores)
+            if size > HELD:
+                yield from sent(held)
+                held, size = [[] for _ in fits], 0
+        yield from sent(held)
+
+    def one_range(group: pa.Table) -> pa.Table:
+        scores, n, bad = _levels(*(group.column(v).combine_chunks().flatten().to_numpy() for v in lists))
+        good = (n - bad).astype(float)
+        won = bad @ (np.cumsum(good) - good / 2)
+        sums = {"won": [float(won)], "bad": [float(bad.sum())], "good": [good.sum()]}
+        return pa.table({**{k: group.column(k).slice(0, 1) for k in ("set", "fold", "part")}, **sums})
+
+    known = df.where(c(target).isNotNull())
+    made = _columns(known, features, target).mapInArrow(
+        collapsed, "set int, fold int, part int, scores array<double>, ns array<bigint>, bads array<bigint>"
+    )
+    made = made.where(F.size("scores") > 0)
+    ranges = made.groupBy("set", "fold", "part").applyInArrow(one_range, "set int, fold int, part int, won double, bad double, good double")
+    below = Window.partitionBy("set", "fold").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # a row per range
+    pairs = ranges.withColumn("won", c("won") + c("bad") * F.coalesce(F.sum("good").over(below), F.lit(0.0)))
+    totals = pairs.groupBy("set", "fold").agg(*[F.sum(x).alias(x) for x in ("won", "bad", "good")])
+    both = (c("bad") > 0) & (c("good") > 0)
+    return totals.select("set", "fold", F.when(both, c("won") / (c("bad") * c("good"))).alias("auc"))
+
+
+def draw(df: DataFrame, features: list[str], rows: float) -> np.ndarray:
+    """About DRAWN rows' features, or 16 for each range if these are more."""
+    wanted = max(DRAWN, 16 * rows / RANGE_ROWS)
+    some = df.sample(min(1.0, wanted / max(rows, 1)), seed=42).select(*[c(f).cast("double") for f in features])
+    found = some.toArrow()
+    return np.column_stack([v.to_numpy() for v in found.columns])

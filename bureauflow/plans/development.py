@@ -118,7 +118,8 @@ def _developed(
     tables: dict[str, DataFrame] = {}
 
     def step(name: str, result: DataFrame, current: list[str]) -> list[str]:
-        tables[name] = result
+        # a row per feature, worked out once
+        result = tables[name] = data.sparkSession.createDataFrame(result.toArrow(), result.schema)
         survivors = set(elimination.kept(result))
         if not survivors.intersection(current):
             raise ValueError(f"no feature survives the step {name}")

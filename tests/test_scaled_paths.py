@@ -7,7 +7,7 @@ import numpy as np
 import pandas as pd
 import pytest
 from bureauflow.functions import ranking
-from bureauflow.operators import binning, calibration, cutoffs, elimination, models, newton, psi
+from bureauflow.operators import binning, calibration, cutoffs, elimination, metrics, models, newton, psi
 from bureauflow.plans import catalog
 from pyspark.sql import functions as F
 
@@ -220,3 +220,28 @@ def test_repeated_applications_count_once(small):
 
 def test_catalog_has_the_over_full_queries():
     assert {"f10_sequence_over_full", "f33_payment_behavior_over_full"} <= set(catalog.QUERIES)
+
+
+def test_held_out_auc_by_ranges_is_exact(frame):
+    rows = frame.select(*NAMES, "target", "uid").fillna(0)
+    data = models.fold_column(rows.unionByName(rows), folds=3).repartition(5).persist()  # every score is tied
+    sets = [["signal"], NAMES]
+    fits, stats = newton.fit_many(data, NAMES, sets, "target", [0, 1, 2])
+    number = [0, 0, 0, 1, 1, 1]
+    scores = newton.held_out_scores(data, NAMES, fits, stats, number, "target")
+    want = {(r["set"], r["fold"]): r["auc"] for r in metrics.auc_table(scores, "score", "target", ["set", "fold"]).collect()}
+    n = data.count()
+    for drawn, size in ((newton.draw(data, NAMES, n), n), (newton.draw(data, NAMES, n), 20), (np.zeros((0, 3)), 20)):
+        got = newton.held_out_aucs(data, NAMES, fits, stats, number, drawn, n / 3, "target", range_rows=size)
+        assert {(r["set"], r["fold"]): r["auc"] for r in got.collect()} == pytest.approx(want, abs=1e-12)
+    one_class = newton.held_out_aucs(data.where("target = 1"), NAMES, fits[:1], stats, [0], drawn, n / 3, "target")
+    assert [r["auc"] for r in one_class.collect()] == [None]
+    data.unpersist()
+
+
+def test_selection_sends_no_row_for_a_score(spark, frame, monkeypatch):
+    """The AUCs of a step are not read off a table of a row for every score, which is sent and sorted twice."""
+    monkeypatch.setattr(newton, "held_out_scores", lambda *_: pytest.fail("scores are laid out"))
+    rows = frame.select(*NAMES, "target", "uid").fillna(0)
+    assert models.sequential_selection(rows, NAMES, folds=2)[0]
+    assert models.forward_by_gain(rows, rows, NAMES).count() == 3
