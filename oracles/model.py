@@ -13,10 +13,14 @@ PROBS = "[" + ", ".join(f"{i / 10!r}::DOUBLE" for i in range(11)) + "]"
 
 
 def edges(name: str, source: str, by: str = "feature", n: int = 10) -> str:
-    """CTE with the distinct quantile edges per group."""
+    """CTE with the distinct quantile edges per group.
+
+    Whole numbers tell whether an edge is a value: (n - 1) * 0.7 may be just below a whole number, and the edge then just below the value.
+    """
     probs = "[" + ", ".join(f"{i / n!r}" for i in range(n + 1)) + "]"
-    return (f"{name} AS (SELECT {by}, n, list_sort(list_distinct(q)) AS edges FROM (SELECT {by}, count(value) AS n, "
-            f"quantile_cont(value, {probs}) AS q FROM {source} WHERE value IS NOT NULL GROUP BY {by}))")
+    at = f"list_transform(range({n + 1}), lambda i: CASE WHEN (n - 1) * i % {n} = 0 THEN CAST(d[i + 1] AS DOUBLE) ELSE q[i + 1] END)"
+    return (f"{name} AS (SELECT {by}, n, list_sort(list_distinct({at})) AS edges FROM (SELECT {by}, count(value) AS n, "
+            f"quantile_cont(value, {probs}) AS q, quantile_disc(value, {probs}) AS d FROM {source} WHERE value IS NOT NULL GROUP BY {by}))")
 
 
 def bin_of(x: str, op: str = "<") -> str:

@@ -3,13 +3,15 @@
 from itertools import permutations
 
 import duckdb
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from bureauflow.operators import calibration
+from bureauflow.functions import ranking
+from bureauflow.operators import calibration, metrics
 from bureauflow.operators.families import family_frame
 from bureauflow.schema import KEY
-from oracles.model import CHI2_TAIL
+from oracles.model import CHI2_TAIL, bin_of, edges
 
 
 def people(small, field, values):
@@ -51,3 +53,19 @@ def test_mean_age_is_the_same_in_any_order(small):
 def test_tail_in_sql(chi2, dof):
     got = duckdb.connect().execute(f"SELECT {CHI2_TAIL} FROM (SELECT {chi2}::DOUBLE AS chi2, {dof} AS dof)").fetchone()[0]
     assert abs(got - calibration.chi2_tail(chi2, dof)) < 1e-7
+
+
+def test_edges_that_are_values(spark):
+    """(n - 1) * 0.7 is just below a whole number for these n: the row of the edge stays in the lower bin, in the query and in the SQL."""
+    sizes = [n for n in range(600, 3600, 10) if (n) * 0.7 != 7 * (n // 10)][:40]
+    rows = [(n, k, round(340000 + 7919 * k % 100003 * 1.37, 2)) for n in sizes for k in range(n + 1)]
+    table = pa.Table.from_arrays([pa.array(x) for x in zip(*rows, strict=True)], ["g", "k", "value"])
+    df = spark.createDataFrame(table).withColumn("target", (F.col("k") % 3 == 0).cast("int"))
+    got = {r["g"]: r["q"] for r in ranking.quantiles(df, ["g"], "value", [0.0, 0.7, 1.0]).collect()}
+    values = {n: sorted(v for g, _, v in rows if g == n) for n in sizes}
+    assert len(sizes) == 40 and got == {n: [v[0], v[7 * n // 10], v[-1]] for n, v in values.items()}
+    lift = {(r["g"], r["decile"]): r["n"] for r in metrics.lift_table(df, "value", "target", ["g"]).collect()}
+    con = duckdb.connect()
+    con.register("src", table)
+    sql = f"WITH {edges('e', 'src', 'g')} SELECT g, CAST(max(len(edges)) - 1 - {bin_of('value')} AS INTEGER), count(*) FROM src JOIN e USING (g) GROUP BY g, {bin_of('value')}"
+    assert lift == {(g, d): n for g, d, n in con.execute(sql).fetchall()}
