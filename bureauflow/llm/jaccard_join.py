@@ -7,10 +7,13 @@ the parts count over H, two similar sets agree in a part. How many parts of eith
 entries. Parts without elements (for deletions: with one at most) would be common to everybody: the parts count SLACK more than needed, and
 only sets with more such parts than that index them too.
 
-Equal sets are one set from the start. Of each index entry's sets, first only the links to its least set are tried, best ones first; then,
-between the components that result, all pairs that an entry still brings together, after exact bounds (sizes; bits of parity, of which a
-differing element flips one). Pairs are verified on the whole sets. So no entry's pairs are expanded where its sets are linked already, and
-no link between different components is lost.
+Equal sets are one set from the start. Each set has a center, the set of most index entries among those that its entries bring it together
+with, and is first tried against it, then against one set of each of its entries. What an entry still brings together from different
+components is compared in pairs, after exact bounds (sizes; bits of parity, of which a differing element flips one). Sets near the same
+center, and not smaller, are not: of two in different components one isn't linked to the center, and if it shared elements of the center
+only with the other, it would be no more similar to that than to the center. So they link only if they share an element outside the center,
+and meet by those. Pairs are verified on the whole sets. No entry's pairs are expanded where its sets are linked already, and no link between
+different components is lost.
 
 Defined results: null and empty texts have empty sets and no links; rows with the same set are one component; component ids are least ids,
 null for a row without an id that is linked to nothing; an empty table gives an empty result; other columns are ignored.
@@ -294,6 +297,26 @@ def verified(pairs: DataFrame, sets: DataFrame, share: tuple[int, int]) -> DataF
     return full.select("a", "b", "x", "y").mapInArrow(linked, "a bigint, b bigint")
 
 
+def outside(centered: DataFrame, sets: DataFrame) -> DataFrame:
+    """id, c and the elements that the set id has and its center c has not (out), where c has half of the set's elements or more."""
+
+    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            near, lists = [], []
+            for k in range(batch.num_rows):
+                x, y = (batch.column(c)[k].values.to_numpy() for c in (2, 3))
+                out = np.setdiff1d(x, y, assume_unique=True)
+                near.append(2 * len(out) <= len(x))
+                if near[-1]:
+                    lists.append(out)
+            at = np.cumsum([0, *map(len, lists)]).astype(np.int32)
+            out = pa.ListArray.from_arrays(pa.array(at), pa.array(np.concatenate([np.empty(0, np.int64), *lists])))
+            yield pa.RecordBatch.from_arrays([*(c.filter(pa.array(near, pa.bool_())) for c in batch.columns[:2]), out], ["id", "c", "out"])
+
+    full = centered.join(sets.select("id", F.col("elements").alias("x")), "id").join(sets.select(F.col("id").alias("c"), F.col("elements").alias("y")), "c")
+    return full.select("id", "c", "x", "y").mapInArrow(made, "id bigint, c bigint, out array<bigint>")
+
+
 def similar_components(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE, share: tuple[int, int] = SHARE) -> DataFrame:
     """Per row: key, n_shingles, component_id (the least key that links reach)."""
     docs = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
@@ -310,22 +333,37 @@ def similar_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
         x, y = heads.select(F.col("id").alias("a"), F.struct("n", "bits").alias("x")), heads.select(F.col("id").alias("b"), F.struct("n", "bits").alias("y"))
         return pairs.join(x, "a").join(y, "b").where(may_link("x", "y", share)).drop("x", "y")
 
+    def sets_in(pairs: DataFrame, a: str, b: str) -> DataFrame:
+        asked = pairs.select(F.explode(F.array(a, b)).alias("id")).distinct().join(heads.select("id", "key"), "id")
+        return storage.written(sets_of(docs, storage.written(asked), shingle))
+
     def links_of(pairs: DataFrame) -> DataFrame:
-        asked = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct().join(heads.select("id", "key"), "id")
-        return verified(pairs, storage.written(sets_of(docs, storage.written(asked), shingle)), share)
-
-    # each set with the least sets of its entries: of those that may link, the one with most entries in common
-    least = rows.groupBy("entry").agg(F.min("id").alias("a"), F.max("id").alias("z")).where("a < z")
-    tried = rows.join(least.select("entry", "a"), "entry").where("a < id").groupBy("a", F.col("id").alias("b")).count()
-    best = checked(tried).groupBy("b").agg(F.max_by("a", F.struct("count", "a")).alias("a"))
-    first = storage.written(best.select("a", "b"))
+        return verified(pairs, sets_in(pairs, "a", "b"), share)
+
+    # each set with its center: entries are indexed if others have them too, so copies that differ in little from many have most
+    ranks = rows.groupBy("id").agg(F.struct(F.count("*").alias("shared"), (-F.first("n")).alias("less"), F.col("id").alias("c")).alias("rank"))
+    best = rows.select("entry", "id").join(storage.written(ranks), "id").groupBy("entry").agg(F.max("rank").alias("rank"))
+    centered = storage.written(rows.join(best, "entry").groupBy("id").agg(F.first("n").alias("n"), F.max("rank").alias("rank")).select("id", "n", "rank.c", "rank.less"))
+    tried = centered.where("id <> c").select(F.least("id", "c").alias("a"), F.greatest("id", "c").alias("b")).distinct()
+    first = storage.written(checked(tried).select("a", "b"))
     links, done = storage.written(links_of(first)), first
     labels = components(links)
 
+    spark, passing = docs.sparkSession, []
+
+    def passing_table(rows: DataFrame) -> DataFrame:
+        """rows, written until what follows from them is."""
+        passing.append(storage.shared_folder(spark))
+        return storage.written(rows, passing[-1])
+
+    def passed() -> None:
+        storage.remove(spark, *passing)
+        passing.clear()
+
     def placed_by(labels: DataFrame) -> DataFrame:
         """rows with the component of their set."""
         found = rows.join(labels.withColumnRenamed("node", "id"), "id", "left")
-        return storage.written(found.select("entry", "id", "n", F.coalesce("component", "id").alias("component")))
+        return passing_table(found.select("entry", "id", "n", F.coalesce("component", "id").alias("component")))
 
     # then each set with one set of each of its entries that is in another component; a pair for a row at most
     for turn in range(STARS):
@@ -335,19 +373,36 @@ def similar_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
         pairs = placed.join(centers.select("entry", "c"), "entry").where("component <> c.component")
         pairs = pairs.select(F.least("id", "c.id").alias("a"), F.greatest("id", "c.id").alias("b")).distinct()
         more = storage.written(checked(pairs).join(done, ["a", "b"], "left_anti").select("a", "b"))
+        passed()
         if not more.isEmpty():
             done = storage.written(done.unionByName(more))
             links = storage.written(links.unionByName(links_of(more)))
             labels = components(links)
-    # what an entry still brings together
+    # sets of different components near one center that is no larger
     placed = placed_by(labels)
     open_ = placed.groupBy("entry").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("entry")
-    open_rows = placed.join(open_, "entry").join(heads.select("id", "bits"), "id")
-    open_rows = storage.written(open_rows.select("entry", "id", "component", F.struct("n", "bits").alias("s")))
+    open_rows = passing_table(placed.join(open_, "entry"))
+    asked = storage.written(centered.where("n >= -less").join(open_rows.select("id").distinct(), "id", "left_semi").select("id", "c"))
+    near = passing_table(outside(asked, sets_in(asked, "id", "c")))
+    full = heads.select("id", F.struct("n", "bits").alias("s")).join(labels.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
+    outs = passing_table(near.select("id", "c", F.explode("out").alias("z")).join(full, "id"))
+
+    def cross(x: DataFrame, y: DataFrame, same: Column) -> DataFrame:
+        meet = same & (F.col("x.id") < F.col("y.id")) & (F.col("x.component") != F.col("y.component"))
+        return x.join(y, meet & may_link("x.s", "y.s", share)).select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
+
+    x, y = outs.alias("x"), outs.alias("y")
+    by_center = cross(x, y, (F.col("x.c") == F.col("y.c")) & (F.col("x.z") == F.col("y.z")))
+    # what an entry still brings together of others
+    open_rows = open_rows.join(near.select("id", "c"), "id", "left")
+    lone = F.count("c") < F.count("*")
+    open_ = open_rows.groupBy("entry").agg(lone.alias("lone"), F.min("c").alias("low"), F.max("c").alias("high")).where("lone or low < high").select("entry")
+    open_rows = passing_table(open_rows.join(open_, "entry").join(heads.select("id", "bits"), "id").select("entry", "id", "component", "c", F.struct("n", "bits").alias("s")))
     x, y = open_rows.alias("x"), open_rows.alias("y")
-    meet = (F.col("x.entry") == F.col("y.entry")) & (F.col("x.id") < F.col("y.id")) & (F.col("x.component") != F.col("y.component")) & may_link("x.s", "y.s", share)
-    rest = x.join(y, meet).select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct().join(done, ["a", "b"], "left_anti")
+    by_entry = cross(x, y, (F.col("x.entry") == F.col("y.entry")) & F.coalesce(F.col("x.c") != F.col("y.c"), F.lit(True)))
+    rest = by_entry.unionByName(by_center).distinct().join(done, ["a", "b"], "left_anti")
     rest = storage.written(rest)
+    passed()
     if not rest.isEmpty():
         labels = components(links.unionByName(links_of(rest)))
     placed = heads.select("id", "key").join(labels.withColumnRenamed("node", "id"), "id", "left").select("id", "key", F.coalesce("component", "id").alias("component"))

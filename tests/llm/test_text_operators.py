@@ -373,6 +373,19 @@ def test_jaccard_components_against_all_pairs(spark):
     assert jaccard_join.similar_components(empty(spark)).count() == 0
 
 
+def test_jaccard_pairs_of_near_copies_below_the_threshold(spark, monkeypatch):
+    """Copies that each differ from all others in one place, a little too much to link, are not compared in pairs: they share nothing but their center's elements."""
+    rng, asked = random.Random(6), []
+    base = [f"w{k}" for k in range(150)]
+    texts = [" ".join([*base[:60], *(f"v{c}x{k}" for k in range(9 * (c > 0))), *base[60 + 9 * (c > 0) :]]) for c in range(101)]
+    rng.shuffle(texts)
+    found = jaccard_join.verified
+    monkeypatch.setattr(jaccard_join, "verified", lambda pairs, *rest: asked.append(pairs.count()) or found(pairs, *rest))
+    docs = spark.createDataFrame([(k, t, None) for k, t in enumerate(texts)], SCHEMA)
+    got = {tuple(r) for r in jaccard_join.similar_components(docs).collect()}
+    assert got == {(k, 147, k) for k in range(101)} and sum(asked) <= 4 * len(texts)
+
+
 @pytest.mark.parametrize("band", range(5, 30))
 def test_schemes_bring_similar_sets_together(band):
     """Sets that differ as much as the band allows share an entry."""
