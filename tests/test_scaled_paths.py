@@ -133,6 +133,26 @@ def test_spearman_of_many_features(spark):
     assert len(got) == 300 * 299 // 2 and np.allclose(got.correlation.astype(float), expected, atol=1e-9, equal_nan=True)
 
 
+@pytest.mark.parametrize("sizes", [(1, 64, 2), (3, 7, 1), (32, 64, 64)])
+def test_spearman_blocks_and_ranges(spark, monkeypatch, sizes):
+    """Ranks across blocks and ranges, with ties, equal rows, negative, missing, infinite and constant values; the rows' matrices are made once."""
+    for name, value in zip(("BLOCKS", "RANGES", "LEAST_IN_RANGE"), sizes):
+        monkeypatch.setattr(elimination, name, value)
+    rng = np.random.default_rng(8)
+    x = np.round(rng.normal(size=(3_000, 4)) * [1, 10, 100, 1], 1)
+    x[rng.random(x.shape) < 0.2] = 0
+    x[:1_000], x[5, 0], x[6, 1], x[:, 3] = x[0], np.inf, -np.inf, -2.0
+    x[1_500:1_600, 2] = np.nan
+    names = list("abcd")
+    rows = [tuple(None if np.isnan(v) else float(v) for v in r) for r in x]
+    result = elimination.correlation_pairs(spark.createDataFrame(rows, ", ".join(f"{n} double" for n in names)), names, "spearman")
+    got = {(r["feature_a"], r["feature_b"]): r["correlation"] for r in result.collect()}
+    want = np.corrcoef(pd.DataFrame(np.nan_to_num(x, nan=0.0, posinf=np.inf, neginf=-np.inf)).rank().to_numpy().T[:3])
+    assert len(got) == 6 and all(got[n, "d"] is None for n in "abc")
+    assert all(got[names[a], names[b]] == pytest.approx(want[a, b], abs=1e-9) for a in range(3) for b in range(a + 1, 3))
+    assert result._jdf.queryExecution().executedPlan().toString().partition("Initial Plan")[2].count("moments(") == 1
+
+
 def test_monotonic_and_small_bins(spark):
     rng = random.Random(4)
     schema = binning.BINS_SCHEMA
