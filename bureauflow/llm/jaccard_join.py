@@ -328,6 +328,17 @@ def similar_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     shared = storage.written(indexed(docs, shingle, share, None).withColumn("place", second).where("place = 2").select("entry"))
     rows = storage.written(indexed(docs, shingle, share, bit_set(shared, "entry", FILTER_BITS)).dropDuplicates(["entry", "id"]))
 
+    spark, passing = docs.sparkSession, []
+
+    def passing_table(rows: DataFrame) -> DataFrame:
+        """rows, written until what follows from them is."""
+        passing.append(storage.shared_folder(spark))
+        return storage.written(rows, passing[-1])
+
+    def passed() -> None:
+        storage.remove(spark, *passing)
+        passing.clear()
+
     def checked(pairs: DataFrame) -> DataFrame:
         """pairs (a, b and more) that may link."""
         x, y = heads.select(F.col("id").alias("a"), F.struct("n", "bits").alias("x")), heads.select(F.col("id").alias("b"), F.struct("n", "bits").alias("y"))
@@ -335,7 +346,7 @@ def similar_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
 
     def sets_in(pairs: DataFrame, a: str, b: str) -> DataFrame:
         asked = pairs.select(F.explode(F.array(a, b)).alias("id")).distinct().join(heads.select("id", "key"), "id")
-        return storage.written(sets_of(docs, storage.written(asked), shingle))
+        return passing_table(sets_of(docs, passing_table(asked), shingle))
 
     def links_of(pairs: DataFrame) -> DataFrame:
         return verified(pairs, sets_in(pairs, "a", "b"), share)
@@ -347,19 +358,9 @@ def similar_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     tried = centered.where("id <> c").select(F.least("id", "c").alias("a"), F.greatest("id", "c").alias("b")).distinct()
     first = storage.written(checked(tried).select("a", "b"))
     links, done = storage.written(links_of(first)), first
+    passed()
     labels = components(links)
 
-    spark, passing = docs.sparkSession, []
-
-    def passing_table(rows: DataFrame) -> DataFrame:
-        """rows, written until what follows from them is."""
-        passing.append(storage.shared_folder(spark))
-        return storage.written(rows, passing[-1])
-
-    def passed() -> None:
-        storage.remove(spark, *passing)
-        passing.clear()
-
     def placed_by(labels: DataFrame) -> DataFrame:
         """rows with the component of their set."""
         found = rows.join(labels.withColumnRenamed("node", "id"), "id", "left")
@@ -377,6 +378,7 @@ def similar_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
         if not more.isEmpty():
             done = storage.written(done.unionByName(more))
             links = storage.written(links.unionByName(links_of(more)))
+            passed()
             labels = components(links)
     # sets of different components near one center that is no larger
     placed = placed_by(labels)
@@ -405,6 +407,7 @@ def similar_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     passed()
     if not rest.isEmpty():
         labels = components(links.unionByName(links_of(rest)))
+        passed()
     placed = heads.select("id", "key").join(labels.withColumnRenamed("node", "id"), "id", "left").select("id", "key", F.coalesce("component", "id").alias("component"))
     ids = placed.groupBy("component").agg(F.min("key").alias("component_id"))
     of_set = placed.join(ids, "component").select("id", "component_id")
