@@ -47,7 +47,7 @@ def attach_application_date(bureau: DataFrame, apps: DataFrame) -> DataFrame:
     return bureau.join(apps.select(*KEY, "application_date"), KEY, "inner")
 
 
-def enrich(dated: DataFrame) -> DataFrame:
+def enrich(dated: DataFrame, keys: list[str] = KEY) -> DataFrame:
     """Row-level measures every family works on.
 
     Credit measures are NULL (flags false) on overdraft and overlimit rows, so aggregates skip those
@@ -60,7 +60,7 @@ def enrich(dated: DataFrame) -> DataFrame:
         code = code.when(F.col("product_type") == name, short)
     on_credit = lambda c: F.when(credit, F.col(c))
     rows = dated.select(
-        *KEY,
+        *keys,
         credit.alias("is_credit"),
         F.col("application_date").alias("ref"),
         F.col("product_type").alias("product"),

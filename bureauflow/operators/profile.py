@@ -1,14 +1,15 @@
 """Per-applicant profile: every aggregate the feature families are derived from.
 
 Ordinary applicants are co-located once (one exchange by key) and all window columns are computed
-inside that partitioning. Applicants with more rows than a task should hold take `_hot_rows`: order
+inside that partitioning. Applicants with more rows than a task should hold take `_hot_profile`: order
 is resolved per calendar day, which bounds the number of chunks, and the days are stitched together
 by a small table of day summaries; value distributions go through the chunked frequency tables of
-`functions.ranking`. Both paths feed the same aggregate list.
+`functions.ranking`. Both paths give the same aggregates.
 """
 
 from __future__ import annotations
 
+import re
 from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, Window
@@ -24,6 +25,44 @@ PART = KEY + ["is_credit"]
 SEQ = ["opening", "amt", "product", "tid"]
 DEFAULT_SEQ = ["dflt", "amt", "product", "tid"]
 UNB = Window.unboundedPreceding
+# Of over-full applicants: their number, the chunks of their rows, and the order inside a chunk. Codes of
+# products are in the order of their names.
+NUM = "_num"
+CHUNK = [NUM, "slot", "sub"]
+HOT_SEQ = ["amt", "p", "tid"]
+NO_DAY = -(2**31)
+CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+# Columns that hold a row's place in the order of openings, or a value of the applicant's other rows.
+IN_SEQUENCE = [
+    "rn", "n", "np", "pay_rn", "prev_day", "prev_p", "gap", "change", "run_start", "c30", "c60", "c90",
+    "a30", "a60", "in_month", "r1", "amt_min", "amt_max", "latest", "prev_dp",
+]
+# Row measures by the tradeline columns that they are made of.
+MEASURES = {
+    "is_credit": {"product_type"},
+    "product": {"product_type"},
+    "p": {"product_type"},
+    "ref": {"application_date"},
+    "nc_amt": {"total_amount"},
+    "amt": {"total_amount"},
+    "opening": {"opening_date"},
+    "dflt": {"default_date"},
+    "rec": {"recovery_date"},
+    "closure": {"closure_date"},
+    "duration": {"duration_months"},
+    "payment": {"monthly_payment"},
+    "tid": {"tradeline_id"},
+    "day": {"opening_date"},
+    "month": {"opening_date"},
+    "age_d": {"application_date", "opening_date"},
+    "age_m": {"application_date", "opening_date"},
+    "ttd": {"default_date", "opening_date"},
+    "rec_d": {"recovery_date", "default_date"},
+    "d": {"default_date"},
+    "r": {"recovery_date"},
+    "a": {"default_date"},
+    **{f"w{m}": {"application_date", "opening_date"} for m in (3, 6, 12, 24)},
+}
 # Risk score per product used by the amount-weighted product score.
 PRODUCT_SCORE = {"is": 3, "cf": 2, "il": 1, "mg": 0}
 
@@ -105,120 +144,204 @@ def _cold_rows(rows: DataFrame) -> DataFrame:
     )
 
 
-def _join_null_safe(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
-    """Inner join in which NULL keys meet; the right side's keys are dropped."""
-    other = right.withColumnsRenamed({k: f"_key_{k}" for k in keys})
-    same = [left[k].eqNullSafe(other[f"_key_{k}"]) for k in keys]
-    return left.join(other, same).drop(*[f"_key_{k}" for k in keys])
+def _used(exprs, names) -> set[str]:
+    """Which of the names the expressions mention; a word that only looks like a name does no harm."""
+    words = {w for e in exprs for w in re.findall(r"\w+", str(e))}
+    return words & set(names)
 
 
-def _lag_across_chunks(
-    df: DataFrame, part: list[str], chunk: list[str], order: list[str], col: str, out: str
-) -> DataFrame:
-    """lag(col) over a long ordered group, one task per (group, chunk) instead of per group."""
-    local = Window.partitionBy(*part, *chunk).orderBy(*order)
-    last = df.groupBy(*part, *chunk).agg(F.max_by(col, F.struct(*order)).alias("_last"))
-    before = last.select(
-        *part, *chunk, F.lag("_last").over(Window.partitionBy(*part).orderBy(*chunk)).alias("_carry")
-    )
-    df = df.withColumns({"_lag": F.lag(col).over(local), "_first": F.row_number().over(local) == 1})
-    df = _join_null_safe(df, before, [*part, *chunk])
-    return df.withColumn(
-        out, F.when(F.col("_first"), F.col("_carry")).otherwise(F.col("_lag"))
-    ).drop("_lag", "_first", "_carry")
-
-
-def _cut_within(rows: DataFrame, group: list[str], limit: int, name: str) -> DataFrame:
-    """rows with `name`, the range of (amt, product, tid) inside their group; 0 where a group fits."""
-    placed = rows.withColumn("_place", F.struct(*SEQ[1:]))
-    return ranking.in_ranges(placed, group, "_place", limit).withColumnRenamed("_chunk", name).drop("_place")
+def _written(rows: DataFrame, made: list[str]) -> DataFrame:
+    """rows, written to the shared folder and read again: what follows reads them several times.
 
-
-def _chunked(rows: DataFrame, limit: int) -> DataFrame:
-    """Credit rows of over-full applicants with the chunks that order is resolved in.
-
-    By opening day (`day`, `sub`) and, for the order of defaults, by default date (`_date`, `_sub`):
-    a date of more than `limit` rows is cut into ranges of amount, product and tradeline id.
+    The exchanges behind them are removed at once, as nothing reads them again. made: gets the path.
     """
-    rows = _cut_within(rows.where(F.col("is_credit")), [*PART, "day"], limit, "sub")
-    # only defaulted rows use the order of defaults; the others, most of a key, are dealt out by day
-    date = F.when(F.col("d"), F.col("dflt").cast("string")).otherwise(F.col("day").cast("string"))
-    return _cut_within(rows.withColumn("_date", date), [*PART, "d", "_date"], limit, "_sub")
-
-
-def _written(rows: DataFrame) -> DataFrame:
-    """rows, written to the shared folder and read again: what follows reads them several times."""
-    path = src.artefact_folder(rows.sparkSession, f"over-full-{uuid4().hex}")
-    src.save_artefact(rows, path)
-    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+    spark = rows.sparkSession
+    path = src.artefact_folder(spark, f"over-full-{uuid4().hex}")
+    before = spark.conf.get(CLEAN_UP)
+    spark.conf.set(CLEAN_UP, "true")
+    try:
+        src.save_artefact(rows, path)
+    finally:
+        spark.conf.set(CLEAN_UP, before)
+    made.append(path)
+    return spark.read.schema(rows.schema).parquet(path)
+
+
+def _in_chunks(rows: DataFrame, date: str, limit: int, made: list[str]) -> DataFrame:
+    """rows with the chunks that order is resolved in: `slot`, the day of a date, and `sub`.
+
+    A day of more than `limit` rows is cut into ranges of amount, product and tradeline id; where there
+    is none, rows aren't touched. Rows without the date have the first slot, so that it is never NULL.
+    """
+    rows = rows.withColumn("slot", F.coalesce(F.unix_date(date), F.lit(NO_DAY)))
+    group = [NUM, "slot"]
+    if rows.groupBy(*group).agg(F.count("*").alias("k")).where(F.col("k") > limit).isEmpty():
+        return rows.withColumn("sub", F.lit(0))
+    placed = rows.withColumn("_place", F.struct(*HOT_SEQ))
+    cut = ranking.in_ranges(placed, group, "_place", limit).withColumnRenamed("_chunk", "sub")
+    return _written(cut.drop("_place"), made)
 
 
-def _hot_rows(rows: DataFrame) -> DataFrame:
-    """The sequence columns of `_cold_rows` for the chunked rows of over-full applicants.
+def _chunk_table(rows: DataFrame, exprs: list[Column], made: list[str]) -> DataFrame:
+    """A row per chunk: what its rows need of the applicant's other chunks, and of the applicant as a whole.
 
-    Order is resolved inside the chunks; a table of one row per chunk carries counts, the last
-    product and the start of the running streak across their cuts.
+    It has the columns that exprs read, and is written, as several tables come from it.
     """
-    by_chunk = [*PART, "day", "sub"]
-    chunks = rows.groupBy(*by_chunk, "month").agg(
+    have = lambda name, e: e if name in rows.columns else F.lit(None)
+    chunks = rows.groupBy(*CHUNK).agg(
         F.count("*").alias("n_d"),
-        F.count("payment").alias("pay_d"),
-        F.sum("amt").alias("amt_d"),
-        F.max_by("p", F.struct("amt", "product", "tid")).alias("last_p"),
+        have("payment", F.count("payment")).alias("pay_d"),
+        have("amt", F.sum("amt")).alias("amt_d"),
+        have("amt", F.min("amt")).alias("least"),
+        have("amt", F.max("amt")).alias("most"),
+        have("rec", F.min("rec")).alias("rec_1"),
+        (F.max(F.struct(*HOT_SEQ))["amt"] if {*HOT_SEQ} <= {*rows.columns} else F.lit(None)).alias("last_amt"),
     )
-    w = Window.partitionBy(*PART)
-    order = w.orderBy("day", "sub")
+    day = F.when(F.col("slot") != NO_DAY, F.col("slot"))
+    chunks = chunks.withColumn("day", day)
+    chunks = chunks.withColumn("month", F.date_trunc("month", F.date_from_unix_date("day")))
+    w = Window.partitionBy(NUM)
+    order = w.orderBy("slot", "sub")
     earlier = order.rowsBetween(UNB, -1)
     ahead = lambda d: w.orderBy("day").rangeBetween(0, d)
     zero = lambda c: F.coalesce(c, F.lit(0))
-    chunks = chunks.select(
-        *by_chunk,
-        F.sum("n_d").over(w).alias("n"),
-        F.sum("pay_d").over(w).alias("np"),
-        zero(F.sum("n_d").over(earlier)).alias("rn_off"),
-        zero(F.sum("pay_d").over(earlier)).alias("pay_off"),
-        F.lag("day").over(order).alias("day_before"),
-        F.lag("last_p").over(order).alias("p_before"),
-        F.sum("n_d").over(ahead(30)).alias("c30"),
-        F.sum("n_d").over(ahead(60)).alias("c60"),
-        F.sum("n_d").over(ahead(90)).alias("c90"),
-        F.sum("amt_d").over(ahead(30)).alias("a30"),
-        F.sum("amt_d").over(ahead(60)).alias("a60"),
+    columns = {
+        "n_d": F.col("n_d"),
+        "day": F.col("day"),
+        "n": F.sum("n_d").over(w),
+        "np": F.sum("pay_d").over(w),
+        "rn_off": zero(F.sum("n_d").over(earlier)),
+        "pay_off": zero(F.sum("pay_d").over(earlier)),
+        "day_before": F.lag("day").over(order),
+        "c30": F.sum("n_d").over(ahead(30)),
+        "c60": F.sum("n_d").over(ahead(60)),
+        "c90": F.sum("n_d").over(ahead(90)),
+        "a30": F.sum("amt_d").over(ahead(30)),
+        "a60": F.sum("amt_d").over(ahead(60)),
         # a row without a month stands alone
-        F.when(F.col("month").isNull(), 1)
-        .otherwise(F.sum("n_d").over(Window.partitionBy(*PART, "month")))
-        .alias("in_month"),
+        "in_month": F.when(F.col("month").isNull(), 1).otherwise(
+            F.sum("n_d").over(Window.partitionBy(NUM, "month"))
+        ),
+        "r1": F.min("rec_1").over(w),
+        "amt_min": F.min("least").over(w),
+        "amt_max": F.max("most").over(w),
+        "latest": F.last("last_amt").over(order.rowsBetween(UNB, Window.unboundedFollowing)),
+    }
+    # a chunk's rows share their day, so all of its gaps but one are 0, and those come first
+    step = F.when(F.col("rn_off") > 0, F.col("day") - F.col("day_before"))
+    no_gap = F.coalesce(F.sum(F.when(F.col("day").isNotNull(), F.col("n_d") - 1)).over(w), F.lit(0))
+    gaps = {
+        "n_same": no_gap,
+        "n_gap": no_gap + F.count(step).over(w),
+        "gap_before": no_gap + F.row_number().over(w.orderBy(F.asc_nulls_last(step))) - 1,
+    }
+    read = _used(exprs, {**columns, **gaps})
+    if read & set(gaps):
+        read |= {"n_d", "day", "rn_off", "day_before"}
+    chunks = chunks.select(*CHUNK, *[e.alias(k) for k, e in columns.items() if k in read])
+    return _written(chunks.withColumns({k: e for k, e in gaps.items() if k in read}), made)
+
+
+def _day_aggregates() -> dict[str, Column]:
+    """Aggregates over the chunk table alone."""
+    c = F.col
+    step = F.when(c("rn_off") > 0, c("day") - c("day_before"))
+    none = c("day") - c("day")
+    rest = F.when(c("n_d") > 1, none)
+    gap = F.coalesce(step, rest)
+    half = F.floor((c("n") - 1) / 2)
+    middle = (c("n_gap") - 1) / 2
+    at = lambda k: F.when(F.max("n_same") > F.max(k), 0).otherwise(F.max(F.when(c("gap_before") == k, step)))
+    return {
+        **{k: F.max(k) for k in ("c30", "c60", "c90", "a30", "a60")},
+        "month_peak": F.max("in_month"),
+        "gap_min": F.min(F.least(step, rest)),
+        "gap_max": F.max(F.greatest(step, rest)),
+        "gap_med": (at(F.floor(middle)) + at(F.ceil(middle))) / 2,
+        "gap_sum": F.sum(gap),
+        "gap_sq": F.sum(gap.cast("bigint") * gap),
+        "n_rapid": F.sum(F.when(step <= 14, 1).otherwise(0) + F.when(c("day").isNotNull(), c("n_d") - 1).otherwise(0)),
+        "gap_last": F.max(
+            F.when(c("rn_off") + c("n_d") == c("n"), F.when(c("n_d") > 1, none).otherwise(step))
+        ),
+        "day_half": F.max(F.when((c("rn_off") <= half) & (half < c("rn_off") + c("n_d")), c("day"))),
+    }
+
+
+def _in_sequence(rows: DataFrame, chunks: DataFrame) -> DataFrame:
+    """rows with their place among the applicant's, and its values of `_chunk_table`; they are exchanged once, by chunk."""
+    rows = rows.join(chunks.select(*CHUNK, *[x for x in chunks.columns if x not in rows.columns]), CHUNK)
+    local = Window.partitionBy(*CHUNK).orderBy(*HOT_SEQ)
+    rows = rows.withColumn("rn", F.col("rn_off") + F.row_number().over(local))
+    if "pay_off" in rows.columns:
+        upto = local.rowsBetween(UNB, 0)
+        rows = rows.withColumn("pay_rn", F.col("pay_off") + F.count("payment").over(upto))
+    return rows
+
+
+def _streaks(rows: DataFrame) -> DataFrame:
+    """transitions, streak: from runs of one product inside the chunks, put together at their cuts."""
+    c = F.col
+    local = Window.partitionBy(*CHUNK).orderBy(*HOT_SEQ)
+    rows = rows.select(*CHUNK, "p", F.row_number().over(local).alias("k"), F.lag("p").over(local).alias("before"))
+    rows = rows.withColumn("new", c("before").isNull() | (c("before") != c("p")))
+    start = F.max(F.when(c("new"), c("k"))).over(Window.partitionBy(*CHUNK).orderBy("k").rowsBetween(UNB, 0))
+    rows = rows.withColumn("start", start)
+    runs = rows.groupBy(*CHUNK).agg(
+        F.count("*").alias("size"),
+        F.count_if(c("new")).alias("runs"),
+        F.max(F.when(c("k") == 1, c("p"))).alias("first_p"),
+        F.max_by("p", "k").alias("last_p"),
+        F.min(F.when(c("new") & (c("k") > 1), c("k"))).alias("second"),
+        F.max("start").alias("last"),
+        F.max(c("k") - c("start") + 1).alias("best"),
     )
-    rows = _join_null_safe(rows, chunks, by_chunk)
-    local = Window.partitionBy(*by_chunk).orderBy("amt", "product", "tid")
-    upto = local.rowsBetween(UNB, 0)
-    rows = rows.withColumns({"rn_d": F.row_number().over(local), "lag_p": F.lag("p").over(local)})
-    rows = rows.withColumns(
+    w = Window.partitionBy(NUM)
+    order = w.orderBy("slot", "sub")
+    earlier = order.rowsBetween(UNB, -1)
+    runs = runs.withColumns(
         {
-            "rn": F.col("rn_d") + F.col("rn_off"),
-            "pay_rn": F.col("pay_off") + F.count("payment").over(upto),
-            "prev_day": F.when(F.col("rn_d") > 1, F.col("day")).otherwise(F.col("day_before")),
-            "prev_p": F.when(F.col("rn_d") > 1, F.col("lag_p")).otherwise(F.col("p_before")),
+            "off": F.coalesce(F.sum("size").over(earlier), F.lit(0)),
+            "p_before": F.lag("last_p").over(order),
+            "n": F.sum("size").over(w),
         }
     )
-    rows = _sequence_steps(rows, upto)
-    starts = rows.groupBy(*by_chunk).agg(
-        F.max(F.when(F.col("change"), F.col("rn"))).alias("last_start")
+    # the chunk's first run goes on from the chunk before, or it begins one
+    goes_on = F.coalesce(c("p_before") == c("first_p"), F.lit(False))
+    runs = runs.withColumns(
+        {
+            "goes_on": goes_on,
+            "first_start": c("off") + F.when(~goes_on, 1).otherwise(c("second")),
+            "last_start": c("off") + F.when(~goes_on | (c("runs") > 1), c("last")),
+        }
     )
-    starts = starts.select(*by_chunk, F.max("last_start").over(earlier).alias("start_before"))
-    rows = rows.withColumn("start_here", F.max(F.when(F.col("change"), F.col("rn"))).over(upto))
-    rows = _join_null_safe(rows, starts, by_chunk)
-    rows = rows.withColumn("run_start", F.coalesce("start_here", "start_before"))
-    rows = _lag_across_chunks(
-        rows, [*PART, "d"], ["_date", "_sub"], DEFAULT_SEQ[1:], "p", "prev_dp"
-    ).drop("_date", "_sub", "sub")
-    fixed = rows.groupBy(*KEY).agg(
-        F.min("rec").alias("r1"),
-        F.min("amt").alias("amt_min"),
-        F.max("amt").alias("amt_max"),
-        F.max(F.when(F.col("rn") == F.col("n"), F.col("amt"))).alias("latest"),
+    runs = runs.withColumn("open_start", F.max("last_start").over(earlier))
+    return runs.groupBy(NUM).agg(
+        (F.sum("runs") - F.count_if(c("goes_on")) - 1).alias("transitions"),
+        F.greatest(
+            F.max("best"), F.max(c("first_start") - c("open_start")), F.max("n") + 1 - F.max("last_start")
+        ).alias("streak"),
+    )
+
+
+def _default_changes(rows: DataFrame, limit: int, made: list[str]) -> DataFrame:
+    """cf_il, il_cf: products of successive defaults, inside the days of default and at their cuts."""
+    c = F.col
+    rows = _in_chunks(rows.where("d").select(NUM, "dflt", *HOT_SEQ), "dflt", limit, made)
+    local = Window.partitionBy(*CHUNK).orderBy(*HOT_SEQ)
+    rows = rows.select(*CHUNK, "p", F.row_number().over(local).alias("k"), F.lag("p").over(local).alias("before"))
+    step = lambda before, p, a, b: (c(before) == a) & (c(p) == b)
+    days = rows.groupBy(*CHUNK).agg(
+        F.max(F.when(c("k") == 1, c("p"))).alias("first_p"),
+        F.max_by("p", "k").alias("last_p"),
+        F.count_if(step("before", "p", "cf", "il")).alias("cf_il"),
+        F.count_if(step("before", "p", "il", "cf")).alias("il_cf"),
+    )
+    days = days.withColumn("p_before", F.lag("last_p").over(Window.partitionBy(NUM).orderBy("slot", "sub")))
+    return days.groupBy(NUM).agg(
+        (F.sum("cf_il") + F.count_if(step("p_before", "first_p", "cf", "il"))).alias("cf_il"),
+        (F.sum("il_cf") + F.count_if(step("p_before", "first_p", "il", "cf"))).alias("il_cf"),
     )
-    return rows.join(fixed, KEY)
 
 
 def _aggregates() -> dict[str, Column]:
@@ -449,59 +572,65 @@ def _cold_distribution() -> dict[str, Column]:
     }
 
 
-def _hot_distribution(rows: DataFrame) -> DataFrame:
-    """The columns of `_cold_distribution` for over-full applicants from frequency tables."""
-
-    def med(value, name):
-        q = ranking.quantiles(rows, KEY, value, [0.5])
-        return q.select(*KEY, F.col("q")[0].alias(name))
-
-    quart = ranking.quantiles(rows, KEY, "amt", [0.25, 0.5, 0.75]).select(
-        *KEY,
-        F.col("q")[0].alias("q1"),
-        F.col("q")[1].alias("amt_med"),
-        F.col("q")[2].alias("q3"),
-    )
-    fence = 1.5 * (F.col("q3") - F.col("q1"))
-    out = (
-        rows.select(*KEY, "amt", "latest")
-        .join(quart, KEY)
-        .groupBy(*KEY)
-        .agg(
-            F.max("amt_med").alias("amt_med"),
-            F.count_if(
-                (F.col("amt") < F.col("q1") - fence) | (F.col("amt") > F.col("q3") + fence)
-            ).alias("n_iqr_out"),
-            F.count_if(F.col("amt") < F.col("latest")).alias("n_below_last"),
-        )
-    )
-    # row_number() <= 3 is limited on the map side before the shuffle
-    top = (
-        rows.select(
-            *KEY,
-            "amt",
-            F.row_number()
-            .over(Window.partitionBy(*KEY).orderBy(F.desc("amt"), F.desc("tid")))
-            .alias("k"),
-        )
-        .where(F.col("k") <= 3)
-        .groupBy(*KEY)
-        .agg(
-            F.sum(F.when(F.col("k") <= 2, F.col("amt"))).alias("top2"),
-            F.sum("amt").alias("top3"),
-        )
-    )
-    for extra in (med("payment", "pay_med"), med("gap", "gap_med"), top):
-        out = out.join(extra, KEY, "left")
-    return out
+def _whole_distribution(rows: DataFrame, names: list[str]) -> DataFrame:
+    """The named columns of `_cold_distribution`, of applicants whose values of a column fit a task."""
+    w = Window.partitionBy(NUM)
+    rank = lambda x: F.row_number().over(w.orderBy(F.asc_nulls_last(x))) - 1
+    columns = {}
+    if "amt" in rows.columns:
+        columns |= {"amt_before": rank("amt"), "n_amt": F.count("amt").over(w)}
+    if "payment" in rows.columns:
+        columns |= {"pay_before": rank("payment"), "np": F.count("payment").over(w)}
+    rows = rows.withColumns(columns)
+    if "n_iqr_out" in names:
+        quarter = lambda p: _quantile_over("amt_before", "n_amt", "amt", p, w)
+        rows = rows.withColumns({"q1": quarter(0.25), "q3": quarter(0.75)})
+    aggs = _cold_distribution()
+    return rows.groupBy(NUM).agg(*[aggs[k].alias(k) for k in names])
+
+
+def _ranged_distribution(rows: DataFrame, names: list[str]) -> DataFrame:
+    """The same, of applicants of any size, from frequency tables."""
+    c = F.col
+    out = rows.select(NUM).distinct()
+    if "pay_med" in names:
+        q = ranking.quantiles(rows, [NUM], "payment", [0.5])
+        out = out.join(q.select(NUM, c("q")[0].alias("pay_med")), NUM, "left")
+    if {"amt_med", "n_iqr_out"} & {*names}:
+        q = ranking.quantiles(rows, [NUM], "amt", [0.25, 0.5, 0.75])
+        q = q.select(NUM, *[c("q")[i].alias(k) for i, k in enumerate(["q1", "amt_med", "q3"])])
+        fence = 1.5 * (c("q3") - c("q1"))
+        far = (c("amt") < c("q1") - fence) | (c("amt") > c("q3") + fence)
+        counts = rows.select(NUM, "amt").join(F.broadcast(q), NUM).groupBy(NUM)
+        counts = counts.agg(F.max("amt_med").alias("amt_med"), F.count_if(far).alias("n_iqr_out"))
+        out = out.join(counts, NUM, "left")
+    if {"top2", "top3"} & {*names}:
+        # row_number() <= 3 is limited on the map side before the shuffle
+        place = F.row_number().over(Window.partitionBy(NUM).orderBy(F.desc("amt"), F.desc("tid")))
+        top = rows.select(NUM, "amt", place.alias("k")).where(c("k") <= 3).groupBy(NUM)
+        top = top.agg(F.sum(F.when(c("k") <= 2, c("amt"))).alias("top2"), F.sum("amt").alias("top3"))
+        out = out.join(top, NUM, "left")
+    return out.select(NUM, *names)
+
+
+def _hot_distribution(rows: DataFrame, names: list[str], limit: int = ranking.MAX_GROUP) -> DataFrame:
+    """The named columns of `_cold_distribution` for over-full applicants.
+
+    A column's values and the numbers of their applicants are narrow, so more of them fit a task.
+    """
+    sizes = rows.groupBy(NUM).agg(F.count("*").alias("k"))
+    larger = sizes.where(F.col("k") > limit).select(NUM)
+    if larger.isEmpty():
+        return _whole_distribution(rows, names)
+    larger = F.broadcast(larger)
+    whole = _whole_distribution(rows.join(larger, NUM, "left_anti"), names)
+    return whole.unionByName(_ranged_distribution(rows.join(larger, NUM, "left_semi"), names))
 
 
 def _finish(profile: DataFrame) -> DataFrame:
+    skews = {"skew": "n", "pay_skew": "np"}
     return profile.withColumns(
-        {
-            "skew": adjusted_skewness(F.col("skew"), F.col("n")),
-            "pay_skew": adjusted_skewness(F.col("pay_skew"), F.col("np")),
-        }
+        {k: adjusted_skewness(F.col(k), F.col(n)) for k, n in skews.items() if k in profile.columns}
     )
 
 
@@ -521,37 +650,95 @@ def applicant_profile(
     bureau: DataFrame,
     max_rows_per_key: int = en.MAX_ROWS_PER_KEY,
     found: en.HotKeys | None = None,
+    exprs: list[Column] | None = None,
 ) -> DataFrame:
-    """One row per applicant with tradelines: KEY and all base aggregates. found: the over-full applicants, if known."""
+    """One row per applicant with tradelines: KEY and all base aggregates, or those that exprs read.
+
+    found: the over-full applicants, if known.
+    """
     found = found or en.hot_keys(bureau, KEY, max_rows_per_key)
     cold, over = en.split_hot(bureau, found.keys)
-    aggs = _aggregates()
+    aggs = {**_aggregates(), **_cold_distribution()}
+    if exprs is not None:
+        need = _used(exprs, aggs)
+        need |= {n for k, n in (("skew", "n"), ("pay_skew", "np")) if k in need}
+        aggs = {k: e for k, e in aggs.items() if k in need} or {"n": aggs["n"]}
     profile = (
-        _cold_rows(dated_rows(apps, cold))
-        .groupBy(*KEY)
-        .agg(*[e.alias(k) for k, e in {**aggs, **_cold_distribution()}.items()])
+        _cold_rows(dated_rows(apps, cold)).groupBy(*KEY).agg(*[e.alias(k) for k, e in aggs.items()])
     )
     if over is not None:
-        profile = profile.unionByName(_hot_profile(apps, over, found.keys, aggs, max_rows_per_key))
+        profile = profile.unionByName(_hot_profile(apps, bureau, found.keys, set(aggs), max_rows_per_key))
     return _finish(profile)
 
 
 def _hot_profile(
-    apps: DataFrame, over: DataFrame, hot: DataFrame, aggs: dict[str, Column], limit: int
+    apps: DataFrame, bureau: DataFrame, hot: DataFrame, need: set[str], limit: int
 ) -> DataFrame:
-    hot_apps = apps.join(hot, KEY, "left_semi").select(*KEY, "application_date")
-    rows = en.enrich(en.with_optional_columns(over).join(hot_apps, KEY))
-    # overdraft rows carry no sequence columns; their aggregates need none
-    signals = [k for k in aggs if k.startswith(("od_", "ol_"))]
-    credit = _written(_hot_rows(_written(_chunked(rows, limit))))
-    main = credit.groupBy(*KEY).agg(
-        *[e.alias(k) for k, e in aggs.items() if k not in signals]
-    )
-    side = rows.groupBy(*KEY).agg(*[aggs[k].alias(k) for k in signals])
-    out = side.join(main, KEY, "left").join(_hot_distribution(credit), KEY, "left")
-    counters = {
-        k: F.coalesce(F.col(k), F.lit(0))
-        for k, t in out.dtypes
-        if t == "bigint" and k not in ("gap_sum", "gap_sq", "streak", "c30", "c60", "c90")
-    }
-    return out.withColumns(counters)
+    """The needed aggregates of over-full applicants.
+
+    Their keys are numbered, and their rows are written once with that number and the columns that the
+    aggregates read. What knows no order comes from them directly, what knows only days from the chunk
+    table, and only the rest from rows that meet their chunk. The result is a row an applicant; once it
+    is written, the tables before it are removed.
+    """
+    c = F.col
+    made: list[str] = []
+    numbered = hot.join(apps.select(*KEY), KEY, "left_semi")
+    numbered = _written(numbered.withColumn(NUM, F.monotonically_increasing_id()), made)
+    aggs = {k: e for k, e in _aggregates().items() if k in need}
+    aggs |= {"n_below_last": F.count_if(c("amt") < c("latest"))} if "n_below_last" in need else {}
+    runs, changes = need & {"transitions", "streak"}, need & {"cf_il", "il_cf"}
+    by_day = {k: e for k, e in _day_aggregates().items() if k in need}
+    aggs = {k: e for k, e in aggs.items() if k not in {*runs, *changes, *by_day}}
+    placed = {k: e for k, e in aggs.items() if _used([e], IN_SEQUENCE)}
+    plain = {k: e for k, e in aggs.items() if k not in placed}
+
+    # inputs of the measures that are read, tie-breaks of the order included
+    read = _used(aggs.values(), MEASURES) | ({"day"} if by_day else set())
+    read |= {"amt"} if need & {"a30", "a60", "amt_med", "n_iqr_out", "top2", "top3"} else set()
+    read |= {"payment"} if "pay_med" in need else set()
+    read |= {"tid"} if need & {"top2", "top3"} else set()
+    read |= {"day", *HOT_SEQ} if placed or runs else set()
+    read |= {"dflt", *HOT_SEQ} if changes else set()
+    read |= {"rec"} if _used(placed.values(), ["r1"]) else set()
+    read |= {"payment"} if _used(placed.values(), ["np", "pay_rn"]) else set()
+    inputs = {"product_type"}.union(*(MEASURES[x] for x in read))
+    dated = apps.select(*KEY, "application_date").join(numbered, KEY)
+    rows = en.with_optional_columns(bureau).join(dated, KEY)
+    if not any(k.startswith(("od_", "ol_")) for k in need):
+        rows = en.credit_only(rows)  # overdraft rows have no other measures
+    rest = {x: F.lit(None).cast(t) for x, t in rows.dtypes if x not in (NUM, *KEY, *inputs)}
+    rows = _written(rows.select(NUM, *sorted(inputs)), made).withColumns(rest)
+    rows = en.enrich(rows, [NUM])
+    # a measure whose inputs weren't written has no column, rather than NULLs
+    rows = rows.select(NUM, *[x for x in MEASURES if MEASURES[x] <= inputs])
+
+    parts = [rows.groupBy(NUM).agg(*[e.alias(k) for k, e in plain.items()])] if plain else []
+    credit = rows.where("is_credit")
+    chunked = credit
+    if placed or runs:
+        chunked = _in_chunks(credit, "opening", limit, made)
+    elif by_day:
+        chunked = credit.withColumns({"slot": F.coalesce(c("day"), F.lit(NO_DAY)), "sub": F.lit(0)})
+    if placed or by_day:
+        place = [c("rn_off")] if placed else []
+        place += [c("pay_off")] if _used(placed.values(), ["pay_rn"]) else []
+        chunks = _chunk_table(chunked, [*placed.values(), *by_day.values(), *place], made)
+    if placed:
+        parts.append(_in_sequence(chunked, chunks).groupBy(NUM).agg(*[e.alias(k) for k, e in placed.items()]))
+    if by_day:
+        parts.append(chunks.groupBy(NUM).agg(*[e.alias(k) for k, e in by_day.items()]))
+    if runs:
+        parts.append(_streaks(chunked))
+    if changes:
+        parts.append(_default_changes(credit, limit, made))
+    out = numbered
+    spread = need & {"amt_med", "pay_med", "n_iqr_out", "top2", "top3"}
+    for part in [*parts, *([_hot_distribution(credit, sorted(spread))] if spread else [])]:
+        out = out.join(part, NUM, "left")
+    nullable = ("gap_sum", "gap_sq", "streak", "c30", "c60", "c90")
+    kind = dict(out.dtypes)
+    zero = lambda k: F.coalesce(k, F.lit(0)) if kind[k] == "bigint" and k not in nullable else c(k)
+    found = _written(out.select(*KEY, *[zero(k).alias(k) for k in sorted(need)]), [])
+    src.remove_artefacts(apps.sparkSession, made)
+    return found

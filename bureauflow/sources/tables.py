@@ -157,3 +157,10 @@ def save_artefact(df: DataFrame, path: str) -> None:
 
 def load_artefact(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
+
+
+def remove_artefacts(spark: SparkSession, paths: list[str]) -> None:
+    """Deletes result tables, by the file system that they are in."""
+    for path in paths:
+        path = spark._jvm.org.apache.hadoop.fs.Path(path)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

@@ -143,3 +143,34 @@ def test_overfull_applicants_with_missing_values(small):
         if f not in KEY and not _same(plain[k][f], split[k][f])
     }
     assert not wrong, (len(wrong), sorted({w[0] for w in wrong}), sorted(wrong, key=str)[:5])
+
+
+def test_overfull_applicants_write_what_is_read(small, monkeypatch):
+    """Gaps need days: neither amounts nor names of applicants are written and exchanged with the rows."""
+    from bureauflow.operators import profile
+
+    written = []
+    save = profile.src.save_artefact
+    monkeypatch.setattr(profile.src, "save_artefact", lambda df, path: (written.append(set(df.columns)), save(df, path)))
+    apps, bureau = small
+    plain = _by_key(family_frame(apps, bureau, ["interval"]))
+    split = _by_key(family_frame(apps, bureau, ["interval"], max_rows_per_key=3))
+    assert all(_same(plain[k][f], split[k][f]) for k in plain for f in plain[k] if f not in KEY)
+    rows = [x for x in written if not x & set(KEY)]
+    assert rows and all(not x & {"amt", "product", "total_amount", "payment"} for x in rows), rows
+    assert len(written) == len(rows) + 2  # the numbers of the applicants, and their result
+
+
+@pytest.mark.parametrize("size", [6, 10**9])
+def test_distribution_of_overfull_applicants(small, monkeypatch, size):
+    """Applicants of more values than fit a task get the same distribution."""
+    from bureauflow.operators import profile
+
+    monkeypatch.setattr(profile._hot_distribution, "__defaults__", (size,))
+    apps, bureau = small
+    names = ["anomaly", "payment", "concentration", "payment_behavior"]
+    plain = _by_key(family_frame(apps, bureau, names))
+    split = _by_key(family_frame(apps, bureau, names, max_rows_per_key=3))
+    assert plain.keys() == split.keys()
+    wrong = [(f, k) for k in plain for f in plain[k] if f not in KEY and not _same(plain[k][f], split[k][f])]
+    assert not wrong, wrong[:5]
