@@ -8,7 +8,8 @@ task then meet their words' ids in the order in which they were sent. Nothing is
 
 The rank map is an array with a row for each left symbol, as a map literal would be searched from its start at each access.
 
-Words of over LONG_WORD bytes, for which a fold of one merge a step would be quadratic, take the array merging of `token_counts`.
+Words of over LONG_WORD bytes, for which a fold of one merge a step would be quadratic, take the array merging of `token_counts`; a caller
+can give it shorter words too (fold_bytes), with the same ids.
 
 Defined results: null text encodes to no ids; rows are independent, so repeated rows are encoded each; an empty table gives an empty
 result; other columns are ignored.
@@ -120,7 +121,7 @@ def fold(word: Column, c: Column) -> Column:
     return F.aggregate(word, start, step, lambda acc: acc["ids"])
 
 
-def blocks(docs: DataFrame, path: str, key: str, text: str) -> DataFrame:
+def blocks(docs: DataFrame, path: str, key: str, text: str, fold_bytes: int = LONG_WORD) -> DataFrame:
     """A row a block: keys of its documents, words numbered from `base` on as byte arrays, then ids of long words; numbers of the words of
     its documents, bounds of documents in them. base 0 begins a new numbering."""
     kind = docs.schema[key].dataType.simpleString()
@@ -144,7 +145,7 @@ def blocks(docs: DataFrame, path: str, key: str, text: str) -> DataFrame:
                 base = len(known)
                 number = np.empty(len(own), np.int32)
                 number[~new] = numbers[at[~new]]
-                long = size[first] > LONG_WORD
+                long = size[first] > fold_bytes
                 short, far = np.flatnonzero(new & ~long), np.flatnonzero(new & long)
                 number[short] = base + np.arange(len(short))
                 number[far] = base + len(short) + np.arange(len(far))
@@ -174,22 +175,22 @@ def blocks(docs: DataFrame, path: str, key: str, text: str) -> DataFrame:
     return docs.mapInArrow(cut, f"keys array<{kind}>, base int, words array<array<smallint>>, far array<array<int>>, used binary, bounds binary")
 
 
-def encode_blocks(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """blocks() with `ids` and `decoded` (binary) of every word that is new in a block."""
+def encode_blocks(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text", fold_bytes: int = LONG_WORD) -> DataFrame:
+    """blocks() with `ids` and `decoded` (binary) of every word that is new in a block. Words of up to fold_bytes bytes are folded."""
     pieces = load_ranks(path)
     ranks = {p: r for r, p in enumerate(pieces)}
-    begins, owner, held = rank_map(path)
+    begins, owner, held = rank_map(path) if fold_bytes else ([], [], [])
     constant = literal(
         {"first": [ranks[bytes([b])] for b in range(256)], "begins": begins, "owner": owner, "held": held, "pieces": [base64.b64encode(p).decode() for p in pieces]},
         "struct<first:array<int>,begins:array<int>,owner:array<int>,held:array<int>,pieces:array<binary>>",
     )
 
     def encoded(c: Column) -> Column:
-        words = F.transform("words", lambda w: fold(w, c))
+        words = F.transform("words", lambda w: fold(w, c)) if fold_bytes else F.array().cast("array<array<int>>")
         piece = lambda ids: F.aggregate(ids, F.lit(b""), lambda acc, i: F.concat(acc, F.get(c["pieces"], i)))
         return let(F.concat(words, F.col("far")), lambda ids: F.struct(ids.alias("ids"), F.transform(ids, piece).alias("decoded")))
 
-    rows = blocks(docs, path, key, text).withColumn("made", let(constant, encoded))
+    rows = blocks(docs, path, key, text, fold_bytes).withColumn("made", let(constant, encoded))
     return rows.select("keys", "base", "used", "bounds", F.col("made.ids").alias("ids"), F.col("made.decoded").alias("decoded"))
 
 
@@ -214,7 +215,7 @@ def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, np.nda
             yield keys, own, at[bounds], memoryview(text), text_at[bounds]
 
 
-def encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
+def encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text", fold_bytes: int = LONG_WORD) -> DataFrame:
     """Per row of docs: key, ids array<int>, decoded binary."""
     kind = docs.schema[key].dataType.simpleString()
 
@@ -224,7 +225,7 @@ def encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text")
             cuts = raw_at.tolist()
             yield pa.RecordBatch.from_arrays([keys, lists, pa.array([bytes(raw[a:b]) for a, b in zip(cuts[:-1], cuts[1:], strict=True)], pa.binary())], [key, "ids", "decoded"])
 
-    return encode_blocks(docs, path, key, text).mapInArrow(made, f"{key} {kind}, ids array<int>, decoded binary")
+    return encode_blocks(docs, path, key, text, fold_bytes).mapInArrow(made, f"{key} {kind}, ids array<int>, decoded binary")
 
 
 def digests(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> DataFrame:

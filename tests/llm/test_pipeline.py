@@ -135,3 +135,21 @@ def test_near_duplicates_send_a_row_once_and_leave_no_sets(spark):
     assert got == [rows[2], rows[4]]
     assert "min_by" not in found._jdf.queryExecution().optimizedPlan().toString()
     assert left and not any("elements" in x for x in left)
+
+
+def test_encoding_folds_no_words(spark, monkeypatch):
+    """The last stage merges all words as arrays, with the ids that folding them gives."""
+    import corpus_pipeline
+    import public_tokenizers
+    from bureauflow.llm import bpe_fold
+
+    docs = queries.table(spark, SMALL, "documents").limit(40)
+    odd = spark.createDataFrame([(1, "a" * 700 + " naïve été \n\n x", "en", "s", 1), (2, "", "en", "s", 0), (3, None, "en", "s", 0)], docs.schema)
+    docs = docs.unionByName(odd).persist()
+    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    rows = lambda df: sorted((r.doc_id, tuple(r.ids)) for r in df.select("doc_id", "ids").collect())
+    want = rows(bpe_fold.encode(texts, public_tokenizers.path("byte_bpe_50k.tiktoken")))
+    monkeypatch.delattr(bpe_fold, "fold")
+    found = corpus_pipeline.encoding(spark, docs, SMALL)
+    assert rows(found) == want and found.where("not decodes").count() == 0
+    docs.unpersist()
