@@ -127,12 +127,19 @@ def _developed(
 
     kept = step("constant", elimination.constant_features(train, features), list(features))
     kept = step("missing", elimination.missing_features(data, kept), kept)
-    kept = step(
-        "iv", elimination.iv_filter(train, kept, target, *iv_range), kept
-    )
-    iv = _iv(tables["iv"])
-    kept = step("psi", elimination.psi_filter(train_psi(train, kept, date), kept, max_psi), kept)
-    kept = step("temporal", elimination.temporal_filter(data, kept, target), kept)
+    # IVs and AUCs read the distinct values several times: they are counted once
+    counts = elimination.period_counts(data, kept, target).persist()
+    sums = [F.sum(x).alias(x) for x in ("n", "good", "bad")]
+    values = counts.where("split = 'train'").groupBy("feature", "value").agg(*sums).persist()
+    try:
+        kept = step("iv", elimination.iv_filter(train, kept, target, *iv_range, values=values), kept)
+        values.unpersist()
+        iv = _iv(tables["iv"])
+        kept = step("psi", elimination.psi_filter(train_psi(train, kept, date), kept, max_psi), kept)
+        kept = step("temporal", elimination.temporal_filter(data, kept, target, counts=counts), kept)
+    finally:
+        values.unpersist()
+        counts.unpersist()
     if len(kept) > 1:
         pairs = elimination.correlation_pairs(train, kept)
         kept = step(

@@ -25,3 +25,33 @@ def test_develop_scorecard(frame):
     # more points mean less risk
     assert rows[["scorecard_score", "probability_bad"]].corr().iloc[0, 1] < -0.9
     assert out.tables["cutoffs"].count() > 1
+
+
+def test_distinct_values_are_counted_once(frame):
+    """IV and AUC of a run's steps come from counted values, with the same tables, and don't expand the rows again."""
+    import math
+
+    from bureauflow.operators import elimination
+    from pyspark.sql import functions as F
+
+    names = ["signal", "o_totalprice", "avg_discount", "const_1"]
+    data = dev.prepare(frame.drop("quarter"), "2000-06-30").persist()
+    train = data.where("split = 'train'")
+    counts = elimination.period_counts(data, names).persist()
+    values = counts.where("split = 'train'").groupBy("feature", "value")
+    values = values.agg(*[F.sum(x).alias(x) for x in ("n", "good", "bad")]).persist()
+
+    def same(got, want):
+        got, want = ({r["feature"]: r.asDict() for r in x.collect()} for x in (got, want))
+        assert got.keys() == want.keys() and len(got)
+        for f in want:
+            for k, v in want[f].items():
+                assert got[f][k] == v or math.isclose(got[f][k], v, rel_tol=1e-9, abs_tol=1e-12), (f, k)
+
+    counted = elimination.iv_filter(train, names, values=values)
+    same(counted, elimination.iv_filter(train, names))
+    plan = counted._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate inline" not in plan.split("InMemoryRelation")[0]
+    same(elimination.temporal_filter(data, names[:3], counts=counts), elimination.temporal_filter(data, names[:3]))
+    for x in (values, counts, data):
+        x.unpersist()
